@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The modelled workload is a daily batch (land -> transform -> marts -> tests)
+with no stream, watermark or state; nothing here is built on purpose.
+Incremental landing is covered by dynamic partition overwrite in
+``placeframe.sinks.land_dated_json``.
+"""
