@@ -18,7 +18,7 @@ from placeframe.operators.marts import (
     state_weather_summary,
     stg_locations,
 )
-from placeframe.sinks.writers import write_partitioned_parquet
+from placeframe.sinks.writers import write_partitioned_parquet, write_table
 
 
 def enriched(raw_locations: DataFrame, raw_weather: DataFrame, snapshots: str = "all") -> DataFrame:
@@ -40,13 +40,33 @@ class Marts:
     fact: DataFrame
 
 
-def build_marts(enriched_df: DataFrame, grain: str = "state_zone") -> Marts:
+def build_marts(enriched_df: DataFrame, grain: str = "state_zone", stage_dir: str | None = None) -> Marts:
+    """stg -> (summary, dim) -> fact.
+
+    With ``stage_dir`` (a folder in the shared checkpoint root) the staging
+    model is written once and every mart reads it, instead of each mart
+    recomputing the enrichment; the summary (one row per state and zone)
+    is written too, so the fact join broadcasts it on its measured size
+    and the large dimension side is never shuffled.
+    """
     stg = stg_locations(enriched_df)
+    if stage_dir:
+        stg = write_table(stg, f"{stage_dir}/stg_locations")
     summary = state_weather_summary(stg)
+    if stage_dir:
+        summary = write_table(summary, f"{stage_dir}/state_weather_summary")
     dim = dim_locations(stg)
     return Marts(stg, summary, dim, fact_location_weather(dim, summary, grain))
 
 
+def publish_marts(marts: Marts, out_root: str) -> dict[str, DataFrame]:
+    """Write the mart tables (dimension and fact) under ``out_root``."""
+    return {
+        "dim_locations": write_table(marts.dim, f"{out_root}/dim_locations"),
+        "fact_location_weather": write_table(marts.fact, f"{out_root}/fact_location_weather"),
+    }
+
+
 def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """One row, one count column per stage. Each count is a scalar subquery
     (a separate small aggregate); no join between the stages."""

@@ -55,8 +55,8 @@ def _enr(spark, sf_dir) -> DataFrame:
     return enriched(si.raw_locations(spark, sf_dir), si.weather_records(spark, sf_dir))
 
 
-def _marts(spark, sf_dir):
-    return build_marts(_enr(spark, sf_dir))
+def _marts(spark, sf_dir, grain: str = "state_zone"):
+    return build_marts(_enr(spark, sf_dir), grain, stage_dir=fresh_dir(spark, "marts"))
 
 
 def _land_raw_locations(spark, sf_dir) -> str:
@@ -236,7 +236,7 @@ def q_fact_location_weather(spark, sf_dir):
 
 
 def q_fact_matched_zone(spark, sf_dir):
-    return build_marts(_enr(spark, sf_dir), grain="matched_zone").fact
+    return _marts(spark, sf_dir, grain="matched_zone").fact
 
 
 def q_assemble_weather(spark, sf_dir):

@@ -6,4 +6,5 @@ from placeframe.sinks.writers import (  # noqa: F401
     preview,
     publish_zone,
     write_partitioned_parquet,
+    write_table,
 )

@@ -88,6 +88,18 @@ def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None =
     return spark.table(name)
 
 
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` (overwrite) and return a scan of it.
+
+    Cuts the lineage in the shared folder: later stages read the files
+    instead of recomputing the plan, a lost executor re-reads files rather
+    than re-running upstream stages, and the planner sees the real file
+    size (so a small result is broadcast on a measured, not estimated, size).
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def preview(df: DataFrame, cols: Sequence[str], order: Sequence[str], n: int = 10) -> DataFrame:
     """First ``n`` rows of a projection in a fixed order (top-k plan)."""
     return df.select(*cols).orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
