@@ -34,12 +34,41 @@ def trailing_window(
     return daily.filter((lag >= 0) & (lag <= days))
 
 
+NULL_KEY_BUCKETS = 256
+
+
+def join_spreading_null_keys(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    buckets: int = NULL_KEY_BUCKETS,
+) -> DataFrame:
+    """Left outer / left anti equi-join on ``key`` (kept once, from the left).
+
+    Left rows whose key is null can never match, yet hash partitioning would
+    send all of them to one reducer; if a third of the rows lack a key that
+    task holds a third of the data. A second join column spreads them: 0
+    for every right row and every keyed left row (so keyed rows partition
+    exactly as on ``key`` alone), and a deterministic hash bucket 1..buckets
+    for null-key left rows. Results are unchanged; a retried task recomputes
+    the same buckets. Skew on a real key is left to AQE's skew-join split.
+    """
+    salt = F.when(
+        F.col(key).isNull(),
+        F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)) + 1,
+    ).otherwise(F.lit(0))
+    l = left.withColumn("_null_spread", salt)
+    r = right.withColumn("_null_spread", F.lit(0))
+    return l.join(r, on=[key, "_null_spread"], how=how).drop("_null_spread")
+
+
 def left_join_weather(locations: DataFrame, weather: DataFrame, key: str = "brewery_id") -> DataFrame:
     """Left equi-join on one key column (kept once). Null keys never match
-    and are kept; duplicate keys fan out. Strategy is left to the planner
-    and AQE (broadcast only after the small side is measured; skewed
-    partitions are split)."""
-    return locations.join(weather, on=key, how="left")
+    and are kept; duplicate keys fan out n x m. The planner picks broadcast
+    only for a side measured under the threshold; otherwise a sort-merge
+    join where null-key rows are spread and AQE splits skewed keys."""
+    return join_spreading_null_keys(locations, weather, key, "left")
 
 
 def _field(name: str):
@@ -113,6 +142,8 @@ def assemble_weather(
 
 
 def missing_weather(locations: DataFrame, weather: DataFrame, key: str = "id", weather_key: str = "brewery_id") -> DataFrame:
-    """Locations that received no weather record (anti join; null keys kept)."""
-    w = weather.select(F.col(weather_key).alias("_wk"))
-    return locations.join(w, locations[key] == w["_wk"], "left_anti")
+    """Locations that received no weather record (anti join; null keys kept).
+    The right side is reduced to distinct keys first (map-side), so a key
+    repeated across many records never builds up in one task."""
+    w = weather.select(F.col(weather_key).alias(key)).filter(F.col(key).isNotNull()).distinct()
+    return join_spreading_null_keys(locations, w, key, "left_anti")

@@ -132,10 +132,13 @@ def location_snapshots(spark: SparkSession, sf_dir: str) -> list[tuple[str, Data
     """Two snapshots of the location feed: everything, then the locations
     that still have an open order (semi join: no fan-out)."""
     raw = raw_locations(spark, sf_dir).select("id", "name", "state")
+    # distinct keys first: a customer with a third of all orders becomes
+    # one row per task before the shuffle that feeds the semi join
     open_orders = (
         read_table(spark, sf_dir, "orders")
         .filter(F.col("o_orderstatus") == "O")
         .select(F.col("o_custkey").cast("string").alias("_k"))
+        .distinct()
     )
     later = raw.join(open_orders, raw["id"] == open_orders["_k"], "left_semi")
     return [("a", raw), ("b", later)]
