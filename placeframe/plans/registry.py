@@ -52,7 +52,8 @@ CRAFT_TYPES = CATEGORY_RULES[0][0]
 # ---- shared derivations -----------------------------------------------------
 
 def _enr(spark, sf_dir) -> DataFrame:
-    return enriched(si.raw_locations(spark, sf_dir), si.weather_records(spark, sf_dir))
+    raw = si.raw_locations(spark, sf_dir)
+    return enriched(raw, si.weather_records(spark, sf_dir, raw))
 
 
 def _marts(spark, sf_dir, grain: str = "state_zone"):
@@ -271,13 +272,15 @@ def q_trailing_window(spark, sf_dir):
 # ---- 2.5 joins --------------------------------------------------------------
 
 def q_left_join_weather(spark, sf_dir):
-    c = cl.clean_locations(si.raw_locations(spark, sf_dir))
-    return jn.left_join_weather(c, cl.flatten_weather(si.weather_records(spark, sf_dir)))
+    raw = si.raw_locations(spark, sf_dir)
+    c = cl.clean_locations(raw)
+    return jn.left_join_weather(c, cl.flatten_weather(si.weather_records(spark, sf_dir, raw)))
 
 
 def q_missing_weather(spark, sf_dir):
-    geo = si.geocoded_locations(spark, sf_dir)
-    return jn.missing_weather(geo, si.weather_records(spark, sf_dir)).select("id", "name", "state")
+    raw = si.raw_locations(spark, sf_dir)
+    geo = si.geocoded_locations(spark, sf_dir, raw)
+    return jn.missing_weather(geo, si.weather_records(spark, sf_dir, raw)).select("id", "name", "state")
 
 
 # ---- 2.6 aggregations -------------------------------------------------------
@@ -292,7 +295,7 @@ def q_state_weather_summary(spark, sf_dir):
 
 def q_stage_counts(spark, sf_dir):
     raw = si.raw_locations(spark, sf_dir)
-    w = si.weather_records(spark, sf_dir)
+    w = si.weather_records(spark, sf_dir, raw)
     return stage_counts(
         {
             "raw_locations": raw,
@@ -440,8 +443,9 @@ def q_pipeline_enriched(spark, sf_dir):
     year, month = si.run_month(spark, sf_dir)
     loc_root = fresh_dir(spark, "raw-zone-locations")
     wx_root = fresh_dir(spark, "raw-zone-weather")
-    raw = si.raw_locations(spark, sf_dir).withColumns({"year": year, "month": month})
-    wx = si.weather_records(spark, sf_dir).withColumns({"year": year, "month": month})
+    base = si.raw_locations(spark, sf_dir)
+    raw = base.withColumns({"year": year, "month": month})
+    wx = si.weather_records(spark, sf_dir, base).withColumns({"year": year, "month": month})
     wr.land_dated_json(raw, loc_root, ("year", "month"))
     wr.land_dated_json(wx, wx_root, ("year", "month"))
     out = fresh_dir(spark, "enriched-output")

@@ -81,13 +81,13 @@ def daily_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def geocoded_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_geocoded(raw_locations(spark, sf_dir))
+def geocoded_locations(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
+    return filter_geocoded(raw if raw is not None else raw_locations(spark, sf_dir))
 
 
-def weather_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weather_records(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Nested weather records for geocoded locations (trailing window)."""
-    return assemble_weather(daily_observations(spark, sf_dir), geocoded_locations(spark, sf_dir))
+    return assemble_weather(daily_observations(spark, sf_dir), geocoded_locations(spark, sf_dir, raw))
 
 
 def run_month(spark: SparkSession, sf_dir: str) -> tuple:

@@ -57,3 +57,17 @@ DATED_PARTS = ("year", "month", "day")
 def with_string_parts(schema: StructType, parts=DATED_PARTS) -> StructType:
     """Append string partition columns to a data schema (for basePath reads)."""
     return StructType(list(schema.fields) + _strings(*parts))
+
+
+# Source tables the stand-in inputs are derived from (declared so a scan
+# needs no footer-inference job before planning).
+SOURCE_TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+}

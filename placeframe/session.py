@@ -17,6 +17,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # no per-call Python stack capture while building plans (debug aid only)
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -79,4 +81,10 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Scan one source table; declared tables skip schema inference."""
+    from placeframe.schemas import SOURCE_TABLES
+
+    r = spark.read
+    if name in SOURCE_TABLES:
+        r = r.schema(SOURCE_TABLES[name])
+    return r.parquet(table_path(sf_dir, name))
