@@ -3,7 +3,7 @@ single-pass stage counts."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -32,31 +32,42 @@ def enriched(raw_locations: DataFrame, raw_weather: DataFrame, snapshots: str =
     return enrich(left_join_weather(clean, weather))
 
 
-@dataclass
 class Marts:
-    stg: DataFrame
-    summary: DataFrame
-    dim: DataFrame
-    fact: DataFrame
-
-
-def build_marts(enriched_df: DataFrame, grain: str = "state_zone", stage_dir: str | None = None) -> Marts:
-    """stg -> (summary, dim) -> fact.
+    """stg -> (summary, dim) -> fact, built on first use.
 
     With ``stage_dir`` (a folder in the shared checkpoint root) the staging
     model is written once and every mart reads it, instead of each mart
     recomputing the enrichment; the summary (one row per state and zone)
-    is written too, so the fact join broadcasts it on its measured size
-    and the large dimension side is never shuffled.
+    is written too when the fact needs it, so the fact join broadcasts it on
+    its measured size and the large dimension side is never shuffled.
     """
-    stg = stg_locations(enriched_df)
-    if stage_dir:
-        stg = write_table(stg, f"{stage_dir}/stg_locations")
-    summary = state_weather_summary(stg)
-    if stage_dir:
-        summary = write_table(summary, f"{stage_dir}/state_weather_summary")
-    dim = dim_locations(stg)
-    return Marts(stg, summary, dim, fact_location_weather(dim, summary, grain))
+
+    def __init__(self, enriched_df: DataFrame, grain: str = "state_zone", stage_dir: str | None = None):
+        self._enriched = enriched_df
+        self.grain = grain
+        self.stage_dir = stage_dir
+
+    @cached_property
+    def stg(self) -> DataFrame:
+        stg = stg_locations(self._enriched)
+        return write_table(stg, f"{self.stage_dir}/stg_locations") if self.stage_dir else stg
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        summary = state_weather_summary(self.stg)
+        return write_table(summary, f"{self.stage_dir}/state_weather_summary") if self.stage_dir else summary
+
+    @cached_property
+    def dim(self) -> DataFrame:
+        return dim_locations(self.stg)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact_location_weather(self.dim, self.summary, self.grain)
+
+
+def build_marts(enriched_df: DataFrame, grain: str = "state_zone", stage_dir: str | None = None) -> Marts:
+    return Marts(enriched_df, grain, stage_dir)
 
 
 def publish_marts(marts: Marts, out_root: str) -> dict[str, DataFrame]:

@@ -124,7 +124,8 @@ def q_scan_hive_parquet(spark, sf_dir):
 
 
 def q_snapshot_latest(spark, sf_dir):
-    return rd.latest_snapshot(_read_events(spark, _land_events(spark, sf_dir)), DATED)
+    # only the latest day's directory is scanned (chosen from the listing)
+    return rd.read_latest_partition(spark, _land_events(spark, sf_dir), EVENT_RECORD, DATED)
 
 
 def q_external_json_table(spark, sf_dir):

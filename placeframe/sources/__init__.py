@@ -5,6 +5,7 @@ from placeframe.sources.readers import (  # noqa: F401
     latest_snapshot,
     paged_records,
     read_json_lines,
+    read_latest_partition,
     read_locations,
     read_ndjson,
     read_partitioned,

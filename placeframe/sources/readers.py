@@ -70,6 +70,42 @@ def latest_snapshot(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.filter(key == latest)
 
 
+def _partition_values(path: str, parts: Sequence[str]) -> tuple[str, ...] | None:
+    found = {}
+    for seg in path.split("/"):
+        k, eq, v = seg.partition("=")
+        if eq and k in parts:
+            found[k] = v
+    return tuple(found[p] for p in parts) if len(found) == len(parts) else None
+
+
+def read_latest_partition(
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    parts: Sequence[str],
+    fmt: str = "json",
+) -> DataFrame:
+    """Read only the greatest (parts...) directory of a Hive-layout zone.
+
+    The choice is made from the file listing the driver builds for planning
+    anyway (file names only, no rows), so only the latest partition's files
+    are scanned. Comparison is on the string values (zero-padded parts).
+    """
+    listing = spark.read.format(fmt).schema(with_string_parts(schema, parts)).option("basePath", root).load(root)
+    values = {v for f in listing.inputFiles() if (v := _partition_values(f, parts)) is not None}
+    if not values:
+        raise FileNotFoundError(f"no partitions under {root}")
+    latest = max(values)
+    sub = "/".join(f"{p}={v}" for p, v in zip(parts, latest))
+    return (
+        spark.read.format(fmt)
+        .schema(with_string_parts(schema, parts))
+        .option("basePath", root)
+        .load(f"{root.rstrip('/')}/{sub}")
+    )
+
+
 def create_external_json_table(
     spark: SparkSession,
     database: str,

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from placeframe.sinks import files_per_partition, land_dated_json, write_partitioned_parquet
-from placeframe.sources import file_manifest, latest_snapshot, paged_records, read_json_lines, read_partitioned
+from placeframe.sources import file_manifest, latest_snapshot, paged_records, read_json_lines, read_latest_partition, read_partitioned
 from placeframe.schemas import RAW_LOCATION
 
 REC = StructType([StructField("event_id", LongType()), StructField("event_type", StringType())])
@@ -27,6 +27,9 @@ def test_dated_json_dynamic_overwrite_keeps_other_partitions(spark, scratch):
     assert got == [(1, "01"), (3, "02")]
     assert dict(back.dtypes)["month"] == "string"
     assert [r.event_id for r in latest_snapshot(back, ("year", "month")).collect()] == [3]
+    latest = read_latest_partition(spark, scratch, REC, ("year", "month"))
+    assert [(r.event_id, r.month) for r in latest.collect()] == [(3, "02")]
+    assert len(latest.inputFiles()) == 1 and "month=02" in latest.inputFiles()[0]
     keys = sorted(r.key.rsplit("/", 1)[0] for r in file_manifest(spark, scratch).collect())
     assert keys == ["year=2024/month=01", "year=2024/month=02"]
 
