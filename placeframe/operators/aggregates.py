@@ -79,11 +79,13 @@ def count_over_time(df: DataFrame, group: str, period: str, member: str) -> Data
     )
 
 
-def latest_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
-    """Keep, per key, the row with the greatest ``order_col`` (rows with a
-    null key pass through). Uses max_by, which combines map-side, so a hot
-    key never lands in one task as a group of raw rows."""
+def latest_per_key(df: DataFrame, key: str, order: str | Column) -> DataFrame:
+    """Keep, per key, the row with the greatest ``order`` (a column name or
+    expression, e.g. struct(year, month)); rows with a null key pass through.
+    Uses max_by, which combines map-side, so a hot key never lands in one
+    task as a group of raw rows."""
     cols = df.columns
+    order_col = F.col(order) if isinstance(order, str) else order
     keyed = df.filter(F.col(key).isNotNull())
-    best = keyed.groupBy(key).agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r"))
+    best = keyed.groupBy(key).agg(F.max_by(F.struct(*cols), order_col).alias("_r"))
     return best.select("_r.*").unionByName(df.filter(F.col(key).isNull()))

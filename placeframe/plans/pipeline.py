@@ -21,14 +21,40 @@ from placeframe.operators.marts import (
 from placeframe.sinks.writers import write_partitioned_parquet, write_table
 
 
+SNAPSHOT_PARTS = ("year", "month")
+
+
+def latest_locations(raw_locations: DataFrame, parts=SNAPSHOT_PARTS) -> DataFrame:
+    """One record per id: the one from the greatest (year, month) snapshot
+    when the snapshot columns are present (read with ``basePath``)."""
+    if not all(p in raw_locations.columns for p in parts):
+        return raw_locations
+    latest = latest_per_key(raw_locations, "id", F.struct(*parts))
+    return latest.drop(*parts)
+
+
+def latest_weather(flat_weather: DataFrame) -> DataFrame:
+    """One weather record per location: the greatest ISO fetch_date."""
+    return latest_per_key(flat_weather, "brewery_id", "fetch_date")
+
+
 def enriched(raw_locations: DataFrame, raw_weather: DataFrame, snapshots: str = "all") -> DataFrame:
-    """clean -> left join -> enrich. ``snapshots="latest"`` keeps one record
-    per id (the greatest fetch_date for weather; the last snapshot for
-    locations must be selected by the reader), avoiding k x k fan-out."""
-    clean = clean_locations(raw_locations)
+    """clean -> left join -> enrich.
+
+    snapshots="all" (default) joins every snapshot of both sides, as the
+    modelled job does (k snapshots give k x k rows per location);
+    snapshots="latest" keeps one location record per id (by year/month when
+    present) and one weather record per id (by fetch_date) first.
+    """
+    raw = raw_locations
+    if snapshots == "latest":
+        raw = latest_locations(raw)
+    elif any(p in raw.columns for p in SNAPSHOT_PARTS):
+        raw = raw.drop(*SNAPSHOT_PARTS)
+    clean = clean_locations(raw)
     weather = flatten_weather(raw_weather)
     if snapshots == "latest":
-        weather = latest_per_key(weather, "brewery_id", "fetch_date")
+        weather = latest_weather(weather)
     return enrich(left_join_weather(clean, weather))
 
 
@@ -98,10 +124,14 @@ def run_pipeline(raw_locations: DataFrame, raw_weather: DataFrame, output_path:
     one = F.count(F.lit(1)).alias("n")
     rl = raw_locations.observe(obs["raw_locations"], one)
     rw = raw_weather.observe(obs["raw_weather"], one)
+    if snapshots == "latest":
+        rl = latest_locations(rl)
+    elif any(p in rl.columns for p in SNAPSHOT_PARTS):
+        rl = rl.drop(*SNAPSHOT_PARTS)
     clean = clean_locations(rl).observe(obs["clean_locations"], one)
     weather = flatten_weather(rw)
     if snapshots == "latest":
-        weather = latest_per_key(weather, "brewery_id", "fetch_date")
+        weather = latest_weather(weather)
     weather = weather.observe(obs["clean_weather"], one)
     joined = left_join_weather(clean, weather).observe(
         obs["joined"], one, F.count("avg_temp_max_f").alias("with_weather")

@@ -109,6 +109,16 @@ def test_two_snapshots_fan_out_and_latest(spark):
     assert len(latest) == 1 and latest[0].climate_zone == "hot"
 
 
+def test_latest_snapshot_of_locations_by_year_month(spark):
+    cols = [f.name for f in RAW_LOCATION.fields]
+    rows = [loc(id="1", name="A", state="Ohio") + ("2024", "01"), loc(id="1", name="A2", state="Iowa") + ("2024", "02")]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols + ["year", "month"]))
+    w = _weather_rows(spark, [("1", "2024-01-31", [50.0]), ("1", "2024-02-29", [90.0])])
+    assert enriched(raw, w).count() == 4
+    got = enriched(raw, w, snapshots="latest").collect()
+    assert [(r.name, r.state, r.climate_zone) for r in got] == [("A2", "Iowa", "hot")]
+
+
 def test_latest_per_key_keeps_null_keys(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), (None, 1), (None, 2)], "k string, v int")
     got = sorted((r.k or "", r.v) for r in latest_per_key(df, "k", "v").collect())
