@@ -34,7 +34,11 @@ def trailing_window(
     return daily.filter((lag >= 0) & (lag <= days))
 
 
-NULL_KEY_BUCKETS = 256
+def _shuffle_width(df: DataFrame) -> int:
+    try:
+        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    except (TypeError, ValueError):
+        return 200
 
 
 def join_spreading_null_keys(
@@ -42,7 +46,7 @@ def join_spreading_null_keys(
     right: DataFrame,
     key: str,
     how: str = "left",
-    buckets: int = NULL_KEY_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Left outer / left anti equi-join on ``key`` (kept once, from the left).
 
@@ -51,9 +55,12 @@ def join_spreading_null_keys(
     task holds a third of the data. A second join column spreads them: 0
     for every right row and every keyed left row (so keyed rows partition
     exactly as on ``key`` alone), and a deterministic hash bucket 1..buckets
-    for null-key left rows. Results are unchanged; a retried task recomputes
-    the same buckets. Skew on a real key is left to AQE's skew-join split.
+    for null-key left rows. ``buckets`` defaults to the session's shuffle
+    width, so the null rows are spread over every reducer. Results are
+    unchanged; a retried task recomputes the same buckets. Skew on a real
+    key is left to AQE's skew-join split.
     """
+    buckets = buckets or _shuffle_width(left)
     salt = F.when(
         F.col(key).isNull(),
         F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)) + 1,
