@@ -5,6 +5,7 @@ from placeframe.operators.aggregates import (  # noqa: F401
     geocode_coverage,
     join_coverage,
     latest_per_key,
+    lookup_report,
     top_groups,
 )
 from placeframe.operators.clean import (  # noqa: F401

@@ -21,6 +21,23 @@ def join_coverage(enriched: DataFrame, measure: str = "avg_temp_max_f") -> DataF
     )
 
 
+def lookup_report(requested: DataFrame, received: DataFrame, key: str = "id", received_key: str = "brewery_id") -> DataFrame:
+    """One row: requested rows that got a record (succeeded) and that did not
+    (failed). Received keys are reduced to distinct values map-side first;
+    null request keys count as failed."""
+    got = received.select(F.col(received_key).alias("_k")).filter(F.col("_k").isNotNull()).distinct()
+    from placeframe.operators.joins import join_spreading_null_keys
+
+    flagged = join_spreading_null_keys(
+        requested.select(F.col(key).alias("_k")),
+        got.withColumn("_hit", F.lit(True)),
+        "_k",
+        "left",
+    )
+    hit = F.coalesce(F.col("_hit"), F.lit(False))
+    return flagged.agg(count_where(hit).alias("succeeded"), count_where(~hit).alias("failed"))
+
+
 def geocode_coverage(raw: DataFrame, cond: Column) -> DataFrame:
     """One pass: rows meeting and failing a predicate (null counts as failing)."""
     hit = F.coalesce(cond, F.lit(False))
@@ -86,6 +103,9 @@ def latest_per_key(df: DataFrame, key: str, order: str | Column) -> DataFrame:
     task as a group of raw rows."""
     cols = df.columns
     order_col = F.col(order) if isinstance(order, str) else order
+    # ties on ``order`` are broken by a hash of the whole row, so a retried
+    # task picks the same row (max_by alone may pick either)
+    rank = F.struct(order_col.alias("o"), F.xxhash64(*[F.col(c) for c in cols]).alias("h"))
     keyed = df.filter(F.col(key).isNotNull())
-    best = keyed.groupBy(key).agg(F.max_by(F.struct(*cols), order_col).alias("_r"))
+    best = keyed.groupBy(key).agg(F.max_by(F.struct(*cols), rank).alias("_r"))
     return best.select("_r.*").unionByName(df.filter(F.col(key).isNull()))

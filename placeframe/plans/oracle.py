@@ -204,7 +204,7 @@ FROM ev""",
     "preview": with_ctes(
         """
 SELECT brewery_id, name, state, brewery_type, avg_temp_max_f, climate_zone FROM enr
-ORDER BY name ASC NULLS LAST, state ASC NULLS LAST LIMIT 10""",
+ORDER BY name ASC NULLS LAST, state ASC NULLS LAST, brewery_id ASC NULLS LAST LIMIT 10""",
         "enr",
     ),
     # 2.3 projections
@@ -264,6 +264,14 @@ FROM win w JOIN geo g ON w.loc_id = g.id""",
         "geo",
         "wx",
     ),
+    "lookup_report": with_ctes(
+        """
+SELECT count(*) FILTER (WHERE EXISTS (SELECT 1 FROM wx WHERE wx.brewery_id = g.id)) AS succeeded,
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM wx WHERE wx.brewery_id = g.id)) AS failed
+FROM geo g""",
+        "geo",
+        "wx",
+    ),
     # 2.6 aggregations
     "join_coverage": with_ctes(
         "SELECT count(*) AS total_rows, count(avg_temp_max_f) AS with_weather FROM enr", "enr"

@@ -167,7 +167,8 @@ def q_sink_dated_json(spark, sf_dir):
 
 def q_publish_raw_zone(spark, sf_dir):
     src = _land_events(spark, sf_dir)
-    return wr.publish_zone(spark, src, fresh_dir(spark, "published"), EVENT_RECORD, DATED)
+    report = wr.publish_zone(spark, src, fresh_dir(spark, "published"), EVENT_RECORD, DATED)
+    return wr.assert_published(report)
 
 
 def q_materialize_model(spark, sf_dir):
@@ -186,7 +187,7 @@ def build_marts_from_stg(stg: DataFrame) -> DataFrame:
 
 def q_preview(spark, sf_dir):
     cols = ["brewery_id", "name", "state", "brewery_type", "avg_temp_max_f", "climate_zone"]
-    return wr.preview(_enr(spark, sf_dir), cols, ["name", "state"], PREVIEW_ROWS)
+    return wr.preview(_enr(spark, sf_dir), cols, ["name", "state", "brewery_id"], PREVIEW_ROWS)
 
 
 # ---- 2.3 projections --------------------------------------------------------
@@ -284,6 +285,12 @@ def q_missing_weather(spark, sf_dir):
     return jn.missing_weather(geo, si.weather_records(spark, sf_dir, raw)).select("id", "name", "state")
 
 
+def q_lookup_report(spark, sf_dir):
+    raw = si.raw_locations(spark, sf_dir)
+    geo = si.geocoded_locations(spark, sf_dir, raw)
+    return agg.lookup_report(geo, si.weather_records(spark, sf_dir, raw))
+
+
 # ---- 2.6 aggregations -------------------------------------------------------
 
 def q_join_coverage(spark, sf_dir):
@@ -495,6 +502,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trailing_window": q_trailing_window,
     "left_join_weather": q_left_join_weather,
     "missing_weather": q_missing_weather,
+    "lookup_report": q_lookup_report,
     "stage_counts": q_stage_counts,
     "geocode_coverage": q_geocode_coverage,
     "top_groups": q_top_groups,

@@ -1,4 +1,5 @@
 from placeframe.sinks.writers import (  # noqa: F401
+    assert_published,
     encode_json_lines,
     files_per_partition,
     land_dated_json,

@@ -74,6 +74,19 @@ def publish_zone(
     return s.join(t, list(parts), "full")
 
 
+def assert_published(report: DataFrame, sample: int = 20) -> DataFrame:
+    """Fail when any partition's target count differs from its source count
+    (or exists on one side only). Only a bounded sample of the mismatching
+    partitions is brought to the driver, for the error message."""
+    bad = report.filter(
+        F.col("source_rows").isNull() | F.col("target_rows").isNull() | (F.col("source_rows") != F.col("target_rows"))
+    )
+    rows = bad.limit(sample).collect()
+    if rows:
+        raise RuntimeError(f"{len(rows)}+ partition(s) not published intact, e.g. {[r.asDict() for r in rows[:3]]}")
+    return report
+
+
 def materialize(df: DataFrame, name: str, kind: str = "view", path: str | None = None) -> DataFrame:
     """view -> temp view (inlined by the optimizer); table -> written table
     (at ``path`` when given, e.g. the shared folder), returned as a scan."""

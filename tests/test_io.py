@@ -47,3 +47,24 @@ def test_json_lines_skip_blank(spark, local_dir):
         fh.write('{"id":"1","name":"A"}\n   \n\n{"id":"2"}\n')
     got = sorted(r.id for r in read_json_lines(spark, p, RAW_LOCATION).collect())
     assert got == ["1", "2"]
+
+
+def test_assert_published_raises_on_mismatch(spark):
+    import pytest
+
+    from placeframe.sinks import assert_published
+
+    ok = spark.createDataFrame([("2024", 3, 3)], "year string, source_rows long, target_rows long")
+    assert assert_published(ok) is ok
+    bad = spark.createDataFrame([("2024", 3, 2), ("2025", 1, None)], "year string, source_rows long, target_rows long")
+    with pytest.raises(RuntimeError):
+        assert_published(bad)
+
+
+def test_lookup_report_counts(spark):
+    from placeframe.operators import lookup_report
+
+    req = spark.createDataFrame([("1",), ("2",), (None,)], "id string")
+    got = spark.createDataFrame([("1",), ("1",), ("9",)], "brewery_id string")
+    r = lookup_report(req, got).first()
+    assert (r.succeeded, r.failed) == (1, 2)
