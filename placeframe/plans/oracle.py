@@ -232,7 +232,7 @@ ORDER BY name ASC NULLS LAST, state ASC NULLS LAST, brewery_id ASC NULLS LAST LI
 SELECT b.brewery_id, b.brewery_name, b.brewery_type, b.brewery_category, b.city, b.state,
        b.latitude, b.longitude, b.climate_zone, b.has_coordinates,
        w.state_avg_temp_max_f, w.state_avg_temp_min_f, w.state_avg_precipitation, w.state_avg_windspeed,
-       w.brewery_count AS breweries_in_state
+       CAST(w.brewery_count AS DOUBLE) AS breweries_in_state
 FROM dim b LEFT JOIN summ w ON b.state = w.state AND b.climate_zone = w.climate_zone""",
         "dim",
         "summ",
@@ -256,7 +256,9 @@ FROM win w JOIN geo g ON w.loc_id = g.id""",
         "SELECT id, name, state FROM raw_b WHERE name IS NOT NULL AND state IS NOT NULL", "raw_b"
     ),
     "filter_geocoded": with_ctes("SELECT id, name, state, latitude, longitude FROM geo", "geo"),
-    "trailing_window": with_ctes("SELECT * FROM win", "win"),
+    "trailing_window": with_ctes(
+        "SELECT loc_id, strftime(obs_date, '%Y-%m-%d') AS obs_date, tmax, tmin, precip, wind, n FROM win", "win"
+    ),
     # 2.5 joins
     "left_join_weather": with_ctes("SELECT * FROM joined", "joined"),
     "missing_weather": with_ctes(
@@ -317,8 +319,8 @@ SELECT round(corr(m, n), 6) AS corr_temp_density, count(*) AS n_groups FROM (
     ),
     "count_over_time": """
 SELECT state, period, n_members,
-       lag(n_members) OVER (PARTITION BY state ORDER BY period) AS prev_members,
-       n_members - lag(n_members) OVER (PARTITION BY state ORDER BY period) AS change
+       CAST(lag(n_members) OVER (PARTITION BY state ORDER BY period) AS DOUBLE) AS prev_members,
+       CAST(n_members - lag(n_members) OVER (PARTITION BY state ORDER BY period) AS DOUBLE) AS change
 FROM (SELECT n_name AS state, strftime(o_orderdate, '%Y') AS period, count(DISTINCT o_custkey) AS n_members
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
       GROUP BY n_name, strftime(o_orderdate, '%Y')) c""".strip(),

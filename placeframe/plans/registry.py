@@ -239,7 +239,10 @@ def q_fact_location_weather(spark, sf_dir):
 
 
 def q_fact_matched_zone(spark, sf_dir):
-    return _marts(spark, sf_dir, grain="matched_zone").fact
+    # the count is null for rows without a matching zone: presented as double
+    # so that null stays null through every client conversion
+    f = _marts(spark, sf_dir, grain="matched_zone").fact
+    return f.withColumn("breweries_in_state", F.col("breweries_in_state").cast("double"))
 
 
 def q_assemble_weather(spark, sf_dir):
@@ -268,7 +271,9 @@ def q_filter_geocoded(spark, sf_dir):
 
 
 def q_trailing_window(spark, sf_dir):
-    return jn.trailing_window(si.daily_observations(spark, sf_dir), "obs_date")
+    # dates are presented as ISO strings (as the raw zone stores them)
+    w = jn.trailing_window(si.daily_observations(spark, sf_dir), "obs_date")
+    return w.withColumn("obs_date", F.date_format("obs_date", "yyyy-MM-dd"))
 
 
 # ---- 2.5 joins --------------------------------------------------------------
@@ -332,7 +337,9 @@ def q_density_correlation(spark, sf_dir):
 
 
 def q_count_over_time(spark, sf_dir):
-    return agg.count_over_time(si.location_orders(spark, sf_dir), "state", "period", "location")
+    c = agg.count_over_time(si.location_orders(spark, sf_dir), "state", "period", "location")
+    # first period has no previous count: nullable counts presented as double
+    return c.withColumns({k: F.col(k).cast("double") for k in ("prev_members", "change")})
 
 
 # ---- 2.7 quality ------------------------------------------------------------
