@@ -66,7 +66,10 @@ def join_spreading_null_keys(
         F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(buckets)) + 1,
     ).otherwise(F.lit(0))
     l = left.withColumn("_null_spread", salt)
-    r = right.withColumn("_null_spread", F.lit(0))
+    # the right side's 0 must not be a literal: the optimizer would turn
+    # "salt = 0" into a join filter and shuffle on ``key`` alone, putting the
+    # null rows back into one partition. pmod(hash, 1) is 0 but not foldable.
+    r = right.withColumn("_null_spread", F.pmod(F.xxhash64(F.col(key)), F.lit(1)))
     return l.join(r, on=[key, "_null_spread"], how=how).drop("_null_spread")
 
 
