@@ -59,3 +59,23 @@ def test_hot_key_aggregates_combine_map_side(spark):
         check_unique(df, "k").explain()
     plan = buf.getvalue()
     assert "partial_count" in plan
+
+
+def test_hot_partition_value_written_by_several_tasks(spark, scratch):
+    from placeframe.sinks import files_per_partition, write_partitioned_parquet
+
+    prev = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        n = 60000
+        df = spark.range(n).repartition(8).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), (F.col("id") % 7).cast("string"))).alias("state"),
+            (F.col("id") * 7919 % 1000003).alias("v"),
+        )
+        write_partitioned_parquet(df, scratch, "state")
+        f = {r.state: (r.n_files, r.n_rows) for r in files_per_partition(spark, scratch, "state").collect()}
+        assert f["hot"][1] == n // 3
+        assert f["hot"][0] > 1  # the hot value was split over several writers
+        assert sum(rows for _, rows in f.values()) == n
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
