@@ -14,25 +14,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from placeframe.constants import ACCEPTED_CATEGORIES, CATEGORY_RULES, DAILY_FIELDS, PREVIEW_ROWS
+from placeframe.constants import (
+    ACCEPTED_CATEGORIES,
+    CATEGORY_RULES,
+    CLIMATE_BANDS,
+    CLIMATE_BELOW,
+    CLIMATE_MISSING,
+    DAILY_FIELDS,
+    PREVIEW_ROWS,
+    STATE_CODE_LENGTH,
+)
 from placeframe.functions.columns import (
     array_mean,
     count_nulls_in,
+    date_part_strings,
     is_truthy_text,
     normalize_text,
     prefix_code,
     safe_cast,
     threshold_ladder,
 )
-from placeframe.constants import CLIMATE_BANDS, CLIMATE_BELOW, CLIMATE_MISSING, STATE_CODE_LENGTH
 from placeframe.operators import aggregates as agg
 from placeframe.operators import clean as cl
 from placeframe.operators import joins as jn
 from placeframe.operators import quality as qa
 from placeframe.plans import standin as si
 from placeframe.plans.pipeline import build_marts, enriched, run_pipeline, stage_counts
-from placeframe.schemas import RAW_LOCATION, with_string_parts
-from placeframe.session import fresh_dir
+from placeframe.schemas import RAW_LOCATION
+from placeframe.operators.marts import dim_locations
+from placeframe.session import fresh_dir, read_table
 from placeframe.sinks import writers as wr
 from placeframe.sources import readers as rd
 
@@ -174,17 +184,12 @@ def q_publish_raw_zone(spark, sf_dir):
 def q_materialize_model(spark, sf_dir):
     m = _marts(spark, sf_dir)
     tag = uuid.uuid4().hex[:12]
+    # staging as a view, the dimension as a table, as the model config says
     stg = wr.materialize(m.stg, f"stg_locations_{tag}", "view")
-    dim = build_marts_from_stg(stg)
+    dim = dim_locations(stg)
     return wr.materialize(dim, f"dim_locations_{tag}", "table", fresh_dir(spark, "dim-table"))
 
 
-def build_marts_from_stg(stg: DataFrame) -> DataFrame:
-    from placeframe.operators.marts import dim_locations
-
-    return dim_locations(stg)
-
-
 def q_preview(spark, sf_dir):
     cols = ["brewery_id", "name", "state", "brewery_type", "avg_temp_max_f", "climate_zone"]
     return wr.preview(_enr(spark, sf_dir), cols, ["name", "state", "brewery_id"], PREVIEW_ROWS)
@@ -432,18 +437,13 @@ def q_array_mean(spark, sf_dir):
 
 
 def q_partition_parts(spark, sf_dir):
-    from placeframe.functions.columns import date_part_strings
-    from placeframe.session import read_table
-
     o = read_table(spark, sf_dir, "orders")
     return o.select("o_orderkey", *date_part_strings("o_orderdate", ("year", "month")))
 
 
 def q_json_encode_lines(spark, sf_dir):
-    from placeframe.session import read_table
-
-    e = read_table(spark, sf_dir, "events")
-    return e.select("event_id", F.to_json(F.struct("event_id", "event_type")).alias("line"))
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    return wr.encode_json_lines(e, ["event_id", "event_type"], keep=["event_id"])
 
 
 # ---- 2.12 composites ----------------------------------------------------------

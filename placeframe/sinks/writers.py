@@ -118,6 +118,7 @@ def preview(df: DataFrame, cols: Sequence[str], order: Sequence[str], n: int = 1
     return df.select(*cols).orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
 
 
-def encode_json_lines(df: DataFrame, cols: Sequence[str], name: str = "line") -> DataFrame:
-    """One JSON object per row (the NDJSON line of the record)."""
-    return df.select(F.to_json(F.struct(*cols)).alias(name))
+def encode_json_lines(df: DataFrame, cols: Sequence[str], name: str = "line", keep: Sequence[str] = ()) -> DataFrame:
+    """One JSON object per row (the NDJSON line of the record), next to the
+    ``keep`` columns."""
+    return df.select(*keep, F.to_json(F.struct(*cols)).alias(name))
