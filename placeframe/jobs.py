@@ -1,8 +1,9 @@
 """Command-line job: transform the raw zone, build the marts, run the
 quality suite. Submit with spark-submit; paths may be any Hadoop URI.
 
-  spark-submit -m placeframe.jobs --raw-locations .../raw/locations \\
-      --raw-weather .../raw/weather --output .../processed --marts .../marts
+  spark-submit --py-files placeframe.zip placeframe/jobs.py \\
+      --raw-locations .../raw/locations --raw-weather .../raw/weather \\
+      --output .../processed --marts .../marts
 
 Stops with a non-zero exit when a quality test fails.
 """
