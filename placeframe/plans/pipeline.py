@@ -96,6 +96,23 @@ def build_marts(enriched_df: DataFrame, grain: str = "state_zone", stage_dir: st
     return Marts(enriched_df, grain, stage_dir)
 
 
+def register_models(marts: Marts, prefix: str = "") -> dict[str, str]:
+    """Expose the models as temp views so SQL written against them runs
+    through spark.sql (views are inlined by the optimizer)."""
+    names = {
+        "stg_locations": marts.stg,
+        "state_weather_summary": marts.summary,
+        "dim_locations": marts.dim,
+        "fact_location_weather": marts.fact,
+    }
+    out = {}
+    for name, df in names.items():
+        view = f"{prefix}{name}"
+        df.createOrReplaceTempView(view)
+        out[name] = view
+    return out
+
+
 def publish_marts(marts: Marts, out_root: str) -> dict[str, DataFrame]:
     """Write the mart tables (dimension and fact) under ``out_root``."""
     return {

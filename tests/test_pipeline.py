@@ -65,3 +65,21 @@ def test_job_end_to_end(spark, capsys):
     # the stand-in has repeated ids in the fact only; every declared test passes
     assert rc == 0, printed
     assert spark.read.parquet(f"{marts}/dim_locations").count() > 0
+
+
+def test_models_as_sql_views(spark):
+    from placeframe.plans.pipeline import register_models
+
+    raw = si.raw_locations(spark, SF_SMALL)
+    m = build_marts(enriched(raw, si.weather_records(spark, SF_SMALL, raw)), stage_dir=fresh_dir(spark, "t-views"))
+    views = register_models(m, prefix="t_")
+    top = spark.sql(
+        f"SELECT state, COUNT(*) AS brewery_count FROM {views['dim_locations']} "
+        "GROUP BY state ORDER BY brewery_count DESC, state LIMIT 10"
+    ).collect()
+    assert 0 < len(top) <= 10
+    joined = spark.sql(
+        f"SELECT count(*) AS n FROM {views['fact_location_weather']} f "
+        f"JOIN {views['state_weather_summary']} s ON f.state = s.state"
+    ).first().n
+    assert joined > 0
