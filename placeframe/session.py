@@ -36,13 +36,24 @@ def build_session(
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - no JVM context handle (e.g. Spark Connect)
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    sc = _context(spark)
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", "") or "")
+    return master.startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -51,15 +62,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names it; only when it is unset (local tests) do we create a
     private one. Never falls back to a machine-local folder on a cluster.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc is not None else None)
     if d:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(d)
         return d
     if not _is_local(spark):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     d = tempfile.mkdtemp(prefix="placeframe-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
+    else:
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
