@@ -18,10 +18,20 @@ def _rebalanced(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
-def write_partitioned_parquet(df: DataFrame, path: str, col: str | Sequence[str] = "state") -> str:
-    """Full (static) overwrite of a Parquet dataset partitioned by ``col``."""
+def write_partitioned_parquet(
+    df: DataFrame,
+    path: str,
+    col: str | Sequence[str] = "state",
+    max_records_per_file: int | None = None,
+) -> str:
+    """Full (static) overwrite of a Parquet dataset partitioned by ``col``.
+    ``max_records_per_file`` additionally caps file size (rows are never
+    dropped; a writer rolls over to a new file)."""
     cols = [col] if isinstance(col, str) else list(col)
-    _rebalanced(df, cols).write.mode("overwrite").partitionBy(*cols).parquet(path)
+    w = _rebalanced(df, cols).write.mode("overwrite").partitionBy(*cols)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", int(max_records_per_file))
+    w.parquet(path)
     return path
 
 

@@ -68,3 +68,30 @@ def test_lookup_report_counts(spark):
     got = spark.createDataFrame([("1",), ("1",), ("9",)], "brewery_id string")
     r = lookup_report(req, got).first()
     assert (r.succeeded, r.failed) == (1, 2)
+
+
+def test_landed_records_are_one_json_object_per_line(spark, scratch):
+    import glob
+    import json
+
+    df = spark.createDataFrame([("a1", "Mesa"), ("a2", "Mesa")], "id string, name string")
+    df.coalesce(1).write.mode("overwrite").json(scratch)
+    lines = [ln for f in glob.glob(scratch.replace("file:", "") + "/*.json") for ln in open(f).read().splitlines()]
+    assert len(lines) == 2
+    assert json.loads(lines[0])["name"] == "Mesa"
+
+
+def test_publish_missing_source_raises(spark, scratch):
+    import pytest
+
+    from placeframe.sinks import publish_zone
+
+    with pytest.raises(Exception):
+        publish_zone(spark, scratch + "/does-not-exist", scratch + "/target", REC, ("year",)).collect()
+
+
+def test_max_records_per_file_rolls_over(spark, scratch):
+    df = spark.range(100).select(F.lit("Ohio").alias("state"), "id")
+    write_partitioned_parquet(df, scratch, "state", max_records_per_file=30)
+    f = {r.state: (r.n_files, r.n_rows) for r in files_per_partition(spark, scratch, "state").collect()}
+    assert f["Ohio"][1] == 100 and f["Ohio"][0] >= 4
