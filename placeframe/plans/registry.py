@@ -121,7 +121,7 @@ def q_scan_ndjson_nested(spark, sf_dir):
 def q_json_decode_lines(spark, sf_dir):
     raw = si.raw_locations(spark, sf_dir)
     lines = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
-    # a whitespace-only line after every record without an id: must be skipped
+    # one whitespace-only line per record without an id: must be skipped
     blanks = raw.filter(F.col("id").isNull()).select(F.lit("   ").alias("value"))
     d = fresh_dir(spark, "json-lines")
     lines.unionByName(blanks).write.mode("overwrite").text(d)
