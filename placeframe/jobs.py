@@ -14,13 +14,11 @@ import argparse
 import json
 import sys
 
-from pyspark.sql.types import StructType
-
-from placeframe.plans.pipeline import build_marts, publish_marts, run_pipeline
+from placeframe.plans.pipeline import build_marts, publish_marts, read_enriched, run_pipeline
 from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
 from placeframe.operators.quality import require_nonempty, run_suite
 from placeframe.session import build_session, fresh_dir
-from placeframe.sources.readers import read_locations, read_partitioned, read_weather
+from placeframe.sources.readers import read_locations, read_weather
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -41,9 +39,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     counts = run_pipeline(locations, weather, a.output, snapshots=a.snapshots)
     print(json.dumps({"stage_counts": counts}, default=str))
 
-    written = spark.read.parquet(a.output)
-    data_schema = StructType([f for f in written.schema.fields if f.name != "state"])
-    enr = read_partitioned(spark, a.output, data_schema, ["state"])
+    enr = read_enriched(spark, a.output)
     marts = build_marts(enr, a.grain, stage_dir=fresh_dir(spark, "marts-stage"))
     tables = publish_marts(marts, a.marts)
     models = {

@@ -132,6 +132,18 @@ def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def read_enriched(spark, path: str, partition_col: str = "state") -> DataFrame:
+    """Scan the enriched output with its partition column kept as a string
+    ("" and values like "01" are not re-typed); data types come from the
+    Parquet footers."""
+    from pyspark.sql.types import StructType
+
+    from placeframe.sources.readers import read_partitioned
+
+    data = StructType([f for f in spark.read.parquet(path).schema.fields if f.name != partition_col])
+    return read_partitioned(spark, path, data, [partition_col])
+
+
 def run_pipeline(raw_locations: DataFrame, raw_weather: DataFrame, output_path: str, snapshots: str = "all") -> dict:
     """Whole enrichment job in one write pass.
 
