@@ -5,6 +5,7 @@ from placeframe.functions.columns import (  # noqa: F401
     date_part_strings,
     is_truthy_text,
     normalize_text,
+    object_key,
     prefix_code,
     safe_cast,
     threshold_ladder,

@@ -96,3 +96,10 @@ def date_part_strings(ts: str | Column, parts: Sequence[str] = ("year", "month",
     """Zero-padded string parts of a date/timestamp, for Hive-style layouts."""
     fmt = {"year": "yyyy", "month": "MM", "day": "dd"}
     return [F.date_format(_col(ts), fmt[p]).alias(p) for p in parts]
+
+
+def object_key(path: str | Column) -> Column:
+    """Key of a file relative to its zone root: the trailing ``k=v/``
+    directories plus the file name, with ``\\`` normalised to ``/``."""
+    rel = F.regexp_replace(_col(path), r"\\", "/")
+    return F.regexp_extract(rel, r"/((?:[^/=]+=[^/]*/)*[^/]+)$", 1)

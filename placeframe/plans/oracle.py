@@ -179,8 +179,8 @@ FROM wx""",
     "external_json_table": with_ctes("SELECT * FROM raw_b", "raw_b"),
     "paged_records": "SELECT event_id // 200 + 1 AS page, event_id, event_type FROM events",
     "file_manifest": with_ctes(
-        "SELECT 'year=' || year || '/month=' || month || '/day=' || day AS partition_key, count(*) AS n_rows "
-        "FROM ev GROUP BY 1",
+        "SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition_key, "
+        "CAST(1 AS BIGINT) AS n_files, true AS non_empty FROM ev",
         "ev",
     ),
     # 2.2 sinks

@@ -149,9 +149,14 @@ def q_paged_records(spark, sf_dir):
 
 
 def q_file_manifest(spark, sf_dir):
+    # listing only: one non-empty file per landed day (the landing is
+    # rebalanced by its partition columns)
     m = rd.file_manifest(spark, _land_events(spark, sf_dir))
     part_dir = F.regexp_replace("key", r"/[^/]+$", "")
-    return m.groupBy(part_dir.alias("partition_key")).agg(F.sum("rows").alias("n_rows"))
+    return m.groupBy(part_dir.alias("partition_key")).agg(
+        F.count(F.lit(1)).alias("n_files"),
+        (F.min("file_size") > 0).alias("non_empty"),
+    )
 
 
 # ---- 2.2 sinks --------------------------------------------------------------

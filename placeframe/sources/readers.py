@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from placeframe.functions.columns import object_key
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER, with_string_parts
 
 
@@ -127,32 +128,32 @@ def paged_records(pages: DataFrame, record_schema: StructType, page_col: str = "
     """Flatten landed page bodies (JSON arrays of records).
 
     Pages are read in ascending order until the first empty page; that page
-    and everything after it are ignored. The stop page is a scalar subquery
-    (min page whose array is empty); each page is exploded independently,
-    so no page order is ever materialised in one task.
+    and everything after it are ignored (a null body counts as empty). The
+    stop page is a scalar subquery (min page whose array length is 0) that
+    only measures array lengths, without decoding records; each page is then
+    decoded and exploded independently, so no page order is materialised in
+    one task.
     """
-    decoded = pages.select(
+    length = F.coalesce(F.json_array_length(F.col(body_col)), F.lit(0))
+    stop = pages.filter(length <= 0).select(F.min(page_col)).scalar()
+    kept = pages.filter(stop.isNull() | (F.col(page_col) < stop))
+    decoded = kept.select(
         F.col(page_col).alias("page"),
         F.from_json(F.col(body_col), ArrayType(record_schema)).alias("_recs"),
     )
-    empty = decoded.filter(F.coalesce(F.size("_recs"), F.lit(0)) <= 0)
-    stop = empty.select(F.min("page")).scalar()
-    kept = decoded.filter(stop.isNull() | (F.col("page") < stop))
-    return kept.select("page", F.explode("_recs").alias("_r")).select("page", "_r.*")
+    return decoded.select("page", F.explode("_recs").alias("_r")).select("page", "_r.*")
 
 
-def file_manifest(spark: SparkSession, root: str, pattern: str = "*.json", fmt: str = "text") -> DataFrame:
-    """Files under ``root`` matching ``pattern`` at any depth, with the
-    object key relative to the root. Returns (file_path, key, file_size, rows)."""
+def file_manifest(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
+    """Files under ``root`` matching ``pattern`` at any depth: a distributed
+    listing (the binaryFile source reads no file content unless asked), with
+    the object key relative to the root (``\\`` normalised to ``/``).
+    Returns (file_path, key, file_size, modified)."""
     df = (
-        spark.read.format(fmt)
+        spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
         .load(root)
-        .select("_metadata.file_path", "_metadata.file_size")
-    )
-    rel = F.regexp_replace(F.col("file_path"), r"\\", "/")
-    key = F.regexp_extract(rel, r"/((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
-    return df.groupBy("file_path", "file_size").agg(F.count(F.lit(1)).alias("rows")).select(
-        "file_path", key.alias("key"), "file_size", "rows"
+        .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
     )
+    return df.select("file_path", object_key("file_path").alias("key"), "file_size", "modified")

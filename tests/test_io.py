@@ -95,3 +95,17 @@ def test_max_records_per_file_rolls_over(spark, scratch):
     write_partitioned_parquet(df, scratch, "state", max_records_per_file=30)
     f = {r.state: (r.n_files, r.n_rows) for r in files_per_partition(spark, scratch, "state").collect()}
     assert f["Ohio"][1] == 100 and f["Ohio"][0] >= 4
+
+
+def test_manifest_key_normalises_backslashes(spark):
+    from placeframe.functions import object_key
+
+    df = spark.createDataFrame(
+        [("file:/root/raw\\year=2024\\month=01\\a.json",), ("s3a://b/raw/zone/year=2024/month=02/b.json",), ("/x/c.json",)],
+        "p string",
+    )
+    assert [r[0] for r in df.select(object_key("p")).collect()] == [
+        "year=2024/month=01/a.json",
+        "year=2024/month=02/b.json",
+        "c.json",
+    ]
