@@ -71,15 +71,6 @@ def latest_snapshot(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.filter(key == latest)
 
 
-def _partition_values(path: str, parts: Sequence[str]) -> tuple[str, ...] | None:
-    found = {}
-    for seg in path.split("/"):
-        k, eq, v = seg.partition("=")
-        if eq and k in parts:
-            found[k] = v
-    return tuple(found[p] for p in parts) if len(found) == len(parts) else None
-
-
 def read_latest_partition(
     spark: SparkSession,
     root: str,
@@ -89,16 +80,27 @@ def read_latest_partition(
 ) -> DataFrame:
     """Read only the greatest (parts...) directory of a Hive-layout zone.
 
-    The choice is made from the file listing the driver builds for planning
-    anyway (file names only, no rows), so only the latest partition's files
-    are scanned. Comparison is on the string values (zero-padded parts).
+    The latest directory is found from a content-free listing (binaryFile
+    without its ``content`` column): partition values are cut from each
+    path and the maximum is aggregated by Spark, so one row reaches the
+    driver and no data file is opened. Comparison is on the string values
+    (zero-padded parts). Only that directory is then scanned.
     """
-    listing = spark.read.format(fmt).schema(with_string_parts(schema, parts)).option("basePath", root).load(root)
-    values = {v for f in listing.inputFiles() if (v := _partition_values(f, parts)) is not None}
-    if not values:
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(root)
+        .select("path")
+    )
+    values = [F.regexp_extract("path", f"/{p}=([^/]*)/", 1).alias(p) for p in parts]
+    present = None
+    for p in parts:
+        c = F.col(p) != F.lit("")
+        present = c if present is None else present & c
+    latest = listing.select(*values).filter(present).agg(F.max(F.struct(*parts)).alias("m")).first()["m"]
+    if latest is None:
         raise FileNotFoundError(f"no partitions under {root}")
-    latest = max(values)
-    sub = "/".join(f"{p}={v}" for p, v in zip(parts, latest))
+    sub = "/".join(f"{p}={latest[p]}" for p in parts)
     return (
         spark.read.format(fmt)
         .schema(with_string_parts(schema, parts))
