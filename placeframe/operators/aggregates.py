@@ -56,14 +56,21 @@ def top_groups(df: DataFrame, key: str, k: int = TOP_K, count_name: str = "brewe
 
 
 def dominant_category(df: DataFrame, group: str, category: str) -> DataFrame:
-    """Most frequent category per group (ties: smallest category value).
+    """Most frequent category per group: (group, category, n); ties go to the
+    smallest category, a null category last.
 
-    Counts are pre-aggregated per (group, category) first, so the window
-    only sees one row per pair; max_by over a packed (count, -rank) key is
-    avoided in favour of a small per-group window."""
+    Both steps are aggregates that combine map-side: counts per (group,
+    category), then min_by over the key (-n, category is null, category).
+    No window sorts a group's categories in one task, however many there are.
+    """
     counts = df.groupBy(group, category).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(group).orderBy(F.col("n").desc(), F.col(category).asc_nulls_last())
-    return counts.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    rank = F.struct(
+        (-F.col("n")).alias("neg_n"),
+        F.col(category).isNull().alias("is_null"),
+        F.col(category).alias("value"),
+    )
+    best = counts.groupBy(group).agg(F.min_by(F.struct(category, "n"), rank).alias("_best"))
+    return best.select(group, "_best.*")
 
 
 def density_correlation(

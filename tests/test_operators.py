@@ -189,3 +189,12 @@ def test_top_groups_and_dominant(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", "x"), (None, "x")], "s string, t string")
     assert [(r.s, r.brewery_count) for r in top_groups(df, "s", 2).collect()] == [("a", 3), ("b", 1)]
     assert sorted((r.s, r.t) for r in dominant_category(df.filter("s is not null"), "s", "t").collect()) == [("a", "y"), ("b", "x")]
+
+
+def test_dominant_category_ties(spark):
+    df = spark.createDataFrame(
+        [("a", "x"), ("a", "x"), ("a", None), ("a", None), ("b", "z"), ("b", "y"), ("c", "w"), ("c", "w"), ("c", "v")],
+        "s string, t string",
+    )
+    got = sorted((r.s, r.t, r.n) for r in dominant_category(df, "s", "t").collect())
+    assert got == [("a", "x", 2), ("b", "y", 1), ("c", "w", 2)]
