@@ -40,7 +40,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     print(json.dumps({"stage_counts": counts}, default=str))
 
     enr = read_enriched(spark, a.output)
-    marts = build_marts(enr, a.grain, stage_dir=fresh_dir(spark, "marts-stage"))
+    # the enriched input is already a written table: stage only the summary
+    marts = build_marts(enr, a.grain, stage_dir=fresh_dir(spark, "marts-stage"), stage=("summary",))
     tables = publish_marts(marts, a.marts)
     models = {
         "stg_locations": marts.stg,

@@ -70,6 +70,8 @@ def run_suite(
     for model, col, values in accepted:
         failing = check_accepted_values(models[model], col, values)
         parts.append(_result(model, col, "accepted_values", failing, F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")))
+    if not parts:
+        raise ValueError("run_suite needs at least one test")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -68,20 +68,29 @@ class Marts:
     its measured size and the large dimension side is never shuffled.
     """
 
-    def __init__(self, enriched_df: DataFrame, grain: str = "state_zone", stage_dir: str | None = None):
+    def __init__(
+        self,
+        enriched_df: DataFrame,
+        grain: str = "state_zone",
+        stage_dir: str | None = None,
+        stage: tuple[str, ...] = ("stg", "summary"),
+    ):
         self._enriched = enriched_df
         self.grain = grain
         self.stage_dir = stage_dir
+        self.stage = stage if stage_dir else ()
 
     @cached_property
     def stg(self) -> DataFrame:
         stg = stg_locations(self._enriched)
-        return write_table(stg, f"{self.stage_dir}/stg_locations") if self.stage_dir else stg
+        return write_table(stg, f"{self.stage_dir}/stg_locations") if "stg" in self.stage else stg
 
     @cached_property
     def summary(self) -> DataFrame:
         summary = state_weather_summary(self.stg)
-        return write_table(summary, f"{self.stage_dir}/state_weather_summary") if self.stage_dir else summary
+        if "summary" in self.stage:
+            return write_table(summary, f"{self.stage_dir}/state_weather_summary")
+        return summary
 
     @cached_property
     def dim(self) -> DataFrame:
@@ -92,8 +101,17 @@ class Marts:
         return fact_location_weather(self.dim, self.summary, self.grain)
 
 
-def build_marts(enriched_df: DataFrame, grain: str = "state_zone", stage_dir: str | None = None) -> Marts:
-    return Marts(enriched_df, grain, stage_dir)
+def build_marts(
+    enriched_df: DataFrame,
+    grain: str = "state_zone",
+    stage_dir: str | None = None,
+    stage: tuple[str, ...] = ("stg", "summary"),
+) -> Marts:
+    """Marts over an enriched table. ``stage`` names the models written to
+    ``stage_dir``: stage "stg" when the enriched input is an expensive plan;
+    when it is already a written table, staging only the (tiny) summary is
+    enough."""
+    return Marts(enriched_df, grain, stage_dir, stage)
 
 
 def register_models(marts: Marts, prefix: str = "") -> dict[str, str]:
