@@ -14,7 +14,7 @@ import argparse
 import json
 import sys
 
-from placeframe.plans.pipeline import build_marts, publish_marts, read_enriched, run_pipeline
+from placeframe.plans.enrichment import build_marts, publish_marts, read_enriched, run_enrichment
 from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
 from placeframe.operators.quality import require_nonempty, run_suite
 from placeframe.session import build_session, fresh_dir
@@ -36,7 +36,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     locations = read_locations(spark, a.raw_locations, base_path=a.raw_locations)
     weather = read_weather(spark, a.raw_weather, base_path=a.raw_weather)
     require_nonempty(locations, "location records")
-    counts = run_pipeline(locations, weather, a.output, snapshots=a.snapshots)
+    counts = run_enrichment(locations, weather, a.output, snapshots=a.snapshots)
     print(json.dumps({"stage_counts": counts}, default=str))
 
     enr = read_enriched(spark, a.output)

@@ -162,7 +162,7 @@ def read_enriched(spark, path: str, partition_col: str = "state") -> DataFrame:
     return read_partitioned(spark, path, data, [partition_col])
 
 
-def run_pipeline(raw_locations: DataFrame, raw_weather: DataFrame, output_path: str, snapshots: str = "all") -> dict:
+def run_enrichment(raw_locations: DataFrame, raw_weather: DataFrame, output_path: str, snapshots: str = "all") -> dict:
     """Whole enrichment job in one write pass.
 
     Stage counts are gathered with ``observe`` while the write runs, so the

@@ -410,5 +410,5 @@ WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'O' AND CAST(o.o_cu
     "json_encode_lines": "SELECT event_id, CAST(to_json({'event_id': event_id, 'event_type': event_type}) AS VARCHAR) AS line FROM events",
     # 2.12 composites
     "enrich": with_ctes(ENR_ALL, "enr"),
-    "pipeline_enriched": with_ctes(ENR_ALL, "enr"),
+    "enrichment_job": with_ctes(ENR_ALL, "enr"),
 }

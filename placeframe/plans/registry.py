@@ -39,7 +39,7 @@ from placeframe.operators import clean as cl
 from placeframe.operators import joins as jn
 from placeframe.operators import quality as qa
 from placeframe.plans import standin as si
-from placeframe.plans.pipeline import build_marts, enriched, run_pipeline, stage_counts
+from placeframe.plans.enrichment import build_marts, enriched, run_enrichment, stage_counts
 from placeframe.schemas import RAW_LOCATION
 from placeframe.operators.marts import dim_locations
 from placeframe.session import fresh_dir, read_table
@@ -457,7 +457,7 @@ def q_enrich(spark, sf_dir):
     return _enr(spark, sf_dir)
 
 
-def q_pipeline_enriched(spark, sf_dir):
+def q_enrichment_job(spark, sf_dir):
     """Whole job: land raw NDJSON under year=/month=, read it back through
     the typed readers, clean, join, enrich, write by state, read back."""
     year, month = si.run_month(spark, sf_dir)
@@ -469,7 +469,7 @@ def q_pipeline_enriched(spark, sf_dir):
     wr.land_dated_json(raw, loc_root, ("year", "month"))
     wr.land_dated_json(wx, wx_root, ("year", "month"))
     out = fresh_dir(spark, "enriched-output")
-    run_pipeline(
+    run_enrichment(
         rd.read_locations(spark, f"{loc_root}/year=*/month=*/*.json"),
         rd.read_weather(spark, f"{wx_root}/year=*/month=*/*.json"),
         out,
@@ -530,5 +530,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_parts": q_partition_parts,
     "json_encode_lines": q_json_encode_lines,
     "enrich": q_enrich,
-    "pipeline_enriched": q_pipeline_enriched,
+    "enrichment_job": q_enrichment_job,
 }

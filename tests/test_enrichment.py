@@ -4,21 +4,21 @@ from pyspark.sql.types import StructType
 
 from placeframe.operators import run_suite
 from placeframe.plans import standin as si
-from placeframe.plans.pipeline import build_marts, enriched, publish_marts, run_pipeline
+from placeframe.plans.enrichment import build_marts, enriched, publish_marts, run_enrichment
 from placeframe.session import fresh_dir
 from placeframe.sinks import land_dated_json
 from placeframe.sources import read_locations, read_partitioned, read_weather
 from tests.conftest import SF_SMALL
 
 
-def test_run_pipeline_observes_counts_in_one_pass(spark):
+def test_run_enrichment_observes_counts_in_one_pass(spark):
     raw = si.raw_locations(spark, SF_SMALL)
     wx = si.weather_records(spark, SF_SMALL, raw)
     year, month = si.run_month(spark, SF_SMALL)
     loc_root, wx_root, out = (fresh_dir(spark, t) for t in ("t-loc", "t-wx", "t-out"))
     land_dated_json(raw.withColumns({"year": year, "month": month}), loc_root, ("year", "month"))
     land_dated_json(wx.withColumns({"year": year, "month": month}), wx_root, ("year", "month"))
-    counts = run_pipeline(
+    counts = run_enrichment(
         read_locations(spark, f"{loc_root}/year=*/month=*/*.json"),
         read_weather(spark, f"{wx_root}/year=*/month=*/*.json"),
         out,
@@ -68,7 +68,7 @@ def test_job_end_to_end(spark, capsys):
 
 
 def test_models_as_sql_views(spark):
-    from placeframe.plans.pipeline import register_models
+    from placeframe.plans.enrichment import register_models
 
     raw = si.raw_locations(spark, SF_SMALL)
     m = build_marts(enriched(raw, si.weather_records(spark, SF_SMALL, raw)), stage_dir=fresh_dir(spark, "t-views"))

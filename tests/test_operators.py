@@ -21,7 +21,7 @@ from placeframe.operators import (
     trailing_window,
 )
 from placeframe.operators.joins import assemble_weather
-from placeframe.plans.pipeline import build_marts, enriched
+from placeframe.plans.enrichment import build_marts, enriched
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 
 import pytest
