@@ -1,7 +1,7 @@
 import os
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from placeframe.sinks import files_per_partition, land_dated_json, write_partitioned_parquet
 from placeframe.sources import file_manifest, latest_snapshot, paged_records, read_json_lines, read_latest_partition, read_partitioned

@@ -4,7 +4,6 @@ fact join broadcasts the written summary."""
 import io
 from contextlib import redirect_stdout
 
-from pyspark.sql import functions as F
 
 from placeframe.plans.registry import QUERIES
 from placeframe.operators import clean_locations
