@@ -116,14 +116,15 @@ def create_external_json_table(
     schema: StructType,
     location: str,
 ) -> DataFrame:
-    """CREATE DATABASE / CREATE TABLE IF NOT EXISTS ... USING json LOCATION."""
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({cols}) USING json "
-        f"LOCATION '{location}'"
-    )
-    return spark.table(f"`{database}`.`{table}`")
+    """CREATE DATABASE IF NOT EXISTS, then an external JSON table over
+    ``location`` with a declared schema (created only if absent). Uses the
+    catalog API, so paths need no SQL quoting."""
+    name = f"{database}.{table}"
+    if not spark.catalog.databaseExists(database):
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=location, source="json", schema=schema)
+    return spark.table(name)
 
 
 def paged_records(pages: DataFrame, record_schema: StructType, page_col: str = "page", body_col: str = "body") -> DataFrame:

@@ -109,3 +109,17 @@ def test_manifest_key_normalises_backslashes(spark):
         "year=2024/month=02/b.json",
         "c.json",
     ]
+
+
+def test_external_json_table_over_quoted_path(spark, scratch):
+    import uuid
+
+    from placeframe.sources import create_external_json_table
+
+    path = scratch + "/it's raw"
+    spark.createDataFrame([("1", "A")], "id string, name string").write.json(path)
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    t = create_external_json_table(spark, "placeframe_test", name, RAW_LOCATION, path)
+    assert [(r.id, r.name, r.state) for r in t.collect()] == [("1", "A", None)]
+    # idempotent: a second call reuses the table
+    assert create_external_json_table(spark, "placeframe_test", name, RAW_LOCATION, path).count() == 1
