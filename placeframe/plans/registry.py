@@ -42,7 +42,7 @@ from placeframe.plans import standin as si
 from placeframe.plans.enrichment import build_marts, enriched, run_enrichment, stage_counts
 from placeframe.schemas import RAW_LOCATION
 from placeframe.operators.marts import dim_locations
-from placeframe.session import fresh_dir, read_table
+from placeframe.session import fresh_dir, read_table, shared_root
 from placeframe.sinks import writers as wr
 from placeframe.sources import readers as rd
 
@@ -141,7 +141,8 @@ def q_snapshot_latest(spark, sf_dir):
 def q_external_json_table(spark, sf_dir):
     d = _land_raw_locations(spark, sf_dir)
     name = f"raw_locations_{uuid.uuid4().hex[:12]}"
-    return rd.create_external_json_table(spark, "placeframe_raw", name, RAW_LOCATION, d)
+    db_dir = f"{shared_root(spark)}/placeframe/warehouse/placeframe_raw.db"
+    return rd.create_external_json_table(spark, "placeframe_raw", name, RAW_LOCATION, d, db_dir)
 
 
 def q_paged_records(spark, sf_dir):

@@ -115,13 +115,20 @@ def create_external_json_table(
     table: str,
     schema: StructType,
     location: str,
+    database_location: str | None = None,
 ) -> DataFrame:
-    """CREATE DATABASE IF NOT EXISTS, then an external JSON table over
-    ``location`` with a declared schema (created only if absent). Uses the
-    catalog API, so paths need no SQL quoting."""
+    """CREATE DATABASE IF NOT EXISTS (at ``database_location`` when given,
+    e.g. in the shared folder rather than a local warehouse), then an
+    external JSON table over ``location`` with a declared schema (created
+    only if absent). The table goes through the catalog API, so its path
+    needs no SQL quoting."""
     name = f"{database}.{table}"
     if not spark.catalog.databaseExists(database):
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        where = ""
+        if database_location:
+            escaped = database_location.replace("\\", "\\\\").replace("'", "\\'")
+            where = f" LOCATION '{escaped}'"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=location, source="json", schema=schema)
     return spark.table(name)

@@ -119,7 +119,8 @@ def test_external_json_table_over_quoted_path(spark, scratch):
     path = scratch + "/it's raw"
     spark.createDataFrame([("1", "A")], "id string, name string").write.json(path)
     name = f"t_{uuid.uuid4().hex[:8]}"
-    t = create_external_json_table(spark, "placeframe_test", name, RAW_LOCATION, path)
+    t = create_external_json_table(spark, "placeframe_test2", name, RAW_LOCATION, path, scratch + "/db's")
     assert [(r.id, r.name, r.state) for r in t.collect()] == [("1", "A", None)]
     # idempotent: a second call reuses the table
-    assert create_external_json_table(spark, "placeframe_test", name, RAW_LOCATION, path).count() == 1
+    assert create_external_json_table(spark, "placeframe_test2", name, RAW_LOCATION, path).count() == 1
+    assert "db's" in spark.sql("DESCRIBE DATABASE placeframe_test2").filter("info_name = 'Location'").first()["info_value"]
