@@ -379,7 +379,7 @@ SELECT model, column_name, test, failures, CASE WHEN failures = 0 THEN 'pass' EL
   UNION ALL SELECT 'dim_locations', 'brewery_id', 'unique',
          (SELECT count(*) FROM (SELECT brewery_id FROM dim WHERE brewery_id IS NOT NULL GROUP BY brewery_id HAVING count(*) > 1))
   UNION ALL SELECT 'dim_locations', 'brewery_category', 'accepted_values',
-         (SELECT count(*) FROM dim WHERE brewery_category NOT IN ('craft', 'commercial', 'taproom', 'other'))
+         (SELECT count(DISTINCT brewery_category) FROM dim WHERE brewery_category NOT IN ('craft', 'commercial', 'taproom', 'other'))
 ) t""",
         "stg",
         "summ",
