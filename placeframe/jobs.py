@@ -29,6 +29,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     ap.add_argument("--marts", required=True, help="folder for the mart tables")
     ap.add_argument("--snapshots", choices=("all", "latest"), default="all")
     ap.add_argument("--grain", choices=("state_zone", "matched_zone"), default="state_zone")
+    ap.add_argument(
+        "--no-raw-counts",
+        action="store_true",
+        help="skip raw row counts so cleaning filters are pushed into the JSON scan",
+    )
     a = ap.parse_args(argv)
 
     own = spark is None
@@ -36,7 +41,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     locations = read_locations(spark, a.raw_locations, base_path=a.raw_locations)
     weather = read_weather(spark, a.raw_weather, base_path=a.raw_weather)
     require_nonempty(locations, "location records")
-    counts = run_enrichment(locations, weather, a.output, snapshots=a.snapshots)
+    counts = run_enrichment(locations, weather, a.output, snapshots=a.snapshots, count_raw=not a.no_raw_counts)
     print(json.dumps({"stage_counts": counts}, default=str))
 
     enr = read_enriched(spark, a.output)

@@ -162,15 +162,29 @@ def read_enriched(spark, path: str, partition_col: str = "state") -> DataFrame:
     return read_partitioned(spark, path, data, [partition_col])
 
 
-def run_enrichment(raw_locations: DataFrame, raw_weather: DataFrame, output_path: str, snapshots: str = "all") -> dict:
+def run_enrichment(
+    raw_locations: DataFrame,
+    raw_weather: DataFrame,
+    output_path: str,
+    snapshots: str = "all",
+    count_raw: bool = True,
+) -> dict:
     """Whole enrichment job in one write pass.
 
     Stage counts are gathered with ``observe`` while the write runs, so the
-    raw inputs are scanned once (no count() actions, no cache)."""
-    obs = {k: Observation(k) for k in ("raw_locations", "clean_locations", "raw_weather", "clean_weather", "joined")}
+    raw inputs are scanned once (no count() actions, no cache). Counting raw
+    rows needs every row, so that metric sits under the cleaning filters and
+    keeps them out of the JSON scan; ``count_raw=False`` drops the two raw
+    counts and lets the filters reach the reader."""
+    names = ["clean_locations", "clean_weather", "joined"]
+    if count_raw:
+        names = ["raw_locations", "raw_weather", *names]
+    obs = {k: Observation(k) for k in names}
     one = F.count(F.lit(1)).alias("n")
-    rl = raw_locations.observe(obs["raw_locations"], one)
-    rw = raw_weather.observe(obs["raw_weather"], one)
+    rl, rw = raw_locations, raw_weather
+    if count_raw:
+        rl = rl.observe(obs["raw_locations"], one)
+        rw = rw.observe(obs["raw_weather"], one)
     if snapshots == "latest":
         rl = latest_locations(rl)
     elif any(p in rl.columns for p in SNAPSHOT_PARTS):

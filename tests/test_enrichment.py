@@ -83,3 +83,22 @@ def test_models_as_sql_views(spark):
         f"JOIN {views['state_weather_summary']} s ON f.state = s.state"
     ).first().n
     assert joined > 0
+
+
+def test_run_enrichment_without_raw_counts_pushes_filters(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    from placeframe.operators import clean_locations
+
+    raw = si.raw_locations(spark, SF_SMALL)
+    wx = si.weather_records(spark, SF_SMALL, raw)
+    loc_root, wx_root, out = (fresh_dir(spark, t) for t in ("n-loc", "n-wx", "n-out"))
+    raw.write.json(loc_root)
+    wx.write.json(wx_root)
+    counts = run_enrichment(read_locations(spark, loc_root), read_weather(spark, wx_root), out, count_raw=False)
+    assert "raw_locations" not in counts and counts["joined"]["n"] == enriched(raw, wx).count()
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        clean_locations(read_locations(spark, loc_root)).explain("formatted")
+    assert "PushedFilters: [" in buf.getvalue() and "IsNotNull(name)" in buf.getvalue()
