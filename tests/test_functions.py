@@ -72,3 +72,12 @@ def test_nan_is_not_null(spark):
     df = spark.createDataFrame([(float("nan"),)], "t double")
     v = df.select(F.col("t")).first()[0]
     assert math.isnan(v)
+
+
+def test_date_part_strings_zero_padded(spark):
+    import datetime as dt
+
+    from placeframe.functions import date_part_strings
+
+    df = spark.createDataFrame([(dt.date(2024, 3, 5),)], "d date")
+    assert tuple(df.select(*date_part_strings("d")).first()) == ("2024", "03", "05")

@@ -197,3 +197,32 @@ def test_dominant_category_ties(spark):
     )
     got = sorted((r.s, r.t, r.n) for r in dominant_category(df, "s", "t").collect())
     assert got == [("a", "x", 2), ("b", "y", 1), ("c", "w", 2)]
+
+
+def test_count_over_time_lag_and_change(spark):
+    from placeframe.operators import count_over_time
+
+    rows = [("a", "2020", 1), ("a", "2020", 1), ("a", "2020", 2), ("a", "2021", 1), ("b", "2021", 5)]
+    df = spark.createDataFrame(rows, "s string, p string, m int")
+    got = sorted((r.s, r.p, r.n_members, r.prev_members, r.change) for r in count_over_time(df, "s", "p", "m").collect())
+    assert got == [("a", "2020", 2, None, None), ("a", "2021", 1, 2, -1), ("b", "2021", 1, None, None)]
+
+
+def test_density_correlation_perfect(spark):
+    from pyspark.sql import functions as F
+
+    from placeframe.operators import density_correlation
+
+    # group g_k has k craft rows and mean measure 10*k: correlation 1
+    rows = [(f"g{k}", 10.0 * k, "micro") for k in range(1, 5) for _ in range(k)]
+    df = spark.createDataFrame(rows, "s string, t double, ty string")
+    r = density_correlation(df, "s", "t", F.col("ty").isin("micro")).first()
+    assert r.corr_temp_density == 1.0 and r.n_groups == 4
+
+
+def test_join_coverage_counts(spark):
+    from placeframe.operators import join_coverage
+
+    df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "avg_temp_max_f double")
+    r = join_coverage(df).first()
+    assert (r.total_rows, r.with_weather) == (3, 2)
