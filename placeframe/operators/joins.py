@@ -58,8 +58,13 @@ def join_spreading_null_keys(
     for null-key left rows. ``buckets`` defaults to the session's shuffle
     width, so the null rows are spread over every reducer. Results are
     unchanged; a retried task recomputes the same buckets. Skew on a real
-    key is left to AQE's skew-join split.
+    key is left to AQE's skew-join split. Cost: both sides are partitioned
+    on (key, salt), so a right side already hash-partitioned on ``key``
+    alone is shuffled once more; when the left key column is declared
+    non-nullable no salt is added and existing partitioning is reused.
     """
+    if not left.schema[key].nullable:
+        return left.join(right, on=key, how=how)
     buckets = buckets or _shuffle_width(left)
     salt = F.when(
         F.col(key).isNull(),
