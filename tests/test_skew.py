@@ -79,3 +79,17 @@ def test_hot_partition_value_written_by_several_tasks(spark, scratch):
         assert sum(rows for _, rows in f.values()) == n
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", prev)
+
+
+def test_no_salt_for_non_nullable_key(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    left = spark.range(10).select(F.col("id").alias("k"))  # id is never null
+    right = spark.range(5).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+    out = join_spreading_null_keys(left, right, "k", "left")
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        out.explain()
+    assert "_null_spread" not in buf.getvalue()
+    assert out.count() == 10
