@@ -1,11 +1,20 @@
-"""Command-line job: transform the raw zone, build the marts, run the
-quality suite. Submit with spark-submit; paths may be any Hadoop URI.
+"""Command-line jobs. Submit with spark-submit; paths may be any Hadoop URI.
+
+transform (default): transform the raw zone, build the marts, run the
+quality suite; exits non-zero when a quality test fails.
 
   spark-submit --py-files placeframe.zip placeframe/jobs.py \\
       --raw-locations .../raw/locations --raw-weather .../raw/weather \\
       --output .../processed --marts .../marts
 
-Stops with a non-zero exit when a quality test fails.
+assemble: weather records for the latest location snapshot from a daily
+observation table (loc_id, obs_date, tmax, tmin, precip, wind), for the
+trailing window ending at --as-of (default: latest date), landed as NDJSON
+under year=/month= of the window end; exits non-zero when none is found.
+
+  spark-submit --py-files placeframe.zip placeframe/jobs.py assemble \\
+      --raw-locations .../raw/locations --daily .../daily_obs \\
+      --raw-weather .../raw/weather [--as-of 2024-01-31]
 """
 
 from __future__ import annotations
@@ -14,15 +23,69 @@ import argparse
 import json
 import sys
 
-from placeframe.plans.enrichment import build_marts, publish_marts, read_enriched, run_enrichment
-from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
+from pyspark.sql import functions as F
+
+from placeframe.operators.aggregates import lookup_report
+from placeframe.operators.clean import filter_geocoded
+from placeframe.operators.joins import assemble_weather
 from placeframe.operators.quality import require_nonempty, run_suite
+from placeframe.plans.enrichment import (
+    SNAPSHOT_PARTS,
+    build_marts,
+    publish_marts,
+    read_enriched,
+    run_enrichment,
+)
+from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
+from placeframe.schemas import RAW_LOCATION
 from placeframe.session import build_session, fresh_dir
-from placeframe.sources.readers import read_locations, read_weather
+from placeframe.sinks.writers import land_dated_json
+from placeframe.sources.readers import read_latest_partition, read_locations, read_weather
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
-    ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
+    argv = list(sys.argv[1:] if argv is None else argv)
+    if argv and argv[0] == "assemble":
+        return assemble(argv[1:], spark)
+    if argv and argv[0] == "transform":
+        argv = argv[1:]
+    return transform(argv, spark)
+
+
+def assemble(argv: list[str], spark=None) -> int:
+    ap = argparse.ArgumentParser(prog="placeframe.jobs assemble")
+    ap.add_argument("--raw-locations", required=True, help="root of year=/month= location NDJSON")
+    ap.add_argument("--daily", required=True, help="Parquet daily observations")
+    ap.add_argument("--raw-weather", required=True, help="root to land year=/month= weather NDJSON")
+    ap.add_argument("--as-of", default=None, help="window end date (default: latest observation date)")
+    a = ap.parse_args(argv)
+
+    own = spark is None
+    spark = spark or build_session(app_name="placeframe-assemble")
+    locations = read_latest_partition(spark, a.raw_locations, RAW_LOCATION, SNAPSHOT_PARTS).drop(*SNAPSHOT_PARTS)
+    geocoded = filter_geocoded(locations)
+    daily = spark.read.parquet(a.daily)
+    weather = assemble_weather(daily, geocoded, as_of=a.as_of)
+    report = lookup_report(geocoded, weather).first()
+    print(json.dumps({"succeeded": report["succeeded"], "failed": report["failed"]}))
+    if report["succeeded"] == 0:
+        print(json.dumps({"error": "no weather records assembled"}))
+        if own:
+            spark.stop()
+        return 1
+    end = F.to_date("fetch_date")
+    land_dated_json(
+        weather.withColumns({"year": F.date_format(end, "yyyy"), "month": F.date_format(end, "MM")}),
+        a.raw_weather,
+        SNAPSHOT_PARTS,
+    )
+    if own:
+        spark.stop()
+    return 0
+
+
+def transform(argv: list[str], spark=None) -> int:
+    ap = argparse.ArgumentParser(prog="placeframe.jobs transform")
     ap.add_argument("--raw-locations", required=True, help="root of year=/month= location NDJSON")
     ap.add_argument("--raw-weather", required=True, help="root of year=/month= weather NDJSON")
     ap.add_argument("--output", required=True, help="enriched Parquet, partitioned by state")

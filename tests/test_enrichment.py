@@ -102,3 +102,24 @@ def test_run_enrichment_without_raw_counts_pushes_filters(spark):
     with redirect_stdout(buf):
         clean_locations(read_locations(spark, loc_root)).explain("formatted")
     assert "PushedFilters: [" in buf.getvalue() and "IsNotNull(name)" in buf.getvalue()
+
+
+def test_assemble_then_transform_jobs(spark, capsys):
+    from placeframe import jobs
+
+    raw = si.raw_locations(spark, SF_SMALL)
+    daily = si.daily_observations(spark, SF_SMALL)
+    year, month = si.run_month(spark, SF_SMALL)
+    loc_root, daily_dir, wx_root, out, marts = (fresh_dir(spark, t) for t in ("a-loc", "a-daily", "a-wx", "a-out", "a-marts"))
+    land_dated_json(raw.withColumns({"year": year, "month": month}), loc_root, ("year", "month"))
+    daily.write.parquet(daily_dir)
+    rc = jobs.main(["assemble", "--raw-locations", loc_root, "--daily", daily_dir, "--raw-weather", wx_root], spark=spark)
+    printed = capsys.readouterr().out
+    assert rc == 0, printed
+    expected = si.weather_records(spark, SF_SMALL, raw)
+    assert f'"succeeded": {expected.count()}' in printed
+    landed = read_weather(spark, f"{wx_root}/year=*/month=*/*.json")
+    assert landed.count() == expected.count()
+    rc = jobs.main(["transform", "--raw-locations", loc_root, "--raw-weather", wx_root, "--output", out, "--marts", marts], spark=spark)
+    assert rc == 0
+    assert spark.read.parquet(out).count() == enriched(raw, expected).count()
