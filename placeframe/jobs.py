@@ -15,6 +15,13 @@ under year=/month= of the window end; exits non-zero when none is found.
   spark-submit --py-files placeframe.zip placeframe/jobs.py assemble \\
       --raw-locations .../raw/locations --daily .../daily_obs \\
       --raw-weather .../raw/weather [--as-of 2024-01-31]
+
+publish: copy both raw zones to <target>/locations and <target>/weather with
+their year=/month= layout and verify per-partition row counts; exits non-zero
+on any mismatch.
+
+  spark-submit --py-files placeframe.zip placeframe/jobs.py publish \\
+      --raw-locations .../raw/locations --raw-weather .../raw/weather --target s3a://bucket/raw
 """
 
 from __future__ import annotations
@@ -37,9 +44,9 @@ from placeframe.plans.enrichment import (
     run_enrichment,
 )
 from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
-from placeframe.schemas import RAW_LOCATION
+from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 from placeframe.session import build_session, fresh_dir
-from placeframe.sinks.writers import land_dated_json
+from placeframe.sinks.writers import assert_published, land_dated_json, publish_zone
 from placeframe.sources.readers import read_latest_partition, read_locations, read_weather
 
 
@@ -47,6 +54,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     argv = list(sys.argv[1:] if argv is None else argv)
     if argv and argv[0] == "assemble":
         return assemble(argv[1:], spark)
+    if argv and argv[0] == "publish":
+        return publish(argv[1:], spark)
     if argv and argv[0] == "transform":
         argv = argv[1:]
     return transform(argv, spark)
@@ -84,6 +93,32 @@ def assemble(argv: list[str], spark=None) -> int:
     return 0
 
 
+def publish(argv: list[str], spark=None) -> int:
+    ap = argparse.ArgumentParser(prog="placeframe.jobs publish")
+    ap.add_argument("--raw-locations", required=True, help="root of year=/month= location NDJSON")
+    ap.add_argument("--raw-weather", required=True, help="root of year=/month= weather NDJSON")
+    ap.add_argument("--target", required=True, help="target root (keeps each zone's layout)")
+    a = ap.parse_args(argv)
+
+    own = spark is None
+    spark = spark or build_session(app_name="placeframe-publish")
+    target = a.target.rstrip("/")
+    zones = {"locations": (a.raw_locations, RAW_LOCATION), "weather": (a.raw_weather, RAW_WEATHER)}
+    failed = []
+    for name, (src, schema) in zones.items():
+        report = publish_zone(spark, src, f"{target}/{name}", schema, SNAPSHOT_PARTS)
+        try:
+            assert_published(report)
+            totals = report.agg(F.count(F.lit(1)).alias("partitions"), F.sum("target_rows").alias("rows")).first()
+            print(json.dumps({"zone": name, "partitions": totals["partitions"], "rows": totals["rows"]}))
+        except RuntimeError as e:
+            failed.append(name)
+            print(json.dumps({"zone": name, "error": str(e)}))
+    if own:
+        spark.stop()
+    return 1 if failed else 0
+
+
 def transform(argv: list[str], spark=None) -> int:
     ap = argparse.ArgumentParser(prog="placeframe.jobs transform")
     ap.add_argument("--raw-locations", required=True, help="root of year=/month= location NDJSON")

@@ -123,3 +123,19 @@ def test_assemble_then_transform_jobs(spark, capsys):
     rc = jobs.main(["transform", "--raw-locations", loc_root, "--raw-weather", wx_root, "--output", out, "--marts", marts], spark=spark)
     assert rc == 0
     assert spark.read.parquet(out).count() == enriched(raw, expected).count()
+
+
+def test_publish_job(spark, capsys):
+    from placeframe import jobs
+
+    raw = si.raw_locations(spark, SF_SMALL)
+    wx = si.weather_records(spark, SF_SMALL, raw)
+    year, month = si.run_month(spark, SF_SMALL)
+    loc_root, wx_root, target = (fresh_dir(spark, t) for t in ("p-loc", "p-wx", "p-target"))
+    land_dated_json(raw.withColumns({"year": year, "month": month}), loc_root, ("year", "month"))
+    land_dated_json(wx.withColumns({"year": year, "month": month}), wx_root, ("year", "month"))
+    rc = jobs.main(["publish", "--raw-locations", loc_root, "--raw-weather", wx_root, "--target", target], spark=spark)
+    printed = capsys.readouterr().out
+    assert rc == 0, printed
+    assert f'"zone": "locations", "partitions": 1, "rows": {raw.count()}' in printed
+    assert read_locations(spark, f"{target}/locations/year=*/month=*/*.json").count() == raw.count()
