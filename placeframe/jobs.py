@@ -16,6 +16,15 @@ under year=/month= of the window end; exits non-zero when none is found.
       --raw-locations .../raw/locations --daily .../daily_obs \\
       --raw-weather .../raw/weather [--as-of 2024-01-31]
 
+ingest-pages: landed page bodies (columns page, body: a JSON array of
+location records) -> location records of the pages before the first empty
+one, landed as NDJSON under year=/month= of --run-date; stops without
+writing when there are no records.
+
+  spark-submit --py-files placeframe.zip placeframe/jobs.py ingest-pages \\
+      --pages .../landed_pages --format parquet --raw-locations .../raw/locations \\
+      --run-date 2024-01-31
+
 publish: copy both raw zones to <target>/locations and <target>/weather with
 their year=/month= layout and verify per-partition row counts; exits non-zero
 on any mismatch.
@@ -47,7 +56,7 @@ from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TES
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 from placeframe.session import build_session, fresh_dir
 from placeframe.sinks.writers import assert_published, land_dated_json, publish_zone
-from placeframe.sources.readers import read_latest_partition, read_locations, read_weather
+from placeframe.sources.readers import paged_records, read_latest_partition, read_locations, read_weather
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -56,6 +65,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         return assemble(argv[1:], spark)
     if argv and argv[0] == "publish":
         return publish(argv[1:], spark)
+    if argv and argv[0] == "ingest-pages":
+        return ingest_pages(argv[1:], spark)
     if argv and argv[0] == "transform":
         argv = argv[1:]
     return transform(argv, spark)
@@ -93,6 +104,34 @@ def assemble(argv: list[str], spark=None) -> int:
     return 0
 
 
+def ingest_pages(argv: list[str], spark=None) -> int:
+    ap = argparse.ArgumentParser(prog="placeframe.jobs ingest-pages")
+    ap.add_argument("--pages", required=True, help="landed pages: columns page (int), body (JSON array)")
+    ap.add_argument("--format", default="parquet", help="format of the landed pages (parquet, json, ...)")
+    ap.add_argument("--raw-locations", required=True, help="root to land year=/month= location NDJSON")
+    ap.add_argument("--run-date", required=True, help="date whose year/month names the landing")
+    a = ap.parse_args(argv)
+
+    own = spark is None
+    spark = spark or build_session(app_name="placeframe-ingest-pages")
+    pages = spark.read.format(a.format).load(a.pages).select(F.col("page").cast("long"), F.col("body").cast("string"))
+    records = paged_records(pages, RAW_LOCATION).drop("page")
+    if records.isEmpty():
+        print(json.dumps({"error": "no location records in the landed pages"}))
+        if own:
+            spark.stop()
+        return 1
+    run = F.lit(a.run_date).cast("date")
+    land_dated_json(
+        records.withColumns({"year": F.date_format(run, "yyyy"), "month": F.date_format(run, "MM")}),
+        a.raw_locations,
+        SNAPSHOT_PARTS,
+    )
+    if own:
+        spark.stop()
+    return 0
+
+
 def publish(argv: list[str], spark=None) -> int:
     ap = argparse.ArgumentParser(prog="placeframe.jobs publish")
     ap.add_argument("--raw-locations", required=True, help="root of year=/month= location NDJSON")

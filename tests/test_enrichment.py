@@ -139,3 +139,25 @@ def test_publish_job(spark, capsys):
     assert rc == 0, printed
     assert f'"zone": "locations", "partitions": 1, "rows": {raw.count()}' in printed
     assert read_locations(spark, f"{target}/locations/year=*/month=*/*.json").count() == raw.count()
+
+
+def test_ingest_pages_job(spark, capsys):
+    from pyspark.sql import functions as F
+
+    from placeframe import jobs
+
+    raw = si.raw_locations(spark, SF_SMALL)
+    # ten pages by a hash of the (unique) website; then the empty page that
+    # ends the feed and a stale page after it that must not be taken
+    numbered = raw.withColumn("page", F.pmod(F.xxhash64("website_url"), F.lit(10)) + 1)
+    cols = [c for c in numbered.columns if c != "page"]
+    pages = numbered.groupBy("page").agg(F.to_json(F.collect_list(F.struct(*cols))).alias("body"))
+    last = pages.agg(F.max("page")).first()[0]
+    extra = spark.createDataFrame([(last + 1, "[]"), (last + 2, '[{"id":"stale"}]')], "page long, body string")
+    pages_dir, loc_root = fresh_dir(spark, "ip-pages"), fresh_dir(spark, "ip-loc")
+    pages.unionByName(extra).write.parquet(pages_dir)
+    rc = jobs.main(["ingest-pages", "--pages", pages_dir, "--raw-locations", loc_root, "--run-date", "2024-01-31"], spark=spark)
+    assert rc == 0, capsys.readouterr().out
+    back = read_locations(spark, f"{loc_root}/year=2024/month=01/*.json")
+    assert back.count() == raw.count()
+    assert back.filter("id = 'stale'").count() == 0
