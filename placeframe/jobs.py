@@ -56,7 +56,7 @@ from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TES
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 from placeframe.session import build_session, fresh_dir
 from placeframe.sinks.writers import assert_published, land_dated_json, publish_zone
-from placeframe.sources.readers import paged_records, read_latest_partition, read_locations, read_weather
+from placeframe.sources.readers import paged_records, read_latest_partition, read_partitioned
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -175,8 +175,9 @@ def transform(argv: list[str], spark=None) -> int:
 
     own = spark is None
     spark = spark or build_session(app_name="placeframe-job")
-    locations = read_locations(spark, a.raw_locations, base_path=a.raw_locations)
-    weather = read_weather(spark, a.raw_weather, base_path=a.raw_weather)
+    # year/month come from the directories, declared as strings ("01")
+    locations = read_partitioned(spark, a.raw_locations, RAW_LOCATION, SNAPSHOT_PARTS, fmt="json")
+    weather = read_partitioned(spark, a.raw_weather, RAW_WEATHER, SNAPSHOT_PARTS, fmt="json")
     require_nonempty(locations, "location records")
     counts = run_enrichment(locations, weather, a.output, snapshots=a.snapshots, count_raw=not a.no_raw_counts)
     print(json.dumps({"stage_counts": counts}, default=str))
