@@ -160,7 +160,17 @@ ENR_ALL = "SELECT * FROM enr"
 
 ORACLE: dict[str, str] = {
     # 2.1 sources
-    "scan_ndjson_typed": with_ctes("SELECT * FROM raw_b", "raw_b"),
+    "scan_ndjson_typed": with_ctes(
+        """
+SELECT * FROM raw_b
+UNION ALL
+SELECT CAST(NULL AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS VARCHAR) AS brewery_type,
+       CAST(NULL AS VARCHAR) AS city, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS VARCHAR) AS country,
+       CAST(NULL AS VARCHAR) AS latitude, CAST(NULL AS VARCHAR) AS longitude,
+       CAST(NULL AS VARCHAR) AS website_url, CAST(NULL AS VARCHAR) AS phone
+FROM raw_b WHERE id IS NULL""",
+        "raw_b",
+    ),
     "scan_ndjson_nested": with_ctes(
         """
 SELECT brewery_id, brewery_name, state, city, latitude, longitude, fetch_date,

@@ -97,7 +97,16 @@ def _write_enriched(spark, sf_dir) -> tuple[str, StructType]:
 # ---- 2.1 sources ------------------------------------------------------------
 
 def q_scan_ndjson_typed(spark, sf_dir):
-    return rd.read_locations(spark, _land_raw_locations(spark, sf_dir))
+    raw = si.raw_locations(spark, sf_dir)
+    good = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
+    # one truncated (unparsable) line per record without an id: the typed
+    # reader turns each into an all-null row (dropped later by cleaning)
+    bad = raw.filter(F.col("id").isNull()).select(
+        F.substring(F.to_json(F.struct(*raw.columns)), 1, 12).alias("value")
+    )
+    d = fresh_dir(spark, "raw-locations-text")
+    good.unionByName(bad).write.mode("overwrite").text(d)
+    return rd.read_locations(spark, d)
 
 
 def q_scan_ndjson_nested(spark, sf_dir):
