@@ -86,18 +86,23 @@ def read_latest_partition(
     driver and no data file is opened. Comparison is on the string values
     (zero-padded parts). Only that directory is then scanned.
     """
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(root)
-        .select("path")
-    )
     values = [F.regexp_extract("path", f"/{p}=([^/]*)/", 1).alias(p) for p in parts]
     present = None
     for p in parts:
         c = F.col(p) != F.lit("")
         present = c if present is None else present & c
-    latest = listing.select(*values).filter(present).agg(F.max(F.struct(*parts)).alias("m")).first()["m"]
+    # The listing opens no file, so pack it by cores rather than by file
+    # bytes (one task per 128 MB of a 100 TB zone would be ~10^6 tasks that
+    # each emit a few paths): maxPartitionBytes is raised for this one
+    # action and restored.
+    key = "spark.sql.files.maxPartitionBytes"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(1 << 40))
+    try:
+        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
+        latest = listing.select(*values).filter(present).agg(F.max(F.struct(*parts)).alias("m")).first()["m"]
+    finally:
+        spark.conf.set(key, previous)
     if latest is None:
         raise FileNotFoundError(f"no partitions under {root}")
     sub = "/".join(f"{p}={latest[p]}" for p in parts)
