@@ -71,6 +71,20 @@ def latest_snapshot(df: DataFrame, parts: Sequence[str]) -> DataFrame:
     return df.filter(key == latest)
 
 
+def _listing(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
+    """Files under ``root`` (any depth) as rows, without opening them.
+
+    The binaryFile scan is split by file bytes (one task per 128 MB of a
+    100 TB zone would be ~10^6 tasks that each emit a few paths); coalescing
+    right after the scan runs it in as many tasks as the shuffle width, each
+    covering many files, with no shuffle."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if pattern:
+        r = r.option("pathGlobFilter", pattern)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions") or 200)
+    return r.load(root).select("path", "length", "modificationTime").coalesce(width)
+
+
 def read_latest_partition(
     spark: SparkSession,
     root: str,
@@ -91,18 +105,7 @@ def read_latest_partition(
     for p in parts:
         c = F.col(p) != F.lit("")
         present = c if present is None else present & c
-    # The listing opens no file, so pack it by cores rather than by file
-    # bytes (one task per 128 MB of a 100 TB zone would be ~10^6 tasks that
-    # each emit a few paths): maxPartitionBytes is raised for this one
-    # action and restored.
-    key = "spark.sql.files.maxPartitionBytes"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(1 << 40))
-    try:
-        listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-        latest = listing.select(*values).filter(present).agg(F.max(F.struct(*parts)).alias("m")).first()["m"]
-    finally:
-        spark.conf.set(key, previous)
+    latest = _listing(spark, root).select(*values).filter(present).agg(F.max(F.struct(*parts)).alias("m")).first()["m"]
     if latest is None:
         raise FileNotFoundError(f"no partitions under {root}")
     sub = "/".join(f"{p}={latest[p]}" for p in parts)
@@ -164,11 +167,9 @@ def file_manifest(spark: SparkSession, root: str, pattern: str = "*.json") -> Da
     listing (the binaryFile source reads no file content unless asked), with
     the object key relative to the root (``\\`` normalised to ``/``).
     Returns (file_path, key, file_size, modified)."""
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select(F.col("path").alias("file_path"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
+    df = _listing(spark, root, pattern).select(
+        F.col("path").alias("file_path"),
+        F.col("length").alias("file_size"),
+        F.col("modificationTime").alias("modified"),
     )
     return df.select("file_path", object_key("file_path").alias("key"), "file_size", "modified")
