@@ -55,8 +55,9 @@ def _is_null(x: Column) -> Column:
 
 
 def count_nulls_in(arr: str | Column) -> Column:
-    """Number of null elements of an array."""
-    return F.size(F.filter(_col(arr), _is_null))
+    """Number of null elements of an array (null for a null array, whatever
+    the legacy size-of-null setting)."""
+    return F.array_size(F.filter(_col(arr), _is_null))
 
 
 def threshold_ladder(

@@ -177,8 +177,14 @@ SELECT brewery_id, brewery_name, state, city, latitude, longitude, fetch_date,
        CAST(len(tmax_l) AS BIGINT) AS n_days,
        CAST(len(tmin_l) - list_count(tmin_l) AS BIGINT) AS n_null_min,
        list_max(tmax_l) AS max_temp
-FROM wx""",
+FROM wx
+UNION ALL
+SELECT g.id, g.name, g.state, g.city, g.latitude, g.longitude,
+       strftime((SELECT d FROM run_end), '%Y-%m-%d'), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(NULL AS DOUBLE)
+FROM geo g WHERE NOT EXISTS (SELECT 1 FROM wx WHERE wx.brewery_id = g.id)""",
         "wx",
+        "geo",
+        "run_end",
     ),
     "json_decode_lines": with_ctes("SELECT * FROM raw_b", "raw_b"),
     "scan_hive_parquet": with_ctes("SELECT * FROM stg", "stg"),

@@ -110,8 +110,25 @@ def q_scan_ndjson_typed(spark, sf_dir):
 
 
 def q_scan_ndjson_nested(spark, sf_dir):
+    raw = si.raw_locations(spark, sf_dir)
+    geo = si.geocoded_locations(spark, sf_dir, raw)
+    env = si.weather_records(spark, sf_dir, raw)
+    # geocoded locations without observations get a record whose daily
+    # block is empty ({}): the typed reader must still resolve the arrays
+    end = jn.as_of_date(si.daily_observations(spark, sf_dir), "obs_date")
+    empty_block = F.struct(*[F.lit(None).cast("array<double>").alias(f) for f in DAILY_FIELDS])
+    empty = jn.missing_weather(geo, env).select(
+        F.col("id").alias("brewery_id"),
+        F.col("name").alias("brewery_name"),
+        "state",
+        "city",
+        "latitude",
+        "longitude",
+        F.date_format(end, "yyyy-MM-dd").alias("fetch_date"),
+        empty_block.alias("weather"),
+    )
     d = fresh_dir(spark, "raw-weather")
-    si.weather_records(spark, sf_dir).write.mode("overwrite").json(d)
+    env.unionByName(empty).write.mode("overwrite").json(d)
     w = rd.read_weather(spark, d)
     return w.select(
         "brewery_id",
@@ -121,8 +138,8 @@ def q_scan_ndjson_nested(spark, sf_dir):
         "latitude",
         "longitude",
         "fetch_date",
-        F.size("weather.temperature_2m_max").cast("long").alias("n_days"),
-        count_nulls_in("weather.temperature_2m_min").cast("long").alias("n_null_min"),
+        F.coalesce(F.array_size("weather.temperature_2m_max"), F.lit(0)).cast("long").alias("n_days"),
+        F.coalesce(count_nulls_in("weather.temperature_2m_min"), F.lit(0)).cast("long").alias("n_null_min"),
         F.array_max("weather.temperature_2m_max").alias("max_temp"),
     )
 
