@@ -104,8 +104,10 @@ def q_scan_ndjson_typed(spark, sf_dir):
     bad = raw.filter(F.col("id").isNull()).select(
         F.substring(F.to_json(F.struct(*raw.columns)), 1, 12).alias("value")
     )
+    # and a blank (whitespace-only) line per record without a name: skipped
+    blank = raw.filter(F.col("name").isNull()).select(F.lit("  ").alias("value"))
     d = fresh_dir(spark, "raw-locations-text")
-    good.unionByName(bad).write.mode("overwrite").text(d)
+    good.unionByName(bad).unionByName(blank).write.mode("overwrite").text(d)
     return rd.read_locations(spark, d)
 
 
