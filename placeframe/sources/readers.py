@@ -64,8 +64,11 @@ def read_partitioned(
 
 
 def latest_snapshot(df: DataFrame, parts: Sequence[str]) -> DataFrame:
-    """Rows of the greatest (parts...) tuple. The maximum is a scalar
-    subquery over the partition columns only (no join, no driver loop)."""
+    """Rows of the greatest (parts...) tuple of any DataFrame. The maximum is
+    a scalar subquery (no join, no driver loop), and the filter then prunes
+    partitions at run time. On a file zone the subquery still reads every
+    file to learn which partitions hold rows; use ``read_latest_partition``
+    there, which decides from the listing alone."""
     key = F.struct(*parts)
     latest = df.select(F.max(key)).scalar()
     return df.filter(key == latest)
