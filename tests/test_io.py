@@ -124,3 +124,11 @@ def test_external_json_table_over_quoted_path(spark, scratch):
     # idempotent: a second call reuses the table
     assert create_external_json_table(spark, "placeframe_test2", name, RAW_LOCATION, path).count() == 1
     assert "db's" in spark.sql("DESCRIBE DATABASE placeframe_test2").filter("info_name = 'Location'").first()["info_value"]
+
+
+def test_manifest_of_empty_zone_is_empty(spark, local_dir):
+    from placeframe.sources import file_manifest
+
+    m = file_manifest(spark, local_dir)
+    assert m.count() == 0
+    assert m.columns == ["file_path", "key", "file_size", "modified"]
