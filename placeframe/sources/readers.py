@@ -79,13 +79,19 @@ def _listing(spark: SparkSession, root: str, pattern: str | None = None) -> Data
 
     The binaryFile scan is split by file bytes (one task per 128 MB of a
     100 TB zone would be ~10^6 tasks that each emit a few paths); coalescing
-    right after the scan runs it in as many tasks as the shuffle width, each
-    covering many files, with no shuffle."""
+    right after the scan runs it in about one task per core, each covering
+    many files, with no shuffle."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         r = r.option("pathGlobFilter", pattern)
-    width = int(spark.conf.get("spark.sql.shuffle.partitions") or 200)
-    return r.load(root).select("path", "length", "modificationTime").coalesce(width)
+    return r.load(root).select("path", "length", "modificationTime").coalesce(_cores(spark))
+
+
+def _cores(spark: SparkSession) -> int:
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no context handle (e.g. Spark Connect)
+        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions") or 200))
 
 
 def read_latest_partition(
