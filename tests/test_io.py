@@ -132,3 +132,27 @@ def test_manifest_of_empty_zone_is_empty(spark, local_dir):
     m = file_manifest(spark, local_dir)
     assert m.count() == 0
     assert m.columns == ["file_path", "key", "file_size", "modified"]
+
+
+def test_materialize_view_and_table(spark, scratch):
+    import os
+    import uuid
+
+    from placeframe.sinks import materialize
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    tag = uuid.uuid4().hex[:8]
+    view = materialize(df, f"v_{tag}", "view")
+    assert sorted(r.k for r in spark.sql(f"SELECT k FROM v_{tag}").collect()) == [1, 2]
+    assert view.count() == 2
+    table = materialize(df, f"t_{tag}", "table", scratch + "/t")
+    assert table.count() == 2
+    assert any(f.endswith(".parquet") for f in os.listdir(scratch.replace("file:", "") + "/t"))
+
+
+def test_preview_total_order(spark):
+    from placeframe.sinks import preview
+
+    df = spark.createDataFrame([(i, "same", "x") for i in range(30)], "id long, name string, state string")
+    first = [r.id for r in preview(df, ["id", "name"], ["name", "state", "id"], 5).collect()]
+    assert first == [0, 1, 2, 3, 4]
