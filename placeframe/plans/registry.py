@@ -39,7 +39,7 @@ from placeframe.operators import clean as cl
 from placeframe.operators import joins as jn
 from placeframe.operators import quality as qa
 from placeframe.plans import standin as si
-from placeframe.plans.enrichment import build_marts, enriched, run_enrichment, stage_counts
+from placeframe.plans.enrichment import build_marts, enriched, read_enriched, run_enrichment, stage_counts
 from placeframe.schemas import RAW_LOCATION
 from placeframe.operators.marts import dim_locations
 from placeframe.session import fresh_dir, read_table, shared_root
@@ -503,9 +503,7 @@ def q_enrichment_job(spark, sf_dir):
         rd.read_weather(spark, f"{wx_root}/year=*/month=*/*.json"),
         out,
     )
-    enr_schema = _enr(spark, sf_dir).schema
-    data_schema = StructType([f for f in enr_schema.fields if f.name != "state"])
-    return rd.read_partitioned(spark, out, data_schema, ["state"])
+    return read_enriched(spark, out)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
