@@ -29,10 +29,11 @@ def test_filters_reach_the_scan(spark, scratch):
     assert "ReadSchema: struct<id:string,name:string,state:string,country:string>" in p
 
 
-def test_no_python_udf_anywhere(spark):
-    for key in ("fact_location_weather", "flatten_weather", "assemble_weather", "quality_report", "paged_records"):
-        p = plan_of(QUERIES[key](spark, SF_SMALL))
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p and "PythonUDF" not in p, key
+def test_no_python_or_cross_join_in_any_key(spark):
+    for key, fn in QUERIES.items():
+        p = plan_of(fn(spark, SF_SMALL))
+        for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+            assert bad not in p, (key, bad)
 
 
 def test_fact_broadcasts_measured_summary(spark):
