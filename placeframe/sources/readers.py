@@ -91,7 +91,10 @@ def _cores(spark: SparkSession) -> int:
     try:
         return max(1, spark.sparkContext.defaultParallelism)
     except Exception:  # noqa: BLE001 - no context handle (e.g. Spark Connect)
-        return max(1, int(spark.conf.get("spark.sql.shuffle.partitions") or 200))
+        try:
+            return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        except (TypeError, ValueError):
+            return 200
 
 
 def read_latest_partition(
