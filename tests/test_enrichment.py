@@ -161,3 +161,23 @@ def test_ingest_pages_job(spark, capsys):
     back = read_locations(spark, f"{loc_root}/year=2024/month=01/*.json")
     assert back.count() == raw.count()
     assert back.filter("id = 'stale'").count() == 0
+
+
+def test_transform_job_matched_zone_without_raw_counts(spark, capsys):
+    from placeframe import jobs
+
+    raw = si.raw_locations(spark, SF_SMALL)
+    wx = si.weather_records(spark, SF_SMALL, raw)
+    year, month = si.run_month(spark, SF_SMALL)
+    loc_root, wx_root, out, marts = (fresh_dir(spark, t) for t in ("m-loc", "m-wx", "m-out", "m-marts"))
+    land_dated_json(raw.withColumns({"year": year, "month": month}), loc_root, ("year", "month"))
+    land_dated_json(wx.withColumns({"year": year, "month": month}), wx_root, ("year", "month"))
+    argv = ["transform", "--raw-locations", loc_root, "--raw-weather", wx_root, "--output", out, "--marts", marts,
+            "--grain", "matched_zone", "--no-raw-counts"]
+    rc = jobs.main(argv, spark=spark)
+    printed = capsys.readouterr().out
+    assert rc == 0, printed
+    assert "raw_locations" not in printed
+    dim = spark.read.parquet(f"{marts}/dim_locations")
+    fact = spark.read.parquet(f"{marts}/fact_location_weather")
+    assert fact.count() == dim.count()  # one fact row per location at this grain
