@@ -80,17 +80,23 @@ def held_out(column: Column) -> Column:
     return remainder4(column) == 2
 
 
-def text_batches(texts: Sequence[str | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``most`` characters (one at least)."""
-    low = size = 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
+def ranges(sizes: Iterable[int], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive items of about ``most`` in size together (one item at least)."""
+    low = high = size = 0
+    for high, n in enumerate(sizes):  # noqa: B007
         if size and size + n > most:
-            yield low, i
-            low, size = i, 0
+            yield low, high
+            low, size = high, 0
         size += n
-    if low < len(texts):
-        yield low, len(texts)
+    else:
+        high += 1
+    if size or low < high:
+        yield low, high
+
+
+def text_batches(texts: Sequence[str | None], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts of about ``most`` characters (one at least)."""
+    return ranges((len(t) if t else 0 for t in texts), most) if len(texts) else iter(())
 
 
 def connected(edges: DataFrame, a: str, b: str, tag: str, most_rounds: int = 60) -> DataFrame:

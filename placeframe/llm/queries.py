@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeframe.llm import bpe_codec, langid, mixing, sharding, token_count, toxicity
+from placeframe.llm import bpe_codec, langid, minhash, mixing, sharding, token_count, toxicity
 from placeframe.llm.common import held_out
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -74,6 +74,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -81,4 +85,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_codec": op4_bpe_codec,
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
+    "op9_minhash": op9_minhash,
 }
