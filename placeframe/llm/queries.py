@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeframe.llm import bpe_codec, langid, minhash, mixing, sharding, token_count, toxicity
+from placeframe.llm import bpe_codec, langid, minhash, mixing, sharding, token_count, toxicity, warc
 from placeframe.llm.common import held_out
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -78,6 +78,10 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.convert_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -86,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_minhash": op9_minhash,
+    "op10_warc": op10_warc,
 }
