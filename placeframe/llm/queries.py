@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeframe.llm import bpe_codec, langid, minhash, mixing, sharding, token_count, toxicity, warc
+from placeframe.llm import ann, bpe_codec, langid, minhash, mixing, sharding, token_count, toxicity, vector_dedup, warc
 from placeframe.llm.common import held_out
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -82,11 +82,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.convert_pages(table(spark, sf_dir, "pages"))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op6_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op3_token_count": op3_token_count,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_nearest": op5_nearest,
+    "op6_vector_dedup": op6_vector_dedup,
     "op7_mixing": op7_mixing,
     "op8_language_id": op8_language_id,
     "op9_minhash": op9_minhash,
