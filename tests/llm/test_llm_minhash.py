@@ -61,12 +61,12 @@ def test_edges_and_one_document_of_each_class(spark):
 
 
 def test_large_group_of_near_copies_is_one_class(spark):
-    base = sentence(7, 120).split()
+    base = sentence(7, 300).split()
     rows = []
     for i in range(400):
         words = list(base)
-        words[(i * 7) % 120] = f"edit{i}"
-        words[(i * 13 + 5) % 120] = f"other{i}"
+        words[(i * 7) % 300] = f"edit{i}"
+        words[(i * 13 + 5) % 300] = f"other{i}"
         rows.append((i, " ".join(words)))
     rows += [(1000 + i, sentence(500 + i, 100)) for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -75,19 +75,26 @@ def test_large_group_of_near_copies_is_one_class(spark):
     assert all(got[1000 + i].kept and got[1000 + i].class_size == 1 for i in range(300))
 
 
+def test_blocks_find_the_links_that_pairs_have(spark, monkeypatch):
+    """Without partner turns and with small blocks the result is the same."""
+    monkeypatch.setattr(mh, "TURNS", 0)
+    monkeypatch.setattr(mh, "BLOCK", 8)
+    base = sentence(3, 60).split()
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for k in range(4):
+            words[(i * 11 + k * 17) % 60] = f"edit{i % 40}x{k}"
+        rows.append((i, " ".join(words + words[:20] * (i % 3))))
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_samples_agree_as_often_as_the_weighted_similarity():
     r = np.random.default_rng(1)
     shared, own = r.integers(0, 1 << 63, 300, dtype=np.uint64), r.integers(0, 1 << 63, 60, dtype=np.uint64)
     x, y = np.concatenate([shared, own[:30]]), np.concatenate([shared, own[30:]])
     wx, wy = r.integers(32, 96, 330), r.integers(32, 96, 330)
     wy[:300] = wx[:300]
-    sampler = mh.Sampler()
-    old = mh.BANDS, mh.ROWS
     want = mh.similarity((np.sort(x), wx[np.argsort(x)]), (np.sort(y), wy[np.argsort(y)]))
-    mh.BANDS, mh.ROWS = 2000, 1
-    try:
-        sampler = mh.Sampler()
-        keys = sampler.bands(np.concatenate([x, y]), np.concatenate([wx, wy]), np.array([0, 330, 660]))
-    finally:
-        mh.BANDS, mh.ROWS = old
+    keys = mh.Sampler((2000, 1)).bands(np.concatenate([x, y]), np.concatenate([wx, wy]), np.array([0, 330, 660]))
     assert abs((keys[0] == keys[1]).mean() - want) < 0.04
