@@ -6,7 +6,7 @@ Layout:
   sources/    readers (typed NDJSON, nested NDJSON, hive parquet, pages, manifests)
   sinks/      writers (partitioned parquet, dated NDJSON, published zones, tables)
   plans/      composed jobs (enrichment job, marts) and the query registry
-  streaming/  nothing yet: the modelled workload is a daily batch
+
 """
 
 __version__ = "0.1.0"

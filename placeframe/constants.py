@@ -57,6 +57,26 @@ PAGE_SIZE = 200
 # number of rows shown by the preview
 PREVIEW_ROWS = 10
 
+# white space of every kind, as text stripping removes it
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+# data tests of the models: (model, column) and accepted values
+NOT_NULL_TESTS = (
+    ("stg_locations", "brewery_id"),
+    ("stg_locations", "brewery_name"),
+    ("stg_locations", "state"),
+    ("stg_locations", "brewery_type"),
+    ("state_weather_summary", "state"),
+    ("dim_locations", "brewery_id"),
+    ("dim_locations", "brewery_category"),
+    ("fact_location_weather", "brewery_id"),
+    ("fact_location_weather", "state"),
+)
+UNIQUE_TESTS = (("stg_locations", "brewery_id"), ("dim_locations", "brewery_id"))
+ACCEPTED_TESTS = (("dim_locations", "brewery_category", ACCEPTED_CATEGORIES),)
+PREVIEW_COLUMNS = ("brewery_id", "name", "state", "brewery_type", "avg_temp_max_f", "climate_zone")
+PREVIEW_ORDER = ("name", "state", "brewery_id")
+
 # number of groups in the top-k report
 TOP_K = 10
 # ---------------------------------------------------------------------------

@@ -3,11 +3,14 @@ so they stay inside whole-stage codegen."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from placeframe.constants import WHITE_SPACE
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -28,12 +31,24 @@ def prefix_code(c: str | Column, length: int) -> Column:
     return F.upper(F.substring(_col(c), 1, length))
 
 
+def strip_text(c: str | Column) -> Column:
+    """The text without white space of any kind at its ends."""
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
+
+
 def is_truthy_text(c: str | Column) -> Column:
     """Python-style truthiness of a raw string value: null and '' are false."""
     c = _col(c)
     return c.isNotNull() & (c != F.lit(""))
 
 
+def is_truthy_number(c: str | Column) -> Column:
+    """Truthiness of a raw value that a typed reader has turned into text: null, ''
+    and a numeric zero are false (the reader writes the number 0 as '0' or '0.0')."""
+    c = _col(c)
+    return is_truthy_text(c) & F.coalesce(c.try_cast("double") != F.lit(0.0), F.lit(True))
+
+
 def _plus(acc: Column, x: Column) -> Column:
     return acc + x
 
@@ -99,8 +114,10 @@ def date_part_strings(ts: str | Column, parts: Sequence[str] = ("year", "month",
     return [F.date_format(_col(ts), fmt[p]).alias(p) for p in parts]
 
 
-def object_key(path: str | Column) -> Column:
-    """Key of a file relative to its zone root: the trailing ``k=v/``
-    directories plus the file name, with ``\\`` normalised to ``/``."""
-    rel = F.regexp_replace(_col(path), r"\\", "/")
-    return F.regexp_extract(rel, r"/((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
+def object_key(path: str | Column, root: str) -> Column:
+    """Key of a file below ``root`` (zones and ``k=v/`` folders kept), with ``\\``
+    normalised to ``/``. Scheme and authority of either side don't matter; a file
+    that isn't below the root has a null key."""
+    below = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", root.replace("\\", "/")).rstrip("/") + "/"
+    whole = F.regexp_replace(F.regexp_replace(_col(path), r"\\", "/"), r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(whole.startswith(below), whole.substr(F.lit(len(below) + 1), F.length(whole)))

@@ -17,17 +17,17 @@ under year=/month= of the window end; exits non-zero when none is found.
       --raw-weather .../raw/weather [--as-of 2024-01-31]
 
 ingest-pages: landed page bodies (columns page, body: a JSON array of
-location records) -> location records of the pages before the first empty
-one, landed as NDJSON under year=/month= of --run-date; stops without
-writing when there are no records.
+location records) -> the records, as they came, of the pages before the first
+empty one, landed one a line under year=/month= of --run-date; stops without
+writing when there are no records and fails on a page that holds no array.
 
   spark-submit --py-files placeframe.zip placeframe/jobs.py ingest-pages \\
       --pages .../landed_pages --format parquet --raw-locations .../raw/locations \\
       --run-date 2024-01-31
 
 publish: copy both raw zones to <target>/locations and <target>/weather with
-their year=/month= layout and verify per-partition row counts; exits non-zero
-on any mismatch.
+their year=/month= layout, line by line, and compare the content of each
+partition; exits non-zero when a partition failed or a zone holds no records.
 
   spark-submit --py-files placeframe.zip placeframe/jobs.py publish \\
       --raw-locations .../raw/locations --raw-weather .../raw/weather --target s3a://bucket/raw
@@ -36,11 +36,13 @@ on any mismatch.
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 import sys
 
 from pyspark.sql import functions as F
 
+from placeframe.constants import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
 from placeframe.operators.aggregates import lookup_report
 from placeframe.operators.clean import filter_geocoded
 from placeframe.operators.joins import assemble_weather
@@ -52,11 +54,10 @@ from placeframe.plans.enrichment import (
     read_enriched,
     run_enrichment,
 )
-from placeframe.plans.registry import ACCEPTED_TESTS, NOT_NULL_TESTS, UNIQUE_TESTS
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
-from placeframe.session import build_session, fresh_dir
-from placeframe.sinks.writers import assert_published, land_dated_json, publish_zone
-from placeframe.sources.readers import paged_records, read_latest_partition, read_partitioned
+from placeframe.session import build_session, fresh_dir, remove_scratch
+from placeframe.sinks.writers import land_lines, land_period_json, publish_zone, write_table
+from placeframe.sources.readers import page_record_lines, read_latest_partition, read_partitioned
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -85,23 +86,24 @@ def assemble(argv: list[str], spark=None) -> int:
     locations = read_latest_partition(spark, a.raw_locations, RAW_LOCATION, SNAPSHOT_PARTS).drop(*SNAPSHOT_PARTS)
     geocoded = filter_geocoded(locations)
     daily = spark.read.parquet(a.daily)
-    weather = assemble_weather(daily, geocoded, as_of=a.as_of)
-    report = lookup_report(geocoded, weather).first()
-    print(json.dumps({"succeeded": report["succeeded"], "failed": report["failed"]}))
-    if report["succeeded"] == 0:
+    # one value, resolved once: a literal bound then prunes the observations
+    as_of = a.as_of or daily.agg(F.date_format(F.max("obs_date"), "yyyy-MM-dd").alias("d")).first()["d"]
+    found = False
+    if as_of is not None:
+        # the assembly runs once, into a scratch folder; the report and the landing read that
+        staged = f"{fresh_dir(spark, 'assembled')}/weather"
+        weather = write_table(assemble_weather(daily, geocoded, as_of=as_of), staged)
+        report = lookup_report(geocoded, weather).first()
+        print(json.dumps({"succeeded": report["succeeded"], "failed": report["failed"]}))
+        found = report["succeeded"] > 0
+        if found:
+            land_period_json(weather, a.raw_weather, {"year": as_of[:4], "month": as_of[5:7]})
+        remove_scratch(spark, staged.rsplit("/", 1)[0])
+    if not found:
         print(json.dumps({"error": "no weather records assembled"}))
-        if own:
-            spark.stop()
-        return 1
-    end = F.to_date("fetch_date")
-    land_dated_json(
-        weather.withColumns({"year": F.date_format(end, "yyyy"), "month": F.date_format(end, "MM")}),
-        a.raw_weather,
-        SNAPSHOT_PARTS,
-    )
     if own:
         spark.stop()
-    return 0
+    return 0 if found else 1
 
 
 def ingest_pages(argv: list[str], spark=None) -> int:
@@ -114,19 +116,16 @@ def ingest_pages(argv: list[str], spark=None) -> int:
 
     own = spark is None
     spark = spark or build_session(app_name="placeframe-ingest-pages")
-    pages = spark.read.format(a.format).load(a.pages).select(F.col("page").cast("long"), F.col("body").cast("string"))
-    records = paged_records(pages, RAW_LOCATION).drop("page")
+    pages = spark.read.format(a.format).schema("page long, body string").load(a.pages)
+    # the records' own text: fields that no schema declares land too
+    records = page_record_lines(pages).select("value")
     if records.isEmpty():
         print(json.dumps({"error": "no location records in the landed pages"}))
         if own:
             spark.stop()
         return 1
-    run = F.lit(a.run_date).cast("date")
-    land_dated_json(
-        records.withColumns({"year": F.date_format(run, "yyyy"), "month": F.date_format(run, "MM")}),
-        a.raw_locations,
-        SNAPSHOT_PARTS,
-    )
+    run = datetime.date.fromisoformat(a.run_date)
+    land_lines(records, a.raw_locations, {"year": f"{run:%Y}", "month": f"{run:%m}"})
     if own:
         spark.stop()
     return 0
@@ -138,21 +137,23 @@ def publish(argv: list[str], spark=None) -> int:
     ap.add_argument("--raw-weather", required=True, help="root of year=/month= weather NDJSON")
     ap.add_argument("--target", required=True, help="target root (keeps each zone's layout)")
     a = ap.parse_args(argv)
+    if not a.target.strip("/ "):
+        ap.error("--target must name a folder")  # never the file system's root
 
     own = spark is None
     spark = spark or build_session(app_name="placeframe-publish")
     target = a.target.rstrip("/")
-    zones = {"locations": (a.raw_locations, RAW_LOCATION), "weather": (a.raw_weather, RAW_WEATHER)}
-    failed = []
-    for name, (src, schema) in zones.items():
-        report = publish_zone(spark, src, f"{target}/{name}", schema, SNAPSHOT_PARTS)
-        try:
-            assert_published(report)
-            totals = report.agg(F.count(F.lit(1)).alias("partitions"), F.sum("target_rows").alias("rows")).first()
-            print(json.dumps({"zone": name, "partitions": totals["partitions"], "rows": totals["rows"]}))
-        except RuntimeError as e:
-            failed.append(name)
-            print(json.dumps({"zone": name, "error": str(e)}))
+    failed = 0
+    for name, src in {"locations": a.raw_locations, "weather": a.raw_weather}.items():
+        # two small aggregates, computed once: a row for each period
+        report = publish_zone(spark, src, f"{target}/{name}", SNAPSHOT_PARTS).collect()
+        bad = [r.asDict() for r in report if r.status != "uploaded"]
+        good = [r for r in report if r.status == "uploaded"]
+        print(json.dumps({"zone": name, "uploaded": len(good), "failed": len(bad), "rows": sum(r.target_rows for r in good), "failures": bad[:20]}))
+        failed += len(bad)
+        if not report:
+            print(json.dumps({"zone": name, "error": "no records to publish"}))
+            failed += 1
     if own:
         spark.stop()
     return 1 if failed else 0
@@ -164,7 +165,7 @@ def transform(argv: list[str], spark=None) -> int:
     ap.add_argument("--raw-weather", required=True, help="root of year=/month= weather NDJSON")
     ap.add_argument("--output", required=True, help="enriched Parquet, partitioned by state")
     ap.add_argument("--marts", required=True, help="folder for the mart tables")
-    ap.add_argument("--snapshots", choices=("all", "latest"), default="all")
+    ap.add_argument("--snapshots", choices=("all", "latest"), default="latest", help="all: every snapshot of one side with every one of the other")
     ap.add_argument("--grain", choices=("state_zone", "matched_zone"), default="state_zone")
     ap.add_argument(
         "--no-raw-counts",
@@ -184,7 +185,8 @@ def transform(argv: list[str], spark=None) -> int:
 
     enr = read_enriched(spark, a.output)
     # the enriched input is already a written table: stage only the summary
-    marts = build_marts(enr, a.grain, stage_dir=fresh_dir(spark, "marts-stage"), stage=("summary",))
+    staged = fresh_dir(spark, "marts-stage")
+    marts = build_marts(enr, a.grain, stage_dir=staged, stage=("summary",))
     tables = publish_marts(marts, a.marts)
     models = {
         "stg_locations": marts.stg,
@@ -194,6 +196,7 @@ def transform(argv: list[str], spark=None) -> int:
     }
     report = run_suite(models, UNIQUE_TESTS, NOT_NULL_TESTS, ACCEPTED_TESTS).collect()  # one row per test
     failed = [r.asDict() for r in report if r.status != "pass"]
+    remove_scratch(spark, staged)
     print(json.dumps({"tests": len(report), "failed": failed}))
     if own:
         spark.stop()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from placeframe.constants import COUNTRY_KEPT, DAILY_FIELDS, MEAN_COLUMNS
-from placeframe.functions.columns import array_mean, is_truthy_text, normalize_text, safe_cast
+from placeframe.functions.columns import array_mean, is_truthy_number, normalize_text, safe_cast
 
 
 def filter_country(df: DataFrame, col: str = "country", value: str = COUNTRY_KEPT) -> DataFrame:
@@ -30,8 +30,17 @@ def flag_both_present(a: str, b: str) -> Column:
 
 
 def filter_geocoded(df: DataFrame, lat: str = "latitude", lon: str = "longitude") -> DataFrame:
-    """Keep records whose raw coordinate strings are both truthy (not null, not '')."""
-    return df.filter(is_truthy_text(lat) & is_truthy_text(lon))
+    """Keep records whose raw coordinates are both truthy (not null, not '', not the number 0)."""
+    return df.filter(is_truthy_number(lat) & is_truthy_number(lon))
+
+
+def kept_by_cleaning(country: str = "country", required: tuple[str, ...] = ("name", "state")) -> Column:
+    """Whether ``clean_locations`` keeps a raw record."""
+    c = F.col(country)
+    kept = (c == COUNTRY_KEPT) | c.isNull()
+    for name in required:
+        kept = kept & F.col(name).isNotNull()
+    return F.coalesce(kept, F.lit(False))
 
 
 def clean_locations(raw: DataFrame) -> DataFrame:

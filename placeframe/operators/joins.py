@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StringType
 
 from placeframe.constants import DAILY_FIELDS, WINDOW_DAYS
 
@@ -28,10 +29,20 @@ def trailing_window(
     days: int = WINDOW_DAYS,
     as_of: str | _dt.date | None = None,
 ) -> DataFrame:
-    """Rows with date in [as_of - days, as_of], both ends inclusive."""
-    end = as_of_date(daily, date_col, as_of)
-    lag = F.datediff(end, F.col(date_col))
-    return daily.filter((lag >= 0) & (lag <= days))
+    """Rows with date in [as_of - days, as_of], both ends inclusive. The bounds are
+    on the column itself, so they reach the Parquet reader when ``as_of`` is given."""
+    return daily.filter(_in_window(daily, date_col, days, as_of_date(daily, date_col, as_of)))
+
+
+def _in_window(daily: DataFrame, date_col: str, days: int, end: Column) -> Column:
+    date = F.col(date_col)
+    end = end.cast("date")
+    if isinstance(daily.schema[date_col].dataType, DateType):
+        return date.between(F.date_sub(end, days), end)
+    if isinstance(daily.schema[date_col].dataType, StringType):
+        date = date.cast("date")
+        return date.between(F.date_sub(end, days), end)
+    return (date >= F.date_sub(end, days)) & (date < F.date_add(end, 1))  # times of the last day too
 
 
 def _shuffle_width(df: DataFrame) -> int:
@@ -104,11 +115,14 @@ def daily_arrays(
 
     Collects struct(date, measures...) so null measurements survive
     (collect_list drops null elements, not structs holding nulls) and the
-    arrays stay aligned day by day. The group size is bounded by the window
-    length: the input has one row per (key, date).
+    arrays stay aligned day by day. Repeated days are reduced to one record
+    first (the greatest by the measures in their order), before the shuffle,
+    so a group never exceeds the window's length.
     """
-    days = F.array_sort(F.collect_list(F.struct(date_col, *measures)))
-    grouped = window_rows.groupBy(key).agg(days.alias("_days"))
+    date = F.to_date(date_col).alias("_date")
+    one = window_rows.groupBy(key, date).agg(F.max(F.struct(*measures)).alias("_m")).select(key, "_date", "_m.*")
+    days = F.array_sort(F.collect_list(F.struct("_date", *measures)))
+    grouped = one.groupBy(key).agg(days.alias("_days"))
     block = F.struct(*[F.transform("_days", _field(m)).alias(f) for m, f in zip(measures, fields)])
     return grouped.select(key, block.alias("weather"))
 
@@ -132,8 +146,7 @@ def assemble_weather(
     fetch_date (ISO string), weather struct of four aligned arrays.
     """
     end = as_of_date(daily, date_col, as_of)
-    lag = F.datediff(end, F.col(date_col))
-    win = daily.filter((lag >= 0) & (lag <= days))
+    win = daily.filter(_in_window(daily, date_col, days, end))
     arrays = daily_arrays(win, daily_key, date_col, measures)
     loc = locations.select(
         F.col("id").alias("brewery_id"),

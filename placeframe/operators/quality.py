@@ -47,6 +47,17 @@ def not_null_counts(model: str, df: DataFrame, cols: Sequence[str]) -> DataFrame
     )
 
 
+def _one_pass(model: str, df: DataFrame, not_null: Sequence[str], accepted: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """All not_null and accepted_values tests of one model from one scan: a row per test."""
+    tests = [(c, "not_null", F.count_if(F.col(c).isNull())) for c in not_null]
+    tests += [(c, "accepted_values", F.count_distinct(F.when(~F.col(c).isin(list(v)), F.col(c)))) for c, v in accepted]
+    agg = df.agg(*[e.alias(f"_t{i}") for i, (_, _, e) in enumerate(tests)])
+    rows = ", ".join(f"'{c}', '{t}', _t{i}" for i, (c, t, _) in enumerate(tests))
+    return agg.selectExpr(f"stack({len(tests)}, {rows}) AS (column_name, test, failures)").select(
+        F.lit(model).alias("model"), "column_name", "test", "failures"
+    )
+
+
 def run_suite(
     models: dict[str, DataFrame],
     unique: Sequence[tuple[str, str]] = (),
@@ -57,22 +68,18 @@ def run_suite(
 
     ``failures`` is the number of rows each test's failing result has: null
     rows (not_null), repeated values (unique), distinct unaccepted values
-    (accepted_values). not_null tests of a model share one scan; unique and
-    accepted_values each need a grouped aggregate (partial aggregation
-    before the shuffle).
+    (accepted_values). A model's not_null and accepted_values tests share one
+    scan; a unique test needs a grouped aggregate of its own (partial
+    aggregation before the shuffle).
     """
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[str]] = {}
+    by_model: dict[str, tuple[list, list]] = {}
     for model, col in not_null:
-        by_model.setdefault(model, []).append(col)
-    for model, cols in by_model.items():
-        parts.append(not_null_counts(model, models[model], cols))
-    for model, col in unique:
-        failing = check_unique(models[model], col)
-        parts.append(_result(model, col, "unique", failing, F.count(F.lit(1))))
+        by_model.setdefault(model, ([], []))[0].append(col)
     for model, col, values in accepted:
-        failing = check_accepted_values(models[model], col, values)
-        parts.append(_result(model, col, "accepted_values", failing, F.count(F.lit(1))))
+        by_model.setdefault(model, ([], []))[1].append((col, values))
+    parts = [_one_pass(model, models[model], *tests) for model, tests in by_model.items()]
+    for model, col in unique:
+        parts.append(_result(model, col, "unique", check_unique(models[model], col), F.count(F.lit(1))))
     if not parts:
         raise ValueError("run_suite needs at least one test")
     out = parts[0]

@@ -5,11 +5,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from placeframe.operators.aggregates import latest_per_key
-from placeframe.operators.clean import clean_locations, flatten_weather
+from placeframe.operators.clean import clean_locations, flatten_weather, kept_by_cleaning
 from placeframe.operators.joins import left_join_weather
 from placeframe.operators.marts import (
     dim_locations,
@@ -18,6 +21,7 @@ from placeframe.operators.marts import (
     state_weather_summary,
     stg_locations,
 )
+from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 from placeframe.sinks.writers import write_partitioned_parquet, write_table
 
 
@@ -25,10 +29,11 @@ SNAPSHOT_PARTS = ("year", "month")
 
 
 def latest_locations(raw_locations: DataFrame, parts=SNAPSHOT_PARTS) -> DataFrame:
-    """One record per id: the one from the greatest (year, month) snapshot
-    when the snapshot columns are present (read with ``basePath``)."""
-    if not all(p in raw_locations.columns for p in parts):
-        return raw_locations
+    """One record per id: the one from the greatest (year, month) snapshot. The
+    snapshot columns must be there (read with ``basePath``)."""
+    missing = [p for p in parts if p not in raw_locations.columns]
+    if missing:
+        raise ValueError(f"the latest snapshot needs the columns {', '.join(parts)}; missing: {', '.join(missing)}")
     latest = latest_per_key(raw_locations, "id", F.struct(*parts))
     return latest.drop(*parts)
 
@@ -46,16 +51,17 @@ def enriched(raw_locations: DataFrame, raw_weather: DataFrame, snapshots: str =
     snapshots="latest" keeps one location record per id (by year/month when
     present) and one weather record per id (by fetch_date) first.
     """
-    raw = raw_locations
-    if snapshots == "latest":
-        raw = latest_locations(raw)
-    elif any(p in raw.columns for p in SNAPSHOT_PARTS):
-        raw = raw.drop(*SNAPSHOT_PARTS)
-    clean = clean_locations(raw)
+    return enrich(left_join_weather(*_cleaned(raw_locations, raw_weather, snapshots)))
+
+
+def _cleaned(raw_locations: DataFrame, raw_weather: DataFrame, snapshots: str) -> tuple[DataFrame, DataFrame]:
+    """The clean tables that the join takes."""
+    if snapshots not in ("all", "latest"):
+        raise ValueError(f"snapshots must be all or latest, not {snapshots!r}")
     weather = flatten_weather(raw_weather)
     if snapshots == "latest":
-        weather = latest_weather(weather)
-    return enrich(left_join_weather(clean, weather))
+        return clean_locations(latest_locations(raw_locations)), latest_weather(weather)
+    return clean_locations(raw_locations.drop(*SNAPSHOT_PARTS)), weather
 
 
 class Marts:
@@ -139,29 +145,41 @@ def publish_marts(marts: Marts, out_root: str) -> dict[str, DataFrame]:
     }
 
 
-def stage_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """One row, one count column per stage. Each count is a scalar subquery
-    (a separate small aggregate); no join between the stages."""
-    items = list(stages.items())
-    first_name, first = items[0]
-    out = first.agg(F.count(F.lit(1)).alias(first_name))
-    for name, df in items[1:]:
-        out = out.withColumn(name, df.select(F.count(F.lit(1))).scalar())
-    return out
+def stage_counts(raw_locations: DataFrame, raw_weather: DataFrame) -> DataFrame:
+    """Raw and clean rows of both inputs in one row, from one pass over each."""
+    one = F.lit(1)
+    counts = F.struct(F.count(one).alias("raw"), F.count_if(F.col("brewery_id").isNotNull()).alias("clean"))
+    weather = raw_weather.select(counts).scalar()
+    return raw_locations.agg(F.count(one).alias("raw_locations"), F.count_if(kept_by_cleaning()).alias("clean_locations")).select(
+        "raw_locations", "clean_locations", weather["raw"].alias("raw_weather"), weather["clean"].alias("clean_weather")
+    )
+
+
+def enriched_schema(spark) -> StructType:
+    """The enriched table's schema, from the raw schemas (no data is read)."""
+    raw = spark.createDataFrame([], RAW_LOCATION)
+    return enriched(raw, spark.createDataFrame([], RAW_WEATHER)).schema
 
 
 def read_enriched(spark, path: str, partition_col: str = "state") -> DataFrame:
     """Scan the enriched output with its partition column kept as a string
-    ("" and values like "01" are not re-typed); data types come from the
-    Parquet footers."""
-    from pyspark.sql.types import StructType
-
+    ("" and values like "01" are not re-typed). The schema is the job's own, so
+    an output without rows reads as an empty table."""
     from placeframe.sources.readers import read_partitioned
 
-    data = StructType([f for f in spark.read.parquet(path).schema.fields if f.name != partition_col])
+    data = StructType([f for f in enriched_schema(spark).fields if f.name != partition_col])
     return read_partitioned(spark, path, data, [partition_col])
 
 
+def _observed(observation: Observation, *names: str) -> dict:
+    """The metrics of an observation; 0 where its stage was optimised away as empty."""
+    try:
+        found = observation.get
+    except (AssertionError, Py4JError, PySparkException):
+        found = {}
+    return {n: found.get(n) or 0 for n in names}
+
+
 def run_enrichment(
     raw_locations: DataFrame,
     raw_weather: DataFrame,
@@ -172,10 +190,12 @@ def run_enrichment(
     """Whole enrichment job in one write pass.
 
     Stage counts are gathered with ``observe`` while the write runs, so the
-    raw inputs are scanned once (no count() actions, no cache). Counting raw
-    rows needs every row, so that metric sits under the cleaning filters and
-    keeps them out of the JSON scan; ``count_raw=False`` drops the two raw
-    counts and lets the filters reach the reader."""
+    raw inputs are scanned once (no count() actions, no cache). They are for
+    the log: a stage that runs again after a lost executor counts its rows
+    again. A stage without rows counts 0. Counting raw rows needs every row,
+    so that metric sits under the cleaning filters and keeps them out of the
+    JSON scan; ``count_raw=False`` drops the two raw counts and lets the
+    filters reach the reader."""
     names = ["clean_locations", "clean_weather", "joined"]
     if count_raw:
         names = ["raw_locations", "raw_weather", *names]
@@ -185,17 +205,11 @@ def run_enrichment(
     if count_raw:
         rl = rl.observe(obs["raw_locations"], one)
         rw = rw.observe(obs["raw_weather"], one)
-    if snapshots == "latest":
-        rl = latest_locations(rl)
-    elif any(p in rl.columns for p in SNAPSHOT_PARTS):
-        rl = rl.drop(*SNAPSHOT_PARTS)
-    clean = clean_locations(rl).observe(obs["clean_locations"], one)
-    weather = flatten_weather(rw)
-    if snapshots == "latest":
-        weather = latest_weather(weather)
+    clean, weather = _cleaned(rl, rw, snapshots)
+    clean = clean.observe(obs["clean_locations"], one)
     weather = weather.observe(obs["clean_weather"], one)
     joined = left_join_weather(clean, weather).observe(
         obs["joined"], one, F.count("avg_temp_max_f").alias("with_weather")
     )
     write_partitioned_parquet(enrich(joined), output_path, "state")
-    return {k: o.get for k, o in obs.items()}
+    return {k: _observed(o, "n", *(["with_weather"] if k == "joined" else [])) for k, o in obs.items()}

@@ -5,6 +5,9 @@ Shared relations are CTEs; each query pulls in the ones it needs."""
 
 from __future__ import annotations
 
+# a raw coordinate that is not null, empty or the number 0
+TRUTHY = "({c} <> '' AND coalesce(TRY_CAST({c} AS DOUBLE) <> 0, true))"
+
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {
     "raw_b": (
         """
@@ -34,7 +37,7 @@ FROM events GROUP BY user_id, CAST(ts AS DATE)""",
         (),
     ),
     "run_end": ("SELECT max(obs_date) AS d FROM daily", ("daily",)),
-    "geo": ("SELECT * FROM raw_b WHERE latitude <> '' AND longitude <> ''", ("raw_b",)),
+    "geo": ("SELECT * FROM raw_b WHERE " + TRUTHY.format(c="latitude") + " AND " + TRUTHY.format(c="longitude"), ("raw_b",)),
     "win": (
         "SELECT daily.* FROM daily WHERE obs_date BETWEEN (SELECT d FROM run_end) - 7 AND (SELECT d FROM run_end)",
         ("daily", "run_end"),
@@ -193,27 +196,32 @@ FROM geo g WHERE NOT EXISTS (SELECT 1 FROM wx WHERE wx.brewery_id = g.id)""",
         "ev",
     ),
     "external_json_table": with_ctes("SELECT * FROM raw_b", "raw_b"),
-    "paged_records": "SELECT event_id // 200 + 1 AS page, event_id, event_type FROM events",
+    "paged_records": (
+        "SELECT event_id // 200 + 1 AS page, event_id, event_type, CAST(to_json({'event_id': event_id, "
+        "'event_type': event_type, 'user_id': user_id}) AS VARCHAR) AS record FROM events"
+    ),
     "file_manifest": with_ctes(
-        "SELECT DISTINCT 'year=' || year || '/month=' || month || '/day=' || day AS partition_key, "
-        "CAST(1 AS BIGINT) AS n_files, true AS non_empty FROM ev",
+        "SELECT DISTINCT 'events/year=' || year || '/month=' || month || '/day=' || day AS partition_key, "
+        "true AS non_empty FROM ev UNION ALL "
+        "SELECT 'locations/year=' || strftime(d, '%Y') || '/month=' || strftime(d, '%m'), true FROM run_end",
         "ev",
+        "run_end",
     ),
     # 2.2 sinks
     "sink_partitioned_parquet": with_ctes(ENR_ALL, "enr"),
     "sink_file_count": with_ctes(
-        "SELECT state, CAST(1 AS BIGINT) AS n_files, count(*) AS n_rows FROM enr GROUP BY state", "enr"
+        "SELECT state, true AS has_files, count(*) AS n_rows FROM enr GROUP BY state", "enr"
     ),
     "sink_dated_json": with_ctes(
         """
 SELECT event_id, user_id,
        CASE WHEN d = (SELECT max(d) FROM ev) THEN upper(event_type) ELSE event_type END AS event_type,
-       value, year, month, day
+       value, event_id % 7 AS undeclared, year, month, day
 FROM ev""",
         "ev",
     ),
     "publish_raw_zone": with_ctes(
-        "SELECT year, month, day, count(*) AS source_rows, count(*) AS target_rows FROM ev GROUP BY year, month, day",
+        "SELECT year, month, day, count(*) AS source_rows, count(*) AS target_rows, 'uploaded' AS status FROM ev GROUP BY year, month, day",
         "ev",
     ),
     "materialize_model": with_ctes("SELECT * FROM dim", "dim"),
@@ -248,7 +256,7 @@ ORDER BY name ASC NULLS LAST, state ASC NULLS LAST, brewery_id ASC NULLS LAST LI
 SELECT b.brewery_id, b.brewery_name, b.brewery_type, b.brewery_category, b.city, b.state,
        b.latitude, b.longitude, b.climate_zone, b.has_coordinates,
        w.state_avg_temp_max_f, w.state_avg_temp_min_f, w.state_avg_precipitation, w.state_avg_windspeed,
-       CAST(w.brewery_count AS DOUBLE) AS breweries_in_state
+       coalesce(w.brewery_count, -1) AS breweries_in_state
 FROM dim b LEFT JOIN summ w ON b.state = w.state AND b.climate_zone = w.climate_zone""",
         "dim",
         "summ",
@@ -306,10 +314,10 @@ SELECT (SELECT count(*) FROM raw_b) AS raw_locations, (SELECT count(*) FROM clea
     ),
     "geocode_coverage": with_ctes(
         """
-SELECT count(*) FILTER (WHERE latitude <> '' AND longitude <> '') AS geocoded,
-       count(*) FILTER (WHERE NOT coalesce(latitude <> '' AND longitude <> '', false)) AS skipped
+SELECT (SELECT count(*) FROM geo) AS geocoded, count(*) - (SELECT count(*) FROM geo) AS skipped
 FROM raw_b""",
         "raw_b",
+        "geo",
     ),
     "top_groups": with_ctes(
         "SELECT state, count(*) AS brewery_count FROM raw_b GROUP BY state "
@@ -335,8 +343,8 @@ SELECT round(corr(m, n), 6) AS corr_temp_density, count(*) AS n_groups FROM (
     ),
     "count_over_time": """
 SELECT state, period, n_members,
-       CAST(lag(n_members) OVER (PARTITION BY state ORDER BY period) AS DOUBLE) AS prev_members,
-       CAST(n_members - lag(n_members) OVER (PARTITION BY state ORDER BY period) AS DOUBLE) AS change
+       coalesce(lag(n_members) OVER (PARTITION BY state ORDER BY period), -9223372036854775808) AS prev_members,
+       coalesce(n_members - lag(n_members) OVER (PARTITION BY state ORDER BY period), -9223372036854775808) AS change
 FROM (SELECT n_name AS state, strftime(o_orderdate, '%Y') AS period, count(DISTINCT o_custkey) AS n_members
       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
       GROUP BY n_name, strftime(o_orderdate, '%Y')) c""".strip(),
@@ -408,7 +416,10 @@ SELECT model, column_name, test, failures, CASE WHEN failures = 0 THEN 'pass' EL
 SELECT 'a' AS snapshot, id, name, state FROM raw_b
 UNION ALL
 SELECT 'b', id, name, state FROM raw_b r
-WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_orderstatus = 'O' AND CAST(o.o_custkey AS VARCHAR) = r.id)""",
+WHERE EXISTS (SELECT 1 FROM orders o WHERE year(o.o_orderdate) % 2 = 0 AND CAST(o.o_custkey AS VARCHAR) = r.id)
+UNION ALL
+SELECT 'c', id, name, state FROM raw_b r
+WHERE EXISTS (SELECT 1 FROM orders o WHERE year(o.o_orderdate) % 2 = 1 AND CAST(o.o_custkey AS VARCHAR) = r.id)""",
         "raw_b",
     ),
     # 2.9 scalar functions

@@ -16,19 +16,24 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from placeframe.constants import (
     ACCEPTED_CATEGORIES,
+    ACCEPTED_TESTS,
     CATEGORY_RULES,
     CLIMATE_BANDS,
     CLIMATE_BELOW,
     CLIMATE_MISSING,
     DAILY_FIELDS,
+    NOT_NULL_TESTS,
+    PREVIEW_COLUMNS,
+    PREVIEW_ORDER,
     PREVIEW_ROWS,
     STATE_CODE_LENGTH,
+    UNIQUE_TESTS,
 )
 from placeframe.functions.columns import (
     array_mean,
     count_nulls_in,
     date_part_strings,
-    is_truthy_text,
+    is_truthy_number,
     normalize_text,
     prefix_code,
     safe_cast,
@@ -56,6 +61,7 @@ EVENT_RECORD = StructType(
 )
 PAGE_RECORD = StructType([StructField("event_id", LongType(), True), StructField("event_type", StringType(), True)])
 DATED = ("year", "month", "day")
+NO_COUNT = -(1 << 63)
 CRAFT_TYPES = CATEGORY_RULES[0][0]
 
 
@@ -76,9 +82,9 @@ def _land_raw_locations(spark, sf_dir) -> str:
     return d
 
 
-def _land_events(spark, sf_dir) -> str:
-    root = fresh_dir(spark, "dated-events")
-    wr.land_dated_json(si.landed_events(spark, sf_dir), root, DATED)
+def _land_events(spark, sf_dir, root: str | None = None) -> str:
+    root = root or fresh_dir(spark, "dated-events")
+    wr.land_dated_lines(si.landed_lines(spark, sf_dir), root, DATED)
     return root
 
 
@@ -112,14 +118,14 @@ def q_scan_ndjson_typed(spark, sf_dir):
 
 
 def q_scan_ndjson_nested(spark, sf_dir):
-    raw = si.raw_locations(spark, sf_dir)
-    geo = si.geocoded_locations(spark, sf_dir, raw)
-    env = si.weather_records(spark, sf_dir, raw)
+    geo = si.geocoded_locations(spark, sf_dir)
+    daily = si.daily_observations(spark, sf_dir)
+    end = jn.as_of_date(daily, "obs_date")
+    arrays = jn.daily_arrays(jn.trailing_window(si.repeated_days(daily), "obs_date"), "loc_id", "obs_date", ("tmax", "tmin", "precip", "wind"))
     # geocoded locations without observations get a record whose daily
     # block is empty ({}): the typed reader must still resolve the arrays
-    end = jn.as_of_date(si.daily_observations(spark, sf_dir), "obs_date")
-    empty_block = F.struct(*[F.lit(None).cast("array<double>").alias(f) for f in DAILY_FIELDS])
-    empty = jn.missing_weather(geo, env).select(
+    empty = F.struct(*[F.lit(None).cast("array<double>").alias(f) for f in DAILY_FIELDS])
+    env = jn.join_spreading_null_keys(geo, arrays.withColumnRenamed("loc_id", "id"), "id", "left").select(
         F.col("id").alias("brewery_id"),
         F.col("name").alias("brewery_name"),
         "state",
@@ -127,10 +133,10 @@ def q_scan_ndjson_nested(spark, sf_dir):
         "latitude",
         "longitude",
         F.date_format(end, "yyyy-MM-dd").alias("fetch_date"),
-        empty_block.alias("weather"),
+        F.coalesce("weather", empty).alias("weather"),
     )
     d = fresh_dir(spark, "raw-weather")
-    env.unionByName(empty).write.mode("overwrite").json(d)
+    env.write.mode("overwrite").json(d)
     w = rd.read_weather(spark, d)
     return w.select(
         "brewery_id",
@@ -149,8 +155,8 @@ def q_scan_ndjson_nested(spark, sf_dir):
 def q_json_decode_lines(spark, sf_dir):
     raw = si.raw_locations(spark, sf_dir)
     lines = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
-    # one whitespace-only line per record without an id: must be skipped
-    blanks = raw.filter(F.col("id").isNull()).select(F.lit("   ").alias("value"))
+    # one whitespace-only line (spaces, tabs) per record without an id: must be skipped
+    blanks = raw.filter(F.col("id").isNull()).select(F.lit(" \t \u00a0").alias("value"))
     d = fresh_dir(spark, "json-lines")
     lines.unionByName(blanks).write.mode("overwrite").text(d)
     return rd.read_json_lines(spark, d, RAW_LOCATION)
@@ -174,18 +180,19 @@ def q_external_json_table(spark, sf_dir):
 
 
 def q_paged_records(spark, sf_dir):
-    return rd.paged_records(si.event_pages(spark, sf_dir), PAGE_RECORD)
+    # the records' own text, and their typed fields
+    lines = rd.page_record_lines(si.event_pages(spark, sf_dir))
+    return lines.select("page", "value", F.from_json("value", PAGE_RECORD, {"mode": "FAILFAST"}).alias("r")).select("page", "r.*", F.col("value").alias("record"))
 
 
 def q_file_manifest(spark, sf_dir):
-    # listing only: one non-empty file per landed day (the landing is
-    # rebalanced by its partition columns)
-    m = rd.file_manifest(spark, _land_events(spark, sf_dir))
+    # listing only, over two zones below one root
+    root = fresh_dir(spark, "raw-zones")
+    _land_events(spark, sf_dir, f"{root}/events")
+    wr.land_period_json(si.raw_locations(spark, sf_dir), f"{root}/locations", si.run_period(spark, sf_dir))
+    m = rd.file_manifest(spark, root)
     part_dir = F.regexp_replace("key", r"/[^/]+$", "")
-    return m.groupBy(part_dir.alias("partition_key")).agg(
-        F.count(F.lit(1)).alias("n_files"),
-        (F.min("file_size") > 0).alias("non_empty"),
-    )
+    return m.groupBy(part_dir.alias("partition_key")).agg((F.min("file_size") > 0).alias("non_empty"))
 
 
 # ---- 2.2 sinks --------------------------------------------------------------
@@ -197,22 +204,26 @@ def q_sink_partitioned_parquet(spark, sf_dir):
 
 def q_sink_file_count(spark, sf_dir):
     out, _ = _write_enriched(spark, sf_dir)
-    return wr.files_per_partition(spark, out, "state")
+    # how many files a hot state is split into depends on the data's size
+    return wr.files_per_partition(spark, out, "state").select("state", (F.col("n_files") >= 1).alias("has_files"), "n_rows")
 
 
 def q_sink_dated_json(spark, sf_dir):
     root = _land_events(spark, sf_dir)
     # re-land the latest day with revised records: only that day is replaced
-    ev = si.landed_events(spark, sf_dir)
-    latest = rd.latest_snapshot(ev, DATED).withColumn("event_type", F.upper("event_type"))
-    wr.land_dated_json(latest, root, DATED)
-    return _read_events(spark, root)
+    latest = rd.latest_snapshot(si.landed_lines(spark, sf_dir), DATED)
+    kind = F.get_json_object("value", "$.event_type")
+    revised = latest.withColumn("value", F.replace("value", F.concat(F.lit('"'), kind, F.lit('"')), F.concat(F.lit('"'), F.upper(kind), F.lit('"'))))
+    wr.land_dated_lines(revised, root, DATED)
+    text = rd.read_partitioned(spark, root, StructType([StructField("value", StringType(), True)]), DATED, fmt="text")
+    record = F.from_json("value", EVENT_RECORD, {"mode": "FAILFAST"})
+    undeclared = F.get_json_object("value", "$.undeclared").cast("long")
+    return text.select(record.alias("r"), undeclared.alias("undeclared"), *DATED).select("r.*", "undeclared", *DATED)
 
 
 def q_publish_raw_zone(spark, sf_dir):
     src = _land_events(spark, sf_dir)
-    report = wr.publish_zone(spark, src, fresh_dir(spark, "published"), EVENT_RECORD, DATED)
-    return wr.assert_published(report)
+    return wr.assert_published(wr.publish_zone(spark, src, fresh_dir(spark, "published"), DATED))
 
 
 def q_materialize_model(spark, sf_dir):
@@ -225,8 +236,7 @@ def q_materialize_model(spark, sf_dir):
 
 
 def q_preview(spark, sf_dir):
-    cols = ["brewery_id", "name", "state", "brewery_type", "avg_temp_max_f", "climate_zone"]
-    return wr.preview(_enr(spark, sf_dir), cols, ["name", "state", "brewery_id"], PREVIEW_ROWS)
+    return wr.preview(_enr(spark, sf_dir), PREVIEW_COLUMNS, PREVIEW_ORDER, PREVIEW_ROWS)
 
 
 # ---- 2.3 projections --------------------------------------------------------
@@ -278,10 +288,10 @@ def q_fact_location_weather(spark, sf_dir):
 
 
 def q_fact_matched_zone(spark, sf_dir):
-    # the count is null for rows without a matching zone: presented as double
-    # so that null stays null through every client conversion
+    # the count is null for rows without a matching zone: shown as -1, so that
+    # the bigint stays one through every client conversion
     f = _marts(spark, sf_dir, grain="matched_zone").fact
-    return f.withColumn("breweries_in_state", F.col("breweries_in_state").cast("double"))
+    return f.withColumn("breweries_in_state", F.coalesce("breweries_in_state", F.lit(-1).cast("long")))
 
 
 def q_assemble_weather(spark, sf_dir):
@@ -347,19 +357,11 @@ def q_state_weather_summary(spark, sf_dir):
 
 def q_stage_counts(spark, sf_dir):
     raw = si.raw_locations(spark, sf_dir)
-    w = si.weather_records(spark, sf_dir, raw)
-    return stage_counts(
-        {
-            "raw_locations": raw,
-            "clean_locations": cl.clean_locations(raw),
-            "raw_weather": w,
-            "clean_weather": cl.flatten_weather(w),
-        }
-    )
+    return stage_counts(raw, si.weather_records(spark, sf_dir, raw))
 
 
 def q_geocode_coverage(spark, sf_dir):
-    return agg.geocode_coverage(si.raw_locations(spark, sf_dir), is_truthy_text("latitude") & is_truthy_text("longitude"))
+    return agg.geocode_coverage(si.raw_locations(spark, sf_dir), is_truthy_number("latitude") & is_truthy_number("longitude"))
 
 
 def q_top_groups(spark, sf_dir):
@@ -377,8 +379,8 @@ def q_density_correlation(spark, sf_dir):
 
 def q_count_over_time(spark, sf_dir):
     c = agg.count_over_time(si.location_orders(spark, sf_dir), "state", "period", "location")
-    # first period has no previous count: nullable counts presented as double
-    return c.withColumns({k: F.col(k).cast("double") for k in ("prev_members", "change")})
+    # the first period has no previous count: shown as the smallest bigint
+    return c.withColumns({k: F.coalesce(k, F.lit(NO_COUNT)) for k in ("prev_members", "change")})
 
 
 # ---- 2.7 quality ------------------------------------------------------------
@@ -397,19 +399,6 @@ def q_check_unique(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-NOT_NULL_TESTS = (
-    ("stg_locations", "brewery_id"),
-    ("stg_locations", "brewery_name"),
-    ("stg_locations", "state"),
-    ("stg_locations", "brewery_type"),
-    ("state_weather_summary", "state"),
-    ("dim_locations", "brewery_id"),
-    ("dim_locations", "brewery_category"),
-    ("fact_location_weather", "brewery_id"),
-    ("fact_location_weather", "state"),
-)
-UNIQUE_TESTS = (("stg_locations", "brewery_id"), ("dim_locations", "brewery_id"))
-ACCEPTED_TESTS = (("dim_locations", "brewery_category", ACCEPTED_CATEGORIES),)
 KNOWN_TYPES = tuple(t for values, _ in CATEGORY_RULES for t in values)
 
 
@@ -489,14 +478,12 @@ def q_enrich(spark, sf_dir):
 def q_enrichment_job(spark, sf_dir):
     """Whole job: land raw NDJSON under year=/month=, read it back through
     the typed readers, clean, join, enrich, write by state, read back."""
-    year, month = si.run_month(spark, sf_dir)
+    period = si.run_period(spark, sf_dir)
     loc_root = fresh_dir(spark, "raw-zone-locations")
     wx_root = fresh_dir(spark, "raw-zone-weather")
     base = si.raw_locations(spark, sf_dir)
-    raw = base.withColumns({"year": year, "month": month})
-    wx = si.weather_records(spark, sf_dir, base).withColumns({"year": year, "month": month})
-    wr.land_dated_json(raw, loc_root, ("year", "month"))
-    wr.land_dated_json(wx, wx_root, ("year", "month"))
+    wr.land_period_json(base, loc_root, period)
+    wr.land_period_json(si.weather_records(spark, sf_dir, base), wx_root, period)
     out = fresh_dir(spark, "enriched-output")
     run_enrichment(
         rd.read_locations(spark, f"{loc_root}/year=*/month=*/*.json"),

@@ -10,7 +10,7 @@ through (defects are injected into values, never by dropping rows):
   daily obs      <- events aggregated per (user, day): max, min, count,
                     range; some minima are nulled to exercise null days
   pages          <- events cut into pages of 200 by event_id
-  snapshots      <- raw locations, and those with an open order
+  snapshots      <- raw locations, and those with orders of even and of odd years
 """
 
 from __future__ import annotations
@@ -81,13 +81,21 @@ def daily_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_days(daily: DataFrame) -> DataFrame:
+    """The observations, with a second, smaller record for every third day's rows:
+    an assembly must reduce them to one record a day."""
+    again = daily.filter(F.dayofmonth("obs_date") % 3 == 0).withColumn("tmax", F.col("tmax") - 1)
+    return daily.unionByName(again)
+
+
 def geocoded_locations(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     return filter_geocoded(raw if raw is not None else raw_locations(spark, sf_dir))
 
 
 def weather_records(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
-    """Nested weather records for geocoded locations (trailing window)."""
-    return assemble_weather(daily_observations(spark, sf_dir), geocoded_locations(spark, sf_dir, raw))
+    """Nested weather records for geocoded locations (trailing window), from
+    observations of which some days are repeated."""
+    return assemble_weather(repeated_days(daily_observations(spark, sf_dir)), geocoded_locations(spark, sf_dir, raw))
 
 
 def run_month(spark: SparkSession, sf_dir: str) -> tuple:
@@ -96,6 +104,19 @@ def run_month(spark: SparkSession, sf_dir: str) -> tuple:
     return F.date_format(end, "yyyy"), F.date_format(end, "MM")
 
 
+def run_period(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The run's year and month as constants (one value comes to the driver)."""
+    end = daily_observations(spark, sf_dir).agg(F.max("obs_date").alias("d")).first()["d"]
+    return {"year": f"{end:%Y}", "month": f"{end:%m}"}
+
+
+def landed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as JSON lines with a field that no schema declares, and their date parts."""
+    e = landed_events(spark, sf_dir)
+    fields = [c for c in e.columns if c not in ("year", "month", "day")]
+    return e.select(F.to_json(F.struct(*fields, (F.col("event_id") % 7).alias("undeclared"))).alias("value"), "year", "month", "day")
+
+
 def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events with zero-padded year/month/day strings for dated landings."""
     e = read_table(spark, sf_dir, "events")
@@ -114,12 +135,13 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page, body): events cut into pages of PAGE_SIZE by event_id, then the
     empty page that ends the feed and one stale page after it (a copy of the
-    first page) that a reader must not take."""
-    e = read_table(spark, sf_dir, "events").select("event_id", "event_type")
+    first page) that a reader must not take. Records have a field, user_id, that
+    the typed schema doesn't declare."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "event_type", "user_id")
     page = (F.floor(F.col("event_id") / PAGE_SIZE) + 1).alias("page")
     # at most PAGE_SIZE records per page (event_id is the page's sort key)
     pages = e.groupBy(page).agg(
-        F.to_json(F.array_sort(F.collect_list(F.struct("event_id", "event_type")))).alias("body")
+        F.to_json(F.array_sort(F.collect_list(F.struct("event_id", "event_type", "user_id")))).alias("body")
     )
     last = pages.select(F.max("page")).scalar()
     first = pages.select(F.min("page")).scalar()
@@ -129,19 +151,22 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def location_snapshots(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
-    """Two snapshots of the location feed: everything, then the locations
-    that still have an open order (semi join: no fan-out)."""
+    """Three snapshots of the location feed: everything, the locations with an
+    order of an even year, and those with one of an odd year (semi joins: no
+    fan-out)."""
     raw = raw_locations(spark, sf_dir).select("id", "name", "state")
     # distinct keys first: a customer with a third of all orders becomes
-    # one row per task before the shuffle that feeds the semi join
-    open_orders = (
+    # two rows per task before the shuffle that feeds the semi joins
+    active = (
         read_table(spark, sf_dir, "orders")
-        .filter(F.col("o_orderstatus") == "O")
-        .select(F.col("o_custkey").cast("string").alias("_k"))
+        .select(F.col("o_custkey").cast("string").alias("_k"), (F.year("o_orderdate") % 2).alias("_odd"))
         .distinct()
     )
-    later = raw.join(open_orders, raw["id"] == open_orders["_k"], "left_semi")
-    return [("a", raw), ("b", later)]
+    out = [("a", raw)]
+    for label, odd in (("b", 0), ("c", 1)):
+        own = active.filter(F.col("_odd") == odd)
+        out.append((label, raw.join(own, raw["id"] == own["_k"], "left_semi")))
+    return out
 
 
 def location_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

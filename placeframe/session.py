@@ -91,6 +91,29 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/placeframe/{tag}-{uuid.uuid4().hex}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of a folder, for any Hadoop URI."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(conf), where
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` (none if it isn't there)."""
+    fs, where = _folder(spark, path)
+    if not fs.exists(where):
+        return []
+    return [x.getPath().getName() for x in fs.listStatus(where) if x.isDirectory()]
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Removes a folder that ``fresh_dir`` named, once its job has no more use for it."""
+    if "/placeframe/" not in path or not path.startswith(shared_root(spark)):
+        raise ValueError(f"{path} is no scratch folder of this session")
+    fs, where = _folder(spark, path)
+    fs.delete(where, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -3,6 +3,9 @@ from placeframe.sinks.writers import (  # noqa: F401
     encode_json_lines,
     files_per_partition,
     land_dated_json,
+    land_dated_lines,
+    land_lines,
+    land_period_json,
     materialize,
     preview,
     publish_zone,

@@ -36,8 +36,9 @@ def write_partitioned_parquet(
 
 
 def files_per_partition(spark: SparkSession, path: str, col: str, fmt: str = "parquet") -> DataFrame:
-    """(value, files, rows) of a partitioned dataset, on any filesystem."""
-    df = spark.read.format(fmt).load(path).select(col, "_metadata.file_path")
+    """(value, files, rows) of a partitioned dataset, on any filesystem. Only the
+    partition column is declared, as a string ("01" stays "01"), so no data is read."""
+    df = spark.read.format(fmt).schema(f"`{col}` string").load(path).select(col, "_metadata.file_path")
     return df.groupBy(col).agg(
         F.countDistinct("file_path").alias("n_files"),
         F.count(F.lit(1)).alias("n_rows"),
@@ -57,41 +58,81 @@ def land_dated_json(df: DataFrame, root: str, parts: Sequence[str] = ("year", "m
     return root
 
 
-def publish_zone(
-    spark: SparkSession,
-    source_root: str,
-    target_root: str,
-    schema,
-    parts: Sequence[str],
-    fmt: str = "json",
-) -> DataFrame:
-    """Copy a partitioned zone to another root keeping its layout, then
-    report per-partition row counts of source and target."""
-    from placeframe.sources.readers import read_partitioned
-
-    src = read_partitioned(spark, source_root, schema, parts, fmt)
+def land_dated_lines(lines: DataFrame, root: str, parts: Sequence[str], col: str = "value") -> str:
+    """Like ``land_dated_json`` for records that are JSON text already: they land as they came."""
     (
-        _rebalanced(src, parts)
+        _rebalanced(lines.select(F.col(col).alias("value"), *parts), parts)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*parts)
-        .format(fmt)
-        .save(target_root)
+        .text(root)
     )
-    dst = read_partitioned(spark, target_root, schema, parts, fmt)
-    s = src.groupBy(*parts).agg(F.count(F.lit(1)).alias("source_rows"))
-    t = dst.groupBy(*parts).agg(F.count(F.lit(1)).alias("target_rows"))
-    return s.join(t, list(parts), "full")
+    return root
 
 
-def assert_published(report: DataFrame, sample: int = 20) -> DataFrame:
-    """Fail when any partition's target count differs from its source count
-    (or exists on one side only). Only a bounded sample of the mismatching
-    partitions is brought to the driver, for the error message."""
-    bad = report.filter(
-        F.col("source_rows").isNull() | F.col("target_rows").isNull() | (F.col("source_rows") != F.col("target_rows"))
+def period_path(root: str, parts: dict[str, str]) -> str:
+    return "/".join([root.rstrip("/"), *(f"{k}={v}" for k, v in parts.items())])
+
+
+def land_lines(lines: DataFrame, root: str, parts: dict[str, str], col: str = "value") -> str:
+    """Records (JSON text, one a line) of one period, as they came, under its k=v
+    folder. The parts are constants, so nothing is shuffled and only that folder
+    is replaced."""
+    path = period_path(root, parts)
+    lines.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def land_period_json(df: DataFrame, root: str, parts: dict[str, str]) -> str:
+    """Like ``land_lines`` for a table, written as NDJSON."""
+    path = period_path(root, parts)
+    df.write.mode("overwrite").json(path)
+    return path
+
+
+def _zone_lines(spark: SparkSession, root: str, parts: Sequence[str]) -> DataFrame:
+    """A zone's lines as text, with its partition columns as strings."""
+    schema = ", ".join(f"`{c}` string" for c in ("value", *parts))
+    return spark.read.format("text").schema(schema).option("basePath", root).option("lineSep", "\n").load(root)
+
+
+def _content(lines: DataFrame, parts: Sequence[str], side: str) -> DataFrame:
+    """Rows and an order-free hash of the text of each partition."""
+    named = [F.coalesce(F.col(p), F.lit("")).alias(p) for p in parts]
+    return lines.groupBy(*named).agg(
+        F.count(F.lit(1)).alias(f"{side}_rows"),
+        F.sum(F.xxhash64("value").cast("decimal(38,0)")).alias(f"{side}_hash"),
     )
-    rows = bad.limit(sample).collect()
+
+
+def publish_zone(spark: SparkSession, source_root: str, target_root: str, parts: Sequence[str]) -> DataFrame:
+    """Copy a partitioned zone of text records to another root, line by line and
+    without a shuffle, then compare each source partition's rows and content.
+
+    Returns the partitions of the source with source_rows, target_rows and
+    status (``uploaded`` or ``failed``). Partitions that only the target has
+    (the source may have dropped older ones) are left as they are.
+    """
+    src = _zone_lines(spark, source_root, parts)
+    (
+        src.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("lineSep", "\n")
+        .partitionBy(*parts)
+        .text(target_root)
+    )
+    s = _content(src, parts, "source")
+    t = _content(_zone_lines(spark, target_root, parts), parts, "target")
+    same = F.col("source_rows").eqNullSafe(F.col("target_rows")) & F.col("source_hash").eqNullSafe(F.col("target_hash"))
+    return s.join(t, list(parts), "left").select(
+        *parts, "source_rows", F.coalesce("target_rows", F.lit(0)).alias("target_rows"), F.when(same, "uploaded").otherwise("failed").alias("status")
+    )
+
+
+def assert_published(report: DataFrame, sample: int = 20) -> DataFrame:
+    """Fail when any source partition isn't in the target as it is. Only a bounded
+    sample of the failed partitions is brought to the driver, for the message."""
+    rows = report.filter(F.col("status") != "uploaded").limit(sample).collect()
     if rows:
         raise RuntimeError(f"{len(rows)}+ partition(s) not published intact, e.g. {[r.asDict() for r in rows[:3]]}")
     return report

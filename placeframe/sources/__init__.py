@@ -3,6 +3,7 @@ from placeframe.sources.readers import (  # noqa: F401
     decode_json_lines,
     file_manifest,
     latest_snapshot,
+    page_record_lines,
     paged_records,
     read_json_lines,
     read_latest_partition,

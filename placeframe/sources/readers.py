@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
-from placeframe.functions.columns import object_key
+from placeframe.functions.columns import object_key, strip_text
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER, with_string_parts
+from placeframe.session import folder_names
 
 
 def read_ndjson(spark: SparkSession, path: str | list[str], schema: StructType, base_path: str | None = None) -> DataFrame:
@@ -34,10 +35,10 @@ def read_weather(spark: SparkSession, path: str | list[str], base_path: str | No
 
 
 def decode_json_lines(lines: DataFrame, schema: StructType, col: str = "value", fail_fast: bool = True) -> DataFrame:
-    """Text lines -> records: strip, skip blank lines, decode each line.
-    With ``fail_fast`` a malformed line fails the job instead of becoming null."""
+    """Text lines -> records: strip white space of every kind, skip blank lines,
+    decode each line. With ``fail_fast`` a malformed line fails the job instead of becoming null."""
     opts = {"mode": "FAILFAST"} if fail_fast else {}
-    text = F.trim(F.col(col))
+    text = strip_text(col)
     return lines.filter(text != F.lit("")).select(F.from_json(text, schema, opts).alias("_r")).select("_r.*")
 
 
@@ -97,6 +98,18 @@ def _cores(spark: SparkSession) -> int:
             return 200
 
 
+def _latest_folder(spark: SparkSession, path: str, parts: list[str]) -> str | None:
+    """``k=v/...`` of the greatest folder below ``path`` that has all the levels."""
+    if not parts:
+        return ""
+    prefix = f"{parts[0]}="
+    for name in sorted((n for n in folder_names(spark, path) if n.startswith(prefix) and n != prefix), reverse=True):
+        below = _latest_folder(spark, f"{path}/{name}", parts[1:])
+        if below is not None:
+            return f"{name}/{below}".rstrip("/")
+    return None
+
+
 def read_latest_partition(
     spark: SparkSession,
     root: str,
@@ -106,21 +119,15 @@ def read_latest_partition(
 ) -> DataFrame:
     """Read only the greatest (parts...) directory of a Hive-layout zone.
 
-    The latest directory is found from a content-free listing (binaryFile
-    without its ``content`` column): partition values are cut from each
-    path and the maximum is aggregated by Spark, so one row reaches the
-    driver and no data file is opened. Comparison is on the string values
-    (zero-padded parts). Only that directory is then scanned.
+    The directory is found level by level (the greatest ``year=``, in it the
+    greatest ``month=``, ...), so the driver lists a few folders, never the
+    zone's files. Comparison is on the string values (zero-padded parts); a
+    folder without the next level is passed over. Only that directory is then
+    scanned.
     """
-    values = [F.regexp_extract("path", f"/{p}=([^/]*)/", 1).alias(p) for p in parts]
-    present = None
-    for p in parts:
-        c = F.col(p) != F.lit("")
-        present = c if present is None else present & c
-    latest = _listing(spark, root).select(*values).filter(present).agg(F.max(F.struct(*parts)).alias("m")).first()["m"]
-    if latest is None:
+    sub = _latest_folder(spark, root.rstrip("/"), list(parts))
+    if sub is None:
         raise FileNotFoundError(f"no partitions under {root}")
-    sub = "/".join(f"{p}={latest[p]}" for p in parts)
     return (
         spark.read.format(fmt)
         .schema(with_string_parts(schema, parts))
@@ -154,34 +161,42 @@ def create_external_json_table(
     return spark.table(name)
 
 
-def paged_records(pages: DataFrame, record_schema: StructType, page_col: str = "page", body_col: str = "body") -> DataFrame:
-    """Flatten landed page bodies (JSON arrays of records).
-
-    Pages are read in ascending order until the first empty page; that page
-    and everything after it are ignored (a null body counts as empty). The
-    stop page is a scalar subquery (min page whose array length is 0) that
-    only measures array lengths, without decoding records; each page is then
-    decoded and exploded independently, so no page order is materialised in
-    one task.
+def page_record_lines(pages: DataFrame, page_col: str = "page", body_col: str = "body") -> DataFrame:
+    """(page, value): every record of landed page bodies (JSON arrays) as its JSON
+    text, whole, so that fields no schema declares are kept.
+
+    Pages are read in ascending order until the first empty page (an array
+    without records); that page and everything after it are ignored. A body
+    before it that is null, truncated or no array fails the job: it must not
+    pass for the end of the feed. The stop page is a scalar subquery that only
+    measures array lengths; each page is then cut into records independently,
+    so no page order is materialised in one task.
     """
-    length = F.coalesce(F.json_array_length(F.col(body_col)), F.lit(0))
-    stop = pages.filter(length <= 0).select(F.min(page_col)).scalar()
+    length = F.json_array_length(F.col(body_col))
+    stop = pages.filter(length == 0).select(F.min(page_col)).scalar()
     kept = pages.filter(stop.isNull() | (F.col(page_col) < stop))
-    decoded = kept.select(
-        F.col(page_col).alias("page"),
-        F.from_json(F.col(body_col), ArrayType(record_schema)).alias("_recs"),
-    )
-    return decoded.select("page", F.explode("_recs").alias("_r")).select("page", "_r.*")
+    broken = F.raise_error(F.concat(F.lit("page "), F.coalesce(F.col(page_col).cast("string"), F.lit("null")), F.lit(" holds no JSON array")))
+    body = F.when(length.isNull(), broken.cast("string")).otherwise(F.col(body_col))
+    lines = F.from_json(body, "array<string>", {"mode": "FAILFAST"})
+    return kept.select(F.col(page_col).alias("page"), F.explode(lines).alias("value"))
+
+
+def paged_records(pages: DataFrame, record_schema: StructType, page_col: str = "page", body_col: str = "body") -> DataFrame:
+    """Landed page bodies as typed records (see ``page_record_lines`` for where the
+    feed ends); a record that doesn't fit the schema fails the job."""
+    lines = page_record_lines(pages, page_col, body_col)
+    return lines.select("page", F.from_json("value", record_schema, {"mode": "FAILFAST"}).alias("_r")).select("page", "_r.*")
 
 
-def file_manifest(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
-    """Files under ``root`` matching ``pattern`` at any depth: a distributed
-    listing (the binaryFile source reads no file content unless asked), with
-    the object key relative to the root (``\\`` normalised to ``/``).
+def file_manifest(spark: SparkSession, root: str, pattern: str = "*.{json,txt}") -> DataFrame:
+    """Files under ``root`` matching ``pattern`` at any depth: a listing without
+    file contents (the binaryFile source reads none unless asked), with the
+    object key relative to the root, zones kept (``\\`` normalised to ``/``).
+    The driver holds the listing, as for any scan.
     Returns (file_path, key, file_size, modified)."""
     df = _listing(spark, root, pattern).select(
         F.col("path").alias("file_path"),
         F.col("length").alias("file_size"),
         F.col("modificationTime").alias("modified"),
     )
-    return df.select("file_path", object_key("file_path").alias("key"), "file_size", "modified")
+    return df.select("file_path", object_key("file_path", root).alias("key"), "file_size", "modified")

@@ -1,10 +1,11 @@
 """End-to-end: land raw NDJSON, run the job, build and publish marts."""
 
+import pytest
 from pyspark.sql.types import StructType
 
 from placeframe.operators import run_suite
 from placeframe.plans import standin as si
-from placeframe.plans.enrichment import build_marts, enriched, publish_marts, run_enrichment
+from placeframe.plans.enrichment import build_marts, enriched, publish_marts, read_enriched, run_enrichment
 from placeframe.session import fresh_dir
 from placeframe.sinks import land_dated_json
 from placeframe.sources import read_locations, read_partitioned, read_weather
@@ -137,8 +138,8 @@ def test_publish_job(spark, capsys):
     rc = jobs.main(["publish", "--raw-locations", loc_root, "--raw-weather", wx_root, "--target", target], spark=spark)
     printed = capsys.readouterr().out
     assert rc == 0, printed
-    assert f'"zone": "locations", "partitions": 1, "rows": {raw.count()}' in printed
-    assert read_locations(spark, f"{target}/locations/year=*/month=*/*.json").count() == raw.count()
+    assert f'"zone": "locations", "uploaded": 1, "failed": 0, "rows": {raw.count()}' in printed
+    assert read_locations(spark, f"{target}/locations/year=*/month=*").count() == raw.count()
 
 
 def test_ingest_pages_job(spark, capsys):
@@ -158,11 +159,57 @@ def test_ingest_pages_job(spark, capsys):
     pages.unionByName(extra).write.parquet(pages_dir)
     rc = jobs.main(["ingest-pages", "--pages", pages_dir, "--raw-locations", loc_root, "--run-date", "2024-01-31"], spark=spark)
     assert rc == 0, capsys.readouterr().out
-    back = read_locations(spark, f"{loc_root}/year=2024/month=01/*.json")
+    back = read_locations(spark, f"{loc_root}/year=2024/month=01")
     assert back.count() == raw.count()
     assert back.filter("id = 'stale'").count() == 0
 
 
+def test_ingest_keeps_undeclared_fields_and_fails_on_a_bad_page(spark):
+    import pytest
+
+    from placeframe import jobs
+
+    pages_dir, loc_root = fresh_dir(spark, "ip-pages"), fresh_dir(spark, "ip-loc")
+    record = '{"id":"1","name":"A","address_1":"x","tags":[1,{"a":null}]}'
+    spark.createDataFrame([(1, f"[{record}]"), (2, "[]")], "page long, body string").write.json(pages_dir)
+    args = ["ingest-pages", "--pages", pages_dir, "--format", "json", "--raw-locations", loc_root, "--run-date", "2024-01-31"]
+    assert jobs.main(args, spark=spark) == 0
+    assert [r.value for r in spark.read.text(f"{loc_root}/year=2024/month=01").collect()] == [record]
+    spark.createDataFrame([(1, f"[{record}]"), (2, '[{"id":'), (3, "[]")], "page long, body string").write.mode("overwrite").json(pages_dir)
+    with pytest.raises(Exception, match="page 2 holds no JSON array"):
+        jobs.main(args, spark=spark)
+
+
+@pytest.mark.parametrize("case", ["no weather", "malformed weather", "no kept country"])
+def test_transform_survives_an_empty_stage(spark, capsys, case):
+    from placeframe import jobs
+    from placeframe.sinks import land_lines
+
+    loc_root, wx_root, out, marts = (fresh_dir(spark, t) for t in ("e-loc", "e-wx", "e-out", "e-marts"))
+    period = {"year": "2024", "month": "01"}
+    country = "Canada" if case == "no kept country" else "United States"
+    places = [f'{{"id":"{i}","name":"A","state":"Ohio","brewery_type":"micro","country":"{country}"}}' for i in range(3)]
+    weather = {"no weather": [], "malformed weather": ["{oops", "nothing"], "no kept country": ['{"brewery_id":"1","fetch_date":"2024-01-31","weather":{}}']}[case]
+    for root, lines in ((loc_root, places), (wx_root, weather)):
+        land_lines(spark.createDataFrame([(x,) for x in lines], "value string"), root, period)
+    rc = jobs.main(["transform", "--raw-locations", loc_root, "--raw-weather", wx_root, "--output", out, "--marts", marts], spark=spark)
+    printed = capsys.readouterr().out
+    assert rc == 0, printed
+    kept = 0 if case == "no kept country" else 3
+    assert read_enriched(spark, out).count() == kept
+    assert spark.read.parquet(f"{marts}/fact_location_weather").filter("state_avg_temp_max_f is null").count() == kept
+
+
+def test_publish_refuses_an_empty_target(spark):
+    import pytest
+
+    from placeframe import jobs
+
+    for target in ("", "/"):
+        with pytest.raises(SystemExit):
+            jobs.main(["publish", "--raw-locations", "a", "--raw-weather", "b", "--target", target], spark=spark)
+
+
 def test_transform_job_matched_zone_without_raw_counts(spark, capsys):
     from placeframe import jobs
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from placeframe.sinks import files_per_partition, land_dated_json, write_partitioned_parquet
-from placeframe.sources import file_manifest, latest_snapshot, paged_records, read_json_lines, read_latest_partition, read_partitioned
+from placeframe.sources import file_manifest, latest_snapshot, page_record_lines, paged_records, read_json_lines, read_latest_partition, read_partitioned
 from placeframe.schemas import RAW_LOCATION
 
 REC = StructType([StructField("event_id", LongType()), StructField("event_type", StringType())])
@@ -18,6 +18,37 @@ def test_paged_records_stop_at_first_empty(spark):
     assert sorted(r.event_id for r in paged_records(pages, REC).collect()) == [1, 2]
 
 
+def test_a_bad_page_fails_instead_of_ending_the_feed(spark):
+    import pytest
+
+    good = (1, '[{"event_id":1,"event_type":"a","more":{"x":[1,2]}}]')
+    for body in ('[{"event_id":2,', None, '{"message":"error"}'):
+        pages = spark.createDataFrame([good, (2, body), (3, good[1]), (4, "[]")], "page long, body string")
+        with pytest.raises(Exception, match="page 2 holds no JSON array"):
+            paged_records(pages, REC).collect()
+    # after the feed's end nothing is read
+    pages = spark.createDataFrame([good, (2, "[]"), (3, None)], "page long, body string")
+    assert [(r.page, r.value) for r in page_record_lines(pages).collect()] == [(1, '{"event_id":1,"event_type":"a","more":{"x":[1,2]}}')]
+
+
+def test_latest_folder_is_found_level_by_level(spark, scratch):
+    import pytest
+
+    rows = spark.range(2)
+    for part in ("year=2023/month=12", "year=2024/month=02", "year=2024/month=11"):
+        rows.write.json(f"{scratch}/{part}")
+    rows.write.json(f"{scratch}/year=2025/other")  # no month: passed over
+    got = read_latest_partition(spark, scratch, StructType([StructField("id", LongType())]), ("year", "month"))
+    assert {(r.year, r.month) for r in got.collect()} == {("2024", "11")}
+    with pytest.raises(FileNotFoundError):
+        read_latest_partition(spark, scratch + "/none", REC, ("year",))
+
+
+def test_files_per_partition_keeps_strings(spark, scratch):
+    spark.createDataFrame([(1, "01"), (2, "02")], "id long, month string").write.partitionBy("month").parquet(scratch)
+    assert sorted(r.month for r in files_per_partition(spark, scratch, "month").collect()) == ["01", "02"]
+
+
 def test_dated_json_dynamic_overwrite_keeps_other_partitions(spark, scratch):
     df = spark.createDataFrame([(1, "a", "2024", "01"), (2, "b", "2024", "02")], "event_id long, event_type string, year string, month string")
     land_dated_json(df, scratch, ("year", "month"))
@@ -44,7 +75,7 @@ def test_partitioned_parquet_one_file_per_value_and_empty_state(spark, scratch):
 def test_json_lines_skip_blank(spark, local_dir):
     p = os.path.join(local_dir, "l.txt")
     with open(p, "w") as fh:
-        fh.write('{"id":"1","name":"A"}\n   \n\n{"id":"2"}\n')
+        fh.write('{"id":"1","name":"A"}\n   \n\n\t\t\n \t{"id":"2"}\t\n')
     got = sorted(r.id for r in read_json_lines(spark, p, RAW_LOCATION).collect())
     assert got == ["1", "2"]
 
@@ -54,13 +85,48 @@ def test_assert_published_raises_on_mismatch(spark):
 
     from placeframe.sinks import assert_published
 
-    ok = spark.createDataFrame([("2024", 3, 3)], "year string, source_rows long, target_rows long")
+    kind = "year string, source_rows long, target_rows long, status string"
+    ok = spark.createDataFrame([("2024", 3, 3, "uploaded")], kind)
     assert assert_published(ok) is ok
-    bad = spark.createDataFrame([("2024", 3, 2), ("2025", 1, None)], "year string, source_rows long, target_rows long")
+    bad = spark.createDataFrame([("2024", 3, 2, "failed"), ("2025", 1, 0, "failed")], kind)
     with pytest.raises(RuntimeError):
         assert_published(bad)
 
 
+LINES = ['{"id":"1","postal_code":"x","address_1":null}', "not json at all", '{"id":"2"}\t', "{}"]
+
+
+def _zone(spark, root, months):
+    from placeframe.sinks import land_lines
+
+    for month, lines in months.items():
+        land_lines(spark.createDataFrame([(x,) for x in lines], "value string"), root, {"year": "2024", "month": month})
+    return root
+
+
+def test_publish_keeps_every_line_and_older_target_months(spark, scratch):
+    from placeframe.sinks import publish_zone
+
+    parts = ("year", "month")
+    src = _zone(spark, f"{scratch}/src", {"06": LINES})
+    _zone(spark, f"{scratch}/dst", {"05": ["old"], "06": ["stale", "lines"]})
+    report = publish_zone(spark, src, f"{scratch}/dst", parts).collect()
+    assert [(r.month, r.source_rows, r.target_rows, r.status) for r in report] == [("06", 4, 4, "uploaded")]
+    got = spark.read.text(f"{scratch}/dst/year=2024/month=06").collect()
+    assert sorted(r.value for r in got) == sorted(LINES)
+    assert [r.value for r in spark.read.text(f"{scratch}/dst/year=2024/month=05").collect()] == ["old"]
+
+
+def test_publish_compares_content_not_only_counts(spark, scratch, monkeypatch):
+    from placeframe.sinks import publish_zone, writers
+
+    src = _zone(spark, f"{scratch}/src", {"06": LINES})
+    read = writers._zone_lines
+    monkeypatch.setattr(writers, "_zone_lines", lambda s, root, p: read(s, root, p).withColumn("value", F.lit("{}")) if root.endswith("dst") else read(s, root, p))
+    report = publish_zone(spark, src, f"{scratch}/dst", ("year", "month")).collect()
+    assert [(r.source_rows, r.target_rows, r.status) for r in report] == [(4, 4, "failed")]
+
+
 def test_lookup_report_counts(spark):
     from placeframe.operators import lookup_report
 
@@ -70,15 +136,27 @@ def test_lookup_report_counts(spark):
     assert (r.succeeded, r.failed) == (1, 2)
 
 
-def test_landed_records_are_one_json_object_per_line(spark, scratch):
-    import glob
+def test_landing_writes_a_line_per_record_and_replaces_only_its_period(spark, scratch):
     import json
 
-    df = spark.createDataFrame([("a1", "Mesa"), ("a2", "Mesa")], "id string, name string")
-    df.coalesce(1).write.mode("overwrite").json(scratch)
-    lines = [ln for f in glob.glob(scratch.replace("file:", "") + "/*.json") for ln in open(f).read().splitlines()]
-    assert len(lines) == 2
-    assert json.loads(lines[0])["name"] == "Mesa"
+    from placeframe.sinks import land_lines, land_period_json
+
+    rows = spark.createDataFrame([(i, None if i % 2 else f"n{i}") for i in range(7)], "id long, label string")
+    june = land_period_json(rows, scratch, {"year": "2024", "month": "06"})
+    land_lines(spark.createDataFrame([('{"id":9,"more":[1]}',)], "value string"), scratch, {"year": "2024", "month": "07"})
+    land_period_json(rows.limit(3), scratch, {"year": "2024", "month": "06"})
+    lines = [r.value for r in spark.read.text(june).collect()]
+    assert len(lines) == 3 and all(set(json.loads(x)) <= {"id", "label"} for x in lines)
+    assert [r.value for r in spark.read.text(f"{scratch}/year=2024/month=07").collect()] == ['{"id":9,"more":[1]}']
+
+
+def test_landing_a_period_does_not_shuffle(spark, scratch):
+    from placeframe.sinks import land_dated_json
+
+    df = spark.range(10).select("id", F.lit("2024").alias("year"))
+    assert "Exchange" not in df.drop("year")._jdf.queryExecution().executedPlan().toString()
+    land_dated_json(df, scratch, ("year",))  # unknown parts: dealt by them
+    assert read_partitioned(spark, scratch, StructType([StructField("id", LongType())]), ("year",), fmt="json").count() == 10
 
 
 def test_publish_missing_source_raises(spark, scratch):
@@ -87,7 +165,7 @@ def test_publish_missing_source_raises(spark, scratch):
     from placeframe.sinks import publish_zone
 
     with pytest.raises(Exception):
-        publish_zone(spark, scratch + "/does-not-exist", scratch + "/target", REC, ("year",)).collect()
+        publish_zone(spark, scratch + "/does-not-exist", scratch + "/target", ("year",)).collect()
 
 
 def test_max_records_per_file_rolls_over(spark, scratch):
@@ -101,14 +179,12 @@ def test_manifest_key_normalises_backslashes(spark):
     from placeframe.functions import object_key
 
     df = spark.createDataFrame(
-        [("file:/root/raw\\year=2024\\month=01\\a.json",), ("s3a://b/raw/zone/year=2024/month=02/b.json",), ("/x/c.json",)],
+        [("file:/root/raw\\weather\\year=2024\\month=01\\a.json",), ("s3a://b/root/raw/locations/year=2024/month=01/a.json",), ("/root/raw/c.json",), ("/x/c.json",)],
         "p string",
     )
-    assert [r[0] for r in df.select(object_key("p")).collect()] == [
-        "year=2024/month=01/a.json",
-        "year=2024/month=02/b.json",
-        "c.json",
-    ]
+    want = ["weather/year=2024/month=01/a.json", "locations/year=2024/month=01/a.json", "c.json", None]
+    for root in ("/root/raw", "file:///root/raw/", "\\root\\raw"):
+        assert [r[0] for r in df.select(object_key("p", root)).collect()] == want
 
 
 def test_external_json_table_over_quoted_path(spark, scratch):

@@ -24,6 +24,9 @@ from placeframe.plans.enrichment import build_marts, enriched
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 
 import pytest
+from pyspark.sql import functions as F
+
+from placeframe.sources import read_locations
 
 
 def loc(**kw):
@@ -58,7 +61,14 @@ def test_clean_locations_filters_and_casts(spark):
 def test_geocoded_filter(spark):
     rows = [loc(id=str(i), latitude=v, longitude="1") for i, v in enumerate(["n/a", "", None, " 35.5 ", "0"])]
     got = sorted(r.id for r in filter_geocoded(spark.createDataFrame(rows, RAW_LOCATION)).collect())
-    assert got == ["0", "3", "4"]
+    assert got == ["0", "3"]
+
+
+def test_numeric_zero_is_no_coordinate(spark, local_dir):
+    with open(os.path.join(local_dir, "a.json"), "w") as f:
+        for i, v in enumerate(["0", "0.0", "-0.0", "35.5", '"35.5"', "null", '""']):
+            f.write(f'{{"id": "{i}", "latitude": {v}, "longitude": 1.5}}\n')
+    assert sorted(r.id for r in filter_geocoded(read_locations(spark, local_dir)).collect()) == ["3", "4"]
 
 
 def test_empty_weather_block_reads_and_means_are_null(spark, local_dir):
@@ -104,10 +114,26 @@ def test_two_snapshots_fan_out_and_latest(spark):
     raw = spark.createDataFrame(rows, RAW_LOCATION)
     w = _weather_rows(spark, [("1", "2024-01-31", [50.0]), ("1", "2024-02-29", [90.0])])
     assert enriched(raw, w).count() == 4
-    latest = enriched(raw.limit(1), w, snapshots="latest").collect()
+    with pytest.raises(ValueError, match="year, month"):
+        enriched(raw, w, snapshots="latest")
+    with pytest.raises(ValueError):
+        enriched(raw, w, snapshots="newest")
+    dated = raw.withColumns({"year": F.lit("2024"), "month": F.lit("01")})
+    latest = enriched(dated, w, snapshots="latest").collect()
     assert len(latest) == 1 and latest[0].climate_zone == "hot"
 
 
+def test_repeated_days_become_one_record(spark):
+    import datetime as dt
+
+    day = dt.date(2024, 1, 31)
+    rows = [("1", day - dt.timedelta(days=i % 3), 50.0 + i % 3 - i // 3, 1.0, 0.0, 0.0) for i in range(9)]
+    daily = spark.createDataFrame(rows, "loc_id string, obs_date date, tmax double, tmin double, precip double, wind double")
+    places = spark.createDataFrame([loc(id="1", name="A", state="Ohio", latitude="1", longitude="1")], RAW_LOCATION)
+    got = assemble_weather(daily, places, as_of="2024-01-31").collect()
+    assert [r.weather.temperature_2m_max for r in got] == [[52.0, 51.0, 50.0]]
+
+
 def test_latest_snapshot_of_locations_by_year_month(spark):
     cols = [f.name for f in RAW_LOCATION.fields]
     rows = [loc(id="1", name="A", state="Ohio") + ("2024", "01"), loc(id="1", name="A2", state="Iowa") + ("2024", "02")]

@@ -56,6 +56,19 @@ def test_window_filter_pushed_below_daily_aggregate(spark):
 
     sections = re.split(r"\n\((\d+)\) ", p)
     nodes = {int(sections[i]): sections[i + 1] for i in range(1, len(sections) - 1, 2)}
-    filt = min(n for n, body in nodes.items() if body.startswith("Filter") and "datediff" in body)
+    filt = min(n for n, body in nodes.items() if body.startswith("Filter") and "date_sub" in body)
     first_agg = min(n for n, body in nodes.items() if body.startswith("HashAggregate"))
     assert filt < first_agg
+
+
+def test_window_bounds_reach_the_reader(spark, scratch):
+    import datetime as dt
+
+    from placeframe.operators import trailing_window
+
+    days = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), i) for i in range(31)]
+    spark.createDataFrame(days, "obs_date date, v int").write.parquet(scratch)
+    df = trailing_window(spark.read.parquet(scratch), "obs_date", as_of="2024-01-20")
+    assert df.count() == 8
+    pushed = [x for x in plan_of(df).splitlines() if "PushedFilters" in x][0]
+    assert "GreaterThanOrEqual(obs_date,2024-01-13)" in pushed and "LessThanOrEqual(obs_date,2024-01-20)" in pushed

@@ -3,6 +3,7 @@ same semantics, all generated cases evaluated in one job."""
 
 import math
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
@@ -75,7 +76,11 @@ def test_paged_records_stop_at_first_empty_page(spark, bodies):
     pages = spark.createDataFrame([(i + 1, b) for i, b in enumerate(bodies)], "page long, body string")
     want = []
     for i, b in enumerate(bodies):
-        recs = json.loads(b) if b is not None else []
+        if b is None:  # a page without a body must not pass for the feed's end
+            with pytest.raises(Exception, match="holds no JSON array"):
+                paged_records(pages, rec).collect()
+            return
+        recs = json.loads(b)
         if not recs:
             break
         want += [(i + 1, r["event_id"]) for r in recs]
