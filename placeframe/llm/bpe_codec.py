@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from placeframe.llm.common import in_batches, prepare, text_batches
+from placeframe.llm.common import in_batches, prepare, stored, text_batches
 from placeframe.llm.pieces import Vocabulary, distinct_pieces, parse_vocabulary, parts_of
 
 #: Words in the lexicon (the most frequent of the corpus).
 LEXICON_WORDS = 50_000
+#: Classes of counts for each doubling, in the histogram that bounds the lexicon.
+STEPS = 32
 #: Distinct pieces that a counting task holds before it passes them on.
 HELD = 300_000
 #: Ids of pieces outside the lexicon that a worker keeps; when full it starts anew.
@@ -246,8 +248,20 @@ def piece_counts(docs: DataFrame, special: dict[str, int], text: str = "text") -
 
 
 def corpus_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = LEXICON_WORDS) -> Lexicon:
-    """The lexicon of the ``words`` most frequent pieces of all the texts (ties by the piece)."""
-    top = piece_counts(docs, vocabulary.special, text).orderBy(F.desc("n"), "piece").limit(words).select("piece").collect()
+    """The lexicon of the most frequent pieces of all the texts, ``words`` at most.
+
+    A histogram of the counts (``STEPS`` classes for each doubling, so some
+    hundred rows whatever the corpus) gives the count from which on the pieces
+    are few enough; only those come to the driver.
+    """
+    counts = stored(piece_counts(docs, vocabulary.special, text), "piece-counts")
+    level = F.floor(F.log2(F.col("n")) * STEPS)
+    left, least = words, None
+    for r in counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("pieces"), F.min("n").alias("least")).orderBy(F.desc("level")).collect():
+        if r["pieces"] > left:
+            break
+        left, least = left - r["pieces"], r["least"]
+    top = [] if least is None else counts.filter(F.col("n") >= least).select("piece").collect()
     return Lexicon.build({(raw := r[0].encode()): [vocabulary.ids[s] for s in vocabulary.merged(raw)] for r in top})
 
 
