@@ -28,22 +28,6 @@ def enrich(joined: DataFrame) -> DataFrame:
     )
 
 
-STG_COLUMNS = (
-    "brewery_id",
-    "brewery_name",
-    "brewery_type",
-    "city",
-    "state",
-    "latitude",
-    "longitude",
-    "website_url",
-    "has_coordinates",
-    *MEAN_COLUMNS,
-    "climate_zone",
-    "fetch_date",
-)
-
-
 def stg_locations(enriched: DataFrame) -> DataFrame:
     """Staging view: id and name required, name -> brewery_name,
     coordinates widened to double; state_code is not carried."""
