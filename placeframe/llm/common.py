@@ -110,7 +110,9 @@ def connected(edges: DataFrame, a: str, b: str, tag: str, most_rounds: int = 60)
     """
     links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
     both = stored(links.union(links.select("v", "u")).distinct(), f"{tag}-links")
-    label = stored(both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root")), f"{tag}-0")
+    label = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root"))
+    if both.isEmpty():
+        return label
     for i in range(1, most_rounds + 1):
         near = (
             both.join(label.select(F.col("node").alias("v"), F.col("root").alias("there")), "v")

@@ -51,7 +51,7 @@ SLOTS = 1 << 18
 #: Bands, and samples in each.
 SHAPE = (14, 4)
 #: Turns in which members outside their leader's class meet other partners.
-TURNS = 2
+TURNS = 1
 #: Documents of each side of a block.
 BLOCK = 512
 STEPS = 32
@@ -287,9 +287,7 @@ def _merged(label: DataFrame, links: DataFrame, tag: str) -> DataFrame:
     the components of those, not of all the nodes, are looked for."""
     a = label.select(F.col("node").alias("a"), F.col("root").alias("ra"))
     b = label.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    between = stored(links.join(a, "a").join(b, "b").filter("ra <> rb").select("ra", "rb").distinct(), f"{tag}-between")
-    if between.isEmpty():
-        return label
+    between = links.join(a, "a").join(b, "b").filter("ra <> rb").select("ra", "rb")
     new = connected(between, "ra", "rb", tag).select(F.col("node").alias("root"), F.col("root").alias("to"))
     return stored(label.join(new, "root", "left").select("node", F.coalesce("to", "root").alias("root")), f"{tag}-label")
 
