@@ -12,10 +12,9 @@ statistic has a fixed size however many shingles there are.
 Each document gets consistent weighted samples: two documents have an equal
 sample with the probability of their weighted Jaccard similarity. Documents
 that agree in all samples of a band are in a bucket. Equal texts are one node
-from the start. The members of a bucket are verified against its leader by the
-exact weighted similarity. In buckets that then still hold several classes the
-members outside the leader's class are verified against another member of it
-and one outside it; what is still apart is compared in blocks, by products of
+from the start. The members of a bucket are verified against its two leaders by
+the exact weighted similarity. In buckets that then still hold several classes
+the members outside the first leader's class are compared in blocks, by products of
 the block's weight matrices, except blocks that the triangle inequality (1
 minus the similarity is a metric) rules out by their distances to the leader.
 A block passes on one link between two classes at most. So no pairs are listed
@@ -50,8 +49,6 @@ IDF = 0.1
 SLOTS = 1 << 18
 #: Bands, and samples in each.
 SHAPE = (14, 4)
-#: Turns in which members outside their leader's class meet other partners.
-TURNS = 1
 #: Documents of each side of a block.
 BLOCK = 512
 STEPS = 32
@@ -233,15 +230,11 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
         f"{tag}-texts",
     )
     label = texts.select(F.col("h").alias("node"), F.col("h").alias("root"))
-    first = tested = measured = _verify(_star(bucket), texts, weights, f"{tag}-star")
-    for turn in range(TURNS + 1):
-        label = _merged(label, measured.filter(F.col("s") >= least), f"{tag}-cc{turn}")
-        apart = _apart(bucket, label, f"{tag}-apart{turn}")
-        if apart.isEmpty():
-            return _members(sketch, label)
-        if turn < TURNS:
-            measured = _verify(_unknown(_partners(apart, turn), tested, label), texts, weights, f"{tag}-turn{turn}")
-            tested = tested.union(measured)
+    first = _verify(_star(bucket), texts, weights, f"{tag}-star")
+    label = _merged(label, first.filter(F.col("s") >= least), f"{tag}-cc")
+    apart = _apart(bucket, label, f"{tag}-apart")
+    if apart.isEmpty():
+        return _members(sketch, label)
     return _members(sketch, _merged(label, _rest(apart, first, texts, weights, least, tag), f"{tag}-cc-last"))
 
 
@@ -264,22 +257,17 @@ def _sampled(df: DataFrame, names: list[str], weights) -> DataFrame:
 
 
 def _buckets(nodes: DataFrame, tag: str) -> DataFrame:
-    """(bucket, h, leader) of the buckets with two nodes or more; the smallest node leads."""
+    """(bucket, h, leader, second) of the buckets with two nodes or more; the smallest
+    and the greatest node (nodes are md5 sums, so any two) lead."""
     member = nodes.select("h", F.posexplode("bands").alias("band", "value"))
-    shared = member.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("leader")).filter("n > 1").drop("n")
-    return stored(member.join(shared, ["band", "value"]).select(F.xxhash64("band", "value", "leader").alias("bucket"), "h", "leader"), tag)
+    shared = member.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("leader"), F.max("h").alias("second")).filter("n > 1").drop("n")
+    return stored(member.join(shared, ["band", "value"]).select(F.xxhash64("band", "value", "leader").alias("bucket"), "h", "leader", "second"), tag)
 
 
 def _star(bucket: DataFrame) -> DataFrame:
-    return bucket.filter("h <> leader").select(F.col("h").alias("a"), F.col("leader").alias("b")).distinct()
-
-
-def _unknown(pairs: DataFrame, tested: DataFrame, label: DataFrame) -> DataFrame:
-    """The pairs that were not verified yet and are not of one class anyway."""
-    known = tested.select("a", "b").union(tested.select("b", "a"))
-    a = label.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-    b = label.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-    return pairs.join(a, "a").join(b, "b").filter("ra <> rb").select("a", "b").join(known, ["a", "b"], "left_anti")
+    """Each member with its bucket's two leaders, the greater one of a pair first."""
+    both = bucket.select("h", F.explode(F.array("leader", "second")).alias("l")).filter("h <> l")
+    return both.select(F.greatest("h", "l").alias("a"), F.least("h", "l").alias("b")).distinct()
 
 
 def _merged(label: DataFrame, links: DataFrame, tag: str) -> DataFrame:
@@ -302,18 +290,6 @@ def _apart(bucket: DataFrame, label: DataFrame, tag: str) -> DataFrame:
     return stored(known.join(mixed, "bucket", "left_semi"), tag)
 
 
-def _partners(apart: DataFrame, turn: int) -> DataFrame:
-    """For each member outside its leader's class another member of that class and
-    one outside it, other ones for each bucket and turn: so a member that is near a large
-    class, but not near its leader, meets several that may link it."""
-    out = apart.filter("c <> lc")
-    by = F.xxhash64("h", "bucket", F.lit(turn))
-    inner = apart.filter("c = lc and h <> leader").groupBy("bucket").agg(F.min(F.struct(by.alias("o"), "h")).alias("m")).select("bucket", F.col("m.h").alias("b"))
-    outer = out.groupBy("bucket").agg(F.min(F.struct(by.alias("o"), "h", "c")).alias("m")).select("bucket", F.col("m.h").alias("b"), F.col("m.c").alias("bc"))
-    near = out.join(inner, "bucket").select(F.col("h").alias("a"), "b")
-    return near.union(out.join(outer, "bucket").filter("c <> bc").select(F.col("h").alias("a"), "b")).distinct()
-
-
 def _rest(apart: DataFrame, first: DataFrame, texts: DataFrame, weights, least: float, tag: str) -> DataFrame:
     """Links (a, b) between what shares a bucket and no class. Members are put in
     bins by their distance to the leader; only members whose distances differ by

@@ -76,8 +76,7 @@ def test_large_group_of_near_copies_is_one_class(spark):
 
 
 def test_blocks_find_the_links_that_pairs_have(spark, monkeypatch):
-    """Without partner turns and with small blocks the result is the same."""
-    monkeypatch.setattr(mh, "TURNS", 0)
+    """With small blocks the result is the same."""
     monkeypatch.setattr(mh, "BLOCK", 8)
     base = sentence(3, 60).split()
     rows = []
