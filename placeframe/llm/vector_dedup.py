@@ -41,6 +41,8 @@ ROTATIONS = 2
 CODEWORDS = 128
 #: Filters of a code that a vector passes, about.
 PASSED = 42
+#: How far below its best filter a vector still passes filters, in standard deviations.
+MARGIN = 0.5
 SEED = 3
 BLOCK = 2048
 
@@ -57,7 +59,8 @@ class Code:
             c = r.standard_normal((codewords, size))
             self.codes.append(c / np.linalg.norm(c, axis=1, keepdims=True))
         # the sum of two unit codewords, on a random unit vector, varies by this
-        self.least = NormalDist().inv_cdf(1 - PASSED / codewords**2) * np.sqrt(2 / max(2, length))
+        spread = np.sqrt(2 / max(2, length))
+        self.least, self.margin = NormalDist().inv_cdf(1 - PASSED / codewords**2) * spread, MARGIN * spread
 
     def decode(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of every filter that each row's direction exceeds, by row and filter."""
@@ -65,8 +68,11 @@ class Code:
         first = v[:, : self.half] @ self.codes[0].T
         rest = v[:, self.half :] if v.shape[1] > self.half else np.zeros((len(v), self.codes[1].shape[1]))
         second = rest @ self.codes[1].T
-        rows, a = np.nonzero(first >= self.least - second.max(axis=1, keepdims=True))
-        need = self.least - first[rows, a]
+        # a vector that exceeds few filters or none still passes those near its best
+        best = second.max(axis=1, keepdims=True)
+        least = np.minimum(self.least, first.max(axis=1, keepdims=True) + best - self.margin)
+        rows, a = np.nonzero(first >= least - best)
+        need = least[rows, 0] - first[rows, a]
         rows_out, filters = [], []
         for low in range(0, len(rows), 65_536):
             part = slice(low, low + 65_536)
