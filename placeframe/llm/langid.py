@@ -182,7 +182,7 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key:
                     held[name] = held.get(name, 0) + got
         for name, got in held.items():
             slot = np.flatnonzero(got)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(slot)), pa.array(slot), pa.array(got[slot].astype(np.int64))], names=["lang", "slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(slot), pa.string()), pa.array(slot), pa.array(got[slot].astype(np.int64))], names=["lang", "slot", "n"])
 
     prepare(docs.sparkSession)
     # at most SLOTS rows for each language
