@@ -12,6 +12,13 @@ The n-gram model is fitted on a bounded sample (``SAMPLE`` rows, chosen by a
 hash of the id) of the rows that may be learned from; every document is
 inferred whole.
 
+Proportions say which language, not whether it is one: the largest is never
+small. ``keep_identified`` therefore weighs evidence that can fail: how much
+better, for each n-gram, a text's words are explained by the languages than by
+a background in which every slot is equally likely. A text needs ``FAIR`` of
+what all but the lowest ``LOW`` of the learnable rows of its language have
+under a model that hasn't seen them.
+
 Edge cases: a null text or one without a letter is ``und`` with score 0; with
 nothing to learn from every document is; ties go to the alphabetically first
 language; repeated rows and null ids are scored row by row; an empty table
@@ -25,11 +32,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from placeframe.llm.common import held_out, in_batches, prepare, text_batches
+from placeframe.llm.common import held_out, in_batches, prepare, stored, text_batches
 from placeframe.llm.textblocks import lowered, mix, per_text, points, span_hashes, sums, words
 
 UNDETERMINED = "und"
@@ -45,6 +53,10 @@ PENALTY = 2.0
 MOST = 3
 ROUNDS = 5
 EDGE = 1
+#: One in so many learnable rows is left out of the model that the bounds of the evidence come from.
+HOLD = 5
+LOW = 0.01
+FAIR = 0.5
 
 
 @dataclass
@@ -105,6 +117,21 @@ class LanguageModel:
         """The single most likely language of each text, as an index."""
         return sums(scores[block.inverse], block.cuts).argmax(axis=1)
 
+    def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text the gain over the background for each n-gram (the words each
+        in their best language; -inf without a word), and the strongest language."""
+        gain, strongest = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
+        for low, high in text_batches(texts) if self.names else ():
+            block = Words.of(texts[low:high])
+            scores = block.likelihoods(self.table)
+            size = 2.0 * (block.ends - block.starts + 1)  # n-grams of each word
+            total = sums(size[block.inverse], block.cuts)
+            gained = sums((scores.max(axis=1) + size * np.log(SLOTS))[block.inverse], block.cuts)
+            full = np.flatnonzero(total)
+            gain[full + low] = gained[full] / total[full]
+            strongest[low:high] = self.strongest(block, scores)
+        return gain, strongest
+
     def infer(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The proportions of each text's selected languages, and whether it has a word."""
         out = np.zeros((len(texts), len(self.names)), np.float32)
@@ -157,43 +184,82 @@ def mixture(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return best
 
 
-def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> LanguageModel:
-    """Fits the n-gram model on about ``sample`` of the rows that may be learned from."""
+def learnable(docs: DataFrame, text: str, lang: str, key: str, sample: int) -> DataFrame:
+    """(__text, __lang, __held) of about ``sample`` of the rows that may be learned from;
+    one in ``HOLD`` is held."""
     names = docs.select(docs[text].alias("__text"), docs[lang].cast("string").alias("__lang"), docs[key].alias("__key"))
     rows = names.filter(~held_out(F.col("__key")) & F.col("__lang").isNotNull())
     n = rows.select("__key").count()
     share = min(1.0, sample / n) if n else 1.0
     if share < 1:
         rows = rows.filter(F.pmod(F.xxhash64("__key"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    return rows.select("__text", "__lang", (F.pmod(F.xxhash64(F.lit("held"), "__key", "__text"), F.lit(HOLD)) == 0).alias("__held"))
+
+
+def counted(rows: DataFrame) -> pa.Table:
+    """(lang, held, slot, n): the n-grams of ``learnable`` rows."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
+        found: dict[tuple[str, bool], np.ndarray] = {}
         for batch in batches:
-            texts, langs = batch.column("__text").to_pylist(), batch.column("__lang").to_pylist()
+            texts, kinds = batch.column("__text").to_pylist(), list(zip(batch.column("__lang").to_pylist(), batch.column("__held").to_pylist()))
             for low, high in text_batches(texts):
                 block = Words.of(texts[low:high])
                 slots, cuts = block.ngrams()
                 word_of = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
                 own = np.repeat(np.arange(high - low), np.diff(block.cuts))
-                for name in dict.fromkeys(langs[low:high]):
-                    mine = np.array([x == name for x in langs[low:high]])
+                for kind in dict.fromkeys(kinds[low:high]):
+                    mine = np.array([x == kind for x in kinds[low:high]])
                     weight = np.bincount(block.inverse[mine[own]], minlength=len(block.starts))[word_of]
                     got = np.bincount(slots.astype(np.int64), np.concatenate([weight, weight]), SLOTS)
-                    held[name] = held.get(name, 0) + got
-        for name, got in held.items():
+                    found[kind] = found.get(kind, 0) + got
+        for (name, held), got in found.items():
             slot = np.flatnonzero(got)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(slot), pa.string()), pa.array(slot), pa.array(got[slot].astype(np.int64))], names=["lang", "slot", "n"])
+            columns = [pa.array([name] * len(slot), pa.string()), pa.array([held] * len(slot), pa.bool_()), pa.array(slot), pa.array(got[slot].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "held", "slot", "n"])
+
+    prepare(rows.sparkSession)
+    # at most 2 * SLOTS rows for each language
+    return rows.mapInArrow(count, "lang string, held boolean, slot long, n long").groupBy("lang", "held", "slot").agg(F.sum("n").alias("n")).toArrow()
 
-    prepare(docs.sparkSession)
-    # at most SLOTS rows for each language
-    found = rows.select("__text", "__lang").mapInArrow(count, "lang string, slot long, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
+
+def model_of(found: pa.Table) -> LanguageModel:
+    """The model of n-grams ``counted``."""
     langs = sorted(set(found.column("lang").to_pylist()))
     table = np.full((SLOTS, len(langs)), SMOOTHING)
     index = {x: i for i, x in enumerate(langs)}
-    table[found.column("slot").to_numpy(), [index[x] for x in found.column("lang").to_pylist()]] += found.column("n").to_numpy()
+    np.add.at(table, (found.column("slot").to_numpy(), [index[x] for x in found.column("lang").to_pylist()]), found.column("n").to_numpy())
     return LanguageModel(langs, np.log(table / table.sum(axis=0)).astype(np.float32) if langs else np.zeros((SLOTS, 0), np.float32))
 
 
+def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> LanguageModel:
+    """Fits the n-gram model on about ``sample`` of the rows that may be learned from."""
+    return model_of(counted(learnable(docs, text, lang, key, sample)))
+
+
+def fit_evidence(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> tuple[LanguageModel, np.ndarray]:
+    """The model of ``fit_languages``, and the evidence that a text of each language needs:
+    ``FAIR`` of that at the quantile ``LOW`` of the held rows, under a model of the
+    other rows; at least 0, also for a language with no held row."""
+    rows = stored(learnable(docs, text, lang, key, sample), "langid-sample")
+    found = counted(rows)
+    part = docs.sparkSession.sparkContext.broadcast(model_of(found.filter(pc.invert(found.column("held")))))
+
+    def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        gain, _ = part.value.evidence(batch.column("__text").to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column("__lang"), pa.array(gain)], names=["lang", "gain"])
+
+    # a row for each held row of the sample
+    held = in_batches(rows.filter("__held").select("__text", "__lang"), weigh, "lang string, gain double").toArrow()
+    model, langs, gain = model_of(found), np.array(held.column("lang").to_pylist(), object), held.column("gain").to_numpy()
+    needed = np.zeros(len(model.names))
+    for i, name in enumerate(model.names):
+        own = gain[(langs == name) & np.isfinite(gain)]
+        if len(own):
+            needed[i] = max(0.0, FAIR * np.quantile(own, LOW))
+    return model, needed
+
+
 def identify(
     docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None, out: str = "lang_pred", score: str = "score"
 ) -> DataFrame:
@@ -218,8 +284,15 @@ def identify(
     return in_batches(docs.select(*names, docs[text].alias("__text")), infer, schema)
 
 
-def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", least: float = 0.3) -> DataFrame:
-    """The documents whose language can be told: those with a letter of which one
-    language makes up at least the proportion ``least``. Columns stay as they are."""
-    scored = identify(docs, fit_languages(docs, text, lang, key), text, out="__pf_lang", score="__pf_score")
-    return scored.filter((F.col("__pf_lang") != UNDETERMINED) & (F.col("__pf_score") >= least)).drop("__pf_lang", "__pf_score")
+def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
+    """The documents whose language can be told: those with a letter and with the
+    evidence that ``fit_evidence`` asks for. Columns stay as they are."""
+    fitted = docs.sparkSession.sparkContext.broadcast(fit_evidence(docs, text, lang, key))
+
+    def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        model, needed = fitted.value
+        if model.names:
+            gain, strongest = model.evidence(batch.column("__pf_text").to_pylist())
+            yield batch.drop_columns(["__pf_text"]).filter(pa.array(gain >= needed[strongest]))
+
+    return in_batches(docs.select("*", docs[text].alias("__pf_text")), weigh, docs.schema)

@@ -1,5 +1,7 @@
 """Language ID and toxicity: held-out accuracy and the cases at the edge."""
 
+import random
+
 from llm_helpers import documents
 from pyspark.sql import functions as F
 
@@ -33,6 +35,20 @@ def test_language_edges(spark):
     assert langid.keep_identified(docs.limit(0)).collect() == []
 
 
+def test_junk_of_letters_goes_and_clean_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    own = {r.lang: r.text for r in docs.filter("n_chars between 1500 and 3000").groupBy("lang").agg(F.min_by("text", "doc_id").alias("text")).collect()}
+    pick = random.Random(4)
+    random_words = lambda n, letters: " ".join("".join(pick.choice(letters) for _ in range(pick.randint(5, 10))) for _ in range(n))
+    bad = [random_words(n, letters) for letters in ("abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz") for n in (20, 80, 400)]
+    bad += ["xqzvkw", "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι", "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności"]
+    good = [own["en"] + "\n" + own["fr"], "\n".join(own.values()), own["de"][:40], own["es"].upper(), "the", "und die"]
+    more = [(900_000 + i, t, "en", "src0", len(t)) for i, t in enumerate(bad)] + [(910_000 + i, t, None, "src0", len(t)) for i, t in enumerate(good)]
+    kept = langid.keep_identified(docs.union(spark.createDataFrame(more, docs.schema)))
+    assert {r.doc_id for r in kept.filter("doc_id >= 900000").select("doc_id").collect()} == set(range(910_000, 910_000 + len(good)))
+    assert kept.filter("doc_id < 900000").count() == docs.count()
+
+
 def test_mixture_of_languages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.fit_languages(docs)
