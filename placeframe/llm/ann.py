@@ -140,9 +140,9 @@ def search(df: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "
     ``is_query`` (of the column ``id``) holds for."""
     spark = prepare(df.sparkSession)
     rows = stored(
-        df.filter(usable(df[vector])).select(df[key].cast("long").alias("id"), df[vector].cast("array<double>").alias("x")), "ann-rows"
+        df.filter(usable(df[vector])).select(df[key].cast("long").alias("id"), df[vector].cast("array<double>").alias("x")).distinct(), "ann-rows"
     )
-    queries = stored(rows.filter(F.col("id").isNotNull() & is_query).distinct(), "ann-queries")
+    queries = stored(rows.filter(F.col("id").isNotNull() & is_query), "ann-queries")
     found = stored(_best(_blocked(hashed(queries, probed, tables), hashed(rows, 1, tables), count), count), "ann-found")
     enough = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= count)
     few = stored(queries.join(enough, F.col("id") == F.col("query_id"), "left_anti"), "ann-few")

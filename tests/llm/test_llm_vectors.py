@@ -56,6 +56,22 @@ def test_blocks_of_a_hot_bucket(spark, monkeypatch):
     assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted((q, k, i) for q, k, i, _ in want)
 
 
+def test_repeated_rows_count_once(spark):
+    rows = [(i, [1.0, 0.5, 0.25, i * 1e-6]) for i in range(0, 400, 2)]
+    # each a neighbour of a query; the last is repeated with both signs of zero
+    rows += [rows[51]] * 20 + [rows[102]] * 20 + [(500, [1.0, 0.5, 0.25, 0.0])] * 12 + [(500, [1.0, 0.5, 0.25, -0.0])] * 12
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted((q, k, i) for q, k, i, _ in exact_nearest(rows))
+    for how in ({}, {"tables": 1, "probed": 1}):  # through the tables
+        assert sorted((r.query_id, r.rank, r.vec_id) for r in ann.search(df, F.col("id") % 100 == 0, **how).collect()) == want
+    # every other row has a signed axis of its own, so that the tables give the queries too little
+    far = [(i, [float(i == 3 + k) * (1 + i / 100) for k in range(16)]) for i in range(3, 19)]
+    rows = [(0, [1.0] * 16), (100, [-1.0] * 16), *far * 20]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("id") % 100 == 0, tables=1, probed=1).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id) for r in got) == sorted((q, k, i) for q, k, i, _ in exact_nearest(rows))
+
+
 def brute_links(rows, least=0.9):
     unit = [np.array(v) / np.linalg.norm(v) if usable(v) else None for _, v in rows]
     links = [[j for j, y in enumerate(unit) if j != i and x is not None and y is not None and len(x) == len(y) and x @ y >= least] for i, x in enumerate(unit)]
