@@ -8,9 +8,10 @@ the sets of the one, two, ... strongest languages are compared, each further
 language costs ``PENALTY`` times the logarithm of the number of words. The
 prediction is the language with the largest proportion in the selected set.
 
-The n-gram model is fitted on a bounded sample (``SAMPLE`` rows, chosen by a
-hash of the id) of the rows that may be learned from; every document is
-inferred whole.
+The n-gram model is fitted on a bounded sample of the rows that may be learned
+from: ``SAMPLE`` rows shared evenly by the languages (``FEWEST`` for each at
+least), chosen by a hash of id and text, equal rows once; every language has a
+row at any size. Every document is inferred whole.
 
 Proportions say which language, not whether it is one: the largest is never
 small. ``keep_identified`` therefore weighs evidence that can fail: how much
@@ -43,6 +44,8 @@ from placeframe.llm.textblocks import lowered, mix, per_text, points, span_hashe
 UNDETERMINED = "und"
 #: Rows that the n-gram model is fitted on, about.
 SAMPLE = 20_000
+#: Of each language at least so many, if it has them.
+FEWEST = 200
 #: Hashed n-grams (of three signs with word ends, and of two).
 SLOTS = 1 << 16
 SMOOTHING = 0.1
@@ -185,14 +188,19 @@ def mixture(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
 
 
 def learnable(docs: DataFrame, text: str, lang: str, key: str, sample: int) -> DataFrame:
-    """(__text, __lang, __held) of about ``sample`` of the rows that may be learned from;
-    one in ``HOLD`` is held."""
+    """(__text, __lang, __held) of about ``sample`` of the rows that may be learned from,
+    some of each language; one in ``HOLD`` is held."""
     names = docs.select(docs[text].alias("__text"), docs[lang].cast("string").alias("__lang"), docs[key].alias("__key"))
     rows = names.filter(~held_out(F.col("__key")) & F.col("__lang").isNotNull())
-    n = rows.select("__key").count()
-    share = min(1.0, sample / n) if n else 1.0
-    if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("__key"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = rows.withColumn("__hash", F.xxhash64("__key", "__text")).withColumn("__order", F.pmod("__hash", F.lit(1 << 30)))
+    # a row for each language, as the model has a column; its first row is in the sample whatever its share is
+    sizes = rows.groupBy("__lang").agg(F.approx_count_distinct("__hash").alias("n"), F.min("__order").alias("first")).collect()
+    each = max(FEWEST, sample // max(1, len(sizes)))
+    cuts = [(r["__lang"], max(r["first"], round(min(1.0, each / max(1, r["n"])) * (1 << 30)))) for r in sizes]
+    if any(cut < 1 << 30 for _, cut in cuts):
+        bounds = docs.sparkSession.createDataFrame(cuts, "__lang string, __cut long")
+        rows = rows.join(F.broadcast(bounds), "__lang").filter(F.col("__order") <= F.col("__cut"))
+    rows = rows.select("__key", "__text", "__lang").distinct()
     return rows.select("__text", "__lang", (F.pmod(F.xxhash64(F.lit("held"), "__key", "__text"), F.lit(HOLD)) == 0).alias("__held"))
 
 

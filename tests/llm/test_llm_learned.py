@@ -35,6 +35,18 @@ def test_language_edges(spark):
     assert langid.keep_identified(docs.limit(0)).collect() == []
 
 
+def test_sample_has_every_language_and_stays_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "FEWEST", 5)
+    rows = [(i, f"the words of number {i}", "en") for i in range(3000)] + [(5002, "ett ord", "sv"), (5004, "toinen sana", "fi")]
+    rows += [(None, f"no id {i}", "da") for i in range(1000)] + [(6001, "the same row", "it")] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    can = {r.lang for r in docs.filter(~langid.held_out(F.col("doc_id"))).select("lang").distinct().collect()}
+    assert can == {"en", "sv", "fi", "da", "it"}
+    assert set(langid.fit_languages(docs, sample=50).names) == can
+    got = {r["__lang"]: r["count"] for r in langid.learnable(docs, "text", "lang", "doc_id", 50).groupBy("__lang").count().collect()}
+    assert set(got) == can and got["it"] == 1 and max(got.values()) < 50
+
+
 def test_junk_of_letters_goes_and_clean_documents_stay(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     own = {r.lang: r.text for r in docs.filter("n_chars between 1500 and 3000").groupBy("lang").agg(F.min_by("text", "doc_id").alias("text")).collect()}
