@@ -71,6 +71,21 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_order(df: DataFrame, keys: Sequence[str], part: str, at: str) -> DataFrame:
+    """``df`` sorted by ranges of its columns ``keys``, with the number of each row's
+    range and its place there. Rows with equal keys may lie in several ranges, so no
+    key makes a range large. To be written before the numbers are used twice."""
+    dealt = [*(F.col(f"`{k}`") for k in keys), F.col("__salt")]
+    return (
+        df.withColumn("__salt", F.monotonically_increasing_id())
+        .repartitionByRange(*dealt)
+        .sortWithinPartitions(*dealt)
+        .withColumn(part, F.spark_partition_id())
+        .withColumn(at, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+        .drop("__salt")
+    )
+
+
 def remainder4(column: Column) -> Column:
     """crc32 of the id's decimal text modulo 4 (null ids: of the empty text)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % 4

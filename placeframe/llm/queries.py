@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeframe.llm import ann, bpe_codec, langid, minhash, mixing, sharding, token_count, toxicity, vector_dedup, warc
+from placeframe.llm import ann, bpe_codec, langid, minhash, mixing, repair, sharding, token_count, toxicity, vector_dedup, warc
 from placeframe.llm.common import held_out
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -82,6 +82,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.convert_pages(table(spark, sf_dir, "pages"))
 
 
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
@@ -101,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_minhash": op9_minhash,
     "op10_warc": op10_warc,
+    "op11_repair": op11_repair,
 }
