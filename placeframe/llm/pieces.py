@@ -42,7 +42,7 @@ class Vocabulary:
 
 
 @cache
-def _byte_of() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The printable stand-in of each byte in vocabulary files of this kind."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -51,7 +51,7 @@ def _byte_of() -> dict[str, int]:
 
 def parse_vocabulary(raw: bytes) -> Vocabulary:
     data = json.loads(raw)
-    of = _byte_of()
+    of = byte_letters()
     special = {x["content"]: x["id"] for x in data.get("added_tokens", [])}
     as_bytes = lambda s: bytes(of[c] for c in s)
     pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in data["model"]["merges"]]

@@ -10,12 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeframe.llm import ann, bpe_codec, langid, minhash, mixing, repair, sharding, token_count, toxicity, vector_dedup, warc
+from placeframe.llm import ann, bpe_codec, langid, minhash, mixing, repair, sharding, token_count, token_files, toxicity, vector_dedup, warc
 from placeframe.llm.common import held_out
+from placeframe.session import fresh_dir
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Documents with more tokens are over the limit.
 TOKEN_LIMIT = 512
+#: Ends each document in token files.
+END_ID = 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +89,12 @@ def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair_damaged(table(spark, sf_dir, "conversations"))
 
 
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path(VOCABULARY), end=END_ID)
+    return token_files.token_file_digests(spark, path)
+
+
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
@@ -106,4 +115,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash": op9_minhash,
     "op10_warc": op10_warc,
     "op11_repair": op11_repair,
+    "op12_token_files": op12_token_files,
 }
