@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from placeframe.llm import ann, bpe_codec, langid, minhash, mixing, repair, sharding, token_count, token_files, toxicity, vector_dedup, warc
+from placeframe.llm import ann, bpe_codec, fim, langid, minhash, mixing, repair, sharding, token_count, token_files, toxicity, vector_dedup, warc
 from placeframe.llm.common import held_out
 from placeframe.session import fresh_dir
 
@@ -95,6 +95,14 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digests(spark, path)
 
 
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = ["doc_id", "n", "form", "prefix_chars", "middle_chars"]
+    back = fim.restore_middle(made, keep=[*found, "output"])
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return back.select(*found, digest("output").alias("output_sha256"), digest("text").alias("restored_sha256"))
+
+
 def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
@@ -116,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_repair": op11_repair,
     "op12_token_files": op12_token_files,
+    "op13_fim": op13_fim,
 }
