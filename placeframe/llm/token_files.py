@@ -36,19 +36,20 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from placeframe.llm.bpe_codec import gather
-from placeframe.llm.common import in_batches, prepare, stored, text_batches
+from placeframe.llm.common import in_batches, prepare, ranges, stored, text_batches
 from placeframe.llm.pieces import byte_letters, distinct_pieces, parts_of
 
 MAGIC = b"IDPLANE1"
 #: Ids in a block, and bytes of text in a file, unless asked otherwise.
 BLOCK, FILE_BYTES = 1 << 16, 32 << 20
 #: Ids of distinct pieces that a task's worker keeps; when full it starts anew.
-CACHED = 400_000
+CACHED = 150_000
 #: Files up to which their first ids are broadcast.
 BROADCAST_ROWS = 200_000
 _HEAD, _TRAILER = struct.Struct("<IIQQ"), struct.Struct("<QI8s")
@@ -259,10 +260,10 @@ def write_token_files(
         writer, encoder, any_row = FileWriter(block, bits), None, False
         for batch in batches:
             encoder = encoder or _encoder(raw.value)
-            numbers, texts = (c.to_pylist() for c in batch.columns)
+            numbers, texts = batch.column("doc").to_pylist(), batch.column("text")
             any_row = any_row or bool(numbers)
-            for low, high in text_batches(texts, 1 << 22):
-                flat, bounds = encoder.encode(texts[low:high])
+            for low, high in ranges(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+                flat, bounds = encoder.encode(texts.slice(low, high - low).to_pylist())
                 if end is not None:
                     flat = np.insert(flat, bounds[1:], np.uint32(end))
                     bounds = bounds + np.arange(len(bounds))
