@@ -25,9 +25,10 @@ writing when there are no records and fails on a page that holds no array.
       --pages .../landed_pages --format parquet --raw-locations .../raw/locations \\
       --run-date 2024-01-31
 
-publish: copy both raw zones to <target>/locations and <target>/weather with
-their year=/month= layout, line by line, and compare the content of each
-partition; exits non-zero when a partition failed or a zone holds no records.
+publish: bring <target>/locations and <target>/weather up to date with the raw
+zones, file by file under the same keys: only absent and changed files are copied,
+and the copies' content is compared; prints how many files were uploaded,
+unchanged and failed, and exits non-zero when one failed or a zone holds no records.
 
   spark-submit --py-files placeframe.zip placeframe/jobs.py publish \\
       --raw-locations .../raw/locations --raw-weather .../raw/weather --target s3a://bucket/raw
@@ -56,7 +57,8 @@ from placeframe.plans.enrichment import (
 )
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 from placeframe.session import build_session, fresh_dir, remove_scratch
-from placeframe.sinks.writers import land_lines, land_period_json, publish_zone, write_table
+from placeframe.sinks.publish import file_counts, publish_files
+from placeframe.sinks.writers import land_lines, land_period_json, write_table
 from placeframe.sources.readers import page_record_lines, read_latest_partition, read_partitioned
 
 
@@ -145,13 +147,13 @@ def publish(argv: list[str], spark=None) -> int:
     target = a.target.rstrip("/")
     failed = 0
     for name, src in {"locations": a.raw_locations, "weather": a.raw_weather}.items():
-        # two small aggregates, computed once: a row for each period
-        report = publish_zone(spark, src, f"{target}/{name}", SNAPSHOT_PARTS).collect()
-        bad = [r.asDict() for r in report if r.status != "uploaded"]
-        good = [r for r in report if r.status == "uploaded"]
-        print(json.dumps({"zone": name, "uploaded": len(good), "failed": len(bad), "rows": sum(r.target_rows for r in good), "failures": bad[:20]}))
-        failed += len(bad)
-        if not report:
+        report = publish_files(spark, src, f"{target}/{name}")
+        counts = file_counts(report)
+        rows = report.filter("status <> 'failed'").agg(F.sum("lines")).first()[0] or 0
+        bad = [r.key for r in report.filter("status = 'failed'").select("key").limit(20).collect()]
+        print(json.dumps({"zone": name, "uploaded": counts["uploaded"], "failed": counts["failed"], "rows": rows, "unchanged": counts["unchanged"], "failures": bad}))
+        failed += counts["failed"]
+        if not sum(counts.values()):
             print(json.dumps({"zone": name, "error": "no records to publish"}))
             failed += 1
     if own:

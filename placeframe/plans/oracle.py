@@ -200,17 +200,22 @@ FROM geo g WHERE NOT EXISTS (SELECT 1 FROM wx WHERE wx.brewery_id = g.id)""",
         "SELECT event_id // 200 + 1 AS page, event_id, event_type, CAST(to_json({'event_id': event_id, "
         "'event_type': event_type, 'user_id': user_id}) AS VARCHAR) AS record FROM events"
     ),
-    "file_manifest": with_ctes(
-        "SELECT DISTINCT 'events/year=' || year || '/month=' || month || '/day=' || day AS partition_key, "
-        "true AS non_empty FROM ev UNION ALL "
-        "SELECT 'locations/year=' || strftime(d, '%Y') || '/month=' || strftime(d, '%m'), true FROM run_end",
-        "ev",
-        "run_end",
-    ),
+    "file_manifest": """
+WITH line AS (
+  SELECT 'events/' || strftime(ts, 'year=%Y/month=%m/day=%d') AS partition_key,
+         CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS VARCHAR) AS value
+  FROM events
+  UNION ALL
+  SELECT 'orders/' || strftime(o_orderdate, 'year=%Y'), CAST(to_json({'o_orderkey': o_orderkey, 'o_custkey': o_custkey}) AS VARCHAR)
+  FROM orders
+)
+SELECT partition_key, count(*) AS n_rows, CAST((count(*) + 249) // 250 AS BIGINT) AS n_files,
+       CAST(sum(strlen(value) + 1) AS BIGINT) AS n_bytes, true AS as_counted
+FROM line GROUP BY partition_key""",
     # 2.2 sinks
     "sink_partitioned_parquet": with_ctes(ENR_ALL, "enr"),
     "sink_file_count": with_ctes(
-        "SELECT state, true AS has_files, count(*) AS n_rows FROM enr GROUP BY state", "enr"
+        "SELECT state, CAST((count(*) + 39) // 40 AS BIGINT) AS n_files, count(*) AS n_rows FROM enr GROUP BY state", "enr"
     ),
     "sink_dated_json": with_ctes(
         """
@@ -224,6 +229,18 @@ FROM ev""",
         "SELECT year, month, day, count(*) AS source_rows, count(*) AS target_rows, 'uploaded' AS status FROM ev GROUP BY year, month, day",
         "ev",
     ),
+    # the second run finds one file of the first day changed and one of the last day lost
+    "publish_files": with_ctes(
+        """
+, days AS (SELECT year, month, day, d, count(*) AS lines, CAST((count(*) + 249) // 250 AS BIGINT) AS files FROM ev GROUP BY ALL),
+runs AS (
+  SELECT 1 AS run, *, files AS uploaded FROM days
+  UNION ALL
+  SELECT 2, *, least(files, CAST(d = (SELECT min(d) FROM days) AS BIGINT) + CAST(d = (SELECT max(d) FROM days) AS BIGINT)) FROM days
+)
+SELECT run, year, month, day, files, CAST(lines AS BIGINT) AS lines, uploaded, files - uploaded AS unchanged, CAST(0 AS BIGINT) AS failed FROM runs""",
+        "ev",
+    ),
     "materialize_model": with_ctes("SELECT * FROM dim", "dim"),
     "preview": with_ctes(
         """

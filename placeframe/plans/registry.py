@@ -48,6 +48,8 @@ from placeframe.plans.enrichment import build_marts, enriched, read_enriched, ru
 from placeframe.schemas import RAW_LOCATION
 from placeframe.operators.marts import dim_locations
 from placeframe.session import fresh_dir, read_table, shared_root
+from placeframe.sinks import layout as ly
+from placeframe.sinks import publish as pb
 from placeframe.sinks import writers as wr
 from placeframe.sources import readers as rd
 
@@ -61,6 +63,8 @@ EVENT_RECORD = StructType(
 )
 PAGE_RECORD = StructType([StructField("event_id", LongType(), True), StructField("event_type", StringType(), True)])
 DATED = ("year", "month", "day")
+#: Rows of a file in the fixed layouts: of the raw zones, and of the enriched table.
+ZONE_ROWS, STATE_ROWS = 250, 40
 NO_COUNT = -(1 << 63)
 CRAFT_TYPES = CATEGORY_RULES[0][0]
 
@@ -186,13 +190,20 @@ def q_paged_records(spark, sf_dir):
 
 
 def q_file_manifest(spark, sf_dir):
-    # listing only, over two zones below one root
+    # listing only, over two zones below one root, beside what their writer counted
     root = fresh_dir(spark, "raw-zones")
-    _land_events(spark, sf_dir, f"{root}/events")
-    wr.land_period_json(si.raw_locations(spark, sf_dir), f"{root}/locations", si.run_period(spark, sf_dir))
-    m = rd.file_manifest(spark, root)
-    part_dir = F.regexp_replace("key", r"/[^/]+$", "")
-    return m.groupBy(part_dir.alias("partition_key")).agg((F.min("file_size") > 0).alias("non_empty"))
+    zones = {"events": (si.plain_lines(spark, sf_dir), DATED), "orders": (si.order_lines(spark, sf_dir), ("year",))}
+    counted = None
+    for zone, (lines, parts) in zones.items():
+        record = ly.write_fixed_layout(lines, f"{root}/{zone}", parts, ZONE_ROWS, "text")
+        folder = F.concat_ws("/", F.lit(zone), *[F.concat(F.lit(f"{p}="), p) for p in parts])
+        own = record.select(folder.alias("partition_key"), "n_rows", F.col("n_files").alias("counted_files"), F.col("n_bytes").alias("counted_bytes"))
+        counted = own if counted is None else counted.unionByName(own)
+    listed = rd.file_manifest(spark, root).groupBy(F.regexp_replace("key", r"/[^/]+$", "").alias("partition_key")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("file_size").alias("n_bytes")
+    )
+    same = (F.col("n_files") == F.col("counted_files")) & (F.col("n_bytes") == F.col("counted_bytes"))
+    return listed.join(counted, "partition_key", "full_outer").select("partition_key", "n_rows", "n_files", "n_bytes", F.coalesce(same, F.lit(False)).alias("as_counted"))
 
 
 # ---- 2.2 sinks --------------------------------------------------------------
@@ -203,9 +214,10 @@ def q_sink_partitioned_parquet(spark, sf_dir):
 
 
 def q_sink_file_count(spark, sf_dir):
-    out, _ = _write_enriched(spark, sf_dir)
-    # how many files a hot state is split into depends on the data's size
-    return wr.files_per_partition(spark, out, "state").select("state", (F.col("n_files") >= 1).alias("has_files"), "n_rows")
+    # a fixed layout: how many files a state has follows from its rows
+    out = fresh_dir(spark, "fixed-layout")
+    ly.write_fixed_layout(_enr(spark, sf_dir), out, "state", STATE_ROWS)
+    return wr.files_per_partition(spark, out, "state")
 
 
 def q_sink_dated_json(spark, sf_dir):
@@ -226,6 +238,20 @@ def q_publish_raw_zone(spark, sf_dir):
     return wr.assert_published(wr.publish_zone(spark, src, fresh_dir(spark, "published"), DATED))
 
 
+def q_publish_files(spark, sf_dir):
+    """Publishes a zone file by file, damages the copy (one file changed, one lost) and publishes again."""
+    src, dst = fresh_dir(spark, "file-zone"), fresh_dir(spark, "file-target")
+    ly.write_fixed_layout(si.plain_lines(spark, sf_dir), src, DATED, ZONE_ROWS, "text")
+    first = pb.publish_files(spark, src, dst)
+    ends = first.agg(F.min("key").alias("low"), F.max("key").alias("high")).first()
+    if ends.low is not None:
+        si.damage_zone(spark, dst, ends.low, ends.high)
+    again = pb.assert_files_published(pb.publish_files(spark, src, dst))
+    runs = first.withColumn("run", F.lit(1)).unionByName(again.withColumn("run", F.lit(2)))
+    how_many = {s: F.count_if(F.col("status") == s).alias(s) for s in ("uploaded", "unchanged", "failed")}
+    return runs.groupBy("run", *[ly.part_value("key", p).alias(p) for p in DATED]).agg(F.count(F.lit(1)).alias("files"), F.sum("lines").alias("lines"), *how_many.values())
+
+
 def q_materialize_model(spark, sf_dir):
     m = _marts(spark, sf_dir)
     tag = uuid.uuid4().hex[:12]
@@ -506,6 +532,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_file_count": q_sink_file_count,
     "sink_dated_json": q_sink_dated_json,
     "publish_raw_zone": q_publish_raw_zone,
+    "publish_files": q_publish_files,
     "materialize_model": q_materialize_model,
     "preview": q_preview,
     "clean_locations": q_clean_locations,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from placeframe.constants import PAGE_SIZE
 from placeframe.operators.clean import filter_geocoded
 from placeframe.operators.joins import as_of_date, assemble_weather
-from placeframe.session import read_table
+from placeframe.session import _folder, read_table
 
 
 def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +132,28 @@ def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def plain_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as JSON lines of whole numbers and text, and their date parts: lines whose
+    length any engine gives alike."""
+    e = landed_events(spark, sf_dir)
+    return e.select(F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value"), "year", "month", "day")
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as JSON lines, and their year."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(F.to_json(F.struct("o_orderkey", "o_custkey")).alias("value"), F.date_format("o_orderdate", "yyyy").alias("year"))
+
+
+def damage_zone(spark: SparkSession, root: str, first: str, last: str) -> None:
+    """Plants two faults in a zone: other content in the file ``first``, and ``last`` lost."""
+    fs, where = _folder(spark, f"{root}/{first}")
+    out = fs.create(where, True)
+    out.writeBytes("{}\n")
+    out.close()
+    fs.delete(_folder(spark, f"{root}/{last}")[1], False)
+
+
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(page, body): events cut into pages of PAGE_SIZE by event_id, then the
     empty page that ends the feed and one stale page after it (a copy of the
