@@ -55,11 +55,13 @@ from placeframe.plans.enrichment import (
     read_enriched,
     run_enrichment,
 )
-from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
+from placeframe.schemas import DAILY_OBSERVATION, RAW_LOCATION, RAW_WEATHER
 from placeframe.session import build_session, fresh_dir, remove_scratch
 from placeframe.sinks.publish import file_counts, publish_files
 from placeframe.sinks.writers import land_lines, land_period_json, write_table
-from placeframe.sources.readers import page_record_lines, read_latest_partition, read_partitioned
+from placeframe.sinks.versions import publish_version, read_version
+from placeframe.sources.readers import read_latest_partition, read_partitioned, staged_page_lines
+from placeframe.sources.zones import read_day_window
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
@@ -81,13 +83,18 @@ def assemble(argv: list[str], spark=None) -> int:
     ap.add_argument("--daily", required=True, help="Parquet daily observations")
     ap.add_argument("--raw-weather", required=True, help="root to land year=/month= weather NDJSON")
     ap.add_argument("--as-of", default=None, help="window end date (default: latest observation date)")
+    ap.add_argument("--daily-by-day", action="store_true", help="the observations lie under year=/month=/day=: open only the window's folders")
     a = ap.parse_args(argv)
 
     own = spark is None
     spark = spark or build_session(app_name="placeframe-assemble")
     locations = read_latest_partition(spark, a.raw_locations, RAW_LOCATION, SNAPSHOT_PARTS).drop(*SNAPSHOT_PARTS)
     geocoded = filter_geocoded(locations)
-    daily = spark.read.parquet(a.daily)
+    if a.daily_by_day:
+        daily, end = read_day_window(spark, a.daily, DAILY_OBSERVATION, as_of=a.as_of)
+        a.as_of = str(end) if end else None
+    else:
+        daily = spark.read.parquet(a.daily)
     # one value, resolved once: a literal bound then prunes the observations
     as_of = a.as_of or daily.agg(F.date_format(F.max("obs_date"), "yyyy-MM-dd").alias("d")).first()["d"]
     found = False
@@ -120,17 +127,18 @@ def ingest_pages(argv: list[str], spark=None) -> int:
     spark = spark or build_session(app_name="placeframe-ingest-pages")
     pages = spark.read.format(a.format).schema("page long, body string").load(a.pages)
     # the records' own text: fields that no schema declares land too
-    records = page_record_lines(pages).select("value")
-    if records.isEmpty():
+    staged = fresh_dir(spark, "landed-pages")
+    records = staged_page_lines(pages, staged).select("value")
+    found = not records.isEmpty()
+    if found:
+        run = datetime.date.fromisoformat(a.run_date)
+        land_lines(records, a.raw_locations, {"year": f"{run:%Y}", "month": f"{run:%m}"})
+    else:
         print(json.dumps({"error": "no location records in the landed pages"}))
-        if own:
-            spark.stop()
-        return 1
-    run = datetime.date.fromisoformat(a.run_date)
-    land_lines(records, a.raw_locations, {"year": f"{run:%Y}", "month": f"{run:%m}"})
+    remove_scratch(spark, staged)
     if own:
         spark.stop()
-    return 0
+    return 0 if found else 1
 
 
 def publish(argv: list[str], spark=None) -> int:
@@ -174,6 +182,8 @@ def transform(argv: list[str], spark=None) -> int:
         action="store_true",
         help="skip raw row counts so cleaning filters are pushed into the JSON scan",
     )
+    ap.add_argument("--one-pass", action="store_true", help="no written clean tables: counts are observed during the write, and a repeated task counts again")
+    ap.add_argument("--versioned", action="store_true", help="write the marts as a new version and point readers to it when all are written")
     a = ap.parse_args(argv)
 
     own = spark is None
@@ -182,14 +192,21 @@ def transform(argv: list[str], spark=None) -> int:
     locations = read_partitioned(spark, a.raw_locations, RAW_LOCATION, SNAPSHOT_PARTS, fmt="json")
     weather = read_partitioned(spark, a.raw_weather, RAW_WEATHER, SNAPSHOT_PARTS, fmt="json")
     require_nonempty(locations, "location records")
-    counts = run_enrichment(locations, weather, a.output, snapshots=a.snapshots, count_raw=not a.no_raw_counts)
+    stage = None if a.one_pass else fresh_dir(spark, "clean-stage")
+    counts = run_enrichment(locations, weather, a.output, snapshots=a.snapshots, count_raw=not a.no_raw_counts, stage_dir=stage)
+    if stage:
+        remove_scratch(spark, stage)
     print(json.dumps({"stage_counts": counts}, default=str))
 
     enr = read_enriched(spark, a.output)
     # the enriched input is already a written table: stage only the summary
     staged = fresh_dir(spark, "marts-stage")
     marts = build_marts(enr, a.grain, stage_dir=staged, stage=("summary",))
-    tables = publish_marts(marts, a.marts)
+    if a.versioned:
+        version = publish_version({"dim_locations": marts.dim, "fact_location_weather": marts.fact}, a.marts)
+        tables = {n: read_version(spark, a.marts, n, version) for n in ("dim_locations", "fact_location_weather")}
+    else:
+        tables = publish_marts(marts, a.marts)
     models = {
         "stg_locations": marts.stg,
         "state_weather_summary": marts.summary,

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,15 +29,6 @@ def check_accepted_values(df: DataFrame, col: str, values: Sequence[str]) -> Dat
     return df.filter(~F.col(col).isin(list(values))).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _result(model: str, column: str, test: str, failures_df: DataFrame, count_expr) -> DataFrame:
-    return failures_df.agg(count_expr.alias("failures")).select(
-        F.lit(model).alias("model"),
-        F.lit(column).alias("column_name"),
-        F.lit(test).alias("test"),
-        F.col("failures"),
-    )
-
-
 def not_null_counts(model: str, df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """All not_null tests of one model in a single pass: one row per column."""
     agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(cols)])
@@ -47,15 +38,36 @@ def not_null_counts(model: str, df: DataFrame, cols: Sequence[str]) -> DataFrame
     )
 
 
-def _one_pass(model: str, df: DataFrame, not_null: Sequence[str], accepted: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """All not_null and accepted_values tests of one model from one scan: a row per test."""
-    tests = [(c, "not_null", F.count_if(F.col(c).isNull())) for c in not_null]
-    tests += [(c, "accepted_values", F.count_distinct(F.when(~F.col(c).isin(list(v)), F.col(c)))) for c, v in accepted]
-    agg = df.agg(*[e.alias(f"_t{i}") for i, (_, _, e) in enumerate(tests)])
-    rows = ", ".join(f"'{c}', '{t}', _t{i}" for i, (c, t, _) in enumerate(tests))
-    return agg.selectExpr(f"stack({len(tests)}, {rows}) AS (column_name, test, failures)").select(
-        F.lit(model).alias("model"), "column_name", "test", "failures"
-    )
+#: (column, test, accepted values)
+Test = tuple[str, str, Sequence[str] | None]
+
+
+def _findings(tests: Sequence[Test]) -> Column:
+    """What a row gives the model's tests: (test number, value). A unique test takes every value that
+    isn't null, the others only what fails; values are compared by their text."""
+    found = []
+    for i, (c, test, values) in enumerate(tests):
+        text = F.col(c).cast("string")
+        wrong = {"unique": F.col(c).isNotNull(), "not_null": F.col(c).isNull()}.get(test)
+        wrong = wrong if wrong is not None else ~F.col(c).isin(list(values or ()))
+        found.append(F.when(wrong, F.struct(F.lit(i).alias("t"), text.alias("v"))))
+    return F.filter(F.array(*found), lambda x: x.isNotNull())
+
+
+def model_report(model: str, df: DataFrame, tests: Sequence[Test]) -> DataFrame:
+    """All tests of one model from one scan: a row per test.
+
+    Each row gives its (test, value) findings; these are counted (combined before
+    the shuffle, so a value that a third of the rows share is no hot spot), and the counted
+    values are summed up per test: repeated values (unique), rows (not_null),
+    distinct values (accepted_values).
+    """
+    groups = df.select(F.explode(_findings(tests)).alias("f")).groupBy("f.t", "f.v").agg(F.count(F.lit(1)).alias("n"))
+    fails = {"unique": F.count_if(F.col("n") > 1), "not_null": F.sum("n"), "accepted_values": F.count(F.lit(1))}
+    per_test = groups.groupBy("t").agg(*[e.alias(k) for k, e in fails.items()])
+    one = per_test.agg(*[F.coalesce(F.max(F.when(F.col("t") == i, F.col(test))), F.lit(0)).alias(f"_t{i}") for i, (_, test, _) in enumerate(tests)])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("test"), F.col(f"_t{i}").alias("failures")) for i, (c, t, _) in enumerate(tests)]))
+    return one.select(rows.alias("r")).select(F.lit(model).alias("model"), "r.*")
 
 
 def run_suite(
@@ -68,23 +80,21 @@ def run_suite(
 
     ``failures`` is the number of rows each test's failing result has: null
     rows (not_null), repeated values (unique), distinct unaccepted values
-    (accepted_values). A model's not_null and accepted_values tests share one
-    scan; a unique test needs a grouped aggregate of its own (partial
-    aggregation before the shuffle).
+    (accepted_values). All tests of a model share one scan (``model_report``).
     """
-    by_model: dict[str, tuple[list, list]] = {}
-    for model, col in not_null:
-        by_model.setdefault(model, ([], []))[0].append(col)
-    for model, col, values in accepted:
-        by_model.setdefault(model, ([], []))[1].append((col, values))
-    parts = [_one_pass(model, models[model], *tests) for model, tests in by_model.items()]
-    for model, col in unique:
-        parts.append(_result(model, col, "unique", check_unique(models[model], col), F.count(F.lit(1))))
-    if not parts:
+    by_model: dict[str, list[Test]] = {}
+    for model, c in not_null:
+        by_model.setdefault(model, []).append((c, "not_null", None))
+    for model, c, values in accepted:
+        by_model.setdefault(model, []).append((c, "accepted_values", values))
+    for model, c in unique:
+        by_model.setdefault(model, []).append((c, "unique", None))
+    if not by_model:
         raise ValueError("run_suite needs at least one test")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    out = None
+    for model, tests in by_model.items():
+        report = model_report(model, models[model], tests)
+        out = report if out is None else out.unionByName(report)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 

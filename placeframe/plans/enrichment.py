@@ -13,7 +13,8 @@ from pyspark.sql.types import StructType
 
 from placeframe.operators.aggregates import latest_per_key
 from placeframe.operators.clean import clean_locations, flatten_weather, kept_by_cleaning
-from placeframe.operators.joins import left_join_weather
+from placeframe.constants import WINDOW_DAYS
+from placeframe.operators.joins import assemble_weather, left_join_weather
 from placeframe.operators.marts import (
     dim_locations,
     enrich,
@@ -23,6 +24,7 @@ from placeframe.operators.marts import (
 )
 from placeframe.schemas import RAW_LOCATION, RAW_WEATHER
 from placeframe.sinks.writers import write_partitioned_parquet, write_table
+from placeframe.sources.zones import read_day_window
 
 
 SNAPSHOT_PARTS = ("year", "month")
@@ -180,22 +182,61 @@ def _observed(observation: Observation, *names: str) -> dict:
     return {n: found.get(n) or 0 for n in names}
 
 
+def run_enrichment_staged(
+    raw_locations: DataFrame, raw_weather: DataFrame, output_path: str, stage_dir: str, snapshots: str = "all", count_raw: bool = True
+) -> DataFrame:
+    """The enrichment by way of written clean tables; returns ``written_counts``. The join reads the
+    written tables, so a lost executor costs no second cleaning, and their real sizes
+    decide how they are joined."""
+    clean, weather = _cleaned(raw_locations, raw_weather, snapshots)
+    clean = write_table(clean, f"{stage_dir}/clean_locations")
+    weather = write_table(weather, f"{stage_dir}/clean_weather")
+    write_partitioned_parquet(enrich(left_join_weather(clean, weather)), output_path, "state")
+    raw = {"raw_locations": raw_locations, "raw_weather": raw_weather} if count_raw else {}
+    return written_counts({**raw, "clean_locations": clean, "clean_weather": weather}, read_enriched(clean.sparkSession, output_path))
+
+
+def written_counts(stages: dict[str, DataFrame], joined: DataFrame) -> DataFrame:
+    """One row with the rows of each stage, of the joined table and of those with weather: plain
+    aggregates over written files (row counts come from the footers), so a repeated task counts once."""
+    rows = F.count(F.lit(1))
+    counts = [df.select(rows).scalar().alias(name) for name, df in stages.items()]
+    return joined.agg(rows.alias("joined"), F.count("avg_temp_max_f").alias("with_weather")).select(*counts, "joined", "with_weather")
+
+
+def assemble_from_zone(spark, root: str, schema: StructType, locations: DataFrame, parts=("year", "month", "day"), as_of=None, days: int = WINDOW_DAYS) -> DataFrame:
+    """Weather records for the trailing window of an observation zone laid out by day. Only the
+    window's folders are opened; its end is ``as_of`` or the zone's last day."""
+    window, end = read_day_window(spark, root, schema, parts, days, as_of)
+    return assemble_weather(window, locations, as_of=end, days=days)
+
+
 def run_enrichment(
     raw_locations: DataFrame,
     raw_weather: DataFrame,
     output_path: str,
     snapshots: str = "all",
     count_raw: bool = True,
+    stage_dir: str | None = None,
 ) -> dict:
-    """Whole enrichment job in one write pass.
+    """Whole enrichment job.
+
+    With ``stage_dir`` (a scratch folder) the clean tables are written there and the
+    stage counts are taken from what was written (``written_counts``): each is
+    right whatever was repeated after a lost executor. Raw rows are counted by
+    a pass of their own, which splits lines and decodes none.
 
-    Stage counts are gathered with ``observe`` while the write runs, so the
+    Without it the job is one write pass. Stage counts are gathered with ``observe`` while the write runs, so the
     raw inputs are scanned once (no count() actions, no cache). They are for
     the log: a stage that runs again after a lost executor counts its rows
     again. A stage without rows counts 0. Counting raw rows needs every row,
     so that metric sits under the cleaning filters and keeps them out of the
     JSON scan; ``count_raw=False`` drops the two raw counts and lets the
     filters reach the reader."""
+    if stage_dir is not None:
+        counts = run_enrichment_staged(raw_locations, raw_weather, output_path, stage_dir, snapshots, count_raw).first().asDict()
+        both = counts.pop("with_weather")
+        return {k: {"n": n} | ({"with_weather": both} if k == "joined" else {}) for k, n in counts.items()}
     names = ["clean_locations", "clean_weather", "joined"]
     if count_raw:
         names = ["raw_locations", "raw_weather", *names]

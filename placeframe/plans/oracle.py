@@ -242,6 +242,13 @@ SELECT run, year, month, day, files, CAST(lines AS BIGINT) AS lines, uploaded, f
         "ev",
     ),
     "materialize_model": with_ctes("SELECT * FROM dim", "dim"),
+    "publish_versions": with_ctes(
+        """
+SELECT reader, state, brewery_category, count(*) AS n
+FROM (SELECT 'after' AS reader, * FROM dim UNION ALL SELECT 'before', * FROM dim WHERE has_coordinates)
+GROUP BY reader, state, brewery_category""",
+        "dim",
+    ),
     "preview": with_ctes(
         """
 SELECT brewery_id, name, state, brewery_type, avg_temp_max_f, climate_zone FROM enr
@@ -284,6 +291,18 @@ SELECT g.id AS brewery_id, strftime((SELECT d FROM run_end), '%Y-%m-%d') AS fetc
        row_number() OVER (PARTITION BY g.id ORDER BY w.obs_date) AS day_index,
        w.tmax AS temperature_2m_max, w.tmin AS temperature_2m_min,
        w.precip AS precipitation_sum, w.wind AS windspeed_10m_max
+FROM win w JOIN geo g ON w.loc_id = g.id""",
+        "win",
+        "geo",
+        "run_end",
+    ),
+    # the same records, from the zone by day
+    "assemble_from_zone": with_ctes(
+        """
+SELECT g.id AS brewery_id, strftime((SELECT d FROM run_end), '%Y-%m-%d') AS fetch_date,
+       row_number() OVER (PARTITION BY g.id ORDER BY w.obs_date) AS day_index,
+       w.tmax AS temperature_2m_max, w.tmin AS temperature_2m_min,
+       w.precip AS precipitation_sum, w.wind AS windspeed_10m_max
 FROM win w JOIN geo g ON w.loc_id = g.id""",
         "win",
         "geo",
@@ -329,6 +348,18 @@ SELECT (SELECT count(*) FROM raw_b) AS raw_locations, (SELECT count(*) FROM clea
         "wx",
         "wc",
     ),
+    "stage_counts_written": with_ctes(
+        """
+SELECT (SELECT count(*) FROM raw_b) AS raw_locations, (SELECT count(*) FROM wx) AS raw_weather,
+       (SELECT count(*) FROM clean_b) AS clean_locations, (SELECT count(*) FROM wc) AS clean_weather,
+       count(*) AS joined, count(avg_temp_max_f) AS with_weather
+FROM enr""",
+        "raw_b",
+        "clean_b",
+        "wx",
+        "wc",
+        "enr",
+    ),
     "geocode_coverage": with_ctes(
         """
 SELECT (SELECT count(*) FROM geo) AS geocoded, count(*) - (SELECT count(*) FROM geo) AS skipped

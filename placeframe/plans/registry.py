@@ -44,12 +44,13 @@ from placeframe.operators import clean as cl
 from placeframe.operators import joins as jn
 from placeframe.operators import quality as qa
 from placeframe.plans import standin as si
-from placeframe.plans.enrichment import build_marts, enriched, read_enriched, run_enrichment, stage_counts
+from placeframe.plans.enrichment import assemble_from_zone, build_marts, enriched, read_enriched, run_enrichment, run_enrichment_staged, stage_counts
 from placeframe.schemas import RAW_LOCATION
 from placeframe.operators.marts import dim_locations
 from placeframe.session import fresh_dir, read_table, shared_root
 from placeframe.sinks import layout as ly
 from placeframe.sinks import publish as pb
+from placeframe.sinks import versions as vs
 from placeframe.sinks import writers as wr
 from placeframe.sources import readers as rd
 
@@ -185,7 +186,7 @@ def q_external_json_table(spark, sf_dir):
 
 def q_paged_records(spark, sf_dir):
     # the records' own text, and their typed fields
-    lines = rd.page_record_lines(si.event_pages(spark, sf_dir))
+    lines = rd.staged_page_lines(si.event_pages(spark, sf_dir), fresh_dir(spark, "pages"))
     return lines.select("page", "value", F.from_json("value", PAGE_RECORD, {"mode": "FAILFAST"}).alias("r")).select("page", "r.*", F.col("value").alias("record"))
 
 
@@ -261,6 +262,17 @@ def q_materialize_model(spark, sf_dir):
     return wr.materialize(dim, f"dim_locations_{tag}", "table", fresh_dir(spark, "dim-table"))
 
 
+def q_publish_versions(spark, sf_dir):
+    """Marts published twice: a reader that began before the second run still sees the first one whole."""
+    root, m = fresh_dir(spark, "versions"), _marts(spark, sf_dir)
+    vs.publish_version({"dim_locations": m.dim.filter("has_coordinates"), "summary": m.summary}, root)
+    before = vs.read_version(spark, root, "dim_locations")
+    vs.publish_version({"dim_locations": m.dim, "summary": m.summary}, root)
+    after = vs.read_version(spark, root, "dim_locations")
+    seen = before.withColumn("reader", F.lit("before")).unionByName(after.withColumn("reader", F.lit("after")))
+    return seen.groupBy("reader", "state", "brewery_category").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_preview(spark, sf_dir):
     return wr.preview(_enr(spark, sf_dir), PREVIEW_COLUMNS, PREVIEW_ORDER, PREVIEW_ROWS)
 
@@ -321,7 +333,10 @@ def q_fact_matched_zone(spark, sf_dir):
 
 
 def q_assemble_weather(spark, sf_dir):
-    w = si.weather_records(spark, sf_dir)
+    return _by_day(si.weather_records(spark, sf_dir))
+
+
+def _by_day(w: DataFrame) -> DataFrame:
     exploded = w.select("brewery_id", "fetch_date", "weather", F.posexplode("weather." + DAILY_FIELDS[0]).alias("pos", "_v"))
     return exploded.select(
         "brewery_id",
@@ -331,6 +346,15 @@ def q_assemble_weather(spark, sf_dir):
     )
 
 
+def q_assemble_from_zone(spark, sf_dir):
+    # an observation zone laid out by day, of which only the window's folders are opened
+    root = fresh_dir(spark, "observations")
+    daily = si.repeated_days(si.daily_observations(spark, sf_dir))
+    wr.write_partitioned_parquet(daily.select("*", *date_part_strings("obs_date", DATED)), root, DATED)
+    w = assemble_from_zone(spark, root, daily.schema, si.geocoded_locations(spark, sf_dir), DATED)
+    return _by_day(w)
+
+
 # ---- 2.4 filters ------------------------------------------------------------
 
 def q_filter_country(spark, sf_dir):
@@ -386,6 +410,18 @@ def q_stage_counts(spark, sf_dir):
     return stage_counts(raw, si.weather_records(spark, sf_dir, raw))
 
 
+def q_stage_counts_written(spark, sf_dir):
+    """The job by way of written stages; the counts are of the files."""
+    period = si.run_period(spark, sf_dir)
+    roots = {k: fresh_dir(spark, f"counted-{k}") for k in ("locations", "weather", "stage", "out")}
+    base = si.raw_locations(spark, sf_dir)
+    wr.land_period_json(base, roots["locations"], period)
+    wr.land_period_json(si.weather_records(spark, sf_dir, base), roots["weather"], period)
+    locations = rd.read_locations(spark, f"{roots['locations']}/year=*/month=*/*.json")
+    weather = rd.read_weather(spark, f"{roots['weather']}/year=*/month=*/*.json")
+    return run_enrichment_staged(locations, weather, roots["out"], roots["stage"])
+
+
 def q_geocode_coverage(spark, sf_dir):
     return agg.geocode_coverage(si.raw_locations(spark, sf_dir), is_truthy_number("latitude") & is_truthy_number("longitude"))
 
@@ -534,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "publish_raw_zone": q_publish_raw_zone,
     "publish_files": q_publish_files,
     "materialize_model": q_materialize_model,
+    "publish_versions": q_publish_versions,
     "preview": q_preview,
     "clean_locations": q_clean_locations,
     "safe_cast_coords": q_safe_cast_coords,
@@ -547,6 +584,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_location_weather": q_fact_location_weather,
     "fact_matched_zone": q_fact_matched_zone,
     "assemble_weather": q_assemble_weather,
+    "assemble_from_zone": q_assemble_from_zone,
     "filter_country": q_filter_country,
     "filter_required": q_filter_required,
     "join_coverage": q_join_coverage,
@@ -557,6 +595,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_weather": q_missing_weather,
     "lookup_report": q_lookup_report,
     "stage_counts": q_stage_counts,
+    "stage_counts_written": q_stage_counts_written,
     "geocode_coverage": q_geocode_coverage,
     "top_groups": q_top_groups,
     "dominant_category": q_dominant_category,

@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     ArrayType,
+    DateType,
     DoubleType,
     StringType,
     StructField,
@@ -71,3 +72,9 @@ SOURCE_TABLES = {
         "o_orderdate timestamp_ntz, o_orderpriority string"
     ),
 }
+
+# one row per location and day, as the trailing window takes them
+DAILY_OBSERVATION = StructType(
+    [StructField("loc_id", StringType(), True), StructField("obs_date", DateType(), True)]
+    + [StructField(c, DoubleType(), True) for c in ("tmax", "tmin", "precip", "wind")]
+)

@@ -98,6 +98,21 @@ def _folder(spark: SparkSession, path: str):
     return where.getFileSystem(conf), where
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _folder(spark, path)
+    return fs.exists(where)
+
+
+def replace_file(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a file over another of the same file system, in one step where it has one."""
+    jvm = spark.sparkContext._jvm
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    fs, where = _folder(spark, to)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(where.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(jvm.org.apache.hadoop.fs.Path(path), fs.makeQualified(where), over)
+
+
 def folder_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path`` (none if it isn't there)."""
     fs, where = _folder(spark, path)

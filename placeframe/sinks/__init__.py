@@ -14,3 +14,4 @@ from placeframe.sinks.writers import (  # noqa: F401
 )
 from placeframe.sinks.layout import layout_record, layout_report, listed_layout, write_fixed_layout  # noqa: F401
 from placeframe.sinks.publish import assert_files_published, content_manifest, diff_manifests, file_counts, publish_files  # noqa: F401
+from placeframe.sinks.versions import current_version, publish_version, read_version  # noqa: F401

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeframe.functions.columns import object_key
-from placeframe.session import _folder, fresh_dir, remove_scratch
+from placeframe.session import _folder, fresh_dir, path_exists, remove_scratch, replace_file
 from placeframe.sinks.writers import write_table
 
 MANIFEST = "key string, path string, size long, digest string, tail string, lines long"
@@ -31,11 +31,6 @@ CALLS = 16
 STAGED = 20_000
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, where = _folder(spark, path)
-    return fs.exists(where)
-
-
 def _literal(path: str) -> str:
     """A path that the reader's globbing takes as it is."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
@@ -45,7 +40,7 @@ def content_manifest(spark: SparkSession, root: str, pattern: str = "*", paths:
     """(key, path, size, digest, tail, lines) of the files below ``root``, or of ``paths`` there: the
     SHA-256 of the whole content, its last sign and its lines; null for a file that can't be
     read. An absent root has no files, and a file without a byte is none to Spark's listing."""
-    if not _exists(spark, root) or paths == []:
+    if not path_exists(spark, root) or paths == []:
         return spark.createDataFrame([], MANIFEST)
     read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
     files = read.load([_literal(p) for p in paths]) if paths is not None else read.option("pathGlobFilter", pattern).load(root)
@@ -79,7 +74,7 @@ def _stage(spark: SparkSession, files: list, folder: str) -> dict[str, str]:
     for k, (tail, own) in enumerate(by_tail.items()):
         for low in range(0, len(own), STAGED):
             with ThreadPoolExecutor(CALLS) as pool:  # what is gone by now fails alone
-                some = [f for f, there in zip(own[low:], pool.map(lambda f: _exists(spark, f.path), own[low : low + STAGED])) if there]
+                some = [f for f, there in zip(own[low:], pool.map(lambda f: path_exists(spark, f.path), own[low : low + STAGED])) if there]
             if not some:
                 continue
             read = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true").load([_literal(f.path) for f in some])
@@ -96,19 +91,13 @@ def _stage(spark: SparkSession, files: list, folder: str) -> dict[str, str]:
 def _place(spark: SparkSession, target: str, files: list, staged: dict[str, str]) -> list[str]:
     """Renames the staged copies to their keys, over what is there, and returns the paths that are
     there then. What fails stays as it was; the check that follows says so."""
-    jvm = spark.sparkContext._jvm
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    over = spark.sparkContext._gateway.new_array(rename, 1)
-    over[0] = rename.OVERWRITE
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
 
     def one(f) -> str | None:
         fs, to = _folder(spark, f"{target.rstrip('/')}/{f.key}")
         try:
             fs.mkdirs(to.getParent())
             if f.key in staged:
-                context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(to.toUri(), conf)
-                context.rename(jvm.org.apache.hadoop.fs.Path(staged[f.key]), fs.makeQualified(to), over)
+                replace_file(spark, staged[f.key], to.toString())
         except Py4JJavaError:
             return None
         return to.toString() if fs.exists(to) else None

@@ -11,4 +11,6 @@ from placeframe.sources.readers import (  # noqa: F401
     read_ndjson,
     read_partitioned,
     read_weather,
+    staged_page_lines,
 )
+from placeframe.sources.zones import latest_day, read_day_window  # noqa: F401

@@ -181,6 +181,26 @@ def page_record_lines(pages: DataFrame, page_col: str = "page", body_col: str =
     return kept.select(F.col(page_col).alias("page"), F.explode(lines).alias("value"))
 
 
+def staged_page_lines(pages: DataFrame, path: str, page_col: str = "page", body_col: str = "body") -> DataFrame:
+    """``page_record_lines`` in one pass over the pages: they are cut into records at
+    once and written to ``path`` (a scratch folder), with a mark for each page that ends the feed
+    or holds no array. The end is then the least mark of its kind, from two narrow columns,
+    and only records before it are read back; a bad page before it fails the job.
+    For bodies that are dear to read or to make; records after the end are written too.
+    """
+    length = F.json_array_length(F.col(body_col))
+    lines = F.from_json(F.col(body_col), "array<string>")
+    kind = F.when(length.isNull() | lines.isNull(), "bad").when(length == 0, "end").otherwise("record")
+    marked = pages.select(F.col(page_col).alias("page"), kind.alias("kind"), F.when(length > 0, lines).alias("lines"))
+    staged = marked.select("page", "kind", F.explode_outer("lines").alias("value"))
+    staged.write.mode("overwrite").parquet(path)
+    staged = pages.sparkSession.read.schema(staged.schema).parquet(path)
+    stop = staged.filter("kind = 'end'").select(F.min("page")).scalar()
+    kept = staged.filter((F.col("kind") != "end") & (stop.isNull() | (F.col("page") < stop)))
+    bad = F.raise_error(F.concat(F.lit("page "), F.coalesce(F.col("page").cast("string"), F.lit("null")), F.lit(" holds no JSON array")))
+    return kept.select("page", F.when(F.col("kind") == "bad", bad.cast("string")).otherwise(F.col("value")).alias("value"))
+
+
 def paged_records(pages: DataFrame, record_schema: StructType, page_col: str = "page", body_col: str = "body") -> DataFrame:
     """Landed page bodies as typed records (see ``page_record_lines`` for where the
     feed ends); a record that doesn't fit the schema fails the job."""
