@@ -114,32 +114,37 @@ def text_batches(texts: Sequence[str | None], most: int = 1 << 20) -> Iterator[t
     return ranges((len(t) if t else 0 for t in texts), most) if len(texts) else iter(())
 
 
+#: Links of a node that meet in one group when labels are passed on; a node with more has several groups.
+HUB_LINKS = 256
+
+
 def connected(edges: DataFrame, a: str, b: str, tag: str, most_rounds: int = 60) -> DataFrame:
     """(node, root) of the graph's connected components; root is the smallest node.
 
     Each round every node takes the smallest label among its own and its
     neighbours' ones and then the label of that label (pointer jumping), so
-    the rounds grow with the logarithm of a component's width. Labels are
-    combined by ``min`` before the shuffle, so a node with very many links is
-    no hot spot. Each round is written to the shared folder.
+    the rounds grow with the logarithm of a component's width. A node with very
+    many links is no hot spot: its links are dealt over groups of ``HUB_LINKS`` and its
+    label goes to each group, and the labels that come back to it are combined by
+    ``min`` in the tasks before the shuffle. Each round is written to the shared folder.
     """
     links = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
     both = stored(links.union(links.select("v", "u")).distinct(), f"{tag}-links")
     label = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root"))
     if both.isEmpty():
         return label
+    hubs = both.groupBy(F.col("v").alias("hub")).agg(F.ceil(F.count(F.lit(1)) / HUB_LINKS).cast("int").alias("groups")).filter("groups > 1")
+    hubs = stored(hubs, f"{tag}-hubs")
+    dealt = both.join(hubs, F.col("v") == F.col("hub"), "left").select("u", "v", F.coalesce(F.pmod(F.xxhash64("u"), F.col("groups")), F.lit(0)).cast("int").alias("g"))
+    dealt = stored(dealt, f"{tag}-dealt")
     for i in range(1, most_rounds + 1):
-        near = (
-            both.join(label.select(F.col("node").alias("v"), F.col("root").alias("there")), "v")
-            .groupBy(F.col("u").alias("node"))
-            .agg(F.min("there").alias("there"))
-        )
+        group = F.explode(F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1))
+        given = label.join(hubs, F.col("node") == F.col("hub"), "left").select(F.col("node").alias("v"), group.alias("g"), F.col("root").alias("there"))
+        near = dealt.join(given, ["v", "g"]).groupBy(F.col("u").alias("node")).agg(F.min("there").alias("there"))
         step = label.join(near, "node").select("node", "root", F.least("root", "there").alias("next"))
         jump = label.select(F.col("node").alias("next"), F.col("root").alias("far"))
-        new = step.join(jump, "next", "left").select(
-            "node", F.least("next", F.coalesce("far", "next")).alias("root"), (F.least("next", F.coalesce("far", "next")) < F.col("root")).alias("moved")
-        )
-        new = stored(new, f"{tag}-{i}")
+        least = F.least("next", F.coalesce("far", "next"))
+        new = stored(step.join(jump, "next", "left").select("node", least.alias("root"), (least < F.col("root")).alias("moved")), f"{tag}-{i}")
         label = new.select("node", "root")
         if new.filter("moved").isEmpty():
             return label

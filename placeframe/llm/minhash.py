@@ -219,7 +219,7 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
 
     hashed = rows.select("key", "__text", F.md5(F.col("__text").cast("binary")).alias("h"))
     sketch = stored(_sampled(hashed, ["key", "h"], weights), f"{tag}-sketch")
-    nodes = sketch.groupBy("h").agg(F.min("key").alias("key"), F.first("bands").alias("bands"))
+    nodes = stored(sketch.groupBy("h").agg(F.min("key").alias("key"), F.first("bands").alias("bands")), f"{tag}-nodes")
     bucket = _buckets(nodes, f"{tag}-buckets")
     # one row of each text that is in a bucket: by text and key, so that no text's rows meet in a task
     involved = bucket.select("h").distinct().join(nodes.select("h", "key"), "h").select(F.col("h").alias("ih"), F.col("key").alias("ikey"))
@@ -234,8 +234,8 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
     label = _merged(label, first.filter(F.col("s") >= least), f"{tag}-cc")
     apart = _apart(bucket, label, f"{tag}-apart")
     if apart.isEmpty():
-        return _members(sketch, label)
-    return _members(sketch, _merged(label, _rest(apart, first, texts, weights, least, tag), f"{tag}-cc-last"))
+        return _members(sketch, label, f"{tag}-members")
+    return _members(sketch, _merged(label, _rest(apart, first, texts, weights, least, tag), f"{tag}-cc-last"), f"{tag}-members")
 
 
 def _sampled(df: DataFrame, names: list[str], weights) -> DataFrame:
@@ -258,9 +258,13 @@ def _sampled(df: DataFrame, names: list[str], weights) -> DataFrame:
 
 def _buckets(nodes: DataFrame, tag: str) -> DataFrame:
     """(bucket, h, leader, second) of the buckets with two nodes or more; the smallest
-    and the greatest node (nodes are md5 sums, so any two) lead."""
+    and the greatest node (nodes are md5 sums, so any two) lead. (Here and below the side
+    of a join that has one row for each key is written first: then it is broadcast if
+    its files are small, and else both sides are shuffled for the join alone, so that
+    a large key's rows on the other side are split among tasks.)"""
     member = nodes.select("h", F.posexplode("bands").alias("band", "value"))
     shared = member.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("leader"), F.max("h").alias("second")).filter("n > 1").drop("n")
+    shared = stored(shared, f"{tag}-shared")
     return stored(member.join(shared, ["band", "value"]).select(F.xxhash64("band", "value", "leader").alias("bucket"), "h", "leader", "second"), tag)
 
 
@@ -284,9 +288,9 @@ def _apart(bucket: DataFrame, label: DataFrame, tag: str) -> DataFrame:
     """The members of buckets whose members are not all in one class, with their class ``c`` and the leader's ``lc``."""
     own = label.select(F.col("node").alias("h"), F.col("root").alias("c"))
     lead = label.select(F.col("node").alias("leader"), F.col("root").alias("lc"))
-    known = bucket.join(own, "h").join(lead, "leader")
+    known = stored(bucket.join(own, "h").join(lead, "leader"), f"{tag}-known")
     # the leader is a member, so a bucket is apart if a member's class isn't the leader's
-    mixed = known.filter("c <> lc").select("bucket").distinct()
+    mixed = stored(known.filter("c <> lc").select("bucket").distinct(), f"{tag}-mixed")
     return stored(known.join(mixed, "bucket", "left_semi"), tag)
 
 
@@ -363,20 +367,20 @@ def block_links(block: pa.Table, weights: Weights, least: float) -> pa.Table:
     return pa.table([pa.array([a for a, _ in links], pa.string()), pa.array([b for _, b in links], pa.string())], names=["a", "b"])
 
 
-def _members(sketch: DataFrame, label: DataFrame) -> DataFrame:
+def _members(sketch: DataFrame, label: DataFrame, tag: str) -> DataFrame:
     """Each row's class: its text's component, named by the smallest key in it."""
     own = sketch.groupBy("h").agg(F.min("key").alias("least"))
-    root = own.join(label, F.col("h") == F.col("node"), "left").select("h", "least", F.coalesce("root", "h").alias("root"))
-    named = root.groupBy("root").agg(F.min("least").alias("class_id"))
-    classes = root.select("h", "root").join(named, "root").select("h", "class_id", "root")
+    root = stored(own.join(label, F.col("h") == F.col("node"), "left").select("h", "least", F.coalesce("root", "h").alias("root")), f"{tag}-root")
+    named = stored(root.groupBy("root").agg(F.min("least").alias("class_id")), f"{tag}-named")
+    classes = stored(root.select("h", "root").join(named, "root").select("h", "class_id", "root"), f"{tag}-classes")
     return sketch.select("key", "h").join(classes, "h").select("key", "class_id", F.col("root").alias("component"), "h")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Each row's key, class (its smallest key), the class's number of rows, and
     whether the row stays (one document of each class; rows that repeat it with its key count as it)."""
-    rows = near_classes(docs, text, key)
-    size = rows.groupBy("component").agg(F.count(F.lit(1)).alias("class_size"))
+    rows = stored(near_classes(docs, text, key), "minhash-rows")
+    size = stored(rows.groupBy("component").agg(F.count(F.lit(1)).alias("class_size")), "minhash-sizes")
     named = rows.join(size, "component").select("key", "class_id", "class_size")
     alone = docs.select(docs[key].alias("key"), docs[text].alias("__text")).filter(~has_word(F.col("__text")))
     named = named.unionByName(alone.select("key", F.col("key").alias("class_id"), F.lit(1).cast("long").alias("class_size")))
@@ -392,6 +396,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
         .agg(F.min(F.struct(F.col("key").isNull(), "key", "h")).alias("m"))
         .select(F.col("m.key").alias("__key"), F.col("m.h").alias("__own"))
     )
+    first = stored(first, "minhash-kept")
     hashed = docs.withColumn("__h", F.md5(docs[text].cast("binary")))
     kept = hashed.join(first, (F.col("__h") == F.col("__own")) & F.col(f"`{key}`").eqNullSafe(F.col("__key")), "left_semi")
     alone = docs.filter(~has_word(docs[text]))

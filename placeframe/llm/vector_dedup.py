@@ -171,14 +171,16 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     found = stored(dealt.groupBy("f", "length", "i", "j").applyInArrow(links, "node string, links long, root string"), f"{tag}-links")
     label = connected(found, "node", "root", tag)
     count = found.groupBy("node").agg(F.sum("links").alias("links"))
+    # sides with one row for each key are written: broadcast if small, else a large key's rows are split
     full = (
         nodes.select("node", "n", "id")
         .join(count, "node", "left")
         .join(label, "node", "left")
         .select("node", "id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
     )
-    named = full.groupBy("root").agg(F.min("id").alias("component_id"))
-    known = full.join(named, "root").select("node", "n_links", "component_id")
+    full = stored(full, f"{tag}-full")
+    named = stored(full.groupBy("root").agg(F.min("id").alias("component_id")), f"{tag}-named")
+    known = stored(full.join(named, "root").select("node", "n_links", "component_id"), f"{tag}-known")
     linked = good.select("id", "node").join(known, "node").select("id", "n_links", "component_id")
     alone = rows.filter(~F.col("ok")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.union(alone).select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -97,3 +97,40 @@ def test_samples_agree_as_often_as_the_weighted_similarity():
     want = mh.similarity((np.sort(x), wx[np.argsort(x)]), (np.sort(y), wy[np.argsort(y)]))
     keys = mh.Sampler((2000, 1)).bands(np.concatenate([x, y]), np.concatenate([wx, wy]), np.array([0, 330, 660]))
     assert abs((keys[0] == keys[1]).mean() - want) < 0.04
+
+
+def test_connected_with_a_hub(spark):
+    """A node with most of the links: its links are dealt over groups, the components are right."""
+    import random
+
+    from placeframe.llm import common
+
+    r = random.Random(4)
+    links = [("m", f"n{i:04d}") for i in range(1200)]  # a hub that isn't the smallest node
+    links += [(f"a{i:03d}", f"a{i + 1:03d}") for i in range(60)] + [("a060", "n0007")]  # a chain into it
+    links += [(f"x{r.randrange(300)}", f"x{r.randrange(300)}") for _ in range(200)] + [("m", "m"), ("b", "b")]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        if a != b:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    got = {x.node: x.root for x in common.connected(spark.createDataFrame(links, "a string, b string").repartition(5), "a", "b", "hub-test").collect()}
+    assert got == {x: find(x) for x in root}
+
+
+def test_one_text_and_one_class_with_a_third_of_the_rows(spark):
+    from llm_helpers import sentence
+
+    from placeframe.llm.minhash import near_duplicates
+
+    base = sentence(7, 300).split()
+    near = [" ".join([*base[: i % 290], f"edit{i}", *base[i % 290 + 1 :]]) for i in range(120)]
+    rows = [(i, t) for i, t in enumerate([*near, *[sentence(500, 120)] * 120, *(sentence(1000 + i, 90) for i in range(120))])]
+    got = {r.doc_id: (r.class_id, r.class_size) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert got == {i: (0, 120) if i < 120 else (120, 120) if i < 240 else (i, 1) for i in range(360)}
