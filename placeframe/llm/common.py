@@ -141,8 +141,10 @@ def connected(edges: DataFrame, a: str, b: str, tag: str, most_rounds: int = 60)
         group = F.explode(F.sequence(F.lit(0), F.coalesce("groups", F.lit(1)) - 1))
         given = label.join(hubs, F.col("node") == F.col("hub"), "left").select(F.col("node").alias("v"), group.alias("g"), F.col("root").alias("there"))
         near = dealt.join(given, ["v", "g"]).groupBy(F.col("u").alias("node")).agg(F.min("there").alias("there"))
-        step = label.join(near, "node").select("node", "root", F.least("root", "there").alias("next"))
+        step = stored(label.join(near, "node").select("node", "root", F.least("root", "there").alias("next")), f"{tag}-step-{i}")
+        # many nodes have one label: its own label, looked up once, is broadcast, or the nodes are split among tasks
         jump = label.select(F.col("node").alias("next"), F.col("root").alias("far"))
+        jump = stored(step.select("next").distinct().join(jump, "next"), f"{tag}-jump-{i}")
         least = F.least("next", F.coalesce("far", "next"))
         new = stored(step.join(jump, "next", "left").select("node", least.alias("root"), (least < F.col("root")).alias("moved")), f"{tag}-{i}")
         label = new.select("node", "root")
