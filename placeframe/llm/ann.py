@@ -15,7 +15,8 @@ tables give fewer rows than asked for is compared with all rows, in blocks.
 Edge cases: vectors that are null, zero or hold null or non-finite components
 take no part; rows equal in id and vector count once; equal distances go to
 the smaller id; a query is compared with vectors of its own length; null ids
-are no queries; an empty table gives an empty table.
+are no queries; query rows that share an id are one query, whose nearest rows
+are those nearest to any of its vectors; an empty table gives an empty table.
 """
 
 from __future__ import annotations

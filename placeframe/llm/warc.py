@@ -8,15 +8,20 @@ adds result code, checksum, location, offset and file name. The declared
 length alone tells where a record's content ends.
 
 For each ARC record the converter synthesises a WARC record: an id from the
-record's URL, date, digest and key (so a retried task gives the same id), the
-date in WARC's form, the payload's SHA-1 as digest, and the type. Of the
+record's URL, date, digest and place (archive and number in it; these are written by
+then, so a retried task gives the same id, and no two records share one), the
+date in WARC's form, the payload's SHA-1 as digest, and the type. What version 2
+declares besides (result code, checksum, location, offset, file name) is carried in
+header fields of its own; a checksum that the content doesn't have is an error. Of the
 records with equal payloads of at least ``REVISIT_BYTES`` the one with the
 largest key is the ``response``; the others are ``revisit`` records that name
 it and have no block.
 
 Archives are written by Spark's text sink: a row is a whole archive of about
 ``ARCHIVE_BYTES``, the line separator is what ends a record, and the sink's
-commit protocol makes lost tasks harmless. They are gzip-compressed. The
+commit protocol makes lost tasks harmless. Each record is a gzip member of its own, so
+one can be read from its offset alone; the sink's separator completes an empty last
+member. (A page is a row, and an archive is one: 2 GB bounds both.) The
 ``page_id`` travels in the ARC URL's fragment and in a WARC header field.
 
 Edge cases: a null html is an empty payload; a null or odd URL (spaces, line
@@ -31,8 +36,9 @@ import gzip
 import hashlib
 import re
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -54,7 +60,10 @@ ARC_FIELDS = {
     1: ["URL", "IP-address", "Archive-date", "Content-type", "Archive-length"],
     2: ["URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename", "Archive-length"],
 }
+#: Fields of version 2 that WARC has no field for.
+MORE = ["Result-code", "Checksum", "Location", "Offset", "Filename"]
 ARC_DATE = "20240101000000"
+ARC_NAME = "pages.arc"
 ARC_END = b"\n"
 WARC_END = b"\r\n\r\n"
 _PAGE = re.compile(r"#pf-page=(-?\d*)$")
@@ -71,6 +80,8 @@ class ArcRecord:
     date: str
     mime: str
     payload: bytes
+    #: Result code, checksum, location, offset and file name, as version 2 declares them.
+    more: tuple[str, ...] = ()
 
 
 def arc_version_block(version: int, name: str) -> bytes:
@@ -119,7 +130,10 @@ def read_arc(data: bytes) -> Iterator[ArcRecord]:
                 raise ArchiveError(f"unknown fields {lines[1]!r}")
             continue
         by = dict(zip(fields, values))
-        yield ArcRecord(by["URL"], by["IP-address"], by["Archive-date"], by["Content-type"], bytes(view[low:at]))
+        payload = bytes(view[low:at])
+        if by.get("Checksum", "-") not in ("-", hashlib.md5(payload).hexdigest()):
+            raise ArchiveError(f"the content before byte {at} doesn't have its declared checksum")
+        yield ArcRecord(by["URL"], by["IP-address"], by["Archive-date"], by["Content-type"], payload, tuple(by[f] for f in MORE if f in by))
 
 
 def warc_date(arc_date: str) -> str:
@@ -128,19 +142,20 @@ def warc_date(arc_date: str) -> str:
     return f"{full[:4]}-{full[4:6]}-{full[6:8]}T{full[8:10]}:{full[10:12]}:{full[12:14]}Z"
 
 
-def record_id(url: str, date: str, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {digest}')}>"
+def record_id(url: str, date: str, digest: str, place: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {digest} {place}')}>"
 
 
-def warc_record(record: ArcRecord, url: str, page: str, digest: str, refers: tuple[str, str] | None = None) -> bytes:
-    """A WARC record without the two line ends that follow it; with ``refers`` (the
-    id and page of the response with the same payload) a revisit record."""
+def warc_record(record: ArcRecord, url: str, page: str, digest: str, place: str, refers: tuple[str, str] | None = None) -> bytes:
+    """A WARC record without the two line ends that follow it. ``place`` tells apart records
+    that are equal; with ``refers`` (the id and page of the response with the same
+    payload) it is a revisit record."""
     date = warc_date(record.date)
     block = b"" if refers else record.payload
     head = [
         "WARC/1.0",
         f"WARC-Type: {'revisit' if refers else 'response'}",
-        f"WARC-Record-ID: {record_id(record.url, date, digest)}",
+        f"WARC-Record-ID: {record_id(record.url, date, digest, place)}",
         f"WARC-Date: {date}",
         f"WARC-Target-URI: {url}",
         f"WARC-IP-Address: {record.ip}",
@@ -150,14 +165,16 @@ def warc_record(record: ArcRecord, url: str, page: str, digest: str, refers: tup
     ]
     if refers:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.0/revisit/identical-payload-digest", f"WARC-Refers-To: {refers[0]}", f"X-Refers-To-Page: {refers[1]}"]
+    head += [f"X-ARC-{name}: {value}" for name, value in zip(MORE, record.more)]
     head += [f"Content-Type: {record.mime}", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block
 
 
-def warc_info(name: str) -> bytes:
-    """The record that begins a WARC file, without the two line ends that follow it."""
+def warc_info(first: bytes) -> bytes:
+    """The record that begins a WARC file whose first other record is ``first``, without the two line ends
+    that follow it. Records are unique, so its id is."""
     body = b"software: placeframe\r\nformat: WARC File Format 1.0\r\n"
-    head = f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: {record_id(name, ARC_DATE, '')}\r\nWARC-Date: {warc_date(ARC_DATE)}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(body)}\r\n\r\n"
+    head = f"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: {record_id('warcinfo', ARC_DATE, hashlib.sha1(first).hexdigest(), '')}\r\nWARC-Date: {warc_date(ARC_DATE)}\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(body)}\r\n\r\n"
     return head.encode() + body
 
 
@@ -178,27 +195,40 @@ def read_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at += 4
 
 
-def _files(rows: Iterable[bytes], begin: bytes, end: bytes, most: int = ARCHIVE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Whole archives of about ``most`` bytes; ``end`` stands between records, the sink adds the last."""
-    held, size = [begin], 0
-    for row in rows:
-        held.append(row)
+def _files(records: Iterable[Callable[[int], bytes]], begin: Callable[[bytes], bytes], end: bytes, most: int = ARCHIVE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Whole archives of about ``most`` bytes. A record is made from its offset in the uncompressed
+    archive; ``begin`` gives what an archive with this first record begins with."""
+
+    def whole(members: list[bytes]) -> pa.RecordBatch:
+        last = gzip.compress(b"", mtime=0)  # ends with a byte 0, which the sink adds
+        return pa.RecordBatch.from_arrays([pa.array([b"".join([*members, last[:-1]])], pa.binary())], names=["value"])
+
+    members: list[bytes] = []
+    size = held = 0
+    for record in records:
+        if not members:
+            head = begin(record(0)) + end
+            members, size = [gzip.compress(head, 6, mtime=0)], len(head)
+            held = size
+        row = record(size) + end
+        members.append(gzip.compress(row, 6, mtime=0))
         size += len(row)
-        if size >= most:
-            yield pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary())], names=["value"])
-            held, size = [begin], 0
-    if len(held) > 1:
-        yield pa.RecordBatch.from_arrays([pa.array([end.join(held)], pa.binary())], names=["value"])
+        held += len(row)
+        if held >= most:
+            yield whole(members)
+            members = []
+    if members:
+        yield whole(members)
 
 
-def _write(archives: DataFrame, path: str, end: bytes) -> None:
-    # the sink writes the bytes of a row as they are, then the separator
+def _write(archives: DataFrame, path: str) -> None:
+    # the sink writes the bytes of a row as they are, then the separator: the last byte of a gzip member
     text = archives.select(F.col("value").cast("string").alias("value"))
-    text.write.option("lineSep", end.decode()).option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    text.write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
 
 
 def _archives(spark, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content", F.regexp_extract("path", "[^/]*$", 0).alias("name"))
 
 
 def header_url(url: str | None, page: int | None) -> str:
@@ -210,30 +240,30 @@ def write_arc(pages: DataFrame, path: str, version: int = 1, key: str = "page_id
     """Writes the pages as ARC archives of a version under ``path``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def records() -> Iterator[bytes]:
+        def records() -> Iterator[Callable[[int], bytes]]:
             for batch in batches:
                 for page, link, payload in zip(*(c.to_pylist() for c in batch.columns)):
-                    yield arc_record(version, header_url(link, page), payload or b"")
+                    yield partial(arc_record, version, header_url(link, page), payload or b"", ARC_NAME)
 
-        return _files(records(), arc_version_block(version, "pages.arc"), ARC_END)
+        return _files(records(), lambda _: arc_version_block(version, ARC_NAME), ARC_END)
 
     prepare(pages.sparkSession)
     thin = pages.select(pages[key].cast("long").alias("k"), pages[url].cast("string").alias("u"), pages[html].cast("binary").alias("p"))
-    _write(thin.mapInArrow(run, "value binary"), path, ARC_END)
+    _write(thin.mapInArrow(run, "value binary"), path)
     return path
 
 
 def read_records(spark, path: str) -> DataFrame:
-    """(page_id, url, date, ip, mime, payload, digest) of the ARC archives under ``path``."""
+    """(page_id, url, date, ip, mime, payload, more, place, digest) of the ARC archives under ``path``."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
+            for content, name in zip(batch.column(0), batch.column(1).to_pylist()):
                 held, size = [], 0
-                for r in read_arc(gzip.decompress(content.as_buffer())):
+                for i, r in enumerate(read_arc(gzip.decompress(content.as_buffer()))):
                     found = _PAGE.search(r.url)
                     page = int(found[1]) if found and found[1] else None
-                    held.append((page, r.url, r.date, r.ip, r.mime, r.payload))
+                    held.append((page, r.url, r.date, r.ip, r.mime, r.payload, list(r.more), f"{name} {i}"))
                     size += len(r.payload)
                     if size >= 4 << 20:
                         yield _record_batch(held)
@@ -242,13 +272,13 @@ def read_records(spark, path: str) -> DataFrame:
                     yield _record_batch(held)
 
     prepare(spark)
-    found = _archives(spark, path).mapInArrow(run, "page_id long, url string, date string, ip string, mime string, payload binary")
+    found = _archives(spark, path).mapInArrow(run, "page_id long, url string, date string, ip string, mime string, payload binary, more array<string>, place string")
     return found.withColumn("digest", F.sha1("payload"))
 
 
 def _record_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary()]
-    names = ["page_id", "url", "date", "ip", "mime", "payload"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.string()), pa.string()]
+    names = ["page_id", "url", "date", "ip", "mime", "payload", "more", "place"]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
 
@@ -261,28 +291,29 @@ def convert(spark, arc_path: str, warc_path: str, tag: str = "warc") -> str:
     splits skewed keys.
     """
     records = read_records(spark, arc_path)
-    thin = records.select("digest", "page_id", "url", "date", F.octet_length("payload").alias("n"))
+    thin = records.select("digest", "page_id", "url", "date", "place", F.octet_length("payload").alias("n"))
     repeated = stored(
-        thin.filter(F.col("n") >= REVISIT_BYTES).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "url", "date")).alias("first")).filter("n > 1").drop("n"),
+        thin.filter(F.col("n") >= REVISIT_BYTES).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "url", "date", "place")).alias("first")).filter("n > 1").drop("n"),
         f"{tag}-repeated",
     )
     if repeated.count() <= BROADCAST_ROWS:
         repeated = F.broadcast(repeated)
     known = records.join(repeated, "digest", "left")
     kind = F.when(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id")), "revisit").otherwise("response")
-    columns = known.select("page_id", "url", "date", "ip", "mime", "payload", "digest", kind.alias("kind"), F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date"))
+    columns = known.select("page_id", "url", "date", "ip", "mime", "payload", "digest", kind.alias("kind"), F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url"), F.col("first.date").alias("first_date"), "more", "place", F.col("first.place").alias("first_place"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[bytes]:
+        def rows() -> Iterator[Callable[[int], bytes]]:
             for batch in batches:
-                for page, url, date, ip, mime, payload, digest, kind, first, first_url, first_date in zip(*(c.to_pylist() for c in batch.columns)):
-                    record = ArcRecord(url, ip, date, mime, payload)
-                    refers = (record_id(first_url, warc_date(first_date), digest), str(first)) if kind == "revisit" else None
-                    yield warc_record(record, _PAGE.sub("", url), "" if page is None else str(page), digest, refers)
+                for page, url, date, ip, mime, payload, digest, kind, first, first_url, first_date, more, place, first_place in zip(*(c.to_pylist() for c in batch.columns)):
+                    record = ArcRecord(url, ip, date, mime, payload, tuple(more))
+                    refers = (record_id(first_url, warc_date(first_date), digest, first_place), str(first)) if kind == "revisit" else None
+                    made = warc_record(record, _PAGE.sub("", url), "" if page is None else str(page), digest, place, refers)
+                    yield lambda _, made=made: made
 
-        return _files(rows(), warc_info("pages.warc"), WARC_END)
+        return _files(rows(), warc_info, WARC_END)
 
-    _write(columns.mapInArrow(run, "value binary"), warc_path, WARC_END)
+    _write(columns.mapInArrow(run, "value binary"), warc_path)
     return warc_path
 
 

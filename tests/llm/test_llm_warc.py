@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import zlib
 from collections import defaultdict
 
 import pytest
@@ -46,7 +47,7 @@ def test_written_archives(spark):
     df = pages(spark)
     arc, out = fresh_dir(spark, "t-arc"), fresh_dir(spark, "t-warc")
     warc.convert(spark, warc.write_arc(df, arc), out)
-    records = [r for f in spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(out).collect() for r in warc.read_warc(gzip.decompress(f.content))]
+    records = [r for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(out).collect() for r in warc.read_warc(gzip.decompress(f.content))]
     pages_in = [h for h, _ in records if h["warc-type"] != "warcinfo"]
     assert len(pages_in) == df.count()
     ids = {h["warc-record-id"] for h in pages_in if h["warc-type"] == "response"}
@@ -56,6 +57,47 @@ def test_written_archives(spark):
             assert head["warc-refers-to"] in ids and head["content-length"] == "0"
 
 
+def members(raw):
+    """(offset in the file, content) of each gzip member."""
+    at, out = 0, []
+    while at < len(raw):
+        d = zlib.decompressobj(31)
+        out.append((at, d.decompress(raw[at:]) + d.flush()))
+        assert d.eof
+        at = len(raw) - len(d.unused_data)
+    return out
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_ids_are_unique_and_records_stand_alone(spark, version, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 5000)
+    df = pages(spark).union(pages(spark)).repartition(3)  # every page at least twice
+    arc, out = fresh_dir(spark, "u-arc"), fresh_dir(spark, "u-warc")
+    warc.convert(spark, warc.write_arc(df, arc, version), out)
+    files = lambda path: [bytes(f.content) for f in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect()]
+    heads = []
+    for raw in files(out):
+        *own, last = members(raw)
+        assert last[1] == b""
+        for at, content in own:  # each member is one whole record
+            ((head, _),) = warc.read_warc(zlib.decompressobj(31).decompress(raw[at:]))
+            assert content.endswith(warc.WARC_END)
+            heads.append(head)
+    ids = [h["warc-record-id"] for h in heads]
+    assert len(set(ids)) == len(ids) and sum(h["warc-type"] == "warcinfo" for h in heads) == len(files(out)) > 2
+    responses = {h["warc-record-id"] for h in heads if h["warc-type"] == "response"}
+    assert {h["warc-refers-to"] for h in heads if h["warc-type"] == "revisit"} <= responses
+    assert all(("x-arc-offset" in h) == (version == 2) for h in heads if h["warc-type"] != "warcinfo")
+    assert out and sorted(ids) == sorted(h["warc-record-id"] for raw in files(warc.convert(spark, arc, fresh_dir(spark, "u-again"))) for h, _ in warc.read_warc(gzip.decompress(raw)))
+    if version == 2:
+        for raw in files(arc):
+            whole = gzip.decompress(raw)
+            for r in warc.read_arc(whole):
+                code, checksum, location, offset, name = r.more
+                assert (code, location, name) == ("200", "-", warc.ARC_NAME) and checksum == hashlib.md5(r.payload).hexdigest()
+                assert whole[int(offset) :].startswith(r.url.encode() + b" ")
+
+
 def test_arc_versions_and_broken_archives():
     for version in (1, 2):
         data = warc.arc_version_block(version, "a.arc") + b"\n" + warc.arc_record(version, "http://a", b"x\ny\n\n") + b"\n" + warc.arc_record(version, "http://b", b"") + b"\n"
@@ -65,6 +107,9 @@ def test_arc_versions_and_broken_archives():
             if broken != data:
                 with pytest.raises(warc.ArchiveError):
                     list(warc.read_arc(broken))
-    assert warc.warc_date("199") == "1990-01-01T00:00:00Z" or warc.warc_date("1997") == "1997-01-01T00:00:00Z"
+    assert warc.warc_date("1997") == "1997-01-01T00:00:00Z" and warc.warc_date("199703") == "1997-03-01T00:00:00Z"
+    wrong = warc.arc_version_block(2, "a.arc") + b"\n" + warc.arc_record(2, "http://a", b"x\ny\n\n").replace(b"x\ny", b"x\nz") + b"\n"
+    with pytest.raises(warc.ArchiveError, match="checksum"):
+        list(warc.read_arc(wrong))
     with pytest.raises(warc.ArchiveError):
         list(warc.read_warc(b"WARC/1.0\r\nContent-Length: 5\r\n\r\nab\r\n\r\n"))
