@@ -36,6 +36,7 @@ import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -52,6 +53,8 @@ from placeframe.session import fresh_dir
 REVISIT_BYTES = 1000
 #: Bytes after which an archive is closed.
 ARCHIVE_BYTES = 16 << 20
+#: Compression of a record, and bytes that are fed to its decompression at a time.
+LEVEL, PIECE = 3, 4096
 #: Digest groups up to which the table of revisited payloads is broadcast.
 BROADCAST_ROWS = 200_000
 
@@ -208,10 +211,10 @@ def _files(records: Iterable[Callable[[int], bytes]], begin: Callable[[bytes], b
     for record in records:
         if not members:
             head = begin(record(0)) + end
-            members, size = [gzip.compress(head, 6, mtime=0)], len(head)
+            members, size = [gzip.compress(head, LEVEL, mtime=0)], len(head)
             held = size
         row = record(size) + end
-        members.append(gzip.compress(row, 6, mtime=0))
+        members.append(gzip.compress(row, LEVEL, mtime=0))
         size += len(row)
         held += len(row)
         if held >= most:
@@ -231,6 +234,22 @@ def _archives(spark, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content", F.regexp_extract("path", "[^/]*$", 0).alias("name"))
 
 
+def unpacked(raw: bytes | pa.Buffer) -> bytes:
+    """The content of all gzip members. Each is fed in small pieces, so that finding where one
+    ends doesn't copy what follows it."""
+    view, at, out = memoryview(raw), 0, []
+    while at < len(view):
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            piece = view[at : at + PIECE]
+            if not len(piece):
+                raise ArchiveError("the archive ends within a gzip member")
+            out.append(member.decompress(piece))
+            at += len(piece)
+        at -= len(member.unused_data)
+    return b"".join(out)
+
+
 def header_url(url: str | None, page: int | None) -> str:
     """A URL without spaces and line ends, with the page's id as its fragment's end."""
     return quote(url or "", safe="%/:=&?~#+!$,;'@()*[]._-") + f"#pf-page={'' if page is None else page}"
@@ -260,7 +279,7 @@ def read_records(spark, path: str) -> DataFrame:
         for batch in batches:
             for content, name in zip(batch.column(0), batch.column(1).to_pylist()):
                 held, size = [], 0
-                for i, r in enumerate(read_arc(gzip.decompress(content.as_buffer()))):
+                for i, r in enumerate(read_arc(unpacked(content.as_buffer()))):
                     found = _PAGE.search(r.url)
                     page = int(found[1]) if found and found[1] else None
                     held.append((page, r.url, r.date, r.ip, r.mime, r.payload, list(r.more), f"{name} {i}"))
@@ -326,7 +345,7 @@ def read_back(spark, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 out = []
-                for head, block in read_warc(gzip.decompress(content.as_buffer())):
+                for head, block in read_warc(unpacked(content.as_buffer())):
                     kind = head["warc-type"]
                     if kind not in ("response", "revisit"):
                         continue

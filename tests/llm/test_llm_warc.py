@@ -98,6 +98,14 @@ def test_ids_are_unique_and_records_stand_alone(spark, version, monkeypatch):
                 assert whole[int(offset) :].startswith(r.url.encode() + b" ")
 
 
+def test_members_of_any_size_are_unpacked():
+    parts = [b"", b"a", b"x" * 100_000, hashlib.sha512(b"").digest() * 999, b"\0\0"]
+    raw = b"".join(gzip.compress(p) for p in parts)
+    assert warc.unpacked(raw) == b"".join(parts) and warc.unpacked(b"") == b""
+    with pytest.raises(warc.ArchiveError, match="within a gzip member"):
+        warc.unpacked(raw[:-5])
+
+
 def test_arc_versions_and_broken_archives():
     for version in (1, 2):
         data = warc.arc_version_block(version, "a.arc") + b"\n" + warc.arc_record(version, "http://a", b"x\ny\n\n") + b"\n" + warc.arc_record(version, "http://b", b"") + b"\n"
