@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from placeframe.llm.common import in_batches, prepare, stored, text_batches
+from placeframe.llm.common import carried, in_batches, prepare, stored, text_batches
 from placeframe.llm.pieces import Vocabulary, distinct_pieces, parse_vocabulary, parts_of
 
 #: Words in the lexicon (the most frequent of the corpus).
@@ -282,6 +282,11 @@ def _codec(raw: bytes, name: str) -> Codec:
     return Codec(parse_vocabulary(raw), Lexicon.mapped(SparkFiles.get(name)))
 
 
+@lru_cache(maxsize=2)
+def _decoder(raw: bytes) -> Codec:
+    return Codec(parse_vocabulary(raw), Lexicon.build({}))
+
+
 def encode_documents(
     docs: DataFrame,
     vocabulary_path: str,
@@ -294,6 +299,7 @@ def encode_documents(
     """``docs`` (its columns ``keep``, by default all) with the ids of each whole
     text in ``ids`` and, if ``decoded`` is given, the text that they decode to."""
     names = docs.columns if keep is None else keep
+    rows, inner, fields = carried(docs, names, __text=text)
     with open(vocabulary_path, "rb") as f:
         raw = f.read()
     name = ship_lexicon(docs, corpus_lexicon(docs, parse_vocabulary(raw), text, words))
@@ -305,28 +311,27 @@ def encode_documents(
         for low, high in text_batches(texts, 1 << 22):
             flat, bounds = codec.encode(texts[low:high])
             part = batch.slice(low, high - low)
-            columns = [*(part.column(n) for n in names), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))]
+            columns = [*(part.column(n) for n in inner), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int32()))]
             if decoded:
                 columns.append(pa.array(codec.decode(flat, bounds), pa.string()))
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, ids, *([decoded] if decoded else [])])
+            yield pa.RecordBatch.from_arrays(columns, names=[*inner, "__ids", *(["__decoded"] if decoded else [])])
 
-    fields = [*(docs.schema[n] for n in names), StructField(ids, ArrayType(IntegerType()))]
-    schema = StructType(fields + ([StructField(decoded, StringType())] if decoded else []))
-    return in_batches(docs.select(*names, docs[text].alias("__text")), encode, schema)
+    fields = [*fields, StructField("__ids", ArrayType(IntegerType())), *([StructField("__decoded", StringType())] if decoded else [])]
+    return in_batches(rows, encode, StructType(fields)).toDF(*names, ids, *([decoded] if decoded else []))
 
 
 def decode_documents(df: DataFrame, vocabulary_path: str, ids: str = "ids", keep: list[str] | None = None, out: str = "text") -> DataFrame:
     """``df`` (its columns ``keep``, by default all but the ids) with the text that the ids stand for; null ids give an empty text."""
     names = [n for n in df.columns if n != ids] if keep is None else keep
+    rows, inner, fields = carried(df, names, __ids=ids)
     with open(vocabulary_path, "rb") as f:
         shared = df.sparkSession.sparkContext.broadcast(f.read())
 
     def decode(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         lists = [x or [] for x in batch.column("__ids").to_pylist()]
         bounds = np.cumsum([0, *map(len, lists)], dtype=np.int64)
-        codec = Codec(parse_vocabulary(shared.value), Lexicon.build({}))
+        codec = _decoder(shared.value)
         texts = codec.decode(np.fromiter(chain.from_iterable(lists), np.int64, int(bounds[-1])), bounds)
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(texts, pa.string())], names=[*names, out])
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in inner), pa.array(texts, pa.string())], names=[*inner, "__out"])
 
-    schema = StructType([*(df.schema[n] for n in names), StructField(out, StringType())])
-    return in_batches(df.select(*names, df[ids].alias("__ids")), decode, schema)
+    return in_batches(rows, decode, StructType([*fields, StructField("__out", StringType())])).toDF(*names, out)

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from placeframe.session import fresh_dir
 
@@ -86,6 +86,19 @@ def in_order(df: DataFrame, keys: Sequence[str], part: str, at: str) -> DataFram
     )
 
 
+def quoted(name: str) -> Column:
+    """The column of that name, whatever signs are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def carried(docs: DataFrame, names: Sequence[str], **more: str) -> tuple[DataFrame, list[str], list[StructField]]:
+    """The columns ``names`` under inner names, and ``more`` columns under the names given, so that no
+    column of the input can clash with what an operator adds. Also the inner names and their fields."""
+    inner = [f"__{i}" for i in range(len(names))]
+    fields = [StructField(i, docs.schema[n].dataType) for i, n in zip(inner, names)]
+    return docs.select(*(quoted(n).alias(i) for i, n in zip(inner, names)), *(quoted(c).alias(a) for a, c in more.items())), inner, fields
+
+
 def remainder4(column: Column) -> Column:
     """crc32 of the id's decimal text modulo 4 (null ids: of the empty text)."""
     return F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")) % 4

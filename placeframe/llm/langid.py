@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from placeframe.llm.common import held_out, in_batches, prepare, stored, text_batches
+from placeframe.llm.common import carried, held_out, in_batches, prepare, stored, text_batches
 from placeframe.llm.textblocks import lowered, mix, per_text, points, span_hashes, sums, words
 
 UNDETERMINED = "und"
@@ -274,6 +274,7 @@ def identify(
     """``docs`` (its columns ``keep``, by default all) with each whole text's main
     language in ``out`` and its proportion in ``score``."""
     names = docs.columns if keep is None else keep
+    rows, inner, fields = carried(docs, names, __text=text)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS x languages numbers
 
     def infer(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -285,22 +286,26 @@ def identify(
             value = np.clip(np.where(some, share[np.arange(len(share)), first], 0.0), 0.0, 1.0)
         else:
             found, value = [UNDETERMINED] * len(some), np.zeros(len(some))
-        columns = [*(batch.column(n) for n in names), pa.array(found, pa.string()), pa.array(value, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=[*names, out, score])
+        columns = [*(batch.column(n) for n in inner), pa.array(found, pa.string()), pa.array(value, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*inner, "__lang", "__score"])
 
-    schema = StructType([*(docs.schema[n] for n in names), StructField(out, StringType()), StructField(score, DoubleType())])
-    return in_batches(docs.select(*names, docs[text].alias("__text")), infer, schema)
+    schema = StructType([*fields, StructField("__lang", StringType()), StructField("__score", DoubleType())])
+    return in_batches(rows, infer, schema).toDF(*names, out, score)
 
 
 def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
     """The documents whose language can be told: those with a letter and with the
-    evidence that ``fit_evidence`` asks for. Columns stay as they are."""
+    evidence that ``fit_evidence`` asks for. Where no row has a language to learn, there is
+    no evidence against any document, and all stay. Columns stay as they are."""
     fitted = docs.sparkSession.sparkContext.broadcast(fit_evidence(docs, text, lang, key))
+    rows, inner, fields = carried(docs, docs.columns, __text=text)
 
     def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         model, needed = fitted.value
+        own = pa.RecordBatch.from_arrays([batch.column(n) for n in inner], names=inner)
         if model.names:
-            gain, strongest = model.evidence(batch.column("__pf_text").to_pylist())
-            yield batch.drop_columns(["__pf_text"]).filter(pa.array(gain >= needed[strongest]))
+            gain, strongest = model.evidence(batch.column("__text").to_pylist())
+            own = own.filter(pa.array(gain >= needed[strongest]))
+        yield own
 
-    return in_batches(docs.select("*", docs[text].alias("__pf_text")), weigh, docs.schema)
+    return in_batches(rows, weigh, StructType(fields)).toDF(*docs.columns)

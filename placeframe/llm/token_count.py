@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
-from placeframe.llm.common import in_batches, text_batches
+from placeframe.llm.common import carried, in_batches, text_batches
 from placeframe.llm.pieces import Vocabulary, distinct_pieces, parse_vocabulary, parts_of
 
 #: Counts of distinct pieces that a task's worker keeps; when full it starts anew.
@@ -102,12 +102,12 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", out:
     """``docs`` (its columns ``keep``, by default all) with the number of tokens of
     each whole text in the column ``out``."""
     names = docs.columns if keep is None else keep
+    rows, inner, fields = carried(docs, names, __text=text)
     with open(vocabulary_path, "rb") as f:
         raw = docs.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file: some MB
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         counts = _counter(raw.value).counts(batch.column("__text").to_pylist())
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(counts)], names=[*names, out])
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in inner), pa.array(counts)], names=[*inner, "__out"])
 
-    schema = StructType([*(docs.schema[n] for n in names), StructField(out, LongType())])
-    return in_batches(docs.select(*names, docs[text].alias("__text")), count, schema)
+    return in_batches(rows, count, StructType([*fields, StructField("__out", LongType())])).toDF(*names, out)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 #: Columns whose names the operators also use inside.
-CLASHES = ["score", "h", "n", "key", "x", "id", "f", "s", "shard", "slot", "ids", "n_tokens", "label", "node", "band", "value", "payload", "digest"]
+CLASHES = ["score", "h", "n", "key", "x", "id", "f", "s", "shard", "slot", "ids", "n_tokens", "label", "node", "band", "value", "payload", "digest", "a.b", "__text", "__0", "__out", "__score"]
 
 WORDS = "the quick brown fox jumps over a lazy dog while seven wise owls watch from tall old trees near quiet rivers under bright summer skies".split()
 

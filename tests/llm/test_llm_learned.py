@@ -104,3 +104,24 @@ def test_scores_do_not_read_labels_or_held_out_rows(spark):
     b = toxicity.fit_toxicity(docs.withColumn("lang", F.when(~out, F.col("lang"))), labels.withColumn("toxic", F.when(out, 1 - F.col("toxic")).otherwise(F.col("toxic"))))
     texts = [r.text for r in docs.select("text").limit(200).collect()]
     assert a.scores(texts).tolist() == b.scores(texts).tolist()
+
+
+def test_without_a_learnable_language_all_documents_stay(spark):
+    from pyspark.sql import functions as F
+
+    from placeframe.llm.langid import keep_identified
+
+    docs = documents(spark).withColumn("lang", F.lit(None).cast("string"))
+    kept = keep_identified(docs)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+
+
+def test_stages_take_any_column_name(spark):
+    from placeframe.llm.langid import keep_identified
+    from placeframe.llm.toxicity import keep_clean
+
+    docs = documents(spark)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    for kept in (keep_identified(docs), keep_clean(docs, labels)):
+        assert kept.columns == docs.columns
+        assert kept.exceptAll(docs).isEmpty()
