@@ -6,15 +6,17 @@ small codes. A vector passes the filters whose direction it exceeds a
 threshold on; list decoding finds them by taking each codeword of the first
 half with the codewords of the second half that still reach the threshold.
 Vectors that pass a common filter are compared exactly (cosine in double
-precision). ``ROTATIONS`` independent codes make the filters' misses rare:
-measured on random pairs of cosine 0.9 in 64 dimensions, one code finds 96 in
-100 and two find 99.8.
-
-Equal vectors are one node from the start, with their number. A filter with
-many vectors is compared in blocks of ``BLOCK`` by ``BLOCK``, dealt over
-tasks. A block passes on, for each vector, how many others it links (each link
-is counted at the first filter that both vectors pass) and one edge to its
-component's smallest node in the block, never the pairs.
+precision). ``ROTATIONS`` independent codes make the filters' misses rare. The
+codewords grow with the square root of the rows, so that a filter holds about
+``HELD`` vectors at any size and the compared pairs grow with the rows, not
+with their square (a large cluster of near copies apart: its links are counted).
+
+Equal vectors are one node from the start, with their number. ``TOGETHER``
+consecutive filters are compared in one place, so a vector travels once for those of
+them that it passes. A place with many vectors is split into blocks of ``BLOCK`` by
+``BLOCK``, dealt over tasks. A block passes on, for each vector, how many
+others it links (each link is counted at the first filter that both vectors
+pass) and edges to its components' smallest nodes in the block, never the pairs.
 
 Edge cases: vectors that are null, zero or hold null or non-finite components
 link with nothing (one row each, 0 links, a component of their own); repeated
@@ -26,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache
+from math import ceil, sqrt
 from statistics import NormalDist
 
 import numpy as np
@@ -38,19 +41,22 @@ from placeframe.llm.vectors import matrices, matrix, usable
 
 COSINE = 0.9
 ROTATIONS = 2
-CODEWORDS = 128
+#: Vectors that a filter holds, about, and the fewest codewords of a code.
+HELD, FEWEST = 48, 16
 #: Filters of a code that a vector passes, about.
 PASSED = 42
 #: How far below its best filter a vector still passes filters, in standard deviations.
 MARGIN = 0.5
 SEED = 3
-BLOCK = 2048
+#: Filters that are compared in one place.
+TOGETHER = 64
+BLOCK = 4096
 
 
 class Code:
     """The filters of one rotation for vectors of a length."""
 
-    def __init__(self, length: int, rotation: int, codewords: int = CODEWORDS):
+    def __init__(self, length: int, rotation: int, codewords: int):
         r = np.random.default_rng([SEED, rotation, length])
         self.codewords, self.half = codewords, max(1, length // 2)
         self.turn = np.linalg.qr(r.standard_normal((length, length)))[0]
@@ -60,7 +66,7 @@ class Code:
             self.codes.append(c / np.linalg.norm(c, axis=1, keepdims=True))
         # the sum of two unit codewords, on a random unit vector, varies by this
         spread = np.sqrt(2 / max(2, length))
-        self.least, self.margin = NormalDist().inv_cdf(1 - PASSED / codewords**2) * spread, MARGIN * spread
+        self.least, self.margin = NormalDist().inv_cdf(1 - min(0.5, PASSED / codewords**2)) * spread, MARGIN * spread
 
     def decode(self, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) of every filter that each row's direction exceeds, by row and filter."""
@@ -93,94 +99,127 @@ def decoded(m: np.ndarray, codewords: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] + r * codewords**2 for r, f in enumerate(found)])
 
 
+def codewords_for(rows: int) -> int:
+    return max(FEWEST, ceil(sqrt(PASSED * rows / HELD)))
+
+
 def filters(nodes: DataFrame, codewords: int) -> DataFrame:
-    """(f, length, node, n, x) for each filter that a node passes."""
+    """(v, length, f, node, n, x) for each place that a node has filters in; ``f`` are those filters."""
+    kind = nodes.schema["x"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for own, m in matrices(batch.column("x")):
             for low in range(0, len(own), 512):
                 rows, f = decoded(m[low : low + 512], codewords)
-                took = pa.array(own[low : low + 512][rows])
-                x = batch.column("x").take(took)
+                order = np.lexsort((f, rows))
+                rows, f = rows[order], f[order]
+                first = np.flatnonzero(np.diff(rows, prepend=-1) | np.diff(f // TOGETHER, prepend=-1))
+                took = batch.take(pa.array(own[low : low + 512][rows[first]]))
+                passed = pa.ListArray.from_arrays(pa.array(np.append(first, len(f)), pa.int32()), pa.array(f.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(f.astype(np.int32)), pa.array(np.full(len(f), m.shape[1], np.int32)), batch.column("node").take(took), batch.column("n").take(took), x], names=["f", "length", "node", "n", "x"]
+                    [pa.array(f[first].astype(np.int64) // TOGETHER), pa.array(np.full(len(first), m.shape[1], np.int32)), passed, took.column("node"), took.column("n"), took.column("x")],
+                    names=["v", "length", "f", "node", "n", "x"],
                 )
 
-    return in_batches(nodes.select("node", "n", "x"), run, "f int, length int, node string, n long, x array<float>" if dict(nodes.dtypes)["x"] == "array<float>" else "f int, length int, node string, n long, x array<double>")
+    return in_batches(nodes.select("node", "n", "x"), run, f"v long, length int, f array<long>, node long, n long, x {kind}")
 
 
-def block_links(f: int, left: pa.Table, least: float, codewords: int) -> pa.Table:
-    """Links within the rows of a block: for each linked node the rows it links, and
-    the smallest node of its component here. ``side`` splits the block: 0 and 1 are
-    two parts of which only pairs across count; 2 marks a block of all pairs."""
-    schema = pa.schema([("node", pa.string()), ("links", pa.int64()), ("root", pa.string())])
-    x = matrix(left.column("x"))
-    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
-    side = left.column("side").to_numpy()
-    near = unit @ unit.T >= least
-    np.fill_diagonal(near, False)
-    if (side != 2).any():
-        near &= side[:, None] != side[None, :]
-    linked = np.flatnonzero(near.any(axis=1))
-    if not len(linked):
-        return schema.empty_table()
-    near = near[np.ix_(linked, linked)]
-    rows, passed = decoded(x[linked], codewords)
-    earlier = passed < f
-    _, column = np.unique(passed[earlier], return_inverse=True)
-    member = np.zeros((len(linked), int(column.max()) + 1 if len(column) else 1), np.float32)
-    member[rows[earlier], column] = 1
-    here = near & (member @ member.T == 0)  # pairs that pass no earlier filter together
-    nodes = np.array(left.column("node").to_pylist(), object)[linked]
-    number = left.column("n").to_numpy()[linked]
-    label = np.argsort(np.argsort(nodes))
+def components(near: np.ndarray) -> np.ndarray:
+    """The smallest row of each row's component of a symmetric matrix of links."""
+    label = np.arange(len(near))
     while True:
         new = np.minimum(label, np.where(near, label[None, :], len(label)).min(axis=1))
         if (new == label).all():
-            break
+            return label
         label = new
-    by_rank = nodes[np.argsort(nodes)]
-    return pa.table([pa.array(nodes, pa.string()), pa.array(here @ number), pa.array(by_rank[label], pa.string())], schema=schema)
 
 
-def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = COSINE, codewords: int = CODEWORDS, tag: str = "caps") -> DataFrame:
-    """(key, n_links, component_id, kept) of each row. With 128 codewords a filter
-    holds 1 of 450 vectors, which suits some million vectors; twice the codewords
-    make that a quarter (a code then finds a few in 100 fewer)."""
+def block_links(block: pa.Table, least: float, codewords: int) -> pa.Table:
+    """Links between rows of a block that pass a common filter: for each linked node the
+    rows it links (counted at the pair's first filter), with the smallest node of its
+    component in a filter. ``side`` splits the block: 0 and 1 are two parts of which
+    only pairs across count; 2 marks a block of all pairs."""
+    schema = pa.schema([("node", pa.int64()), ("root", pa.int64()), ("links", pa.int64())])
+    block = block.sort_by("node")
+    x = matrix(block.column("x"))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    side, nodes, number = (block.column(c).to_numpy() for c in ("side", "node", "n"))
+    split = (side != 2).any()
+    passed = block.column("f").combine_chunks()
+    owner, f = np.repeat(np.arange(len(x)), np.diff(passed.offsets.to_numpy())), passed.flatten().to_numpy()
+    order = np.lexsort((owner, f))
+    owner, f = owner[order], f[order]
+    known: dict[int, np.ndarray] = {}  # the filters of rows that link
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    ends = np.flatnonzero(np.diff(f, append=-1)) + 1
+    for low, high in zip(np.append(0, ends[:-1]), ends):
+        if high - low < 2:
+            continue
+        held = owner[low:high]
+        near = unit[held] @ unit[held].T >= least
+        np.fill_diagonal(near, False)
+        if split:
+            near &= side[held][:, None] != side[held][None, :]
+        linked = np.flatnonzero(near.any(axis=1))
+        if not len(linked):
+            continue
+        near, held = near[np.ix_(linked, linked)], held[linked]
+        new = np.array([r for r in held.tolist() if r not in known], np.int64)
+        if len(new):
+            rows, all_f = decoded(x[new], codewords)
+            by_row = np.argsort(rows, kind="stable")
+            known.update(zip(new.tolist(), np.split(all_f[by_row], np.cumsum(np.bincount(rows, minlength=len(new)))[:-1])))
+        earlier = [known[r][known[r] < f[low]] for r in held.tolist()]
+        _, column = np.unique(np.concatenate(earlier), return_inverse=True)
+        member = np.zeros((len(held), int(column.max()) + 1 if len(column) else 1), np.float32)
+        member[np.repeat(np.arange(len(held)), [len(e) for e in earlier]), column] = 1
+        here = near & (member @ member.T == 0)  # pairs that pass no earlier filter together
+        out.append((nodes[held], nodes[held][components(near)], here @ number[held]))
+    if not out:
+        return schema.empty_table()
+    found = pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], schema=schema)
+    return found.group_by(["node", "root"]).aggregate([("links", "sum")]).rename_columns(["node", "root", "links"]).cast(schema)
+
+
+def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = COSINE, codewords: int | None = None, tag: str = "caps") -> DataFrame:
+    """(key, n_links, component_id, kept) of each row. Without given ``codewords`` their number follows from the rows."""
     prepare(df.sparkSession)
     rows = df.select(df[key].cast("long").alias("id"), df[vector].alias("x")).withColumn("ok", usable(F.col("x")))
-    rows = rows.withColumn("node", F.when(F.col("ok"), F.md5(F.array_join(F.col("x").cast("array<string>"), ",").cast("binary"))))
-    good = rows.filter("ok").select("id", "node", "x")
-    nodes = stored(good.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.first("x").alias("x")), f"{tag}-nodes")
-    passed = filters(nodes, codewords)
-    # a row for each filter (and vector length): a fixed number
-    size = stored(passed.groupBy("f", "length").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"), f"{tag}-sizes")
-    parts = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    rows = rows.withColumn("h", F.when(F.col("ok"), F.md5(F.array_join(F.col("x").cast("array<string>"), ",").cast("binary"))))
+    good = rows.filter("ok").select("id", "h", "x")
+    nodes = good.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.first("x").alias("x"))
+    nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), f"{tag}-nodes")  # numbers are fixed once written
+    words = codewords or codewords_for(nodes.count())
+    passed = stored(filters(nodes, words), f"{tag}-filters")
+    # places that one block can't hold; few, and written, so broadcast if small
+    parts = F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("parts")
+    large = stored(passed.groupBy("v", "length").agg(parts).filter("parts > 1"), f"{tag}-large")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     dealt = (
-        passed.join(F.broadcast(size.select("f", "length", parts.alias("parts"))), ["f", "length"])
+        passed.join(large, ["v", "length"], "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .withColumn("own", part)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .withColumn("side", F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1))
-        .select("f", "length", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "n", "x", "side")
+        .select("v", "length", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "f", "node", "n", "x", "side")
     )
 
-    def links(keys: tuple, block: pa.Table) -> pa.Table:
-        return block_links(keys[0].as_py(), block, least, codewords)
+    def links(block: pa.Table) -> pa.Table:
+        return block_links(block, least, words)
 
-    found = stored(dealt.groupBy("f", "length", "i", "j").applyInArrow(links, "node string, links long, root string"), f"{tag}-links")
+    found = stored(dealt.groupBy("v", "length", "i", "j").applyInArrow(links, "node long, root long, links long"), f"{tag}-links")
     label = connected(found, "node", "root", tag)
     count = found.groupBy("node").agg(F.sum("links").alias("links"))
     # sides with one row for each key are written: broadcast if small, else a large key's rows are split
     full = (
-        nodes.select("node", "n", "id")
+        nodes.select("node", "h", "n", "id")
         .join(count, "node", "left")
         .join(label, "node", "left")
-        .select("node", "id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
+        .select("h", "id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("root", "node").alias("root"))
     )
     full = stored(full, f"{tag}-full")
     named = stored(full.groupBy("root").agg(F.min("id").alias("component_id")), f"{tag}-named")
-    known = stored(full.join(named, "root").select("node", "n_links", "component_id"), f"{tag}-known")
-    linked = good.select("id", "node").join(known, "node").select("id", "n_links", "component_id")
+    known = stored(full.join(named, "root").select("h", "n_links", "component_id"), f"{tag}-known")
+    linked = good.select("id", "h").join(known, "h").select("id", "n_links", "component_id")
     alone = rows.filter(~F.col("ok")).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return linked.union(alone).select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -35,7 +35,3 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     if not len(whole):
         return np.zeros((0, 0))
     return next(matrices(whole))[1]
-
-
-def lists(m: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel()))
