@@ -34,37 +34,34 @@ def filter_geocoded(df: DataFrame, lat: str = "latitude", lon: str = "longitude"
     return df.filter(is_truthy_number(lat) & is_truthy_number(lon))
 
 
-def kept_by_cleaning(country: str = "country", required: tuple[str, ...] = ("name", "state")) -> Column:
-    """Whether ``clean_locations`` keeps a raw record."""
-    c = F.col(country)
-    kept = (c == COUNTRY_KEPT) | c.isNull()
+def _wanted(country: str, required: tuple[str, ...]) -> Column:
+    kept = (F.col(country) == COUNTRY_KEPT) | F.col(country).isNull()
     for name in required:
         kept = kept & F.col(name).isNotNull()
-    return F.coalesce(kept, F.lit(False))
+    return kept
 
 
-def clean_locations(raw: DataFrame) -> DataFrame:
-    """Raw location records -> clean location table.
+def kept_by_cleaning(country: str = "country", required: tuple[str, ...] = ("name", "state")) -> Column:
+    """Whether ``clean_locations`` keeps a raw record."""
+    return F.coalesce(_wanted(country, required), F.lit(False))
+
 
-    rename id -> brewery_id; coordinates -> float (malformed -> null);
-    country filter; brewery_type = lower(trim()); name and state required;
-    has_coordinates flag; drop country and phone. Catalyst merges the three
-    filters into one and pushes them into the scan.
+def clean_locations(raw: DataFrame) -> DataFrame:
+    """Raw location records -> clean location table: the rows of
+    ``kept_by_cleaning`` (a filter that the scan can take), the id under the name of
+    the weather table's key, coordinates as floats (null if malformed) with a flag,
+    the category normalised; country and phone are dropped.
     """
-    return (
-        raw.withColumnRenamed("id", "brewery_id")
-        .withColumns(
-            {
-                "latitude": safe_cast("latitude", "float"),
-                "longitude": safe_cast("longitude", "float"),
-            }
-        )
-        .transform(filter_country)
-        .withColumn("brewery_type", normalize_text("brewery_type"))
-        .transform(lambda d: filter_required(d, "name", "state"))
-        .withColumn("has_coordinates", flag_both_present("latitude", "longitude"))
-        .drop("country", "phone")
-    )
+    lat, lon = safe_cast("latitude", "float"), safe_cast("longitude", "float")
+    made = {
+        "id": F.col("id").alias("brewery_id"),
+        "latitude": lat.alias("latitude"),
+        "longitude": lon.alias("longitude"),
+        "brewery_type": normalize_text("brewery_type").alias("brewery_type"),
+    }
+    columns = [made.get(c, F.col(c)) for c in raw.columns if c not in ("country", "phone")]
+    flag = (lat.isNotNull() & lon.isNotNull()).alias("has_coordinates")
+    return raw.filter(_wanted("country", ("name", "state"))).select(*columns, flag)
 
 
 def flatten_weather(raw_weather: DataFrame) -> DataFrame:
