@@ -49,8 +49,22 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def check_settings(data: dict) -> None:
+    """Raises on settings that these operators don't follow: other ones would give other tokens."""
+    model, cut = data["model"], data.get("pre_tokenizer") or {}
+    cuts = cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+    whole = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    wrong = [k for k in whole if model.get(k)]
+    wrong += [f"added {x['content']!r}" for x in data.get("added_tokens", []) if any(x.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized"))]
+    wrong += ["model type"] * (model.get("type", "BPE") != "BPE") + ["pre_tokenizer"] * (not cuts) + ["normalizer"] * (data.get("normalizer") is not None)
+    wrong += ["decoder"] * ((data.get("decoder") or {}).get("type", "ByteLevel") != "ByteLevel")
+    if wrong:
+        raise ValueError(f"settings of the vocabulary that aren't supported: {', '.join(wrong)}")
+
+
 def parse_vocabulary(raw: bytes) -> Vocabulary:
     data = json.loads(raw)
+    check_settings(data)
     of = byte_letters()
     special = {x["content"]: x["id"] for x in data.get("added_tokens", [])}
     as_bytes = lambda s: bytes(of[c] for c in s)

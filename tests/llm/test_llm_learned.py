@@ -1,7 +1,9 @@
 """Language ID and toxicity: held-out accuracy and the cases at the edge."""
 
+import math
 import random
 
+import numpy as np
 from llm_helpers import documents
 from pyspark.sql import functions as F
 
@@ -125,3 +127,94 @@ def test_stages_take_any_column_name(spark):
     for kept in (keep_identified(docs), keep_clean(docs, labels)):
         assert kept.columns == docs.columns
         assert kept.exceptAll(docs).isEmpty()
+
+
+def plain_mixture(scores):
+    """Proportions by expectation-maximisation, number by number."""
+    names = range(len(scores[0]))
+
+    def maximise(share, rounds):
+        for i in range(rounds + 1):
+            post = [[math.exp(row[k] - max(row)) * share[k] for k in names] for row in scores]
+            if i == rounds:
+                return share, sum(math.log(sum(p)) for p in post)
+            share = [sum(p[k] / sum(p) for p in post) / len(scores) for k in names]
+
+    share, _ = maximise([1 / len(names)] * len(names), langid.ROUNDS)
+    alone = [sum(row[k] - max(row) for row in scores) for k in names]
+    value = max(alone)
+    best = [float(k == alone.index(value)) for k in names]
+    order = sorted(names, key=lambda k: -share[k])
+    for size in range(2, min(langid.MOST, len(names)) + 1):
+        start = [(share[k] + 1e-6) * (k in order[:size]) for k in names]
+        fitted, fit = maximise([x / sum(start) for x in start], 2)
+        fit -= langid.PENALTY * (size - 1) * math.log(len(scores) + 1)
+        if fit > value:
+            value, best = fit, fitted
+    return best
+
+
+def test_mixture_is_plain_expectation_maximisation():
+    r = np.random.default_rng(8)
+    texts = []
+    for n, true in ((1, [0]), (40, [1]), (60, [0, 2]), (200, [0, 1, 3]), (25, [3])):
+        scores = r.normal(-30, 1, (n, 4))
+        scores[np.arange(n), [true[i % len(true)] for i in range(n)]] += 9
+        texts.append(scores.astype(np.float32))
+    got = langid.mixture(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+    want = np.array([plain_mixture(t.astype(float).tolist()) for t in texts])
+    assert np.allclose(got, want, atol=1e-4)
+    assert (want > 0).sum(axis=1).tolist() == [1, 1, 2, 3, 1]
+
+
+def plain_logit(parts, rows):
+    """The network's output for one document, place by place; ``rows`` as in ``train``."""
+    embedding, filters, bias, weights, offset = parts
+    words = [embedding[a] + embedding[b] for a, b in rows.T]
+    out, k = offset, 0
+    for w in filters:
+        for f in range(w.shape[2]):
+            peak = max((sum(words[p + o] @ w[o, :, f] for o in range(len(w)) if p + o < len(words)) for p in range(len(words))), default=0.0)
+            out += max(peak + bias[k], 0.0) * weights[k]
+            k += 1
+    return out
+
+
+def test_network_is_the_plain_one_and_a_step_follows_its_gradient(monkeypatch):
+    monkeypatch.setattr(toxicity, "BUCKETS", 40)
+    net = toxicity.Network.fresh()
+    r = np.random.default_rng(1)
+    rows = [np.stack([r.integers(0, 40, n), r.integers(40, 80, n)]) for n in (1, 2, 5, 9, 0, 3)]
+    labels = np.array([1, 0, 1, 0, 0, 1])
+    parts = [net.embedding.astype(float), [w.astype(float) for w in net.filters], net.bias.astype(float), net.weights.astype(float), net.offset]
+    # forward: the same documents as words
+    words = np.unique(np.concatenate(rows, axis=1), axis=1, return_inverse=True)
+    vectors = np.vstack([net.embedding[words[0][0]] + net.embedding[words[0][1]], np.zeros((1, toxicity.SIZE), np.float32)])
+    cuts = np.cumsum([0, *(x.shape[1] for x in rows)])
+    got = np.maximum(net.pooled(vectors, words[1].ravel(), cuts) + net.bias, 0) @ net.weights + net.offset
+    assert np.allclose(got, [plain_logit(parts, x) for x in rows], atol=1e-5)
+
+    def loss():
+        share = np.bincount(labels) / len(labels)
+        z = [plain_logit(parts, x) for x in rows]
+        return sum(0.5 / share[y] * (math.log1p(math.exp(v)) - y * v) for v, y in zip(z, labels.tolist())) / len(labels)
+
+    def moved(values, at):
+        """Where one step of Adagrad takes a number, by its numerical gradient."""
+        old, small = values[at], 1e-5
+        values[at] = old + small
+        up = loss()
+        values[at] = old - small
+        g = (up - loss()) / (2 * small)
+        values[at] = old
+        return old - toxicity.RATE * g / math.sqrt(1e-2 + g * g)
+
+    want = [(net.weights, k, moved(parts[3], k)) for k in (0, 7, len(parts[3]) - 1)] + [(net.bias, k, moved(parts[2], k)) for k in (3, 11)]
+    for i, w in enumerate(net.filters):
+        want += [(w, at, moved(parts[1][i], at)) for at in ((0, 2, 1), (i, 5, 4))]
+    both = [int(rows[2][0, 1]), int(rows[2][1, 3])]
+    want += [(net.embedding, (k, d), moved(parts[0], (k, d))) for k in both for d in (0, 3)]
+    monkeypatch.setattr(toxicity, "BATCH", 100)
+    net.train(rows, labels, visits=len(rows))
+    for values, at, end in want:
+        assert abs(values[at] - end) < 2e-3 * toxicity.RATE + 1e-5, (at, values[at], end)

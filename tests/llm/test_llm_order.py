@@ -1,15 +1,17 @@
 """Sharding and mixing."""
 
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import pytest
+import xxhash
 from llm_helpers import documents
 from pyspark.sql import functions as F
 
 from placeframe.llm.mixing import derived_weights, mix_sources, mixed, period_schedule
 from placeframe.llm.numbering import numbered
-from placeframe.llm.sharding import permuted, shard_documents, shard_rows
+from placeframe.llm.sharding import ROUNDS, permuted, shard_documents, shard_rows, sides
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1023, 5000])
@@ -20,6 +22,34 @@ def test_permutation(spark, n):
         assert got != sorted(got)
 
 
+def walked(x, n, seed):
+    """The Feistel network and its walk, one number at a time."""
+    a, b = sides(n)
+
+    def mixed_with(side, i, below):
+        h = 42
+        for raw in (struct.pack("<q", side), struct.pack("<i", i), struct.pack("<i", seed)):
+            h = xxhash.xxh64_intdigest(raw, seed=h)
+        return (h - (1 << 64) if h >> 63 else h) % below
+
+    while True:
+        left, right = divmod(x, b)
+        for i in range(ROUNDS):
+            if i % 2:
+                right = (right + mixed_with(left, i, b)) % b
+            else:
+                left = (left + mixed_with(right, i, a)) % a
+        x = left * b + right
+        if x < n:
+            return x
+
+
+@pytest.mark.parametrize("n", [7, 997, 3001])
+def test_permutation_is_the_plain_walk(spark, n):
+    got = {r.id: r.p for r in spark.range(n).select("id", permuted(F.col("id"), n, 5).alias("p")).collect()}
+    assert got == {x: walked(x, n, 5) for x in range(n)}
+
+
 def test_numbers_within_groups_with_a_hot_key(spark):
     rows = spark.range(900).select((F.col("id") % 3 == 0).alias("hot"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("__part2"))
     got = numbered(rows, ["k"], "t", group=["hot"]).collect()

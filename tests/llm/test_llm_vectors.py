@@ -106,3 +106,35 @@ def test_near_duplicate_vectors(spark, monkeypatch):
     missing = sum(w[1] for w in want) - sum(g.n_links for g in got)
     assert 0 <= missing <= 0.01 * sum(w[1] for w in want)  # the filters' misses only
     assert sorted((str(g.vec_id), str(g.component_id)) for g in got) == [(w[0], w[2]) for w in want]
+
+
+def test_candidates_grow_slower_than_the_rows():
+    share = []
+    for n in (500, 2000, 8000):
+        x = np.random.default_rng(n).standard_normal((n, 64))
+        q, found = x[: 40], np.zeros((40, n), bool)
+        work = 0
+        for t in range(ann.TABLES):
+            own, asked = ann.buckets(x, t, n), ann.probes(q, t, n, ann.probe_count(n))
+            assert (asked[:, :, None] == own[:40, None, None]).any(axis=1).all()  # its own bucket is the nearest
+            hit = np.stack([np.isin(own, a) for a in asked])
+            work += hit.sum()
+            found |= hit
+        share.append(work / 40 / n)
+        d = ((q[:, None] / np.linalg.norm(q, axis=1)[:, None, None] - x[None] / np.linalg.norm(x, axis=1)[None, :, None]) ** 2).sum(axis=2)
+        near = np.argsort(d, axis=1)[:, 1:11]
+        assert np.take_along_axis(found, near, axis=1).mean() > 0.93
+    assert share[1] < 0.8 * share[0] and share[2] < 0.8 * share[1]
+
+
+def test_filters_hold_few_vectors_and_miss_few_pairs_at_any_size():
+    r = np.random.default_rng(6)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    x, y = (unit(r.standard_normal((1500, 64))) for _ in range(2))
+    y = 0.9 * x + np.sqrt(1 - 0.81) * unit(y - (y * x).sum(axis=1, keepdims=True) * x)
+    for n in (2000, 50_000, 400_000):
+        words = vector_dedup.codewords_for(n)
+        a, b = ({*zip(*(v.tolist() for v in vector_dedup.decoded(m, words)))} for m in (x, y))
+        assert len({row for row, _ in a & b}) >= 0.998 * len(x)
+        held = len(a) / (vector_dedup.ROTATIONS * words**2) * n / len(x)
+        assert held < 2 * vector_dedup.HELD
