@@ -7,7 +7,7 @@ models), op2 (its checksum and permutation have no SQL form), op3 and op4
 
 from __future__ import annotations
 
-_PERIOD, _FLATTEN, _BLOCK = 1000, 0.9, 16
+_PERIOD, _MOST, _FLATTEN, _BLOCK = 1000, 1 << 20, 0.9, 16
 
 ORACLE: dict[str, str] = {
     "op6_vector_dedup": """
@@ -30,12 +30,17 @@ WITH RECURSIVE r AS (
   SELECT doc_id, source, coalesce(source, '') AS s,
          row_number() OVER (PARTITION BY coalesce(source, '') ORDER BY doc_id) - 1 AS n
   FROM documents
-), z AS (SELECT s, count(*) AS c FROM r GROUP BY s),
-w AS (
-  SELECT s, (c + {_BLOCK} - 1) // {_BLOCK} AS blocks, row_number() OVER (ORDER BY s) AS i,
-         greatest(1, round(greatest({_PERIOD}, 20 * count(*) OVER ()) * pow(c, {_FLATTEN}) / sum(pow(c, {_FLATTEN})) OVER ()))::BIGINT AS a
+), z AS (SELECT s, (count(*) + {_BLOCK} - 1) // {_BLOCK} AS blocks FROM r GROUP BY s),
+share AS (
+  SELECT s, blocks, pow(blocks, {_FLATTEN}) AS wanted, sum(pow(blocks, {_FLATTEN})) OVER () AS total,
+         min(pow(blocks, {_FLATTEN})) OVER () AS least, count(*) OVER () AS sources
   FROM z
-), p AS (SELECT sum(a)::BIGINT AS period, list(a ORDER BY i) AS ws FROM w),
+), weight AS (
+  SELECT s, blocks, row_number() OVER (ORDER BY s) AS i,
+         greatest(1, round(greatest({_PERIOD}, 20 * sources, least({_MOST}, ceil(total / least))) * wanted / total))::BIGINT AS a
+  FROM share
+), common AS (SELECT list_reduce(list(a), lambda x, y: gcd(x, y)) AS c FROM weight),
+w AS (SELECT s, blocks, i, a // c AS a FROM weight, common), p AS (SELECT sum(a)::BIGINT AS period, list(a ORDER BY i) AS ws FROM w),
 -- one period: in each slot the released block with the earliest deadline
 turn AS (
   SELECT -1::BIGINT AS slot, list_transform(ws, lambda x: 0::BIGINT) AS done, NULL::BIGINT AS i, NULL::BIGINT AS j FROM p

@@ -1,14 +1,17 @@
 """Sharding and mixing."""
 
+import math
 import struct
 import zlib
 from collections import Counter, defaultdict
+from itertools import cycle
 
 import pytest
 import xxhash
 from llm_helpers import documents
 from pyspark.sql import functions as F
 
+from placeframe.llm import mixing
 from placeframe.llm.mixing import derived_weights, mix_sources, mixed, period_schedule
 from placeframe.llm.numbering import numbered
 from placeframe.llm.sharding import ROUNDS, permuted, shard_documents, shard_rows, sides
@@ -84,7 +87,7 @@ def test_shards(spark):
 def test_period_keeps_every_source_within_a_block():
     for weights in ([1], [1, 1], [3, 5, 2], [700, 1, 99, 200], [1] * 20, [13, 7, 5, 1, 1]):
         period = sum(weights)
-        schedule = period_schedule(weights)
+        schedule = list(period_schedule(weights))
         assert [x[2] for x in schedule] == list(range(period))
         placed = [0] * len(weights)
         for i, j, slot, release, deadline in schedule:
@@ -109,7 +112,7 @@ def test_mixture(spark):
         assert r["__release"] <= r["__slot"] < r["__deadline"]
     assert sorted(slots) == list(range(len(slots))) and all(len(s) == 1 for s in slots.values())
     sizes = Counter(r.source or "" for r in docs.select("source").collect())
-    weights = derived_weights(dict(sizes))
+    weights = derived_weights(dict(sizes), block=4)
     period, placed = sum(weights.values()), Counter()
     for slot in range(len(slots)):
         placed[next(iter(slots[slot]))[0]] += 1
@@ -121,3 +124,36 @@ def test_mixture(spark):
     with pytest.raises(ValueError):
         mix_sources(docs, {s: 0 for s in sizes})
     assert mix_sources(docs.limit(0)).collect() == [] and mixed(docs.limit(0)).collect() == []
+
+
+def test_a_tiny_source_has_its_real_share(spark, monkeypatch):
+    for many in (200_000, 2_000_000, 20_000_000):
+        blocks = many / 16
+        weights = derived_weights({"tiny": 1, "big": many})
+        assert weights["tiny"] == 1 and abs(weights["big"] - blocks**0.9) <= 1
+        assert blocks / weights["big"] < 5  # times that the tiny one is placed
+    assert derived_weights({"tiny": 1, "big": 10**12}) == {"tiny": 1, "big": mixing.MOST_SLOTS}
+    docs = spark.range(30_001).selectExpr("id AS doc_id", "'t' AS text", "if(id = 77, 'tiny', 'big') AS source")
+    got = mix_sources(docs, block=1)
+    first = Counter(map(str, got.collect()))
+    weights, placed = derived_weights({"big": 30_000, "tiny": 1}, block=1), Counter()
+    for i, *_ in cycle(list(period_schedule(list(weights.values())))):
+        placed[i] += 1
+        if placed[0] >= 30_000 and placed[1]:
+            break
+    assert got.filter("source = 'tiny'").count() == placed[1] < 5 and math.gcd(*weights.values()) == 1
+    assert got.filter("source = 'big' AND __epoch = 0").count() == 30_000 and got.filter("__slot < __release OR __slot >= __deadline").isEmpty()
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 10)  # the period is written and joined
+    assert Counter(map(str, mix_sources(docs, block=1).collect())) == first
+
+
+def test_bounds_of_the_mixture(spark, monkeypatch):
+    docs = documents(spark)
+    named = {r[0] or "" for r in docs.select("source").distinct().collect()}
+    alike = [sorted(map(str, mix_sources(docs, {s: w for s in named}).collect())) for w in (1, 10**9)]
+    assert alike[0] == alike[1]  # only the ratio counts
+    with pytest.raises(ValueError, match="sum"):
+        mix_sources(docs, {s: 10**9 + k for k, s in enumerate(sorted(named))})
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 1)
+    with pytest.raises(ValueError, match="sources"):
+        mix_sources(docs)
