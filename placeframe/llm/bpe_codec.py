@@ -6,8 +6,8 @@ as prefixes. Each arc carries how many words lie before it, so a walk through
 the automaton yields the word's number, and a table has the ids of each
 number. The arrays are written as one file, sent to the executors as a
 session file and memory-mapped there, so a machine's workers share one copy.
-Pieces outside the lexicon are merged exactly; the lexicon decides speed,
-never the result.
+Pieces outside the lexicon are merged exactly, all distinct ones of a block of
+texts together; the lexicon decides speed, never the result.
 
 Edge cases: a null or empty text has no ids and decodes to an empty text;
 special strings inside a text become their token; repeated rows and null ids
@@ -39,8 +39,6 @@ LEXICON_WORDS = 50_000
 STEPS = 32
 #: Distinct pieces that a counting task holds before it passes them on.
 HELD = 300_000
-#: Ids of pieces outside the lexicon that a worker keeps; when full it starts anew.
-CACHED = 300_000
 
 
 class Lexicon:
@@ -103,6 +101,12 @@ class Lexicon:
             }
         )
 
+    @classmethod
+    def of(cls, vocabulary: Vocabulary, words: list[bytes]) -> Lexicon:
+        ids, sizes = vocabulary.encoded(words)
+        ends = np.cumsum(sizes).tolist()
+        return cls.build({w: ids[e - n : e].tolist() for w, n, e in zip(words, sizes.tolist(), ends)})
+
     def numbers(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The number of each word (bytes ``data[offsets[i]:offsets[i + 1]]``), or -1; all walk at once."""
         n = len(offsets) - 1
@@ -156,25 +160,14 @@ def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
 
 
 class Codec:
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon, cached: int = CACHED):
-        self.vocabulary, self.lexicon, self.cached = vocabulary, lexicon, cached
-        self.known: dict[bytes, list[int]] = {}
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
+        self.vocabulary, self.lexicon = vocabulary, lexicon
         by_id = {i: b for b, i in vocabulary.ids.items()} | {i: s.encode() for s, i in vocabulary.special.items()}
         symbols = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
         self.sizes = np.array([len(s) for s in symbols], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(symbols), np.uint8)
 
-    def piece(self, piece: bytes) -> list[int]:
-        """The ids of a piece by exact merging."""
-        ids = self.known.get(piece)
-        if ids is None:
-            ids = [self.vocabulary.ids[s] for s in self.vocabulary.merged(piece)]
-            if len(self.known) >= self.cached:
-                self.known.clear()
-            self.known[piece] = ids
-        return ids
-
     def _distinct(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the distinct pieces end to end, with begins and lengths."""
         raw = [p.encode() for p in pieces]
@@ -187,11 +180,10 @@ class Codec:
             starts, lengths = lex.offsets[found], lex.offsets[found + 1] - lex.offsets[found]
         else:
             starts, lengths = np.zeros(len(raw), np.int64), np.zeros(len(raw), np.int64)
-        own = [self.piece(raw[i]) for i in rest.tolist()]
-        sizes = np.array([len(x) for x in own], np.int64)
+        own, sizes = self.vocabulary.encoded([raw[i] for i in rest.tolist()])
         lengths[rest] = sizes
         starts[rest] = len(lex.ids) + np.cumsum(sizes) - sizes
-        return np.concatenate([lex.ids, np.fromiter(chain.from_iterable(own), np.int32)]), starts, lengths
+        return np.concatenate([lex.ids, own.astype(np.int32)]), starts, lengths
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and the bounds of each text's."""
@@ -262,7 +254,7 @@ def corpus_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text",
             break
         left, least = left - r["pieces"], r["least"]
     top = [] if least is None else counts.filter(F.col("n") >= least).select("piece").collect()
-    return Lexicon.build({(raw := r[0].encode()): [vocabulary.ids[s] for s in vocabulary.merged(raw)] for r in top})
+    return Lexicon.of(vocabulary, [r[0].encode() for r in top])
 
 
 def ship_lexicon(docs: DataFrame, lexicon: Lexicon) -> str:

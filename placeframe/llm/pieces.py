@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 
@@ -15,6 +16,9 @@ from placeframe.llm.textblocks import gpt_tokens, points, span_hashes
 #: Longer texts are cut before a space that follows another sign, where a piece always begins.
 LONG = 1 << 21
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Longer pieces are merged one by one.
+LONG_PIECE = 256
+NO_MERGE = 1 << 62
 
 
 @dataclass(frozen=True)
@@ -25,20 +29,94 @@ class Vocabulary:
     ranks: dict[tuple[bytes, bytes], int]
     special: dict[str, int]
 
-    def merged(self, piece: bytes) -> list[bytes]:
-        """The symbols left when the lowest-ranked adjacent pair is merged until none is."""
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = None, -1
-            for i, pair in enumerate(zip(parts, parts[1:])):
-                rank = ranks.get(pair)
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Adjacent ids that merge (the first times 2^32 plus the second, sorted), the rank
+        of each, the id that each rank's merge gives, and the id of each byte."""
+        ids = self.ids
+        made = np.array([ids[a + b] for a, b in self.ranks], np.int64)
+        keys = np.array([ids[a] << 32 | ids[b] for a, b in self.ranks], np.int64)
+        rank = np.fromiter(self.ranks.values(), np.int64, len(keys))
+        by_rank = np.zeros(int(rank.max()) + 1 if len(rank) else 0, np.int64)
+        by_rank[rank] = made
+        order = np.argsort(keys)
+        return keys[order], rank[order], by_rank, np.array([ids.get(bytes([i]), -1) for i in range(256)], np.int64)
+
+    @cached_property
+    def rank_by_pair(self) -> dict[int, int]:
+        return dict(zip(self.pairs[0].tolist(), self.pairs[1].tolist()))
+
+    def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The ranks of pairs of ids; ``NO_MERGE`` where they don't merge."""
+        keys, rank, *_ = self.pairs
+        if not len(keys):
+            return np.full(len(left), NO_MERGE)
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[at] == key, rank[at], NO_MERGE)
+
+    def encoded(self, pieces: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces end to end, and how many each has: in each piece the lowest-ranked
+        adjacent pair (the first of equal ones) is merged until none is left. All pieces merge
+        one pair a round, and a piece leaves when it has none; very long ones go by a heap."""
+        short = [p if len(p) <= LONG_PIECE else b"" for p in pieces]
+        owner = np.repeat(np.arange(len(short)), np.fromiter(map(len, short), np.int64, len(short)))
+        _, _, by_rank, byte_ids = self.pairs
+        ids = byte_ids[np.frombuffer(b"".join(short), np.uint8)]
+        if (ids < 0).any():
+            raise KeyError("a byte that the vocabulary doesn't have")
+        rank = np.full(len(ids), NO_MERGE)  # of each id with the next one of its piece
+        inner = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inner] = self.rank_of(ids[inner], ids[inner + 1])
+        ended: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            begins = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            least = np.repeat(np.minimum.reduceat(rank, begins), np.diff(np.append(begins, len(ids))))
+            keep = least != NO_MERGE
+            ended.append((owner[~keep], ids[~keep]))
+            at = np.flatnonzero((rank == least) & keep)
+            at = at[np.flatnonzero(np.diff(owner[at], prepend=-1))]  # the first of each piece
+            ids[at] = by_rank[rank[at]]
+            keep[at + 1] = False
+            at = (np.cumsum(keep) - 1)[at]
+            owner, ids, rank = owner[keep], ids[keep], rank[keep]
+            for i in (at, at[at > 0] - 1):
+                rank[i] = NO_MERGE
+                i = i[i + 1 < len(ids)]
+                i = i[owner[i] == owner[i + 1]]
+                rank[i] = self.rank_of(ids[i], ids[i + 1])
+        for k, piece in enumerate(pieces):
+            if len(piece) > LONG_PIECE:
+                own = self.encoded_long(piece)
+                ended.append((np.full(len(own), k), np.array(own, np.int64)))
+        if not ended:
+            return np.zeros(0, np.int64), np.zeros(len(pieces), np.int64)
+        owner, ids = (np.concatenate(x) for x in zip(*ended))
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(pieces))
+
+    def encoded_long(self, piece: bytes) -> list[int]:
+        """The ids of one piece by a heap of the open pairs; the time doesn't grow with the square of its length."""
+        _, _, by_rank, byte_ids = self.pairs
+        rank_of = self.rank_by_pair
+        ids, n = byte_ids[np.frombuffer(piece, np.uint8)].tolist(), len(piece)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        pairs = (ids[i] << 32 | ids[i + 1] for i in range(n - 1))
+        heap = [(rank_of[p], i, p) for i, p in enumerate(pairs) if p in rank_of]
+        heapq.heapify(heap)
+        while heap:
+            rank, i, pair = heapq.heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j >= n or ids[i] << 32 | ids[j] != pair:
+                continue  # one of the two was merged since
+            ids[i], ids[j] = int(by_rank[rank]), -1
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for x in (before[i], i):
+                y = after[x] if x >= 0 else n
+                if y < n and (pair := ids[x] << 32 | ids[y]) in rank_of:
+                    heapq.heappush(heap, (rank_of[pair], x, pair))
+        return [i for i in ids if i >= 0]
 
 
 @cache

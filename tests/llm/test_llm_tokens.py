@@ -40,7 +40,7 @@ def test_edge_texts():
 def test_any_text(texts):
     want = [ids_of(t) for t in texts]
     assert Counter(VOCABULARY, cached=3).counts(texts).tolist() == [len(w) for w in want]
-    flat, bounds = Codec(VOCABULARY, Lexicon.build({}), cached=3).encode(texts)
+    flat, bounds = Codec(VOCABULARY, Lexicon.build({})).encode(texts)
     assert [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
 
 
@@ -51,6 +51,27 @@ def test_long_texts_are_cut_where_pieces_begin():
     assert sum(len(ids_of(p)) for p in parts.texts) == len(ids_of(text))
 
 
+def plainly_merged(piece):
+    """The lowest-ranked adjacent pair is looked for from the start after every merge."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while found := [(VOCABULARY.ranks[p], i) for i, p in enumerate(zip(parts, parts[1:])) if p in VOCABULARY.ranks]:
+        i = min(found)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return [VOCABULARY.ids[p] for p in parts]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.binary(max_size=40), st.text(alphabet="aet hing", max_size=300).map(str.encode)), max_size=6))
+def test_pieces_merge_together_as_each_alone(pieces):
+    pieces = [*pieces, b"", b"a" * 255, b"ab" * 129, b"the" * 200]
+    want = [plainly_merged(p) for p in pieces]
+    flat, sizes = VOCABULARY.encoded(pieces)
+    assert sizes.tolist() == [len(w) for w in want] and flat.tolist() == [i for w in want for i in w]
+    assert [VOCABULARY.encoded_long(p) for p in pieces] == want
+    lexicon = Lexicon.of(VOCABULARY, pieces)
+    assert sorted(lexicon.ids.tolist()) == sorted(i for p in {*pieces} for i in plainly_merged(p))
+
+
 def test_lexicon_is_minimal_and_exact(tmp_path):
     words = {w.encode(): [i, i + 1][: 1 + i % 2] for i, w in enumerate(["tap", "taps", "top", "tops", "stops", "a", "é"])}
     lexicon = Lexicon.build(words)
