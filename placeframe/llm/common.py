@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from placeframe.session import fresh_dir
+from placeframe.session import fresh_dir, remove_scratch
 
 #: Rows and bytes of one Arrow batch sent to a Python task; bounds its memory.
 BATCH_ROWS = 2000
 BATCH_BYTES = 32 << 20
+#: Folders that ``stored`` wrote and nobody has removed yet.
+_written: list[str] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -67,10 +69,22 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """Writes ``df`` to a fresh folder under the shared ``spark.checkpoint.dir`` and
     reads it back: later steps neither repeat the work nor depend on executors."""
     path = fresh_dir(df.sparkSession, tag)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> DataFrame:
+    """``stored`` for what ``make`` returns; the tables that were stored on the way to
+    it are removed once it is written (after an error they stay, for another look)."""
+    mark = len(_written)
+    result = stored(make(), tag)
+    for path in _written[mark:-1]:
+        remove_scratch(spark, path)
+    _written[mark:] = _written[-1:]
+    return result
+
+
 def in_order(df: DataFrame, keys: Sequence[str], part: str, at: str) -> DataFrame:
     """``df`` sorted by ranges of its columns ``keys``, with the number of each row's
     range and its place there. Rows with equal keys may lie in several ranges, so no

@@ -11,7 +11,8 @@ from test_llm_minhash import brute_classes
 from test_llm_tokens import ids_of
 
 from placeframe.llm import langid, minhash, mixing, toxicity
-from placeframe.llm.common import stored
+from placeframe.llm.common import settled, stored
+from placeframe.session import folder_names, shared_root
 
 SF = "/root/testdata/sf0.001"
 
@@ -122,3 +123,12 @@ def test_queries_are_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op") and n[2].isdigit())
     assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_tables_on_the_way_are_removed(spark):
+    root = f"{shared_root(spark)}/placeframe"
+    before = {*folder_names(spark, root)}
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('text ', id) AS text", "concat('s', id % 3) AS source")
+    out = settled(spark, lambda: mixing.mixed(docs), "t-settled")
+    left = {*folder_names(spark, root)} - before
+    assert len(left) == 1 and next(iter(left)).startswith("t-settled") and out.count() >= 50
