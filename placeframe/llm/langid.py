@@ -187,11 +187,14 @@ def mixture(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return best
 
 
-def learnable(docs: DataFrame, text: str, lang: str, key: str, sample: int) -> DataFrame:
+def learnable(docs: DataFrame, text: str, lang: str, key: str, sample: int | None) -> DataFrame:
     """(__text, __lang, __held) of about ``sample`` of the rows that may be learned from,
-    some of each language; one in ``HOLD`` is held."""
+    some of each language, or of all of them; one in ``HOLD`` is held."""
     names = docs.select(docs[text].alias("__text"), docs[lang].cast("string").alias("__lang"), docs[key].alias("__key"))
     rows = names.filter(~held_out(F.col("__key")) & F.col("__lang").isNotNull())
+    held = (F.pmod(F.xxhash64(F.lit("held"), "__key", "__text"), F.lit(HOLD)) == 0).alias("__held")
+    if sample is None:
+        return rows.select("__text", "__lang", held)
     rows = rows.withColumn("__hash", F.xxhash64("__key", "__text")).withColumn("__order", F.pmod("__hash", F.lit(1 << 30)))
     # a row for each language, as the model has a column; its first row is in the sample whatever its share is
     sizes = rows.groupBy("__lang").agg(F.approx_count_distinct("__hash").alias("n"), F.min("__order").alias("first")).collect()
@@ -201,7 +204,7 @@ def learnable(docs: DataFrame, text: str, lang: str, key: str, sample: int) -> D
         bounds = docs.sparkSession.createDataFrame(cuts, "__lang string, __cut long")
         rows = rows.join(F.broadcast(bounds), "__lang").filter(F.col("__order") <= F.col("__cut"))
     rows = rows.select("__key", "__text", "__lang").distinct()
-    return rows.select("__text", "__lang", (F.pmod(F.xxhash64(F.lit("held"), "__key", "__text"), F.lit(HOLD)) == 0).alias("__held"))
+    return rows.select("__text", "__lang", held)
 
 
 def counted(rows: DataFrame) -> pa.Table:
@@ -240,8 +243,8 @@ def model_of(found: pa.Table) -> LanguageModel:
     return LanguageModel(langs, np.log(table / table.sum(axis=0)).astype(np.float32) if langs else np.zeros((SLOTS, 0), np.float32))
 
 
-def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int = SAMPLE) -> LanguageModel:
-    """Fits the n-gram model on about ``sample`` of the rows that may be learned from."""
+def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample: int | None = SAMPLE) -> LanguageModel:
+    """Fits the n-gram model on about ``sample`` of the rows that may be learned from, or on all."""
     return model_of(counted(learnable(docs, text, lang, key, sample)))
 
 

@@ -4,47 +4,61 @@ A word's vector is the sum of two hashed embeddings, of the whole word and of
 its first letters (toxic stems take many endings). Filters of several widths
 run over all the words of a document; each filter's largest response over the
 whole text feeds a logistic layer. Words of whose buckets training saw
-nothing are neutral. Training is Adagrad over minibatches on a bounded,
-balanced sample (``PER_LABEL`` documents of each label, chosen by a hash of
-the id, among the rows that may be learned from); a part of it is held back
-to calibrate a threshold for each language. The language comes from the text
-alone (the n-gram model of ``langid``), and a document's score is shifted so
-that its language's threshold lies at ``AT``.
+nothing are neutral. Every labelled document that may be learned from teaches:
+three of four (by a hash of the id) train the network, the fourth sets the
+thresholds. Training is Adagrad over minibatches in shards of about ``SHARD``
+documents, a group of a Spark job each; after each round the shards' networks are
+averaged, every embedding over the shards that saw its words, in whole
+numbers, so that no order of sums matters. A pass has ``ROUNDS`` rounds, each over
+other shards, and there are as many passes as ``VISITS`` asks for, one at least. The
+thresholds, one for each language, come from counts of all the held logits. The
+language comes from the text alone (the n-gram model of ``langid``, of all the
+rows that may be learned from), and a document's score is shifted so that its
+language's threshold lies at ``AT``.
 
 Edge cases: a null or empty text has the score of a text without any filter
-response; without labels of both kinds every score is 0; ties of the sample go
-by id; repeated rows and null ids are scored row by row (labels without an id
-teach nothing); an empty table gives an empty table. Whole texts are scored.
+response; without labels of both kinds every score is 0; of texts with one id
+the smallest teaches; repeated rows and null ids are scored row by row (labels
+without an id teach nothing); an empty table gives an empty table. Whole texts
+are scored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from copy import deepcopy
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from placeframe.llm.common import carried, held_out, in_batches, text_batches
+from placeframe.llm.common import carried, held_out, in_batches, prepare, stored, text_batches
 from placeframe.llm.langid import LanguageModel, Words, fit_languages
 from placeframe.llm.textblocks import span_hashes
 
-#: Documents of each label that training sees at most.
-PER_LABEL = 2500
+#: Documents, and bytes of their texts, that one task trains on in a round, about.
+SHARD, SHARD_BYTES = 4096, 32 << 20
+#: Rounds of a pass over the documents, if it has as many shards.
+ROUNDS = 4
 BUCKETS = 1 << 18
 SIZE = 8
 FILTERS = 16
 WIDTHS = (1, 2, 3)
 STEM = 4  # letters of a word's stem
-#: Documents that training visits, over all its epochs, about.
+#: Documents that training visits over all its passes, about, if they have fewer.
 VISITS = 24_000
 BATCH = 32
+SEED = 7
 RATE = 0.08
-#: One in so many training documents is held back for the thresholds.
+#: One in so many labelled documents sets the thresholds, the others train.
 HOLD = 4
+#: Logits are counted in steps of 1 / BINS, up to REACH.
+BINS, REACH = 256, 60
+#: Numbers are averaged as multiples of 1 / UNIT.
+UNIT = 1 << 30
 #: The score at which a document is called toxic.
 AT = 0.3
 #: Examples of each label that a language's own threshold needs.
@@ -82,7 +96,7 @@ class Network:
     threshold: float = 0.0
 
     @classmethod
-    def fresh(cls, seed: int = 7) -> Network:
+    def fresh(cls, seed: int = SEED) -> Network:
         r = np.random.default_rng(seed)
         return cls(
             (r.standard_normal((2 * BUCKETS + 1, SIZE)) * 0.05).astype(np.float32),
@@ -111,8 +125,38 @@ class Network:
         vectors[:-1] = self.embedding[rows[0]] + self.embedding[rows[1]]
         return np.maximum(self.pooled(vectors, block.inverse, block.cuts) + self.bias, 0) @ self.weights + self.offset
 
-    def train(self, rows: list[np.ndarray], labels: np.ndarray, visits: int = VISITS, seed: int = 7) -> None:
-        """``rows``: for each document the two embedding rows of each of its words, (2, words)."""
+    def others(self) -> np.ndarray:
+        """All numbers but the embedding, in rows as long as its."""
+        flat = np.concatenate([*(w.ravel() for w in self.filters), self.bias, self.weights, [self.offset]])
+        return np.append(flat, np.zeros(-len(flat) % SIZE)).reshape(-1, SIZE)
+
+    def moved(self, old: Network, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where this network differs from ``old`` by training that saw the embeddings ``seen``:
+        numbers of rows (of the embedding, then of ``others``), and by how many units."""
+        at = np.flatnonzero(seen)
+        by = np.vstack([self.embedding[at].astype(float) - old.embedding[at], self.others() - old.others()])
+        return np.append(at, len(seen) + np.arange(len(by) - len(at))), np.rint(by * UNIT).astype(np.int64)
+
+    def move(self, rows: np.ndarray, by: np.ndarray) -> None:
+        """Adds ``by`` (numbers, not units) to the rows that ``moved`` names."""
+        inner = rows < len(self.embedding)
+        self.embedding[rows[inner]] += by[inner].astype(np.float32)
+        flat = self.others()
+        flat[rows[~inner] - len(self.embedding)] += by[~inner]
+        flat, low = flat.ravel(), 0
+        for x in (*self.filters, self.bias, self.weights):
+            x[...] = flat[low : low + x.size].reshape(x.shape)
+            low += x.size
+        self.offset = float(flat[low])
+
+    def train(self, rows: list[np.ndarray], labels: np.ndarray, visits: int = VISITS, seed: int = SEED) -> None:
+        """Trains a fresh network on all there is to learn from; words that it didn't see become neutral."""
+        seen = self.visit(rows, labels, np.bincount(labels, minlength=2) / len(labels), visits, seed)
+        self.embedding[~seen] = 0
+
+    def visit(self, rows: list[np.ndarray], labels: np.ndarray, share: np.ndarray, visits: int, seed: int) -> np.ndarray:
+        """Trains on ``rows`` (for each document the two embedding rows of each of its words, (2, words)),
+        the labels weighted by their ``share`` among all that train. Returns the embeddings seen."""
         order = np.random.default_rng(seed)
         rate = np.float32(RATE)
         seen = np.zeros(len(self.embedding), bool)
@@ -123,7 +167,6 @@ class Network:
             square += gradient * gradient
             values -= rate * gradient / np.sqrt(square)
 
-        share = np.bincount(labels, minlength=2) / len(labels)
         balance = (0.5 / np.maximum(share, 1e-9)).astype(np.float32)
         for _ in range(max(1, round(visits / len(rows)))):
             for ids in np.array_split(order.permutation(len(rows)), max(1, len(rows) // BATCH)):
@@ -171,24 +214,31 @@ class Network:
                 step(self.weights, hidden.T @ error, squares[-1])
                 square_offset += float(error.sum()) ** 2
                 self.offset -= float(rate) * float(error.sum()) / square_offset**0.5
-        self.embedding[~seen] = 0
-
-    def calibrate(self, logits: np.ndarray, labels: np.ndarray, langs: np.ndarray) -> None:
-        """A threshold for all and one for each language with enough examples of both labels."""
-        self.threshold = best_threshold(logits, labels) if len(set(labels.tolist())) == 2 else 0.0
-        for lang in np.unique(langs):
-            own = langs == lang
-            if min((labels[own] == 1).sum(), (labels[own] == 0).sum()) >= LEAST:
-                self.thresholds[int(lang)] = best_threshold(logits[own], labels[own])
-
-
-def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the gap that cuts off most clean documents and fewest toxic ones."""
-    order = np.argsort(logits, kind="stable")
-    x, y = logits[order], labels[order]
-    clean, toxic = max(1, (y == 0).sum()), max(1, (y == 1).sum())
-    # cut k: the first k are called clean; clean documents weigh twice
-    value = 2 * np.concatenate([[0], np.cumsum(y == 0)]) / clean - np.concatenate([[0], np.cumsum(y == 1)]) / toxic
+        return seen
+
+    def calibrate(self, found: pa.Table) -> None:
+        """A threshold for all and one for each language with enough examples of both labels,
+        from the counts ``n`` of the held documents by lang, label and logit (``bin``, in steps)."""
+        lang, label, at, n = (found.column(c).to_numpy() for c in ("lang", "label", "bin", "n"))
+
+        def split(own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            bins, back = np.unique(at[own], return_inverse=True)
+            clean, toxic = (np.bincount(back, np.where(label[own] == y, n[own], 0), len(bins)) for y in (0, 1))
+            return bins / BINS, clean, toxic
+
+        whole = split(np.ones(len(n), bool))
+        self.threshold = best_threshold(*whole) if whole[1].any() and whole[2].any() else 0.0
+        for i in np.unique(lang):
+            own = split(lang == i)
+            if min(own[1].sum(), own[2].sum()) >= LEAST:
+                self.thresholds[int(i)] = best_threshold(*own)
+
+
+def best_threshold(x: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The middle of the gap that cuts off most clean documents and fewest toxic ones, of
+    which there are ``clean`` and ``toxic`` at the logits ``x`` (ascending)."""
+    # cut k: those at the first k logits are called clean; clean documents weigh twice
+    value = 2 * np.concatenate([[0], np.cumsum(clean)]) / max(1, clean.sum()) - np.concatenate([[0], np.cumsum(toxic)]) / max(1, toxic.sum())
     at = np.flatnonzero(value >= value.max() - 1e-12)
     k = int(at[len(at) // 2])
     low = x[k - 1] if k else x[0] - 2
@@ -196,6 +246,16 @@ def best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
     return float(low + 0.5 * (high - low))
 
 
+def word_rows(texts: list[str | None]) -> list[np.ndarray]:
+    """For each text the two embedding rows of each of its words."""
+    out = []
+    for low, high in text_batches(texts):
+        block = Words.of(texts[low:high])
+        both = buckets(block).astype(np.int32)
+        out += [both[:, block.inverse[a:b]] for a, b in zip(block.cuts, block.cuts[1:])]
+    return out
+
+
 @dataclass
 class ToxicityModel:
     network: Network | None
@@ -218,50 +278,82 @@ class ToxicityModel:
             return np.zeros(len(block.cuts) - 1, np.int64)
         return self.languages.strongest(block, self.languages.word_scores(block))
 
-    def fit(self, texts: list[str | None], labels: np.ndarray) -> None:
-        rows, langs = [], []
-        for low, high in text_batches(texts):
-            block = Words.of(texts[low:high])
-            both = buckets(block)
-            rows += [both[:, block.inverse[a:b]] for a, b in zip(block.cuts, block.cuts[1:])]
-            langs.append(self._languages(block))
-        held = np.arange(len(rows)) % HOLD == 0
-        self.network = Network.fresh()
-        self.network.train([r for r, h in zip(rows, held) if not h], labels[~held])
-        logits = np.concatenate([self.network.logits(Words.of(texts[a:b])) for a, b in text_batches(texts)])
-        self.network.calibrate(logits[held], labels[held], np.concatenate(langs)[held])
-
-
-def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", label: str = "toxic", per_label: int = PER_LABEL
-) -> ToxicityModel:
-    """Trains on ``per_label`` documents of each label at most."""
+
+def _hashed(what: str, n: int) -> Column:
+    """A number below ``n`` for each ``__key``."""
+    return F.pmod(F.xxhash64(F.lit(what), "__key"), F.lit(n))
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", lang: str = "lang", label: str = "toxic") -> ToxicityModel:
+    """Learns from every labelled document that may be learned from."""
+    spark = prepare(docs.sparkSession)
     shown = labels.select(labels[key].alias("__key"), labels[label].cast("int").alias("__label"))
     shown = shown.filter(F.col("__key").isNotNull() & F.col("__label").isin(0, 1) & ~held_out(F.col("__key")))
-    shown = shown.groupBy("__key").agg(F.max("__label").alias("__label")).withColumn("__order", F.xxhash64("__key"))
-    counts = {r["__label"]: r["n"] for r in shown.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
-    parts = []
-    for y in (0, 1):
-        # thinned by the hash to about twice the rows, so that little is sorted
-        share = min(1.0, 2 * per_label / max(1, counts.get(y, 0)))
-        own = shown.filter((F.col("__label") == y) & (F.pmod("__order", F.lit(1 << 30)) < round(share * (1 << 30))))
-        parts.append(own.orderBy("__order", "__key").limit(per_label))
-    sample = F.broadcast(parts[0].union(parts[1]))  # 2 * per_label rows of three numbers
-    found = (
-        docs.select(docs[key].alias("__key"), docs[text].alias("__text"))
-        .join(sample, "__key")
-        .select("__key", "__text", "__label", "__order")
-        .dropDuplicates(["__key"])  # an id that repeats teaches once, so the bound holds
-        .toArrow()
-        .sort_by([("__order", "ascending"), ("__key", "ascending")])
-    )
-    model = ToxicityModel(None, fit_languages(docs, text, lang, key))
-    y = found.column("__label").to_numpy()
-    if len(np.unique(y)) == 2:
-        model.fit(found.column("__text").to_pylist(), y)
+    shown = shown.groupBy("__key").agg(F.max("__label").alias("__label"))
+    texts = docs.select(docs[key].alias("__key"), docs[text].alias("__text")).filter(F.col("__key").isNotNull() & ~held_out(F.col("__key")))
+    size = texts.groupBy("__key").agg(F.max(F.octet_length("__text")).alias("__size"))
+    known = stored(shown.join(size, "__key"), "toxicity-known")  # an id, its label and a size a row
+    held = _hashed("held", HOLD) == 0
+    sizes = known.groupBy("__label", held.alias("held")).agg(F.count(F.lit(1)).alias("n"), F.sum("__size").alias("bytes")).collect()  # four rows
+    model = ToxicityModel(None, fit_languages(docs, text, lang, key, sample=None))
+    if len({r["__label"] for r in sizes}) < 2:
+        return model
+
+    def taught(part: Column) -> DataFrame:
+        """(__key, __text, __label) of the labelled documents in a part of the keys, each key once."""
+        return texts.filter(part).join(known.filter(part).select("__key", "__label"), "__key").groupBy("__key").agg(F.min("__text").alias("__text"), F.first("__label").alias("__label"))
+
+    counts = np.array([sum(r["n"] for r in sizes if not r["held"] and r["__label"] == y) for y in (0, 1)])
+    total, volume = int(counts.sum()), sum(r["bytes"] or 0 for r in sizes if not r["held"])
+    model.network, seen = Network.fresh(), np.zeros(2 * BUCKETS + 1, bool)
+    shards = max(1, -(-total // SHARD), -(-volume // SHARD_BYTES))
+    rounds = min(ROUNDS, shards)
+    for i in range(max(1, round(VISITS / max(1, total))) * rounds if shards > 1 else 1):
+        some = ~held & (_hashed("shard", shards) % rounds == i % rounds)
+        rows = taught(some).withColumn("__shard", _hashed("shard", shards)).repartition(2 * -(-shards // rounds), "__shard")
+        moves = _averaged(rows, model.network, counts / max(1, total), VISITS if shards == 1 else 0, i)
+        at = moves.column("row").to_numpy()
+        model.network.move(at, np.stack([moves.column(f"d{k}").to_numpy() for k in range(SIZE)], axis=1))
+        seen[at[at < len(seen)]] = True
+    model.network.embedding[~seen] = 0
+    shared = spark.sparkContext.broadcast(model)
+
+    def tally(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        own = batch.column("__text").to_pylist()
+        for low, high in text_batches(own):
+            block = Words.of(own[low:high])
+            at = np.rint(np.clip(shared.value.network.logits(block), -REACH, REACH) * BINS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value._languages(block)), batch.column("__label")[low:high], pa.array(at)], names=["lang", "label", "bin"])
+
+    found = in_batches(taught(held).select("__text", "__label"), tally, "lang long, label int, bin long")
+    # 2 * REACH * BINS rows at most for each language and label
+    model.network.calibrate(found.groupBy("lang", "label", "bin").agg(F.count(F.lit(1)).alias("n")).toArrow())
+    shared.destroy()
     return model
 
 
+def _averaged(rows: DataFrame, network: Network, share: np.ndarray, visits: int, number: int) -> pa.Table:
+    """Trains a copy of ``network`` on each shard (every document once, or in all ``visits``), and
+    returns by how much each row moved, on average over the shards that saw it."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
+
+    def learn(shard: pa.Table) -> pa.Table:
+        shard = shard.sort_by("__key")
+        own = deepcopy(shared.value)
+        texts = word_rows(shard.column("__text").to_pylist())
+        seen = own.visit(texts, shard.column("__label").to_numpy(), share, visits or len(texts), SEED + number)
+        at, by = own.moved(shared.value, seen)
+        return pa.table([pa.array(at), *(pa.array(x) for x in np.ascontiguousarray(by.T))], names=["row", *names])
+
+    names = [f"d{k}" for k in range(SIZE)]
+    moved = rows.groupBy("__shard").applyInArrow(learn, ", ".join(f"{n} long" for n in ["row", *names]))
+    mean = [(F.sum(n) / F.count(F.lit(1)) / F.lit(float(UNIT))).cast("float").alias(n) for n in names]
+    # 2 * BUCKETS rows at most, and those of ``others``
+    found = moved.groupBy("row").agg(*mean).toArrow()
+    shared.destroy()
+    return found
+
+
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[str] | None = None, out: str = "score") -> DataFrame:
     """``docs`` (its columns ``keep``, by default all) with each whole text's score."""
     names = docs.columns if keep is None else keep

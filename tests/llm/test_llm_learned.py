@@ -218,3 +218,43 @@ def test_network_is_the_plain_one_and_a_step_follows_its_gradient(monkeypatch):
     net.train(rows, labels, visits=len(rows))
     for values, at, end in want:
         assert abs(values[at] - end) < 2e-3 * toxicity.RATE + 1e-5, (at, values[at], end)
+
+
+def test_every_labelled_document_teaches(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SHARD", 1500)
+    monkeypatch.setattr(toxicity, "VISITS", 3000)
+    n = 9000  # more of each label than the bound that once was
+    spell = lambda i: "".join(chr(97 + int(d)) for d in str(i)) + "q" * 4
+    docs = spark.createDataFrame([(i, f"{'awful' if i % 2 else 'lovely'} {spell(i)}", "en") for i in range(n)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    keys = docs.withColumnRenamed("doc_id", "__key").filter(~langid.held_out(F.col("__key")))
+    for held in (True, False):
+        own = [spell(r["__key"]) for r in keys.filter((toxicity._hashed("held", toxicity.HOLD) == 0) == held).collect()]
+        whole = toxicity.buckets(langid.Words.of(own))[0]
+        seen = model.network.embedding[whole].any(axis=1).mean()
+        assert len(own) > 1000 and (seen < 0.1 if held else seen == 1.0)
+    assert {r.doc_id % 2: r.n for r in toxicity.score_toxicity(docs, model).filter("score >= 0.3").groupBy((F.col("doc_id") % 2).alias("doc_id")).agg(F.count("*").alias("n")).collect()} == {1: n // 2}
+
+
+def test_languages_of_all_rows(spark):
+    docs = spark.createDataFrame([(i, "abc" if i % 2 else "xyz", "en" if i % 2 else "sv") for i in range(3000)], "doc_id long, text string, lang string")
+    assert langid.learnable(docs, "text", "lang", "doc_id", None).count() == docs.filter(~langid.held_out(F.col("doc_id"))).count()
+    assert langid.fit_languages(docs, sample=None).names == ["en", "sv"]
+
+
+def test_shards_networks_are_averaged(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "BUCKETS", 40)
+    net, one, two = (toxicity.Network.fresh() for _ in range(3))
+    one.embedding[3] += 1
+    two.offset -= 0.5
+    two.filters[2][1, 2, 3] += 2
+    seen = np.zeros(81, bool)
+    for other in (one, two):
+        seen[[3, 5]] = True
+        rows, by = other.moved(net, seen)
+        assert rows[:2].tolist() == [3, 5] and (by[1] == 0).all()
+        again = toxicity.Network.fresh()
+        again.move(rows, by / toxicity.UNIT)
+        for a, b in zip([again.embedding, *again.filters, again.bias, again.weights, again.offset], [other.embedding, *other.filters, other.bias, other.weights, other.offset]):
+            assert np.allclose(a, b, atol=1e-6)
