@@ -14,11 +14,11 @@ least), chosen by a hash of id and text, equal rows once; every language has a
 row at any size. Every document is inferred whole.
 
 Proportions say which language, not whether it is one: the largest is never
-small. ``keep_identified`` therefore weighs evidence that can fail: how much
-better, for each n-gram, a text's words are explained by the languages than by
-a background in which every slot is equally likely. A text needs ``FAIR`` of
-what all but the lowest ``LOW`` of the learnable rows of its language have
-under a model that hasn't seen them.
+small. ``keep_identified`` therefore identifies each text and then weighs evidence
+that can fail: how much better, for each n-gram, a text's words are explained by the
+mixture inferred for it than by a background in which every slot is equally likely.
+A text needs ``FAIR`` of what all but the lowest ``LOW`` of the learnable rows of the
+language predicted for it have under a model that hasn't seen them.
 
 Edge cases: a null text or one without a letter is ``und`` with score 0; with
 nothing to learn from every document is; ties go to the alphabetically first
@@ -120,25 +120,18 @@ class LanguageModel:
         """The single most likely language of each text, as an index."""
         return sums(scores[block.inverse], block.cuts).argmax(axis=1)
 
-    def evidence(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Of each text the gain over the background for each n-gram (the words each
-        in their best language; -inf without a word), and the strongest language."""
-        gain, strongest = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
-        for low, high in text_batches(texts) if self.names else ():
-            block = Words.of(texts[low:high])
-            scores = block.likelihoods(self.table)
-            size = 2.0 * (block.ends - block.starts + 1)  # n-grams of each word
-            total = sums(size[block.inverse], block.cuts)
-            gained = sums((scores.max(axis=1) + size * np.log(SLOTS))[block.inverse], block.cuts)
-            full = np.flatnonzero(total)
-            gain[full + low] = gained[full] / total[full]
-            strongest[low:high] = self.strongest(block, scores)
-        return gain, strongest
-
     def infer(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The proportions of each text's selected languages, and whether it has a word."""
+        return self._inferred(texts)[:2]
+
+    def weigh(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What ``infer`` returns, and the gain of each text's mixture over the background
+        for each n-gram (-inf without a word)."""
+        return self._inferred(texts, True)
+
+    def _inferred(self, texts: list[str | None], weigh: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         out = np.zeros((len(texts), len(self.names)), np.float32)
-        some = np.zeros(len(texts), bool)
+        some, gain = np.zeros(len(texts), bool), np.full(len(texts), -np.inf)
         for low, high in text_batches(texts):
             block = Words.of(texts[low:high])
             full = block.cuts[1:] > block.cuts[:-1]
@@ -146,8 +139,13 @@ class LanguageModel:
             if full.any() and self.names:
                 scores = self.word_scores(block)[block.inverse]
                 cuts = np.append(block.cuts[:-1][full], block.cuts[-1])
-                out[np.flatnonzero(full) + low] = mixture(scores, cuts)
-        return out, some
+                at = np.flatnonzero(full) + low
+                out[at] = mixture(scores, cuts)
+                if weigh:
+                    size = 2.0 * (block.ends - block.starts + 1)[block.inverse]  # n-grams of each word
+                    explained = mixed_scores(scores, out[at], cuts) / SCALE + size * np.log(SLOTS)
+                    gain[at] = sums(explained, cuts) / sums(size, cuts)
+        return out, some, gain
 
 
 def mixture(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -187,6 +185,13 @@ def mixture(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return best
 
 
+def mixed_scores(scores: np.ndarray, share: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each word in its text's mixture of languages."""
+    top = scores.max(axis=1, keepdims=True)
+    like = (np.exp(scores - top) * np.repeat(share, np.diff(cuts), axis=0)).sum(axis=1)
+    return top[:, 0] + np.log(np.maximum(like, 1e-30).astype(np.float64))
+
+
 def learnable(docs: DataFrame, text: str, lang: str, key: str, sample: int | None) -> DataFrame:
     """(__text, __lang, __held) of about ``sample`` of the rows that may be learned from,
     some of each language, or of all of them; one in ``HOLD`` is held."""
@@ -257,7 +262,7 @@ def fit_evidence(docs: DataFrame, text: str = "text", lang: str = "lang", key: s
     part = docs.sparkSession.sparkContext.broadcast(model_of(found.filter(pc.invert(found.column("held")))))
 
     def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        gain, _ = part.value.evidence(batch.column("__text").to_pylist())
+        _, _, gain = part.value.weigh(batch.column("__text").to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column("__lang"), pa.array(gain)], names=["lang", "gain"])
 
     # a row for each held row of the sample
@@ -272,43 +277,43 @@ def fit_evidence(docs: DataFrame, text: str = "text", lang: str = "lang", key: s
 
 
 def identify(
-    docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None, out: str = "lang_pred", score: str = "score"
+    docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None, out: str = "lang_pred", score: str = "score", gain: str | None = None
 ) -> DataFrame:
     """``docs`` (its columns ``keep``, by default all) with each whole text's main
-    language in ``out`` and its proportion in ``score``."""
+    language in ``out`` and its proportion in ``score``; if asked for, in ``gain`` what its mixture
+    gains over the background for each n-gram (-inf without a word or a language)."""
     names = docs.columns if keep is None else keep
     rows, inner, fields = carried(docs, names, __text=text)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS x languages numbers
 
     def infer(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        share, some = m.infer(batch.column("__text").to_pylist())
+        m, texts = shared.value, batch.column("__text").to_pylist()
+        share, some, *more = m.weigh(texts) if gain else m.infer(texts)
         if m.names:
             first = share.argmax(axis=1)
             found = [m.names[i] if s else UNDETERMINED for i, s in zip(first.tolist(), some.tolist())]
             value = np.clip(np.where(some, share[np.arange(len(share)), first], 0.0), 0.0, 1.0)
         else:
             found, value = [UNDETERMINED] * len(some), np.zeros(len(some))
-        columns = [*(batch.column(n) for n in inner), pa.array(found, pa.string()), pa.array(value, pa.float64())]
-        yield pa.RecordBatch.from_arrays(columns, names=[*inner, "__lang", "__score"])
+        columns = [*(batch.column(n) for n in inner), pa.array(found, pa.string()), pa.array(value, pa.float64()), *map(pa.array, more)]
+        yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    schema = StructType([*fields, StructField("__lang", StringType()), StructField("__score", DoubleType())])
-    return in_batches(rows, infer, schema).toDF(*names, out, score)
+    added = [StructField("__lang", StringType()), StructField("__score", DoubleType()), *[StructField("__gain", DoubleType())] * bool(gain)]
+    schema = StructType([*fields, *added])
+    return in_batches(rows, infer, schema).toDF(*names, out, score, *[gain] * bool(gain))
 
 
 def keep_identified(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The documents whose language can be told: those with a letter and with the
-    evidence that ``fit_evidence`` asks for. Where no row has a language to learn, there is
-    no evidence against any document, and all stay. Columns stay as they are."""
-    fitted = docs.sparkSession.sparkContext.broadcast(fit_evidence(docs, text, lang, key))
-    rows, inner, fields = carried(docs, docs.columns, __text=text)
-
-    def weigh(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        model, needed = fitted.value
-        own = pa.RecordBatch.from_arrays([batch.column(n) for n in inner], names=inner)
-        if model.names:
-            gain, strongest = model.evidence(batch.column("__text").to_pylist())
-            own = own.filter(pa.array(gain >= needed[strongest]))
-        yield own
-
-    return in_batches(rows, weigh, StructType(fields)).toDF(*docs.columns)
+    """The documents whose language can be told: those that ``identify`` gives a language, with
+    the evidence for their mixture that ``fit_evidence`` asks for in that language. Where no row has a language
+    to learn, there is no evidence against any document, and all stay. Columns stay as they are."""
+    model, needed = fit_evidence(docs, text, lang, key)
+    if not model.names:
+        return docs
+    own = "__"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    found = identify(docs, model, text, out=f"{own}lang", score=f"{own}score", gain=f"{own}gain")
+    least = F.create_map(*(F.lit(x) for pair in zip(model.names, needed.tolist()) for x in pair))  # a row for each language, as the model has a column
+    told = (F.col(f"{own}lang") != UNDETERMINED) & (F.col(f"{own}gain") >= least[F.col(f"{own}lang")])
+    return found.filter(told).drop(f"{own}lang", f"{own}score", f"{own}gain")

@@ -258,3 +258,24 @@ def test_shards_networks_are_averaged(spark, monkeypatch):
         again.move(rows, by / toxicity.UNIT)
         for a, b in zip([again.embedding, *again.filters, again.bias, again.weights, again.offset], [other.embedding, *other.filters, other.bias, other.weights, other.offset]):
             assert np.allclose(a, b, atol=1e-6)
+
+
+def test_documents_are_kept_by_the_mixture_inferred(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    own = {r.lang: r.text for r in docs.filter("n_chars between 1500 and 3000").groupBy("lang").agg(F.min_by("text", "doc_id").alias("text")).collect()}
+    model, needed = langid.fit_evidence(docs)
+    texts = [own["en"], own["en"] + "\n" + own["fr"], "Wszyscy ludzie", "12 !", None]
+    share, some, gain = model.weigh(texts)
+    assert [x.tolist() for x in model.infer(texts)] == [share.tolist(), some.tolist()]
+    for t, s, g in zip(texts, share.astype(float), gain):
+        block = langid.Words.of([t])
+        logs = (block.likelihoods(model.table) * langid.SCALE)[block.inverse].astype(float)
+        grams = sum(2 * int(block.ends[w] - block.starts[w] + 1) for w in block.inverse)
+        fit = sum(math.log(sum(p * math.exp(x - max(row)) for p, x in zip(s, row))) + max(row) for row in logs.tolist())
+        assert g == -np.inf if not grams else abs(g - (fit / langid.SCALE / grams + math.log(langid.SLOTS))) < 1e-3
+    more = docs.union(spark.createDataFrame([(900_000 + i, t, None, "src0", 0) for i, t in enumerate(texts)], docs.schema))
+    model, needed = langid.fit_evidence(more)
+    found = langid.identify(more, model, keep=["doc_id"], gain="gain").collect()
+    want = {r.doc_id for r in found if r.lang_pred != "und" and r.gain >= needed[model.names.index(r.lang_pred)]}
+    assert {r.doc_id for r in langid.keep_identified(more).select("doc_id").collect()} == want
+    assert {900_000, 900_001} <= want and not {900_003, 900_004} & want
