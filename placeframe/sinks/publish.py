@@ -4,7 +4,8 @@ same object key, and every file gets a status.
 Two manifests (key, size, SHA-256 of the content) are joined in full by key. The
 bytes of absent and changed files go through the executors into a scratch folder
 in the target; the driver then only renames them to their keys, one call for a
-file, and the copies' digests are compared again. A file that can't be read, staged
+file (what is there is told by listings of whole folders), and the copies' digests
+are compared again. A file that can't be read, staged
 or renamed is ``failed``; the others still go through. A file is one row while it
 is read, so files are bounded by Spark's ``spark.sql.sources.binaryFile.maxLength``
 (2 GB); zones written by this library hold far smaller ones.
@@ -12,8 +13,8 @@ is read, so files are bounded by Spark's ``spark.sql.sources.binaryFile.maxLengt
 
 from __future__ import annotations
 
-import hashlib
 import re
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
@@ -21,14 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from placeframe.functions.columns import object_key
-from placeframe.session import _folder, fresh_dir, path_exists, remove_scratch, replace_file
+from placeframe.session import _folder, fresh_dir, path_exists, remove_scratch
 from placeframe.sinks.writers import write_table
 
 MANIFEST = "key string, path string, size long, digest string, tail string, lines long"
-#: Renames and look-ups at a time: calls to the file system, not data.
+#: Renames at a time: calls to the file system, not data.
 CALLS = 16
 #: Files of one staging job: their paths are arguments of one scan.
 STAGED = 20_000
+#: More files than these are read by their folders: a path of its own is a listing of its own.
+SINGLE = 200
 
 
 def _literal(path: str) -> str:
@@ -36,14 +39,44 @@ def _literal(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
+def _folders(paths: Iterable[str]) -> list[str]:
+    """The folders of the files at ``paths``, without those below others of them."""
+    out: list[str] = []
+    for folder in sorted({p.rpartition("/")[0] + "/" for p in paths}):
+        if not (out and folder.startswith(out[-1])):
+            out.append(folder)
+    return [f[:-1] for f in out]
+
+
+def _there(spark: SparkSession, paths: list[str]) -> set[str]:
+    """Which files there are in the folders of ``paths``, by one listing of them all; no file is opened."""
+    some = [f for f in _folders(paths) if path_exists(spark, f)]
+    if not some:
+        return set()
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+    return {r.path for r in read.load([_literal(f) for f in some]).select("path").collect()}
+
+
+def _files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The files at ``paths``, which are there; what can't be read has no row."""
+    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    if len(paths) <= SINGLE:
+        return read.load([_literal(p) for p in paths])
+    wanted = spark.createDataFrame([(p,) for p in paths], "path string")
+    return read.load([_literal(f) for f in _folders(paths)]).join(F.broadcast(wanted), "path", "left_semi")
+
+
 def content_manifest(spark: SparkSession, root: str, pattern: str = "*", paths: list[str] | None = None) -> DataFrame:
     """(key, path, size, digest, tail, lines) of the files below ``root``, or of ``paths`` there: the
     SHA-256 of the whole content, its last sign and its lines; null for a file that can't be
     read. An absent root has no files, and a file without a byte is none to Spark's listing."""
     if not path_exists(spark, root) or paths == []:
         return spark.createDataFrame([], MANIFEST)
-    read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
-    files = read.load([_literal(p) for p in paths]) if paths is not None else read.option("pathGlobFilter", pattern).load(root)
+    if paths is not None:
+        files = _files(spark, paths)
+    else:
+        read = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+        files = read.option("pathGlobFilter", pattern).load(root)
     listed = files.select(object_key("path", root).alias("key"), "path", F.col("length").alias("size"))
     text = F.col("content").cast("string")
     tail = F.right(text, F.lit(1))
@@ -64,46 +97,56 @@ def diff_manifests(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _stage(spark: SparkSession, files: list, folder: str) -> dict[str, str]:
-    """Copies files into ``folder``, one each, and returns where each key's copy lies. The text writer ends a
-    record with the separator it is given, so a file is written as all but its last sign, and that."""
-    found: dict[str, str] = {}
-    name = lambda path: hashlib.md5(path.encode()).hexdigest()
+    """Copies files into ``folder``, one each, and returns where each key's copy lies: one with the source's digest.
+    The text writer ends a record with the separator it is given, so a file is written as all but its last sign, and that."""
+    there = _there(spark, [f.path for f in files])
     by_tail: dict[str, list] = {}
     for f in files:
-        by_tail.setdefault(f.tail, []).append(f)
+        if f.path in there:  # what is gone by now fails alone
+            by_tail.setdefault(f.tail, []).append(f)
     for k, (tail, own) in enumerate(by_tail.items()):
         for low in range(0, len(own), STAGED):
-            with ThreadPoolExecutor(CALLS) as pool:  # what is gone by now fails alone
-                some = [f for f, there in zip(own[low:], pool.map(lambda f: path_exists(spark, f.path), own[low : low + STAGED])) if there]
-            if not some:
-                continue
-            read = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true").load([_literal(f.path) for f in some])
+            some = own[low : low + STAGED]
             text = F.col("content").cast("string")
-            to = f"{folder}/{k}-{low}"
-            bare = read.select(F.left(text, F.length(text) - 1).alias("value"), F.md5(F.col("path").cast("binary")).alias("__file"))
-            bare.write.option("lineSep", tail).partitionBy("__file").text(to)
-            fs, where = _folder(spark, f"{to}/__file=*/part-*")
-            for status in fs.globStatus(where) or []:
-                found[status.getPath().getParent().getName().removeprefix("__file=")] = status.getPath().toString()
-    return {f.key: found[name(f.path)] for f in files if name(f.path) in found}
+            bare = _files(spark, [f.path for f in some]).select(F.left(text, F.length(text) - 1).alias("value"))
+            # tasks move their own files; the folder is scratch, and what it holds is read below
+            bare.write.option("lineSep", tail).option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(f"{folder}/{k}-{low}")
+    copies: dict[str, list[str]] = {}
+    for r in content_manifest(spark, folder, "part-*").select("path", "digest").collect():
+        copies.setdefault(r.digest, []).append(r.path)
+    return {f.key: copies[f.source_digest].pop() for f in files if copies.get(f.source_digest)}
 
 
 def _place(spark: SparkSession, target: str, files: list, staged: dict[str, str]) -> list[str]:
     """Renames the staged copies to their keys, over what is there, and returns the paths that are
     there then. What fails stays as it was; the check that follows says so."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    fs, root = _folder(spark, target)
+    root = fs.makeQualified(root)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(root.toUri(), conf)
+    over = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    over[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    top = root.toString().rstrip("/")
+    for folder in sorted({f"{top}/{f.key}".rpartition("/")[0] for f in files}):
+        try:
+            fs.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
+        except Py4JJavaError:
+            continue  # its files fail below
 
-    def one(f) -> str | None:
-        fs, to = _folder(spark, f"{target.rstrip('/')}/{f.key}")
+    def one(f) -> None:
+        copy, to = jvm.org.apache.hadoop.fs.Path(staged[f.key]), jvm.org.apache.hadoop.fs.Path(f"{top}/{f.key}")
         try:
-            fs.mkdirs(to.getParent())
-            if f.key in staged:
-                replace_file(spark, staged[f.key], to.toString())
+            # the rename over a file is the slow one on some file systems
+            if fs.exists(to) or not fs.rename(copy, to):
+                context.rename(copy, to, over)
         except Py4JJavaError:
-            return None
-        return to.toString() if fs.exists(to) else None
+            pass
 
     with ThreadPoolExecutor(CALLS) as pool:
-        return [path for path in pool.map(one, files) if path]
+        list(pool.map(one, [f for f in files if f.key in staged]))
+    paths = [f"{top}/{f.key}" for f in files]
+    there = _there(spark, paths)
+    return [p for p in paths if p in there]
 
 
 def publish_files(spark: SparkSession, source_root: str, target_root: str, pattern: str = "*.{json,txt}") -> DataFrame:
@@ -116,7 +159,7 @@ def publish_files(spark: SparkSession, source_root: str, target_root: str, patte
     scratch = fresh_dir(spark, "publish")
     source = content_manifest(spark, source_root, pattern)
     diff = write_table(diff_manifests(source, content_manifest(spark, target_root, pattern)), f"{scratch}/diff").filter("state <> 'extra'")
-    todo = diff.filter("state in ('absent', 'changed')").select("key", "path", "tail").collect()
+    todo = diff.filter("state in ('absent', 'changed')").select("key", "path", "tail", "source_digest").collect()
     # on the target's own file system, where a rename moves no data
     beside = f"{target_root.rstrip('/')}/_staging-{scratch.rsplit('-', 1)[1]}"
     copied = _place(spark, target_root, todo, _stage(spark, todo, beside))

@@ -91,3 +91,19 @@ def test_empty_source(spark, local_dir):
     report = publish_files(spark, f"{local_dir}/none", f"{local_dir}/dst")
     assert report.collect() == [] and file_counts(report) == {"uploaded": 0, "unchanged": 0, "failed": 0}
     assert assert_files_published(report) is report
+
+
+def test_many_files_cost_few_calls_each(spark, local_dir, monkeypatch):
+    src, dst = f"{local_dir}/src", f"{local_dir}/dst"
+    monkeypatch.setattr(publish, "SINGLE", 3)
+    files = FILES | {f"year=2024/month={i % 3 + 1:02d}/f{i}.json": b'{"id":%d}\n' % (i % 20) for i in range(60)}  # equal ones, too
+    make(src, files)
+    asked = []
+    whether = publish.path_exists
+    monkeypatch.setattr(publish, "path_exists", lambda s, path: asked.append(path) or whether(s, path))
+    assert file_counts(publish_files(spark, src, dst)) == {"uploaded": len(files), "unchanged": 0, "failed": 0}
+    assert read(dst) == files and len(asked) < 20  # folders, not files
+    make(dst, {"year=2024/month=02/f1.json": b"[]\n"})
+    os.remove(f"{dst}/c.json")
+    assert file_counts(publish_files(spark, src, dst)) == {"uploaded": 2, "unchanged": len(files) - 2, "failed": 0}
+    assert read(dst) == files
